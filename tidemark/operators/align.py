@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.clean import quoted
-from tidemark.functions.text import encode
+from tidemark.functions.text import encode, to_instant
 from tidemark.spec import SpecError
 
 
-def align(source: DataFrame, target: T.StructType, defaults: Mapping[str, Any] | None = None) -> DataFrame:
+def align(
+    source: DataFrame, target: T.StructType, defaults: Mapping[str, Any] | None = None, zone: str = ""
+) -> DataFrame:
     """Names match ignoring case. A target column the source lacks gets its default, else NULL.
 
-    A source column the target lacks is an error, and so is a value that the target type cannot hold.
+    A source column the target lacks is an error, and so is a value that the target type cannot hold. ``zone``
+    is where zone-less times live when the target column has a zone; without it, the session's.
     """
     folded = Counter(f.name.lower() for f in source.schema.fields)
     wanted = {f.name.lower() for f in target.fields}
@@ -31,19 +34,23 @@ def align(source: DataFrame, target: T.StructType, defaults: Mapping[str, Any] |
 
     def column(f: T.StructField) -> Column:
         if f.name.lower() in given:
-            return _converted(given[f.name.lower()], f.dataType)
+            return _converted(given[f.name.lower()], f.dataType, zone)
         return F.lit(default_of.get(f.name.lower())).cast(f.dataType)
 
     return source.select(*[column(f).alias(f.name) for f in target.fields])
 
 
-def _converted(given: T.StructField, wanted: T.DataType) -> Column:
+def _converted(given: T.StructField, wanted: T.DataType, zone: str) -> Column:
     c = F.col(quoted(given.name))
     if given.dataType == wanted:
         return c
     if isinstance(wanted, T.StringType):
         return encode(c, given.dataType)
-    value = c.try_cast(wanted)
+    zoneless = isinstance(given.dataType, (T.TimestampNTZType, T.StringType))
+    if zone and isinstance(wanted, T.TimestampType) and zoneless:
+        value = to_instant(c.try_cast(T.TimestampNTZType()), zone)
+    else:
+        value = c.try_cast(wanted)
     bad = value.isNull()
     if isinstance(wanted, T.IntegralType) and isinstance(given.dataType, T.FractionalType):
         bad = bad | (value.cast(given.dataType) != c)

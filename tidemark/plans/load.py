@@ -11,9 +11,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.clean import clean
+from tidemark.functions.clean import clean, quoted
 from tidemark.operators import hwm
+from tidemark.operators.align import align
 from tidemark.operators.chunks import chunk_bounds
+from tidemark.operators.matching import spread_columns
 from tidemark.sinks.store import Applied, TableStore, target_name
 from tidemark.sources.connections import Connection, find_connection
 from tidemark.sources.extract import extract, incr_type
@@ -82,14 +84,32 @@ def load_source(
         log.info("%s: %s from %s", target.table, source.incr_field, point)
     if mode == "merge":
         options |= {"pk": target.keys, "dedupe": target.dedupe_source}
+    options["zone"] = target.timezone
     rows = _extract(spark, connections, source, mode, point, hook)
     if mode in INCREMENTAL_MODES and target.commit_batch_size > 0:
-        incr = options.pop("incr")
-        bounds = chunk_bounds(rows, incr, rows.count(), source.batch_size * target.commit_batch_size)
-        return store.load_chunks(rows, mode, bounds, incr=incr, **options)
+        return _load_chunks(store, rows, source, target, options)
     return [store.load(rows, mode, **options)]
 
 
+def _load_chunks(store: TableStore, rows: DataFrame, source: Source, target: Target, options: dict) -> list[Applied]:
+    """One commit per chunk. A table is read once per chunk, by range; a query runs once and its rows are kept.
+
+    The kept rows are laid out by the incremental field, so a chunk reads few files; a hash behind it keeps a
+    value that many rows share from filling one task.
+    """
+    incr = options.pop("incr")
+    if source.sql.strip():
+        before = store.snapshot()
+        aligned = align(rows, before.schema, before.defaults, options.pop("zone"))
+        laid_out = aligned.repartitionByRange(quoted(target_name(before.schema, incr)), F.xxhash64(*spread_columns(aligned)))
+        staged = store.stage(laid_out)
+        rows, count = store.read_part(staged.part, before.schema), staged.part.rows
+    else:
+        count = rows.count()
+    bounds = chunk_bounds(rows, incr, count, source.batch_size * target.commit_batch_size)
+    return store.load_chunks(rows, target.mode, bounds, incr=incr, **options)
+
+
 def run_task(
     spark: SparkSession,
     task: Task,
@@ -135,7 +155,7 @@ def run_task(
         def replace_all() -> list[Applied]:
             parts = [_extract(spark, connections, s, "full", None, hook) for s in task.sources]
             union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-            return [store.load(union, "full")]
+            return [store.load(union, "full", zone=task.target.timezone)]
 
         attempt("+".join(names), replace_all)
         return records

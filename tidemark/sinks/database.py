@@ -6,15 +6,15 @@ count is checked against the staged rows before anything is applied.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import Any, Protocol
 
 from pyspark.sql import DataFrame
 
 from tidemark.operators.hwm import KEY
-from tidemark.sinks.store import Applied
+from tidemark.sinks.store import Applied, TableStore
 from tidemark.sources.connections import Connection
-from tidemark.spec import MODES, SpecError
+from tidemark.spec import INCREMENTAL_MODES, MODES, SpecError, Target
 
 
 class DbConnection(Protocol):
@@ -61,10 +61,12 @@ def apply_staging(
     pk: Sequence[str] = (),
     mark: dict[str, str] | None = None,
     mark_table: str = "high_water_marks",
+    marker: str = "%s",
 ) -> Applied:
     """Delete, insert and mark in one transaction; nothing is changed unless all of it is.
 
     ``mark`` holds the key columns and the fields to store; its ``incr_point`` is already the larger of old and new.
+    ``marker`` is the driver's parameter marker.
     """
     if mode not in MODES:
         raise SpecError(f"unsupported mode: {mode!r}")
@@ -81,18 +83,14 @@ def apply_staging(
             return Applied(0)
         deleted = 0
         if mode == "full":
-            cursor.execute(f"SELECT count(*) FROM {target}")
-            deleted = cursor.fetchone()[0]
-            cursor.execute(f"DELETE FROM {target}")
+            cursor.execute(f"TRUNCATE TABLE {target}")
         elif mode == "merge":
-            same = " AND ".join(f"t.{k} = s.{k}" for k in pk)
-            cursor.execute(f"SELECT count(*) FROM {target} t WHERE EXISTS (SELECT 1 FROM {staging} s WHERE {same})")
-            deleted = cursor.fetchone()[0]
             cursor.execute(delete_sql(target, staging, pk))
+            deleted = max(cursor.rowcount, 0)
         names = ", ".join(columns)
         cursor.execute(f"INSERT INTO {target} ({names}) SELECT {names} FROM {staging}")
-        if mark and mode in ("append", "merge"):
-            _store_mark(cursor, mark_table, mark)
+        if mark and mode in INCREMENTAL_MODES:
+            _store_mark(cursor, mark_table, mark, marker)
         db.commit()
     except BaseException:
         db.rollback()
@@ -100,11 +98,67 @@ def apply_staging(
     return Applied(0, deleted, found, (mark or {}).get("incr_point"))
 
 
-def _store_mark(cursor: Any, table: str, mark: dict[str, str]) -> None:
+def _store_mark(cursor: Any, table: str, mark: dict[str, str], marker: str) -> None:
     """Replace the row of this mark."""
-    where = " AND ".join(f"{k} = ?" for k in KEY)
+    where = " AND ".join(f"{k} = {marker}" for k in KEY)
     cursor.execute(f"DELETE FROM {table} WHERE {where}", [mark[k] for k in KEY])
-    names = list(mark)
-    cursor.execute(
-        f"INSERT INTO {table} ({', '.join(names)}) VALUES ({', '.join('?' * len(names))})", [mark[n] for n in names]
-    )
+    places = ", ".join([marker] * len(mark))
+    cursor.execute(f"INSERT INTO {table} ({', '.join(mark)}) VALUES ({places})", list(mark.values()))
+
+
+def stored_point(db: DbConnection, key: dict[str, str], mark_table: str = "high_water_marks", marker: str = "%s") -> str | None:
+    cursor = db.cursor()
+    where = " AND ".join(f"{k} = {marker}" for k in KEY)
+    cursor.execute(f"SELECT incr_point FROM {mark_table} WHERE {where}", [key[k] for k in KEY])
+    row = cursor.fetchone()
+    return (row[0] or None) if row else None
+
+
+def load_database(
+    rows: DataFrame,
+    connection: Connection,
+    db: DbConnection,
+    work: TableStore,
+    target: Target,
+    *,
+    incr: str = "",
+    key: dict[str, str] | None = None,
+    facts: dict[str, str] | None = None,
+    fill: Callable[[DataFrame, Connection, str], None] = fill_staging,
+    marker: str = "%s",
+) -> Applied:
+    """Load an extract into a database table.
+
+    The rows are first written to ``work``, so they and their count stay the same however often tasks are retried.
+    The staging table has the target's columns, types and defaults, and is dropped after the commit.
+    """
+    check_sink(connection)
+    target.validate()
+    incr = incr if target.mode in INCREMENTAL_MODES else ""
+    old = stored_point(db, key, marker=marker) if incr and key else None
+    staged = work.stage(rows, incr, old_point=old)
+    if not staged.part.rows:
+        return Applied(0)
+    staging = f"{target.table}_staging_{staged.part.directory[:12]}"
+    _run(db, create_staging_sql(staging, target.table))
+    try:
+        fill(work.read_part(staged.part, rows.schema), connection, staging)
+        mark = key | (facts or {}) | {"incr_point": staged.point} if key and staged.point else None
+        return apply_staging(
+            db,
+            target.table,
+            staging,
+            rows.columns,
+            target.mode,
+            expected_rows=staged.part.rows,
+            pk=target.keys,
+            mark=mark,
+            marker=marker,
+        )
+    finally:
+        _run(db, f"DROP TABLE {staging}")
+
+
+def _run(db: DbConnection, statement: str) -> None:
+    db.cursor().execute(statement)
+    db.commit()

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from tidemark.functions.clean import quoted
 from tidemark.operators import hwm
 from tidemark.operators.align import align
+from tidemark.operators.chunks import chunks
 from tidemark.operators.matching import BROADCAST_BYTES, all_present, distinct_keys, hot_keys, key_bytes, match
 from tidemark.operators.modes import latest_per_key
 from tidemark.sinks.files import Folder
@@ -124,6 +125,9 @@ class TableStore:
         snapshot = snapshot or self.snapshot()
         return self._read_parts(snapshot.parts, snapshot.schema)
 
+    def read_part(self, part: Part, schema: T.StructType) -> DataFrame:
+        return self._read_parts([part], schema)
+
     def _read_parts(self, parts: Iterable[Part], schema: T.StructType) -> DataFrame:
         paths = []
         for p in parts:
@@ -180,6 +184,7 @@ class TableStore:
         key: dict[str, str] | None = None,
         facts: dict[str, str] | None = None,
         dedupe: bool = False,
+        zone: str = "",
         stream: tuple[str, int] | None = None,
     ) -> Applied:
         """Apply one extract in one of the four modes, as one commit.
@@ -195,7 +200,7 @@ class TableStore:
         if stream and before.streams.get(stream[0], -1) >= stream[1]:
             return Applied(before.version)
         streams = before.streams | ({stream[0]: stream[1]} if stream else {})
-        rows = align(source, before.schema, before.defaults)
+        rows = align(source, before.schema, before.defaults, zone)
         incremental = mode in INCREMENTAL_MODES
         incr = target_name(before.schema, incr) if incremental and incr else ""
         pk = [target_name(before.schema, k) for k in pk]
@@ -224,7 +229,7 @@ class TableStore:
         """
         if not before.parts:
             return 0, ()
-        keys = distinct_keys(self._read_parts([staged.part], before.schema), pk)
+        keys = distinct_keys(self.read_part(staged.part, before.schema), pk)
         table = self.read(before)
         small = staged.key_size <= self.broadcast_bytes
         hot = () if small else hot_keys(table, pk)
@@ -276,8 +281,6 @@ class TableStore:
         **options: Any,
     ) -> list[Applied]:
         """One commit per value range of ``incr``, ascending. Committed chunks stay when a later one fails."""
-        from tidemark.operators.chunks import chunks
-
         done = []
         for chunk in chunks(source, incr, bounds):
             done.append(self.load(chunk, mode, pk=pk, incr=incr, **options))

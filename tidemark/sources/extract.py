@@ -13,7 +13,7 @@ from tidemark.operators.hwm import default_point
 from tidemark.sources import jdbc
 from tidemark.sources.connections import Connection
 from tidemark.sources.naming import alias_sql, field_sql
-from tidemark.spec import INCREMENTAL_MODES, Source, SpecError
+from tidemark.spec import INCREMENTAL_MODES, Mapping, Source, SpecError
 
 FIELD = "${SRC_INCR_FIELD}"
 POINT = "${INCR_POINT}"
@@ -85,13 +85,17 @@ def incr_type(spark: SparkSession, connection: Connection, source: Source, point
     probe = Source(
         table=source.table,
         sql=source.sql,
-        incr_field=source.incr_field,
         connection=source.connection,
-        auto_incr=False,
+        mapping=Mapping.of({source.incr_field: "f"}),
+        incr_field=source.incr_field,
     )
-    field = field_sql(source.incr_field)
-    inner, args, relations = _relation(spark, connection, probe, ":incr_point", point or default_point(T.StringType(), source.incr_field))
-    return spark.sql(f"SELECT {field} AS f FROM {inner} WHERE {EMPTY}", args=args, **relations).schema["f"].dataType
+    point = point or default_point(T.StringType(), source.incr_field)
+    if connection.is_jdbc:
+        frame = jdbc.read(spark, connection, probe, remote_sql(connection, probe, point=point, empty=True), split=False)
+    else:
+        inner, args, relations = _relation(spark, connection, probe, ":incr_point", point)
+        frame = spark.sql(f"SELECT {projection_sql(probe)} FROM {inner} WHERE {EMPTY}", args=args, **relations)
+    return frame.schema.fields[0].dataType
 
 
 def _relation(spark: SparkSession, connection: Connection, source: Source, value: str, point: str | None):
@@ -146,7 +150,8 @@ def remote_sql(
     connection: Connection, source: Source, mode: str = "initial", point: str | None = None, *, empty: bool = False
 ) -> str:
     """The SELECT in the dialect of a database source, the point as a text literal."""
-    connection.check_table(source.table) if source.table.strip() else None
+    if source.table.strip():
+        connection.check_table(source.table)
     dialect = connection.kind
     literal = "'" + (point or "").replace("'", "''") + "'"
     field = field_sql(source.incr_field, dialect) if source.incr_field else ""

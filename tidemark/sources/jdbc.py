@@ -11,8 +11,6 @@ from tidemark.functions.text import guid_text
 from tidemark.sources.connections import Connection
 from tidemark.spec import Source
 
-
-
 def read_options(connection: Connection, source: Source, sql: str, bounds: dict[str, str] | None = None) -> dict[str, str]:
     """Reader options for one extraction statement."""
     settings = {k: v for k, v in connection.options.items() if k not in ("partitionColumn", "numPartitions")}
@@ -31,9 +29,9 @@ def split_bounds(spark: SparkSession, connection: Connection, source: Source, sq
     return {"partitionColumn": column, "lowerBound": str(low), "upperBound": str(high), "numPartitions": parts}
 
 
-def read(spark: SparkSession, connection: Connection, source: Source, sql: str) -> DataFrame:
+def read(spark: SparkSession, connection: Connection, source: Source, sql: str, *, split: bool = True) -> DataFrame:
     """Rows of the statement."""
-    bounds = split_bounds(spark, connection, source, sql)
+    bounds = split_bounds(spark, connection, source, sql) if split else None
     return spark.read.format("jdbc").options(**read_options(connection, source, sql, bounds)).load()
 
 
