@@ -192,3 +192,11 @@ def test_align_text_forms_and_zones(spark):
     target = T.StructType.fromDDL("a string, b timestamp, c string")
     row = align(df, target, zone="America/Mexico_City").select("a", F.unix_micros("b").alias("b"), "c").first()
     assert tuple(row) == ("2024-01-01 00:00:00.000000", 1704088800000000, "{1,2}")
+
+
+def test_text_with_its_own_offset_keeps_its_instant(spark):
+    target = T.StructType().add("t", T.TimestampType())
+    texts = ["2024-01-01 00:00:00", "2024-01-01 06:00:00Z", "2024-01-01 07:00:00.5+01:00", "2024-01-01"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    seconds = [r[0] for r in align(df, target, zone="America/Mexico_City").select(F.unix_seconds("t")).collect()]
+    assert seconds == [1704088800] * 4

@@ -14,6 +14,9 @@ from tidemark.functions.clean import quoted
 from tidemark.functions.text import encode, to_instant
 from tidemark.spec import SpecError
 
+# Text that names its own zone: an offset, Z or a region after the time of day.
+OFFSET = r":\d\d(\.\d+)?\s*(Z|[+-]\d\d?(:?\d\d)?|[A-Za-z]+/[A-Za-z_]+)\s*$"
+
 
 def align(
     source: DataFrame, target: T.StructType, defaults: Mapping[str, Any] | None = None, zone: str = ""
@@ -49,6 +52,8 @@ def _converted(given: T.StructField, wanted: T.DataType, zone: str) -> Column:
     zoneless = isinstance(given.dataType, (T.TimestampNTZType, T.StringType))
     if zone and isinstance(wanted, T.TimestampType) and zoneless:
         value = to_instant(c.try_cast(T.TimestampNTZType()), zone)
+        if isinstance(given.dataType, T.StringType):
+            value = F.when(c.rlike(OFFSET), c.try_cast(wanted)).otherwise(value)
     else:
         value = c.try_cast(wanted)
     bad = value.isNull()
