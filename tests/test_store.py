@@ -87,7 +87,8 @@ def test_merge_with_a_hot_key(spark, store, limit):
     ids = F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 3 == 1, F.col("id"))
     base = spark.range(3000).select(ids.alias("id"), F.lit("old").alias("v"), F.col("id").alias("at"))
     table.load(base.repartition(3), "initial")
-    table.load(spark.createDataFrame([(-1, "new", 1), (-1, "new", 1), (1, "new", 1), (None, "new", 1)], SCHEMA), "merge", pk=["id"])
+    fix = [(-1, "new", 1), (-1, "new", 1), (1, "new", 1), (None, "new", 1)]
+    assert table.load(spark.createDataFrame(fix, SCHEMA), "merge", pk=["id"]).deleted == 1001
     assert table.read().where("v = 'old'").count() == 3000 - 1000 - 1
     assert table.read().where("id IS NULL").count() == 1001
     assert table.snapshot().rows == table.read().count()
@@ -188,6 +189,25 @@ def test_compaction_keeps_rows_and_marks(spark, store):
     assert table.compact(rows_below=50) == after
 
 
+def test_a_load_compacts_past_a_number_of_small_parts(spark, store):
+    table = store(SCHEMA, small_parts=3)
+    for i in range(5):
+        table.load(frame(spark, (i, "y", i)), "append", incr="at", key=KEY)
+    assert len(table.snapshot().parts) == 2 and table.read().count() == 5
+
+
+def test_expire_deletes_what_only_old_commits_name(spark, store, tmp_path):
+    table = store(SCHEMA)
+    for i in range(4):
+        table.load(frame(spark, (i, "y", i)), "full")
+    table.load(frame(spark, (9, "z", 9)), "append")
+    staged = table.stage(frame(spark, (5, "staged", 5)))
+    before = rows(table.read())
+    assert table.expire(keep=2) == 3
+    assert rows(table.read()) == before and table.expire(keep=2) == 0
+    assert table.read_part(staged.part, table.snapshot().schema).count() == 1
+
+
 def test_dedupe_takes_the_latest(spark, store):
     table = store(SCHEMA)
     table.load(frame(spark, (1, "old", 1), (1, "new", 2)), "merge", pk=["id"], incr="at", dedupe=True)

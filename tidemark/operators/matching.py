@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,22 +43,26 @@ def key_bytes(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.coalesce(F.sum(width.cast("long")), F.lit(0))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[tuple]:
-    """Every key that owns more than ``share`` of the rows, and maybe some that do not; at most 1/share keys.
+def key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Equal keys give equal hashes: adding zero turns -0.0 into 0.0, which joins take as the same."""
+    floating = (T.FloatType, T.DoubleType)
+    columns = [F.col(quoted(k)) for k in keys]
+    return F.xxhash64(*[c + F.lit(0.0) if isinstance(df.schema[k].dataType, floating) else c for k, c in zip(keys, columns)])
 
-    It decides only how rows are spread, never which rows match.
-    """
-    packed = df.where(all_present(keys)).select(F.struct(*map(quoted, keys)).alias("k"))
-    return [tuple(row) for row in packed.freqItems(["k"], share).first()[0] or []]
 
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
+    """Hashes of every key that owns more than ``share`` of the rows: at most 1/share numbers.
 
-def is_one_of(keys: Sequence[str], values: Sequence[tuple]) -> Column:
-    if not values:
-        return F.lit(False)
-    if len(keys) == 1:
-        return F.coalesce(F.col(quoted(keys[0])).isin([v[0] for v in values]), F.lit(False))
-    same = [reduce(and_, [F.col(quoted(k)) == F.lit(x) for k, x in zip(keys, v)]) for v in values]
-    return F.coalesce(reduce(or_, same), F.lit(False))
+    They decide only how rows are spread, never which rows match. One pass finds candidates in bounded memory;
+    a second counts them, so a table without hot keys pays nothing later.
+    """
+    hashes = df.where(all_present(keys)).select(key_hash(df, keys).alias("h"))
+    candidates = hashes.freqItems(["h"], share).first()[0] or []
+    if not candidates:
+        return []
+    found = hashes.groupBy(F.when(F.col("h").isin(candidates), F.col("h")).alias("h")).count().collect()
+    least = share * sum(r["count"] for r in found)
+    return [r.h for r in found if r.h is not None and r["count"] > least]
 
 
 def spread_columns(df: DataFrame) -> list[Column]:
@@ -74,15 +78,15 @@ def match(
     keys: Sequence[str],
     how: str,
     *,
-    hot: Sequence[tuple] | None = (),
+    hot: Sequence[int] | None = (),
     small: bool = False,
     spread_by: Sequence[Column] | None = None,
     also: str = "",
 ) -> DataFrame:
     """``left_semi`` or ``left_anti`` of ``df`` against distinct keys. ``also`` adds a condition over aliases l and r.
 
-    ``hot=None`` says that ``df`` has no hot key and no NULL key, so nothing is salted.
-    The salt is a hash of the row's own values, so a recomputed task sends each row to the same place.
+    Both sides hold the key in the same types. ``hot=None`` says that ``df`` has no hot key and no NULL key, so
+    nothing is salted. The salt is a hash of the row's own values, so a recomputed task sends each row to the same place.
     """
     columns = df.columns
     on = list(keys)
@@ -90,9 +94,10 @@ def match(
         keys_df = F.broadcast(keys_df)
     elif hot is not None:
         spread = F.pmod(F.xxhash64(*(spread_by or spread_columns(df))), F.lit(SALTS)).cast("int")
-        hot_row = is_one_of(keys, hot)
-        df = df.withColumn(SALT, F.when(~all_present(keys) | hot_row, spread).otherwise(F.lit(0)))
-        salts = F.when(is_one_of(keys, hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        is_hot = key_hash(df, keys).isin(list(hot)) if hot else F.lit(False)
+        hot_key = key_hash(keys_df, keys).isin(list(hot)) if hot else F.lit(False)
+        df = df.withColumn(SALT, F.when(~all_present(keys) | is_hot, spread).otherwise(F.lit(0)))
+        salts = F.when(hot_key, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
         keys_df = keys_df.withColumn(SALT, F.explode(salts)) if hot else keys_df.withColumn(SALT, F.lit(0))
         on.append(SALT)
     left, right = df.alias("l"), keys_df.alias("r")

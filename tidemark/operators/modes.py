@@ -30,7 +30,7 @@ def full(target: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def merge(
-    target: DataFrame, source: DataFrame, pk: Sequence[str], *, hot: Sequence[tuple] = (), small: bool = False
+    target: DataFrame, source: DataFrame, pk: Sequence[str], *, hot: Sequence[int] = (), small: bool = False
 ) -> DataFrame:
     """Target rows whose key the source lacks, plus all of the source.
 
@@ -55,7 +55,7 @@ def merge_counts(target: DataFrame, source: DataFrame, pk: Sequence[str], *, sma
 
 
 def last_chunk_rows(
-    source: DataFrame, pk: Sequence[str], incr: str, bounds: Sequence[str], *, hot: Sequence[tuple] = ()
+    source: DataFrame, pk: Sequence[str], incr: str, bounds: Sequence[str], *, hot: Sequence[int] = ()
 ) -> DataFrame:
     """Source rows that survive when the chunks are merged one after another: those of each key's last chunk.
 
@@ -74,7 +74,7 @@ def last_chunk_rows(
 
 
 def chunked_merge(
-    target: DataFrame, source: DataFrame, pk: Sequence[str], incr: str, bounds: Sequence[str], *, hot: Sequence[tuple] = ()
+    target: DataFrame, source: DataFrame, pk: Sequence[str], incr: str, bounds: Sequence[str], *, hot: Sequence[int] = ()
 ) -> DataFrame:
     """Closed form of merging value-range chunks in ascending order."""
     return merge(target, last_chunk_rows(source, pk, incr, bounds, hot=hot), pk, hot=hot)

@@ -47,6 +47,12 @@ class Folder:
             raise CommitConflict(name)
         self._fs.move(temporary, final)
 
+    def remove(self, name: str) -> None:
+        self._fs.delete_file(f"{self._path}/{name}")
+
+    def remove_directory(self, name: str) -> None:
+        self._fs.delete_dir(f"{self._path}/{name}")
+
 
 def scratch_root(spark, fallback: str | None = None) -> str:
     """A new folder name under the shared folder the cluster names, or under ``fallback`` where it names none."""

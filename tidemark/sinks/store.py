@@ -87,10 +87,20 @@ class Applied:
 class TableStore:
     """One target table under ``root``. One run writes at a time; a second one gets CommitConflict."""
 
-    def __init__(self, spark: SparkSession, root: str, broadcast_bytes: int = BROADCAST_BYTES) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        *,
+        broadcast_bytes: int = BROADCAST_BYTES,
+        small_rows: int = 1_000_000,
+        small_parts: int = 200,
+    ) -> None:
+        """Beyond ``small_parts`` directories of fewer than ``small_rows`` rows, a load also compacts them."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.broadcast_bytes = broadcast_bytes
+        self.small_rows, self.small_parts = small_rows, small_parts
         self._commits = Folder(f"{self.root}/commits")
 
     # State
@@ -220,6 +230,8 @@ class TableStore:
         marks = self._mark(before, key if incr else None, facts or {}, staged.point)
         total = before.rows - deleted + staged.part.rows
         after = self._commit(before, rows=total, parts=(*kept, staged.part), marks=marks, streams=streams)
+        if sum(p.rows < self.small_rows for p in after.parts) > self.small_parts:
+            after = self.compact(self.small_rows)
         return Applied(after.version, deleted, staged.part.rows, staged.point if incr else None)
 
     def _without(self, before: Snapshot, staged: Staged, pk: Sequence[str]) -> tuple[int, tuple[Part, ...]]:
@@ -230,22 +242,16 @@ class TableStore:
         if not before.parts:
             return 0, ()
         keys = distinct_keys(self.read_part(staged.part, before.schema), pk)
-        table = self.read(before)
-        small = staged.key_size <= self.broadcast_bytes
-        hot = () if small else hot_keys(table, pk)
-
         in_reach = all_present(pk)
         if staged.low is not None:
             dtype, c = before.schema[pk[0]].dataType, F.col(quoted(pk[0]))
             in_reach &= (c >= hwm.typed_point(staged.low, dtype)) & (c <= hwm.typed_point(staged.high, dtype))
-        places = table.where(in_reach).select(
-            *map(quoted, pk), F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")
-        )
-        spread_by = [F.col("__file"), F.col("__row")]
-        hits = match(places, keys, pk, "left_semi", hot=hot, small=small, spread_by=spread_by)
-        hit_files = {
-            tuple(r["__file"].rsplit("/", 2)[1:]): r["n"] for r in hits.groupBy("__file").agg(F.count("*").alias("n")).collect()
-        }
+        near = self.read(before).where(in_reach)
+        how = {"small": True} if staged.key_size <= self.broadcast_bytes else {"hot": hot_keys(near, pk)}
+
+        hits = match(_placed(near.select(*map(quoted, pk), "_metadata"), how), keys, pk, "left_semi", **how)
+        per_file = hits.groupBy("__file").agg(F.count("*").alias("n"))
+        hit_files = {tuple(r["__file"].rsplit("/", 2)[1:]): r["n"] for r in per_file.collect()}
         if not hit_files:
             return 0, before.parts
 
@@ -259,11 +265,9 @@ class TableStore:
             rest = tuple(n for n in names if (part.directory, n) not in hit_files)
             if rest:
                 kept.append(replace(part, files=rest))
-        old = self._read_parts(touched, before.schema).withColumns(
-            {"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")}
-        )
-        remaining = match(old, keys, pk, "left_anti", hot=hot, small=small, spread_by=spread_by)
-        rewritten = self.stage(remaining.drop("__file", "__row")).part
+        old = self._read_parts(touched, before.schema)
+        remaining = match(_placed(old.select("*", "_metadata"), how), keys, pk, "left_anti", **how)
+        rewritten = self.stage(remaining.select(*map(quoted, before.schema.names))).part
         return sum(hit_files.values()), (*kept, *([rewritten] if rewritten.rows else []))
 
     def _names(self, part: Part, schema: T.StructType) -> tuple[str, ...]:
@@ -297,6 +301,23 @@ class TableStore:
         merged = self.stage(self._read_parts(small, before.schema), gather=True).part
         return self._commit(before, parts=(*[p for p in before.parts if p not in small], merged))
 
+    def expire(self, keep: int = 10) -> int:
+        """Delete commits but the last ``keep``, and the directories that only those named. Gives their number.
+
+        Directories that no commit ever named are left alone: a run may be about to publish them.
+        """
+        names = self._commits.names()
+        old, kept = names[:-keep], names[-keep:]
+        directories = lambda name: {p.directory for p in Snapshot.from_json(self._commits.read(name)).parts}
+        needed = set().union(*map(directories, kept))
+        gone = set().union(*map(directories, old)) - needed
+        data = Folder(f"{self.root}/data")
+        for directory in sorted(gone):
+            data.remove_directory(directory)
+        for name in old:
+            self._commits.remove(name)
+        return len(gone)
+
     def marks(self) -> DataFrame:
         """The high-water marks as a control table."""
         fields = [*hwm.KEY, "incr_point", "sync_mode", "src_incr_field", "dst_pk"]
@@ -315,3 +336,11 @@ def target_name(schema: T.StructType, name: str) -> str:
         if column.lower() == name.strip().lower():
             return column
     raise SpecError(f"column {name!r} is not in the target")
+
+
+def _placed(df: DataFrame, how: dict) -> DataFrame:
+    """Rows with the file they lie in; where rows may be spread, also with their place, which tells copies apart."""
+    place = {"__file": F.col("_metadata.file_path")}
+    if how.get("hot"):
+        place["__row"] = F.col("_metadata.row_index")
+    return df.withColumns(place).drop("_metadata")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,8 +11,14 @@ from pyspark.sql import types as T
 from tidemark.functions.clean import quoted
 from tidemark.functions.text import guid_text
 from tidemark.sources.connections import Connection
+from tidemark.sources.naming import alias_sql
 from tidemark.spec import Source
 
+log = logging.getLogger(__name__)
+
+SPLITTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+DEFAULT_PARTS = "32"
+
 def read_options(connection: Connection, source: Source, sql: str, bounds: dict[str, str] | None = None) -> dict[str, str]:
     """Reader options for one extraction statement."""
     settings = {k: v for k, v in connection.options.items() if k not in ("partitionColumn", "numPartitions")}
@@ -18,15 +26,22 @@ def read_options(connection: Connection, source: Source, sql: str, bounds: dict[
 
 
 def split_bounds(spark: SparkSession, connection: Connection, source: Source, sql: str) -> dict[str, str] | None:
-    """Range split of the statement: lowest and highest value of the split column, read as one row."""
-    column, parts = connection.options.get("partitionColumn"), connection.options.get("numPartitions")
-    if not column or not parts:
-        return None
-    probe = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM ({sql}) b"
-    low, high = spark.read.format("jdbc").options(**read_options(connection, source, probe)).load().first()
-    if low is None:
-        return None
-    return {"partitionColumn": column, "lowerBound": str(low), "upperBound": str(high), "numPartitions": parts}
+    """Range split of the statement: lowest and highest value of the split column, read as one row.
+
+    The split column is the connection's ``partitionColumn``, else the incremental field; it is a column of the
+    statement's result. Without one the whole extract would pass through one task, so that is worth a warning.
+    """
+    column = connection.options.get("partitionColumn") or source.target_incr_field
+    if column:
+        name = alias_sql(column, connection.kind)
+        probe = f"SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM ({sql}) b"
+        ends = spark.read.format("jdbc").options(**read_options(connection, source, probe)).load()
+        if isinstance(ends.schema["lo"].dataType, SPLITTABLE):
+            low, high = ends.selectExpr("CAST(lo AS STRING)", "CAST(hi AS STRING)").first()
+            parts = connection.options.get("numPartitions", DEFAULT_PARTS)
+            return low and {"partitionColumn": name, "lowerBound": low, "upperBound": high, "numPartitions": parts}
+    log.warning("%s: no numeric, date or timestamp column to split by; reading through one task", connection.name)
+    return None
 
 
 def read(spark: SparkSession, connection: Connection, source: Source, sql: str, *, split: bool = True) -> DataFrame:
