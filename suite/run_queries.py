@@ -14,7 +14,7 @@ from suite.apply_queries import (
 )
 from suite.registry import new_folder, new_store, query, rows_of, tables
 from tidemark.operators.chunks import chunk_bounds
-from tidemark.plans.load import run_log, run_task
+from tidemark.plans.load import load_chunks, run_log, run_task
 from tidemark.spec import Mapping, Source, Target, Task
 from tidemark.streaming.arrivals import load_arrivals
 
@@ -35,7 +35,7 @@ def mode_chunked_append(spark, sf_dir):
     store.load(old, "initial")
     rows = new.count()
     bounds = chunk_bounds(new, "l_shipdate", rows, -(-rows // 3))
-    store.load_chunks(new, "append", bounds, incr="l_shipdate")
+    load_chunks(store, new, "append", bounds, incr="l_shipdate")
     return store.read()
 
 
@@ -44,7 +44,7 @@ def publish_chunked_merge(spark, sf_dir):
     old = rows_of(spark, sf_dir, OLD_LINES)
     store = new_store(spark, old)
     store.load(old, "initial")
-    store.load_chunks(rows_of(spark, sf_dir, NEW_LINES), "merge", YEAR_ENDS, incr="l_shipdate", pk=LINE_KEY)
+    load_chunks(store, rows_of(spark, sf_dir, NEW_LINES), "merge", YEAR_ENDS, incr="l_shipdate", pk=LINE_KEY)
     return store.read()
 
 

@@ -136,7 +136,7 @@ def test_remote_statement():
 def test_jdbc_reader_options():
     bounds = {"partitionColumn": "id", "lowerBound": "1", "upperBound": "9", "numPartitions": "4"}
     options = read_options(PG, Source(table="a", batch_size=500), "SELECT 1", bounds)
-    assert options == {"url": "jdbc:postgresql://db/x", "dbtable": "(SELECT 1) t", "fetchsize": "500"} | bounds
+    assert options == {"url": "jdbc:postgresql://db/x", "dbtable": "(SELECT 1) t", "fetchsize": "500", "preferTimestampNTZ": "true"} | bounds
 
 
 def test_guid_columns(spark):

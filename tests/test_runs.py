@@ -9,7 +9,7 @@ from conftest import rows
 from tidemark.operators import hwm
 from tidemark.operators.jobs import mapping_violations, tasks_of
 from tidemark.plans.load import run_log, run_task, run_tasks
-from tidemark.sinks.database import apply_staging, check_sink, load_database, write_options
+from tidemark.sinks.database import DatabaseTable, apply_staging, check_sink, write_options
 from tidemark.sinks.store import TableStore
 from tidemark.sources.connections import Connection
 from tidemark.spec import Mapping, Source, SpecError, Target, Task
@@ -306,13 +306,26 @@ def fill(db, keep=None):
     return insert
 
 
-def into_database(spark, tmp_path, db, mode, data, filler=None, **options):
-    rows = spark.createDataFrame(data, "id long, v string, seen long")
-    key = {k: "k" for k in hwm.KEY}
-    return load_database(
-        rows, PG, db, TableStore(spark, str(tmp_path / "work")), Target("target", mode, "id"),
-        incr="seen", key=key, facts={"sync_mode": mode}, fill=filler or fill(db), marker="?", **options,
-    )
+def database_table(spark, tmp_path, db, filler=None):
+    schema = T.StructType().add("id", T.LongType()).add("v", T.StringType()).add("seen", T.LongType())
+    return DatabaseTable(PG, db, "target", TableStore(spark, str(tmp_path / "work")), schema=schema, marker="?", fill=filler or fill(db))
+
+
+def into_database(spark, tmp_path, db, mode, data, filler=None):
+    rows = spark.createDataFrame(data, "ID long, v string, seen long")
+    key, pk = {k: "k" for k in hwm.KEY}, ["id"] if mode == "merge" else []
+    return database_table(spark, tmp_path, db, filler).load(rows, mode, pk=pk, incr="seen", key=key, facts={"sync_mode": mode})
+
+
+def test_task_into_a_database(spark, tmp_path, db):
+    table = database_table(spark, tmp_path, db)
+    spark.createDataFrame([(1, 1), (2, 2), (3, 3), (4, 4)], "id long, seen long").createOrReplaceTempView("src")
+    nightly = Task("n", (Source(table="src", connection="session", incr_field="seen", batch_size=1),), Target("target", "merge", "id", commit_batch_size=1))
+    db.con.execute("ALTER TABLE high_water_marks ADD COLUMN src_incr_field VARCHAR")
+    db.con.execute("ALTER TABLE high_water_marks ADD COLUMN dst_pk VARCHAR")
+    assert run_task(spark, nightly, SESSION, table)[0].rows_written == 2  # the target had reached 2
+    assert db.rows() == [(1, "a", 1), (2, "b", 2), (3, "none", 3), (4, "none", 4)]
+    assert run_task(spark, nightly, SESSION, table)[0].rows_written == 0
 
 
 def test_database_merge_and_mark(spark, tmp_path, db):
@@ -340,7 +353,7 @@ def test_database_load_is_all_or_nothing(spark, tmp_path, db):
 
 
 def test_database_options():
-    assert write_options(PG, "s", 5) == {"url": "jdbc:postgresql://db/x", "dbtable": "s", "batchsize": "5", "truncate": "true"}
+    assert write_options(PG, "s", 5) == {"url": "jdbc:postgresql://db/x", "dbtable": "s", "batchsize": "5", "truncate": "true", "stringtype": "unspecified"}
     for kind in ("mssql", "catalog", "parquet"):
         with pytest.raises(SpecError):
             check_sink(Connection("x", kind))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemark.operators.hwm import identity
+from tidemark.plans.load import load_chunks
 from tidemark.sinks.files import CommitConflict, Folder, scratch_root
 from tidemark.spec import Source, SpecError, Target
 
@@ -159,10 +160,10 @@ def test_chunks_that_were_committed_stay(spark, store):
             raise RuntimeError("stop")
 
     with pytest.raises(RuntimeError, match="stop"):
-        table.load_chunks(source, "append", ["24", "49", "74"], incr="at", key=KEY, after_chunk=stop_after_second)
+        load_chunks(table, source, "append", ["24", "49", "74"], incr="at", key=KEY, after_chunk=stop_after_second)
     assert table.stored_point(KEY) == "49" and table.read().count() == 50
     rest = source.where(f"at > {table.stored_point(KEY)}")
-    table.load_chunks(rest, "append", ["74"], incr="at", key=KEY)
+    load_chunks(table, rest, "append", ["74"], incr="at", key=KEY)
     assert rows(table.read()) == rows(source) and table.stored_point(KEY) == "99"
 
 

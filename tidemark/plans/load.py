@@ -7,14 +7,16 @@ import time
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from typing import Any, Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.clean import clean, quoted
 from tidemark.operators import hwm
 from tidemark.operators.align import align
-from tidemark.operators.chunks import chunk_bounds
+from tidemark.operators.chunks import chunk_bounds, chunks
 from tidemark.operators.matching import spread_columns
 from tidemark.sinks.store import Applied, TableStore, target_name
 from tidemark.sources.connections import Connection, find_connection
@@ -42,22 +44,27 @@ class RunRecord:
     error: str = ""
 
 
-def start_point(store: TableStore, source: Source, target: Target, key: dict[str, str], spark_type) -> str | None:
+class Sink(Protocol):
+    """A target table: the parquet table store, or a database table."""
+
+    @property
+    def staging(self) -> TableStore: ...
+    def shape(self) -> tuple[T.StructType, dict[str, Any]]: ...
+    def stored_point(self, key: dict[str, str]) -> str | None: ...
+    def reached(self, column: str) -> str | None: ...
+    def load(self, source: DataFrame, mode: str, **options: Any) -> Applied: ...
+
+
+def start_point(spark: SparkSession, sink: Sink, source: Source, key: dict[str, str], dtype: T.DataType) -> str | None:
     """Where an incremental run starts, as text: the larger of configured and stored mark, else the target's maximum.
 
     None on a first load into an empty table, which reads everything.
     """
-    snapshot = store.snapshot()
-    given, stored = source.incr_point.strip() or None, store.stored_point(key, snapshot)
-    if given or stored:
-        known = store.spark.range(1).select(
-            hwm.point_text(F.greatest(hwm.typed_point(given, spark_type), hwm.typed_point(stored, spark_type)), spark_type)
-        )
-        return known.first()[0]
-    if not snapshot.parts:
-        return None
-    column = target_name(snapshot.schema, source.target_incr_field)
-    return hwm.compute(store.read(snapshot), column).first().incr_point or None
+    given, stored = source.incr_point.strip() or None, sink.stored_point(key)
+    if given and stored:
+        larger = F.greatest(hwm.typed_point(given, dtype), hwm.typed_point(stored, dtype))
+        return spark.range(1).select(hwm.point_text(larger, dtype)).first()[0]
+    return given or stored or sink.reached(source.target_incr_field)
 
 
 def _extract(spark, connections, source, mode, point, hook: Hook | None) -> DataFrame:
@@ -70,51 +77,70 @@ def load_source(
     task: Task,
     source: Source,
     connections: Sequence[Connection],
-    store: TableStore,
+    sink: Sink,
     hook: Hook | None = None,
 ) -> list[Applied]:
     """Apply one source of a task to its target: one commit, or one per chunk."""
     target, connection = task.target, find_connection(connections, source.connection)
-    mode, point, options = target.mode, None, {}
+    mode, point, options = target.mode, None, {"zone": target.timezone}
     if mode in INCREMENTAL_MODES and source.incr_field:
         key = hwm.identity(task.name, connection.database or connection.name, source, target)
-        point = start_point(store, source, target, key, incr_type(spark, connection, source, source.incr_point or None))
+        point = start_point(spark, sink, source, key, incr_type(spark, connection, source, source.incr_point or None))
         facts = {"sync_mode": mode, "src_incr_field": source.incr_field, "dst_pk": target.pk}
-        options = {"incr": source.target_incr_field, "key": key, "facts": facts}
+        options |= {"incr": source.target_incr_field, "key": key, "facts": facts}
         log.info("%s: %s from %s", target.table, source.incr_field, point)
     if mode == "merge":
         options |= {"pk": target.keys, "dedupe": target.dedupe_source}
-    options["zone"] = target.timezone
     rows = _extract(spark, connections, source, mode, point, hook)
     if mode in INCREMENTAL_MODES and target.commit_batch_size > 0:
-        return _load_chunks(store, rows, source, target, options)
-    return [store.load(rows, mode, **options)]
+        return _load_chunks(sink, rows, source, target, options)
+    return [sink.load(rows, mode, **options)]
 
 
-def _load_chunks(store: TableStore, rows: DataFrame, source: Source, target: Target, options: dict) -> list[Applied]:
+def _load_chunks(sink: Sink, rows: DataFrame, source: Source, target: Target, options: dict[str, Any]) -> list[Applied]:
     """One commit per chunk. A table is read once per chunk, by range; a query runs once and its rows are kept.
 
     The kept rows are laid out by the incremental field, so a chunk reads few files; a hash behind it keeps a
     value that many rows share from filling one task.
     """
-    incr = options.pop("incr")
+    incr = options["incr"]
     if source.sql.strip():
-        before = store.snapshot()
-        aligned = align(rows, before.schema, before.defaults, options.pop("zone"))
-        laid_out = aligned.repartitionByRange(quoted(target_name(before.schema, incr)), F.xxhash64(*spread_columns(aligned)))
-        staged = store.stage(laid_out)
-        rows, count = store.read_part(staged.part, before.schema), staged.part.rows
+        schema, defaults = sink.shape()
+        incr = target_name(schema, incr)
+        aligned = align(rows, schema, defaults, options.pop("zone"))
+        laid_out = aligned.repartitionByRange(quoted(incr), F.xxhash64(*spread_columns(aligned)))
+        kept = sink.staging.stage(laid_out).part
+        rows, count = sink.staging.read_part(kept, schema), kept.rows
     else:
         count = rows.count()
     bounds = chunk_bounds(rows, incr, count, source.batch_size * target.commit_batch_size)
-    return store.load_chunks(rows, target.mode, bounds, incr=incr, **options)
+    return load_chunks(sink, rows, target.mode, bounds, **options)
+
+
+def load_chunks(
+    sink: Sink,
+    rows: DataFrame,
+    mode: str,
+    bounds: Sequence[str],
+    *,
+    incr: str,
+    after_chunk: Callable[[Applied], None] | None = None,
+    **options: Any,
+) -> list[Applied]:
+    """One commit per value range of ``incr``, ascending. Committed chunks stay when a later one fails."""
+    done = []
+    for chunk in chunks(rows, target_name(rows.schema, incr), bounds):
+        done.append(sink.load(chunk, mode, incr=incr, **options))
+        if after_chunk:
+            after_chunk(done[-1])
+    return done
 
 
 def run_task(
     spark: SparkSession,
     task: Task,
     connections: Sequence[Connection],
-    store: TableStore,
+    sink: Sink,
     hook: Hook | None = None,
 ) -> list[RunRecord]:
     """Run every source of a task into its target.
@@ -155,12 +181,12 @@ def run_task(
         def replace_all() -> list[Applied]:
             parts = [_extract(spark, connections, s, "full", None, hook) for s in task.sources]
             union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-            return [store.load(union, "full", zone=task.target.timezone)]
+            return [sink.load(union, "full", zone=task.target.timezone)]
 
         attempt("+".join(names), replace_all)
         return records
     for name, source in zip(names, task.sources):
-        attempt(name, lambda source=source: load_source(spark, task, source, connections, store, hook))
+        attempt(name, lambda source=source: load_source(spark, task, source, connections, sink, hook))
     return records
 
 
@@ -168,9 +194,9 @@ def run_tasks(
     spark: SparkSession,
     tasks: Iterable[Task],
     connections: Sequence[Connection],
-    store_of: Callable[[Target], TableStore],
+    sink_of: Callable[[Target], Sink],
 ) -> list[RunRecord]:
-    return [record for task in tasks for record in run_task(spark, task, connections, store_of(task.target))]
+    return [record for task in tasks for record in run_task(spark, task, connections, sink_of(task.target))]
 
 
 def run_log(spark: SparkSession, records: Sequence[RunRecord]) -> DataFrame:

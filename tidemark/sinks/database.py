@@ -10,11 +10,14 @@ from collections.abc import Callable, Sequence
 from typing import Any, Protocol
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
+from tidemark.operators.align import align
 from tidemark.operators.hwm import KEY
-from tidemark.sinks.store import Applied, TableStore
+from tidemark.operators.modes import latest_per_key
+from tidemark.sinks.store import Applied, TableStore, target_name
 from tidemark.sources.connections import Connection
-from tidemark.spec import INCREMENTAL_MODES, MODES, SpecError, Target
+from tidemark.spec import INCREMENTAL_MODES, MODES, SpecError
 
 
 class DbConnection(Protocol):
@@ -36,7 +39,8 @@ def create_staging_sql(staging: str, target: str) -> str:
 
 def write_options(connection: Connection, staging: str, batch_size: int = 10_000) -> dict[str, str]:
     options = {k: v for k, v in connection.options.items() if k not in ("partitionColumn", "numPartitions")}
-    return options | {"dbtable": staging, "batchsize": str(batch_size), "truncate": "true"}
+    # Text reaches uuid, json and similar columns untyped, for the database to read.
+    return {"stringtype": "unspecified"} | options | {"dbtable": staging, "batchsize": str(batch_size), "truncate": "true"}
 
 
 def fill_staging(df: DataFrame, connection: Connection, staging: str, batch_size: int = 10_000) -> None:
@@ -106,59 +110,94 @@ def _store_mark(cursor: Any, table: str, mark: dict[str, str], marker: str) -> N
     cursor.execute(f"INSERT INTO {table} ({', '.join(mark)}) VALUES ({places})", list(mark.values()))
 
 
-def stored_point(db: DbConnection, key: dict[str, str], mark_table: str = "high_water_marks", marker: str = "%s") -> str | None:
-    cursor = db.cursor()
-    where = " AND ".join(f"{k} = {marker}" for k in KEY)
-    cursor.execute(f"SELECT incr_point FROM {mark_table} WHERE {where}", [key[k] for k in KEY])
-    row = cursor.fetchone()
-    return (row[0] or None) if row else None
-
-
-def load_database(
-    rows: DataFrame,
-    connection: Connection,
-    db: DbConnection,
-    work: TableStore,
-    target: Target,
-    *,
-    incr: str = "",
-    key: dict[str, str] | None = None,
-    facts: dict[str, str] | None = None,
-    fill: Callable[[DataFrame, Connection, str], None] = fill_staging,
-    marker: str = "%s",
-) -> Applied:
-    """Load an extract into a database table.
-
-    The rows are first written to ``work``, so they and their count stay the same however often tasks are retried.
-    The staging table has the target's columns, types and defaults, and is dropped after the commit.
-    """
-    check_sink(connection)
-    target.validate()
-    incr = incr if target.mode in INCREMENTAL_MODES else ""
-    old = stored_point(db, key, marker=marker) if incr and key else None
-    staged = work.stage(rows, incr, old_point=old)
-    if not staged.part.rows:
-        return Applied(0)
-    staging = f"{target.table}_staging_{staged.part.directory[:12]}"
-    _run(db, create_staging_sql(staging, target.table))
-    try:
-        fill(work.read_part(staged.part, rows.schema), connection, staging)
-        mark = key | (facts or {}) | {"incr_point": staged.point} if key and staged.point else None
-        return apply_staging(
-            db,
-            target.table,
-            staging,
-            rows.columns,
-            target.mode,
-            expected_rows=staged.part.rows,
-            pk=target.keys,
-            mark=mark,
-            marker=marker,
-        )
-    finally:
-        _run(db, f"DROP TABLE {staging}")
-
-
-def _run(db: DbConnection, statement: str) -> None:
-    db.cursor().execute(statement)
-    db.commit()
+class DatabaseTable:
+    """One database table as a target of loads. ``work`` is a table store whose folder holds staged rows."""
+
+    def __init__(
+        self,
+        connection: Connection,
+        db: DbConnection,
+        table: str,
+        work: TableStore,
+        *,
+        schema: T.StructType | None = None,
+        mark_table: str = "high_water_marks",
+        marker: str = "%s",
+        fill: Callable[[DataFrame, Connection, str], None] = fill_staging,
+    ) -> None:
+        check_sink(connection)
+        self.connection, self.db, self.table, self.staging = connection, db, table, work
+        self.mark_table, self.marker, self._fill, self._schema = mark_table, marker, fill, schema
+
+    def shape(self) -> tuple[T.StructType, dict[str, Any]]:
+        """Columns as the database reports them; defaults are the database's own."""
+        if self._schema is None:
+            options = self.connection.options | {"dbtable": f"(SELECT * FROM {self.table} WHERE 1=0) t"}
+            self._schema = self.staging.spark.read.format("jdbc").options(**options).load().schema
+        return self._schema, {}
+
+    def stored_point(self, key: dict[str, str]) -> str | None:
+        where = " AND ".join(f"{k} = {self.marker}" for k in KEY)
+        return self._one(f"SELECT incr_point FROM {self.mark_table} WHERE {where}", [key[k] for k in KEY])
+
+    def reached(self, column: str) -> str | None:
+        return self._one(f"SELECT CAST(MAX({column}) AS VARCHAR(100)) FROM {self.table}")
+
+    def _one(self, sql: str, values: Sequence[str] = ()) -> str | None:
+        cursor = self.db.cursor()
+        cursor.execute(sql, values)
+        row = cursor.fetchone()
+        self.db.rollback()
+        return (row[0] or None) if row else None
+
+    def load(
+        self,
+        source: DataFrame,
+        mode: str,
+        *,
+        pk: Sequence[str] = (),
+        incr: str = "",
+        key: dict[str, str] | None = None,
+        facts: dict[str, str] | None = None,
+        dedupe: bool = False,
+        zone: str = "",
+    ) -> Applied:
+        """Apply one extract in one transaction.
+
+        The rows are first written to ``work``, so they and their count stay the same however often tasks are
+        retried. Target columns that the source lacks get the database's default.
+        """
+        schema, _ = self.shape()
+        given = {c.lower() for c in source.columns}
+        wanted = T.StructType([f for f in schema.fields if f.name.lower() in given])
+        rows = align(source, wanted if len(wanted) == len(given) else schema, zone=zone)
+        incr = target_name(rows.schema, incr) if incr and mode in INCREMENTAL_MODES else ""
+        if dedupe and pk and incr:
+            rows = latest_per_key(rows, [target_name(rows.schema, k) for k in pk], incr)
+        old = self.stored_point(key) if incr and key else None
+        staged = self.staging.stage(rows, incr, old_point=old, gather=mode in INCREMENTAL_MODES)
+        if not staged.part.rows:
+            return Applied(0)
+        name = f"{self.table}_staging_{staged.part.directory[:12]}"
+        self._run(create_staging_sql(name, self.table))
+        try:
+            self._fill(self.staging.read_part(staged.part, rows.schema), self.connection, name)
+            mark = key | (facts or {}) | {"incr_point": staged.point} if key and staged.point else None
+            return apply_staging(
+                self.db,
+                self.table,
+                name,
+                rows.columns,
+                mode,
+                expected_rows=staged.part.rows,
+                pk=pk,
+                mark=mark,
+                mark_table=self.mark_table,
+                marker=self.marker,
+            )
+        finally:
+            self._run(f"DROP TABLE {name}")
+
+    def _run(self, statement: str) -> None:
+        self.db.cursor().execute(statement)
+        self.db.commit()

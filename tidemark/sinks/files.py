@@ -9,6 +9,7 @@ import os
 import uuid
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
 
 
 class CommitConflict(RuntimeError):
@@ -54,7 +55,26 @@ class Folder:
         self._fs.delete_dir(f"{self._path}/{name}")
 
 
-def scratch_root(spark, fallback: str | None = None) -> str:
+_default_fs: dict[str, str] = {}
+
+
+def qualify(spark: SparkSession, path: str) -> str:
+    """The path with its file system, so that Spark and the driver mean the same place.
+
+    Spark is asked once per application where a path without a scheme lies.
+    """
+    if "://" in path:
+        return path
+    application = spark.sparkContext.applicationId
+    if application not in _default_fs:
+        anchor = f"{path}/anchor-{uuid.uuid4().hex}"
+        spark.range(0).write.parquet(anchor)
+        uri = spark.read.schema("id long").parquet(anchor).inputFiles()[0]
+        _default_fs[application] = uri[: uri.index(anchor)]
+    return _default_fs[application] + path
+
+
+def scratch_root(spark: SparkSession, fallback: str | None = None) -> str:
     """A new folder name under the shared folder the cluster names, or under ``fallback`` where it names none."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or fallback
     if not shared:

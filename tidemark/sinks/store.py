@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from typing import Any
 
@@ -20,10 +20,9 @@ from pyspark.sql import types as T
 from tidemark.functions.clean import quoted
 from tidemark.operators import hwm
 from tidemark.operators.align import align
-from tidemark.operators.chunks import chunks
 from tidemark.operators.matching import BROADCAST_BYTES, all_present, distinct_keys, hot_keys, key_bytes, match
 from tidemark.operators.modes import latest_per_key
-from tidemark.sinks.files import Folder
+from tidemark.sinks.files import Folder, qualify
 from tidemark.spec import INCREMENTAL_MODES, MODES, SpecError
 
 _ORDERED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)
@@ -98,11 +97,16 @@ class TableStore:
     ) -> None:
         """Beyond ``small_parts`` directories of fewer than ``small_rows`` rows, a load also compacts them."""
         self.spark = spark
-        self.root = root.rstrip("/")
+        self.root = qualify(spark, root.rstrip("/"))
         self.broadcast_bytes = broadcast_bytes
         self.small_rows, self.small_parts = small_rows, small_parts
         self._commits = Folder(f"{self.root}/commits")
 
+    @property
+    def staging(self) -> TableStore:
+        """Where rows can be kept before they are loaded."""
+        return self
+
     # State
 
     def exists(self) -> bool:
@@ -181,6 +185,18 @@ class TableStore:
             return before.marks
         return before.marks | {mark_name(key): key | facts | {"incr_point": point}}
 
+    def reached(self, column: str) -> str | None:
+        """Largest value of a target column as text; None while the table is empty."""
+        snapshot = self.snapshot()
+        if not snapshot.parts:
+            return None
+        return hwm.compute(self.read(snapshot), target_name(snapshot.schema, column)).first().incr_point or None
+
+    def shape(self) -> tuple[T.StructType, dict[str, Any]]:
+        """Columns and defaults."""
+        snapshot = self.snapshot()
+        return snapshot.schema, snapshot.defaults
+
     def stored_point(self, key: dict[str, str], snapshot: Snapshot | None = None) -> str | None:
         return (snapshot or self.snapshot()).marks.get(mark_name(key), {}).get("incr_point")
 
@@ -273,25 +289,6 @@ class TableStore:
     def _names(self, part: Part, schema: T.StructType) -> tuple[str, ...]:
         return tuple(sorted(f.rsplit("/", 1)[1] for f in self._read_parts([part], schema).inputFiles()))
 
-    def load_chunks(
-        self,
-        source: DataFrame,
-        mode: str,
-        bounds: Sequence[str],
-        *,
-        incr: str,
-        pk: Sequence[str] = (),
-        after_chunk: Callable[[Applied], None] | None = None,
-        **options: Any,
-    ) -> list[Applied]:
-        """One commit per value range of ``incr``, ascending. Committed chunks stay when a later one fails."""
-        done = []
-        for chunk in chunks(source, incr, bounds):
-            done.append(self.load(chunk, mode, pk=pk, incr=incr, **options))
-            if after_chunk:
-                after_chunk(done[-1])
-        return done
-
     def compact(self, rows_below: int) -> Snapshot:
         """Rewrite directories with few rows into one; larger ones stay as they are."""
         before = self.snapshot()

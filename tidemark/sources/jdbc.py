@@ -22,7 +22,7 @@ DEFAULT_PARTS = "32"
 def read_options(connection: Connection, source: Source, sql: str, bounds: dict[str, str] | None = None) -> dict[str, str]:
     """Reader options for one extraction statement."""
     settings = {k: v for k, v in connection.options.items() if k not in ("partitionColumn", "numPartitions")}
-    return settings | {"dbtable": f"({sql}) t", "fetchsize": str(source.batch_size)} | (bounds or {})
+    return {"preferTimestampNTZ": "true"} | settings | {"dbtable": f"({sql}) t", "fetchsize": str(source.batch_size)} | (bounds or {})
 
 
 def split_bounds(spark: SparkSession, connection: Connection, source: Source, sql: str) -> dict[str, str] | None:
