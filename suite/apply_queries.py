@@ -151,7 +151,8 @@ CHUNKED_MERGE = f"SELECT {LINE_COLUMNS} FROM ({merged_sql(OLD_LINES, LAST_CHUNKS
 @query("mode_chunked_merge", CHUNKED_MERGE)
 def mode_chunked_merge(spark, sf_dir):
     target, source = rows_of(spark, sf_dir, OLD_LINES), rows_of(spark, sf_dir, NEW_LINES)
-    return modes.chunked_merge(target, source, LINE_KEY, "l_shipdate", YEAR_ENDS, hot=hot_keys(source, LINE_KEY))
+    how = plan_match(target, source, LINE_KEY) | {"hot": hot_keys(source, LINE_KEY)}
+    return modes.chunked_merge(target, source, LINE_KEY, "l_shipdate", YEAR_ENDS, **how)
 
 
 ALIGN_SOURCE = "SELECT c_nationkey, c_name AS C_NAME, CAST(c_acctbal AS VARCHAR(30)) AS C_AcctBal, c_custkey FROM customer"

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from suite.registry import query, rows_of, tables
 from tidemark.functions.clean import clean
+from tidemark.functions.text import encode
 from tidemark.plans.load import union_sources
 from tidemark.sources.connections import Connection
-from tidemark.sources.extract import extract
+from tidemark.sources.extract import extract, schema_probe
 from tidemark.spec import Mapping, Source
 
 
@@ -29,9 +30,9 @@ def query_source_join_agg(spark, sf_dir):
 
 
 TOP_ORDERS = """
-SELECT o_custkey, o_orderkey, o_totalprice, rn FROM (
+SELECT o_custkey, o_orderkey, o_totalprice, CAST(rn AS BIGINT) AS place FROM (
   SELECT o_custkey, o_orderkey, o_totalprice,
-         CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS rn
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn
   FROM orders) ranked
 WHERE rn <= 3
 """
@@ -182,6 +183,20 @@ def ordered_extract(spark, sf_dir):
     return extract(spark, tables(sf_dir), source, "append", "2024-01-05 00:00:00", ordered=True)
 
 
+@query(
+    "schema_probe",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') AS ordered,
+              '\\x' || md5(o_orderpriority) AS bytes FROM orders""",
+)
+def probed_text(spark, sf_dir):
+    """The probe gives the types without reading rows; they choose the text form of every column of the whole table."""
+    names = {"o_orderkey": "id", "o_orderstatus": "status", "o_orderdate": "ordered", "unhex(md5(o_orderpriority))": "bytes"}
+    source = Source(table="orders", mapping=Mapping.of(names))
+    types = schema_probe(spark, tables(sf_dir), source)
+    rows = extract(spark, tables(sf_dir), source)
+    return rows.select(*[encode(rows[f.name], f.dataType).alias(f.name) for f in types.fields])
+
+
 @query("transform_hook", "SELECT doc_id, upper(lang) AS lang, source, n_chars * 2 AS twice FROM documents")
 def transform_hook(spark, sf_dir):
     def hook(df):

@@ -110,9 +110,10 @@ def test_plan_match_measures_the_keys(spark):
     assert plan_match(t, t.where("k < 0"), ["k"]) == {"small": True}
 
 
-def test_hot_and_null_keys_spread_over_tasks(spark):
-    df = spark.range(2_000).select(F.when(F.col("id") % 2 == 0, 7).alias("k"), "id")
-    keys = distinct_keys(spark.createDataFrame([(8,), (9,)], "k int"), ["k"])
+@pytest.mark.parametrize("hot_key", ["7", "NULL"])
+def test_hot_and_null_keys_spread_over_tasks(spark, hot_key):
+    df = spark.range(2_000).selectExpr(f"IF(id % 2 = 0, {hot_key}, id) AS k", "id")
+    keys = distinct_keys(spark.range(8, 3000, 2).selectExpr("id AS k"), ["k"])
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

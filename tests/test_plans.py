@@ -45,6 +45,17 @@ def test_key_side_reads_key_columns_only(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_shipdate:timestamp_ntz>" in text
 
 
+def test_target_is_counted_per_key_before_the_join(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(modes.merge_counts(rows_of(spark, SMALL, OLD_LINES), rows_of(spark, SMALL, NEW_LINES), LINE_KEY))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = text.index("SortMergeJoin Inner")
+    target_side = text[join : text.index("Scan parquet", join)]
+    assert target_side.count("HashAggregate") == 2 and "LeftSemi" not in text
+
+
 def test_cleaning_keeps_filters_and_columns_at_the_scan(spark):
     df = clean(spark.read.parquet(f"{SMALL}/orders.parquet")).where("o_totalprice > 1000").select("o_orderkey", "o_orderstatus")
     text = plan(df)

@@ -78,27 +78,32 @@ def match(
     keys: Sequence[str],
     how: str,
     *,
-    hot: Sequence[int] | None = (),
+    hot: Sequence[int] = (),
     small: bool = False,
     spread_by: Sequence[Column] | None = None,
     also: str = "",
 ) -> DataFrame:
     """``left_semi`` or ``left_anti`` of ``df`` against distinct keys. ``also`` adds a condition over aliases l and r.
 
-    Both sides hold the key in the same types. ``hot=None`` says that ``df`` has no hot key and no NULL key, so
-    nothing is salted. The salt is a hash of the row's own values, so a recomputed task sends each row to the same place.
+    Both sides hold the key in the same types. The salt is a hash of the row's own values, so a recomputed task sends each row to the same place.
     """
     columns = df.columns
     on = list(keys)
     if small:
         keys_df = F.broadcast(keys_df)
-    elif hot is not None:
+    else:
         spread = F.pmod(F.xxhash64(*(spread_by or spread_columns(df))), F.lit(SALTS)).cast("int")
         is_hot = key_hash(df, keys).isin(list(hot)) if hot else F.lit(False)
-        hot_key = key_hash(keys_df, keys).isin(list(hot)) if hot else F.lit(False)
         df = df.withColumn(SALT, F.when(~all_present(keys) | is_hot, spread).otherwise(F.lit(0)))
-        salts = F.when(hot_key, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-        keys_df = keys_df.withColumn(SALT, F.explode(salts)) if hot else keys_df.withColumn(SALT, F.lit(0))
+        # Always zero, but not a constant: the optimizer would take a constant out of the join key, and with it
+        # the spreading of NULL keys.
+        zero = F.pmod(key_hash(keys_df, keys), F.lit(1)).cast("int")
+        if hot:
+            hot_key = key_hash(keys_df, keys).isin(list(hot))
+            salts = F.when(hot_key, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(zero))
+            keys_df = keys_df.withColumn(SALT, F.explode(salts))
+        else:
+            keys_df = keys_df.withColumn(SALT, zero)
         on.append(SALT)
     left, right = df.alias("l"), keys_df.alias("r")
     same = [F.col(f"l.{quoted(k)}") == F.col(f"r.{quoted(k)}") for k in on]

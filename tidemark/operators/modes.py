@@ -46,7 +46,9 @@ def merge_counts(target: DataFrame, source: DataFrame, pk: Sequence[str], *, sma
     The target is counted per key before it meets the source, so a hot key is one row per task in the shuffle.
     """
     per_key = target.where(all_present(pk)).groupBy(*map(quoted, pk)).agg(F.count(F.lit(1)).alias("deleted"))
-    deleted = match(per_key, distinct_keys(source, pk), pk, "left_semi", hot=None, small=small)
+    keys = distinct_keys(source, pk)
+    # An inner join: the optimizer would move a semi join in front of the counting.
+    deleted = per_key.join(F.broadcast(keys) if small else keys, list(pk))
     return (
         deleted.select("deleted", F.lit(0).cast("long").alias("inserted"))
         .unionByName(source.select(F.lit(0).cast("long").alias("deleted"), F.lit(1).cast("long").alias("inserted")))
@@ -74,10 +76,21 @@ def last_chunk_rows(
 
 
 def chunked_merge(
-    target: DataFrame, source: DataFrame, pk: Sequence[str], incr: str, bounds: Sequence[str], *, hot: Sequence[int] = ()
+    target: DataFrame,
+    source: DataFrame,
+    pk: Sequence[str],
+    incr: str,
+    bounds: Sequence[str],
+    *,
+    hot: Sequence[int] = (),
+    small: bool = False,
 ) -> DataFrame:
-    """Closed form of merging value-range chunks in ascending order."""
-    return merge(target, last_chunk_rows(source, pk, incr, bounds, hot=hot), pk, hot=hot)
+    """Closed form of merging value-range chunks in ascending order.
+
+    Every key of the source has rows in its last chunk, so the target is matched with the source's own keys.
+    """
+    kept = match(target, distinct_keys(source, pk), pk, "left_anti", hot=hot, small=small)
+    return kept.unionByName(last_chunk_rows(source, pk, incr, bounds, hot=hot))
 
 
 def latest_per_key(source: DataFrame, pk: Sequence[str], incr: str) -> DataFrame:

@@ -179,9 +179,11 @@ def run_task(
     names = [s.table.strip() or "query" for s in task.sources]
     if task.target.mode == "full":
         def replace_all() -> list[Applied]:
-            parts = [_extract(spark, connections, s, "full", None, hook) for s in task.sources]
-            union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-            return [sink.load(union, "full", zone=task.target.timezone)]
+            extracts = [_extract(spark, connections, s, "full", None, hook) for s in task.sources]
+            if len(extracts) > 1:
+                schema, defaults = sink.shape()
+                extracts = [align(e, schema, defaults, task.target.timezone) for e in extracts]
+            return [sink.load(union_sources(extracts), "full", zone=task.target.timezone)]
 
         attempt("+".join(names), replace_all)
         return records
