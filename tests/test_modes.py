@@ -10,7 +10,7 @@ from conftest import rows
 from tidemark.operators import modes
 from tidemark.operators.align import align
 from tidemark.operators.chunks import chunk_bounds, chunk_index, chunks
-from tidemark.operators.matching import distinct_keys, hot_keys, key_hash, match, plan_match
+from tidemark.operators.matching import hot_keys, key_hash, match, plan_match, usable_keys
 from tidemark.spec import SpecError
 
 SCHEMA = "k long, j string, v double, at long"
@@ -113,7 +113,7 @@ def test_plan_match_measures_the_keys(spark):
 @pytest.mark.parametrize("hot_key", ["7", "NULL"])
 def test_hot_and_null_keys_spread_over_tasks(spark, hot_key):
     df = spark.range(2_000).selectExpr(f"IF(id % 2 = 0, {hot_key}, id) AS k", "id")
-    keys = distinct_keys(spark.range(8, 3000, 2).selectExpr("id AS k"), ["k"])
+    keys = usable_keys(spark.range(8, 3000, 2).selectExpr("id AS k"), ["k"])
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

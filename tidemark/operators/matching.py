@@ -29,9 +29,10 @@ def all_present(keys: Sequence[str]) -> Column:
     return reduce(and_, [F.col(quoted(k)).isNotNull() for k in keys])
 
 
-def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The keys that can match anything, once each."""
-    return df.select(*map(quoted, keys)).where(all_present(keys)).distinct()
+def usable_keys(df: DataFrame, keys: Sequence[str], small: bool = False) -> DataFrame:
+    """The keys that can match anything, once each. ``small`` keys are broadcast, which needs no shuffle before it."""
+    present = df.select(*map(quoted, keys)).where(all_present(keys))
+    return present if small else present.distinct()
 
 
 def key_bytes(df: DataFrame, keys: Sequence[str]) -> Column:
@@ -83,7 +84,7 @@ def match(
     spread_by: Sequence[Column] | None = None,
     also: str = "",
 ) -> DataFrame:
-    """``left_semi`` or ``left_anti`` of ``df`` against distinct keys. ``also`` adds a condition over aliases l and r.
+    """``left_semi`` or ``left_anti`` of ``df`` against usable keys. ``also`` adds a condition over aliases l and r.
 
     Both sides hold the key in the same types. The salt is a hash of the row's own values, so a recomputed task sends each row to the same place.
     """

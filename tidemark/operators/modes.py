@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clean import quoted
 from tidemark.operators.chunks import chunk_index
-from tidemark.operators.matching import all_present, distinct_keys, match, spread_columns
+from tidemark.operators.matching import all_present, match, spread_columns, usable_keys
 
 
 def initial(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def merge(
 
     Copies of a key inside the source all stay, and a key with a NULL part matches nothing.
     """
-    kept = match(target, distinct_keys(source, pk), pk, "left_anti", hot=hot, small=small)
+    kept = match(target, usable_keys(source, pk, small), pk, "left_anti", hot=hot, small=small)
     return kept.unionByName(source)
 
 
@@ -46,7 +46,7 @@ def merge_counts(target: DataFrame, source: DataFrame, pk: Sequence[str], *, sma
     The target is counted per key before it meets the source, so a hot key is one row per task in the shuffle.
     """
     per_key = target.where(all_present(pk)).groupBy(*map(quoted, pk)).agg(F.count(F.lit(1)).alias("deleted"))
-    keys = distinct_keys(source, pk)
+    keys = usable_keys(source, pk)
     # An inner join: the optimizer would move a semi join in front of the counting.
     deleted = per_key.join(F.broadcast(keys) if small else keys, list(pk))
     return (
@@ -89,7 +89,7 @@ def chunked_merge(
 
     Every key of the source has rows in its last chunk, so the target is matched with the source's own keys.
     """
-    kept = match(target, distinct_keys(source, pk), pk, "left_anti", hot=hot, small=small)
+    kept = match(target, usable_keys(source, pk, small), pk, "left_anti", hot=hot, small=small)
     return kept.unionByName(last_chunk_rows(source, pk, incr, bounds, hot=hot))
 
 

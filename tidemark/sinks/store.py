@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from tidemark.functions.clean import quoted
 from tidemark.operators import hwm
 from tidemark.operators.align import align
-from tidemark.operators.matching import BROADCAST_BYTES, all_present, distinct_keys, hot_keys, key_bytes, match
+from tidemark.operators.matching import BROADCAST_BYTES, all_present, hot_keys, key_bytes, match, usable_keys
 from tidemark.operators.modes import latest_per_key
 from tidemark.sinks.files import Folder, qualify
 from tidemark.spec import INCREMENTAL_MODES, MODES, SpecError
@@ -257,13 +257,14 @@ class TableStore:
         """
         if not before.parts:
             return 0, ()
-        keys = distinct_keys(self.read_part(staged.part, before.schema), pk)
+        small = staged.key_size <= self.broadcast_bytes
+        keys = usable_keys(self.read_part(staged.part, before.schema), pk, small)
         in_reach = all_present(pk)
         if staged.low is not None:
             dtype, c = before.schema[pk[0]].dataType, F.col(quoted(pk[0]))
             in_reach &= (c >= hwm.typed_point(staged.low, dtype)) & (c <= hwm.typed_point(staged.high, dtype))
         near = self.read(before).where(in_reach)
-        how = {"small": True} if staged.key_size <= self.broadcast_bytes else {"hot": hot_keys(near, pk)}
+        how = {"small": True} if small else {"hot": hot_keys(near, pk)}
 
         hits = match(_placed(near.select(*map(quoted, pk), "_metadata"), how), keys, pk, "left_semi", **how)
         per_file = hits.groupBy("__file").agg(F.count("*").alias("n"))
@@ -271,9 +272,10 @@ class TableStore:
         if not hit_files:
             return 0, before.parts
 
+        hit_directories = {directory for directory, _ in hit_files}
         touched, kept = [], []
         for part in before.parts:
-            if not any(directory == part.directory for directory, _ in hit_files):
+            if part.directory not in hit_directories:
                 kept.append(part)
                 continue
             names = part.files or self._names(part, before.schema)
