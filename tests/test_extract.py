@@ -5,7 +5,7 @@ from conftest import SMALL, rows
 from suite.registry import tables
 from tidemark.sources.connections import Connection
 from tidemark.sources.extract import extract, fill_field, fill_point, order_sql, projection_sql, remote_sql, schema_probe, where_sql
-from tidemark.sources.jdbc import guid_columns, read_options
+from tidemark.sources.jdbc import guid_columns, read, read_options
 from tidemark.sources.naming import field_sql
 from tidemark.spec import Mapping, Source, SpecError
 
@@ -139,6 +139,49 @@ def test_jdbc_reader_options():
     assert options == {"url": "jdbc:postgresql://db/x", "dbtable": "(SELECT 1) t", "fetchsize": "500", "preferTimestampNTZ": "true"} | bounds
 
 
+class FakeReader:
+    """Stands in for ``spark.read`` where there is no database: records options, answers with a frame."""
+
+    def __init__(self, answer):
+        self.answer, self.asked = answer, []
+
+    @property
+    def read(self):
+        return self
+
+    def format(self, name):
+        assert name == "jdbc"
+        return self
+
+    def options(self, **options):
+        self.asked.append(options)
+        return self
+
+    def load(self):
+        return self.answer
+
+
+def test_jdbc_read_is_split(spark):
+    mssql = Connection("m", "mssql", options={"url": "u", "partitionColumn": "[Order Id]"})
+    reader = FakeReader(spark.sql("SELECT 1L AS lo, 90L AS hi"))
+    read(reader, mssql, Source(table="a"), "SELECT 1")
+    assert reader.asked[0]["dbtable"] == "(SELECT MIN([Order Id]) AS lo, MAX([Order Id]) AS hi FROM (SELECT 1) b) t"
+    split = {k: reader.asked[1][k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")}
+    assert split == {"partitionColumn": "Order Id", "lowerBound": "1", "upperBound": "90", "numPartitions": "32"}
+
+
+def test_jdbc_read_splits_by_the_incremental_field(spark):
+    pg = Connection("p", "pg", options={"url": "u", "numPartitions": "8"})
+    source = Source(table="a", incr_field="updated at", mapping=Mapping.of({"updated at": "seen"}))
+    reader = FakeReader(spark.sql("SELECT timestamp_ntz'2024-01-01' AS lo, timestamp_ntz'2024-02-01' AS hi"))
+    read(reader, pg, source, "SELECT 1")
+    assert reader.asked[1]["partitionColumn"] == "seen" and reader.asked[1]["lowerBound"] == "2024-01-01 00:00:00"
+    for answer in ("SELECT 'a' AS lo, 'b' AS hi", "SELECT CAST(NULL AS long) AS lo, CAST(NULL AS long) AS hi"):
+        reader = FakeReader(spark.sql(answer))
+        read(reader, pg, source, "SELECT 1")
+        assert "partitionColumn" not in reader.asked[1]
+
+
 def test_guid_columns(spark):
     known = bytes.fromhex("33221100554477668899aabbccddeeff")
     df = spark.createDataFrame([(known, "ab"), (None, None), (known[:15], "c")], "g binary, t string")

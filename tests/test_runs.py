@@ -124,6 +124,15 @@ def test_hook_runs_between_clean_and_align(spark, store):
     assert rows(table.read()) == [(1, "a!")]
 
 
+def test_guids_and_transforms_of_a_source(spark, store):
+    table = store("g string, v string")
+    known = bytes.fromhex("33221100554477668899aabbccddeeff")
+    spark.createDataFrame([(known, "\x00a")], "g binary, v string").createOrReplaceTempView("src")
+    what = Source(table="src", connection="session", guids=("g",), transforms=(("v", "upper"), ("v", "suffix", "!")))
+    run_task(spark, task("initial", what), SESSION, table)
+    assert rows(table.read()) == [("00112233-4455-6677-8899-AABBCCDDEEFF", "A!")]
+
+
 # Marks as a control table
 
 

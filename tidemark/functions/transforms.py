@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ def transform_column(c: Column, name: str, arg1: str = "", arg2: str = "") -> Co
     raise SpecError(f"unknown field transform: {name!r}")
 
 
-def field_transforms(df: DataFrame, rules: list[tuple[str, ...]]) -> DataFrame:
+def field_transforms(df: DataFrame, rules: Sequence[tuple[str, ...]]) -> DataFrame:
     """Apply the rules in order, each to its own column."""
     for column, name, *args in rules:
         df = df.withColumn(column, transform_column(F.col(quoted(column)).cast("string"), name, *args))

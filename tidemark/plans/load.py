@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.clean import clean, quoted
+from tidemark.functions.transforms import field_transforms
 from tidemark.operators import hwm
 from tidemark.operators.align import align
 from tidemark.operators.chunks import chunk_bounds, chunks
@@ -21,6 +22,7 @@ from tidemark.operators.matching import spread_columns
 from tidemark.sinks.store import Applied, TableStore, target_name
 from tidemark.sources.connections import Connection, find_connection
 from tidemark.sources.extract import extract, incr_type
+from tidemark.sources.jdbc import guid_columns
 from tidemark.spec import INCREMENTAL_MODES, Source, Target, Task
 
 log = logging.getLogger(__name__)
@@ -67,8 +69,18 @@ def start_point(spark: SparkSession, sink: Sink, source: Source, key: dict[str,
     return given or stored or sink.reached(source.target_incr_field)
 
 
-def _extract(spark, connections, source, mode, point, hook: Hook | None) -> DataFrame:
-    rows = clean(extract(spark, find_connection(connections, source.connection), source, mode, point))
+def _extract(
+    spark: SparkSession,
+    connections: Sequence[Connection],
+    source: Source,
+    mode: str,
+    point: str | None,
+    hook: Hook | None,
+) -> DataFrame:
+    """The extract with its values cleaned and the task's own transforms applied."""
+    rows = extract(spark, find_connection(connections, source.connection), source, mode, point)
+    rows = clean(guid_columns(rows, source.guids))
+    rows = field_transforms(rows, source.transforms)
     return rows.transform(hook) if hook else rows
 
 

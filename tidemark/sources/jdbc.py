@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,13 +34,14 @@ def split_bounds(spark: SparkSession, connection: Connection, source: Source, sq
     """
     column = connection.options.get("partitionColumn") or source.target_incr_field
     if column:
+        column = column.strip().strip('[]"')
         name = alias_sql(column, connection.kind)
         probe = f"SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM ({sql}) b"
         ends = spark.read.format("jdbc").options(**read_options(connection, source, probe)).load()
         if isinstance(ends.schema["lo"].dataType, SPLITTABLE):
             low, high = ends.selectExpr("CAST(lo AS STRING)", "CAST(hi AS STRING)").first()
             parts = connection.options.get("numPartitions", DEFAULT_PARTS)
-            return low and {"partitionColumn": name, "lowerBound": low, "upperBound": high, "numPartitions": parts}
+            return low and {"partitionColumn": column, "lowerBound": low, "upperBound": high, "numPartitions": parts}
     log.warning("%s: no numeric, date or timestamp column to split by; reading through one task", connection.name)
     return None
 
@@ -50,7 +52,7 @@ def read(spark: SparkSession, connection: Connection, source: Source, sql: str,
     return spark.read.format("jdbc").options(**read_options(connection, source, sql, bounds)).load()
 
 
-def guid_columns(df: DataFrame, names: list[str]) -> DataFrame:
+def guid_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Turn binary GUID columns into UUID text, and text ones into upper case."""
     forms = {
         name: guid_text(F.col(quoted(name))) if isinstance(df.schema[name].dataType, T.BinaryType) else F.upper(F.col(quoted(name)))
