@@ -81,7 +81,6 @@ def match(
     *,
     hot: Sequence[int] = (),
     small: bool = False,
-    spread_by: Sequence[Column] | None = None,
     also: str = "",
 ) -> DataFrame:
     """``left_semi`` or ``left_anti`` of ``df`` against usable keys. ``also`` adds a condition over aliases l and r.
@@ -93,12 +92,12 @@ def match(
     if small:
         keys_df = F.broadcast(keys_df)
     else:
-        spread = F.pmod(F.xxhash64(*(spread_by or spread_columns(df))), F.lit(SALTS)).cast("int")
+        spread = _never_null(F.pmod(F.xxhash64(*spread_columns(df)), F.lit(SALTS)))
         is_hot = key_hash(df, keys).isin(list(hot)) if hot else F.lit(False)
         df = df.withColumn(SALT, F.when(~all_present(keys) | is_hot, spread).otherwise(F.lit(0)))
         # Always zero, but not a constant: the optimizer would take a constant out of the join key, and with it
         # the spreading of NULL keys.
-        zero = F.pmod(key_hash(keys_df, keys), F.lit(1)).cast("int")
+        zero = _never_null(F.pmod(key_hash(keys_df, keys), F.lit(1)))
         if hot:
             hot_key = key_hash(keys_df, keys).isin(list(hot))
             salts = F.when(hot_key, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(zero))
@@ -112,7 +111,12 @@ def match(
     return left.join(right, condition, how).select(*map(quoted, columns))
 
 
+def _never_null(salt: Column) -> Column:
+    """Spares the plan a NULL test of the salt, which would compute it twice."""
+    return F.coalesce(salt, F.lit(0)).cast("int")
+
+
 def plan_match(df: DataFrame, source: DataFrame, keys: Sequence[str], limit: int = BROADCAST_BYTES) -> dict:
-    """How to match ``df`` with the source's keys: measured as small enough to broadcast, or with its hot keys found."""
+    """How to match ``df`` with the source's keys: measured as small enough to broadcast, or with hot keys found."""
     size = source.agg(key_bytes(source, keys).alias("size")).first().size
     return {"small": True} if size <= limit else {"hot": hot_keys(df, keys)}

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Collection, Iterable, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from typing import Any
 
@@ -267,26 +267,33 @@ class TableStore:
         how = {"small": True} if small else {"hot": hot_keys(near, pk)}
 
         hits = match(_placed(near.select(*map(quoted, pk), "_metadata"), how), keys, pk, "left_semi", **how)
-        per_file = hits.groupBy("__file").agg(F.count("*").alias("n"))
-        hit_files = {tuple(r["__file"].rsplit("/", 2)[1:]): r["n"] for r in per_file.collect()}
-        if not hit_files:
+        per_file = {r["__file"]: r["n"] for r in hits.groupBy("__file").agg(F.count("*").alias("n")).collect()}
+        if not per_file:
             return 0, before.parts
 
-        hit_directories = {directory for directory, _ in hit_files}
+        names = {p.directory: p.files or self._names(p, before.schema) for p in before.parts}
+        hit = self._hit(names, per_file.keys())
         touched, kept = [], []
         for part in before.parts:
-            if part.directory not in hit_directories:
+            mine = names[part.directory]
+            rest = tuple(n for n in mine if (part.directory, n) not in hit)
+            if len(rest) == len(mine):
                 kept.append(part)
                 continue
-            names = part.files or self._names(part, before.schema)
-            touched.append(replace(part, files=tuple(n for n in names if (part.directory, n) in hit_files)))
-            rest = tuple(n for n in names if (part.directory, n) not in hit_files)
+            touched.append(replace(part, files=tuple(n for n in mine if (part.directory, n) in hit)))
             if rest:
                 kept.append(replace(part, files=rest))
         old = self._read_parts(touched, before.schema)
         remaining = match(_placed(old.select("*", "_metadata"), how), keys, pk, "left_anti", **how)
         rewritten = self.stage(remaining.select(*map(quoted, before.schema.names))).part
-        return sum(hit_files.values()), (*kept, *([rewritten] if rewritten.rows else []))
+        return sum(per_file.values()), (*kept, *([rewritten] if rewritten.rows else []))
+
+    def _hit(self, names: dict[str, Sequence[str]], numbers: Collection[int]) -> set[tuple[str, str]]:
+        """The (directory, name) of files with one of these numbers."""
+        files = [(d, n) for d, own in names.items() for n in own]
+        listed = self.spark.createDataFrame(files, "directory string, name string")
+        path = F.concat_ws("/", "directory", "name")
+        return {(r.directory, r.name) for r in listed.where(file_number(path).isin(list(numbers))).collect()}
 
     def _names(self, part: Part, schema: T.StructType) -> tuple[str, ...]:
         return tuple(sorted(f.rsplit("/", 1)[1] for f in self._read_parts([part], schema).inputFiles()))
@@ -337,9 +344,14 @@ def target_name(schema: T.StructType, name: str) -> str:
     raise SpecError(f"column {name!r} is not in the target")
 
 
+def file_number(path: Column) -> Column:
+    """A file as one number: its path would be shuffled with every row. Two files that share one count as both hit."""
+    return F.xxhash64(F.substring_index(path, "/", -2))
+
+
 def _placed(df: DataFrame, how: dict) -> DataFrame:
     """Rows with the file they lie in; where rows may be spread, also with their place, which tells copies apart."""
-    place = {"__file": F.col("_metadata.file_path")}
+    place = {"__file": file_number(F.col("_metadata.file_path"))}
     if how.get("hot"):
         place["__row"] = F.col("_metadata.row_index")
     return df.withColumns(place).drop("_metadata")
