@@ -2,9 +2,9 @@
 
 Matching only asks whether a row's key is among the source's keys, so the key side is made distinct first
 (partial aggregation collapses copies before the shuffle). A key side of checked size is broadcast and the
-other side is not shuffled at all. Beyond that size both sides are shuffled on the key plus a salt: rows
-with a hot key spread over the salts, and only the few hot keys are repeated once per salt. Rows with a NULL
-in the key never match; they get a salt too, so they spread and pass through.
+other side is not shuffled at all. Beyond that size both sides are shuffled by key, but rows of hot keys go
+apart: the hot keys are few, so the source's share of them is broadcast and their rows stay where they are.
+Rows with a NULL in the key match nothing and bypass the join too.
 """
 
 from __future__ import annotations
@@ -19,8 +19,6 @@ from pyspark.sql import types as T
 
 from tidemark.functions.clean import quoted
 
-SALT = "__salt"
-SALTS = 64
 HOT_SHARE = 0.005
 BROADCAST_BYTES = 32 << 20
 
@@ -54,8 +52,8 @@ def key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
     """Hashes of every key that owns more than ``share`` of the rows: at most 1/share numbers.
 
-    They decide only how rows are spread, never which rows match. One pass finds candidates in bounded memory;
-    a second counts them, so a table without hot keys pays nothing later.
+    They decide only how rows meet, never which rows match. One pass finds candidates in bounded memory; a second
+    counts them, so a table without hot keys pays nothing later.
     """
     hashes = df.where(all_present(keys)).select(key_hash(df, keys).alias("h"))
     candidates = hashes.freqItems(["h"], share).first()[0] or []
@@ -66,8 +64,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> li
     return [r.h for r in found if r.h is not None and r["count"] > least]
 
 
-def spread_columns(df: DataFrame) -> list[Column]:
-    """Columns whose hash tells rows apart; maps and variants cannot be hashed."""
+def row_columns(df: DataFrame) -> list[Column]:
+    """Columns that can be hashed and ordered, to tell rows apart; maps and variants cannot."""
     return [
         F.col(quoted(f.name)) for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))
     ] or [F.lit(0)]
@@ -85,35 +83,25 @@ def match(
 ) -> DataFrame:
     """``left_semi`` or ``left_anti`` of ``df`` against usable keys. ``also`` adds a condition over aliases l and r.
 
-    Both sides hold the key in the same types. The salt is a hash of the row's own values, so a recomputed task sends each row to the same place.
+    Both sides hold the key in the same types. ``hot`` are hashes from ``hot_keys``; the keys that have them are
+    at most as many, which bounds what is broadcast. ``df`` is read once more for the rows that go apart.
     """
-    columns = df.columns
-    on = list(keys)
+
+    def joined(left: DataFrame, right: DataFrame) -> DataFrame:
+        same = [F.col(f"l.{quoted(k)}") == F.col(f"r.{quoted(k)}") for k in keys]
+        condition = reduce(and_, same + ([F.expr(also)] if also else []))
+        return left.alias("l").join(right.alias("r"), condition, how).select(*map(quoted, df.columns))
+
     if small:
-        keys_df = F.broadcast(keys_df)
+        return joined(df, F.broadcast(keys_df))
+    present = df.where(all_present(keys))
+    if hot:
+        in_df, in_keys = (key_hash(side, keys).isin(list(hot)) for side in (df, keys_df))
+        common = joined(present.where(~in_df), keys_df.where(~in_keys))
+        matched = common.unionAll(joined(present.where(in_df), F.broadcast(keys_df.where(in_keys))))
     else:
-        spread = _never_null(F.pmod(F.xxhash64(*spread_columns(df)), F.lit(SALTS)))
-        is_hot = key_hash(df, keys).isin(list(hot)) if hot else F.lit(False)
-        df = df.withColumn(SALT, F.when(~all_present(keys) | is_hot, spread).otherwise(F.lit(0)))
-        # Always zero, but not a constant: the optimizer would take a constant out of the join key, and with it
-        # the spreading of NULL keys.
-        zero = _never_null(F.pmod(key_hash(keys_df, keys), F.lit(1)))
-        if hot:
-            hot_key = key_hash(keys_df, keys).isin(list(hot))
-            salts = F.when(hot_key, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(zero))
-            keys_df = keys_df.withColumn(SALT, F.explode(salts))
-        else:
-            keys_df = keys_df.withColumn(SALT, zero)
-        on.append(SALT)
-    left, right = df.alias("l"), keys_df.alias("r")
-    same = [F.col(f"l.{quoted(k)}") == F.col(f"r.{quoted(k)}") for k in on]
-    condition = reduce(and_, same + ([F.expr(also)] if also else []))
-    return left.join(right, condition, how).select(*map(quoted, columns))
-
-
-def _never_null(salt: Column) -> Column:
-    """Spares the plan a NULL test of the salt, which would compute it twice."""
-    return F.coalesce(salt, F.lit(0)).cast("int")
+        matched = joined(present, keys_df)
+    return matched.unionAll(df.where(~all_present(keys))) if how == "left_anti" else matched
 
 
 def plan_match(df: DataFrame, source: DataFrame, keys: Sequence[str], limit: int = BROADCAST_BYTES) -> dict:

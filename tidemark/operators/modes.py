@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clean import quoted
 from tidemark.operators.chunks import chunk_index
-from tidemark.operators.matching import all_present, match, spread_columns, usable_keys
+from tidemark.operators.matching import all_present, match, row_columns, usable_keys
 
 
 def initial(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -100,6 +100,6 @@ def latest_per_key(source: DataFrame, pk: Sequence[str], incr: str) -> DataFrame
     by the other columns, so a rerun picks the same row.
     """
     whole = F.struct(*[F.col(quoted(c)) for c in source.columns])
-    rank = F.struct(F.col(quoted(incr)), *spread_columns(source))
+    rank = F.struct(F.col(quoted(incr)), *row_columns(source))
     picked = source.where(all_present(pk)).groupBy(*map(quoted, pk)).agg(F.max_by(whole, rank).alias("__row"))
     return picked.select("__row.*").unionByName(source.where(~all_present(pk)))

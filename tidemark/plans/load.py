@@ -18,7 +18,7 @@ from tidemark.functions.transforms import field_transforms
 from tidemark.operators import hwm
 from tidemark.operators.align import align
 from tidemark.operators.chunks import chunk_bounds, chunks
-from tidemark.operators.matching import spread_columns
+from tidemark.operators.matching import row_columns
 from tidemark.sinks.store import Applied, TableStore, target_name
 from tidemark.sources.connections import Connection, find_connection
 from tidemark.sources.extract import extract, incr_type
@@ -120,7 +120,7 @@ def _load_chunks(sink: Sink, rows: DataFrame, source: Source, target: Target, op
         schema, defaults = sink.shape()
         incr = target_name(schema, incr)
         aligned = align(rows, schema, defaults, options.pop("zone"))
-        laid_out = aligned.repartitionByRange(quoted(incr), F.xxhash64(*spread_columns(aligned)))
+        laid_out = aligned.repartitionByRange(quoted(incr), F.xxhash64(*row_columns(aligned)))
         kept = sink.staging.stage(laid_out).part
         rows, count = sink.staging.read_part(kept, schema), kept.rows
     else:

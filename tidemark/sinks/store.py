@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import defaultdict
 from collections.abc import Collection, Iterable, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from typing import Any
@@ -266,37 +267,36 @@ class TableStore:
         near = self.read(before).where(in_reach)
         how = {"small": True} if small else {"hot": hot_keys(near, pk)}
 
-        hits = match(_placed(near.select(*map(quoted, pk), "_metadata"), how), keys, pk, "left_semi", **how)
+        number = file_number(F.col("_metadata.file_path")).alias("__file")
+        hits = match(near.select(*map(quoted, pk), number), keys, pk, "left_semi", **how)
         per_file = {r["__file"]: r["n"] for r in hits.groupBy("__file").agg(F.count("*").alias("n")).collect()}
         if not per_file:
             return 0, before.parts
 
-        names = {p.directory: p.files or self._names(p, before.schema) for p in before.parts}
-        hit = self._hit(names, per_file.keys())
+        files = [tuple(f.rsplit("/", 2)[1:]) for f in near.inputFiles()]
+        hit = self._hit(files, per_file.keys())
+        hit_names, other_names = defaultdict(list), defaultdict(list)
+        for directory, name in sorted(files):
+            (hit_names if (directory, name) in hit else other_names)[directory].append(name)
         touched, kept = [], []
         for part in before.parts:
-            mine = names[part.directory]
-            rest = tuple(n for n in mine if (part.directory, n) not in hit)
-            if len(rest) == len(mine):
+            mine, rest = hit_names[part.directory], other_names[part.directory]
+            if not mine:
                 kept.append(part)
                 continue
-            touched.append(replace(part, files=tuple(n for n in mine if (part.directory, n) in hit)))
+            touched.append(replace(part, files=tuple(mine)))
             if rest:
-                kept.append(replace(part, files=rest))
+                kept.append(replace(part, files=tuple(rest)))
         old = self._read_parts(touched, before.schema)
-        remaining = match(_placed(old.select("*", "_metadata"), how), keys, pk, "left_anti", **how)
-        rewritten = self.stage(remaining.select(*map(quoted, before.schema.names))).part
+        remaining = match(old, keys, pk, "left_anti", **how)
+        rewritten = self.stage(remaining).part
         return sum(per_file.values()), (*kept, *([rewritten] if rewritten.rows else []))
 
-    def _hit(self, names: dict[str, Sequence[str]], numbers: Collection[int]) -> set[tuple[str, str]]:
+    def _hit(self, files: Sequence[tuple[str, str]], numbers: Collection[int]) -> set[tuple[str, str]]:
         """The (directory, name) of files with one of these numbers."""
-        files = [(d, n) for d, own in names.items() for n in own]
         listed = self.spark.createDataFrame(files, "directory string, name string")
         path = F.concat_ws("/", "directory", "name")
-        return {(r.directory, r.name) for r in listed.where(file_number(path).isin(list(numbers))).collect()}
-
-    def _names(self, part: Part, schema: T.StructType) -> tuple[str, ...]:
-        return tuple(sorted(f.rsplit("/", 1)[1] for f in self._read_parts([part], schema).inputFiles()))
+        return {tuple(r) for r in listed.where(file_number(path).isin(list(numbers))).collect()}
 
     def compact(self, rows_below: int) -> Snapshot:
         """Rewrite directories with few rows into one; larger ones stay as they are."""
@@ -347,11 +347,3 @@ def target_name(schema: T.StructType, name: str) -> str:
 def file_number(path: Column) -> Column:
     """A file as one number: its path would be shuffled with every row. Two files that share one count as both hit."""
     return F.xxhash64(F.substring_index(path, "/", -2))
-
-
-def _placed(df: DataFrame, how: dict) -> DataFrame:
-    """Rows with the file they lie in; where rows may be spread, also with their place, which tells copies apart."""
-    place = {"__file": file_number(F.col("_metadata.file_path"))}
-    if how.get("hot"):
-        place["__row"] = F.col("_metadata.row_index")
-    return df.withColumns(place).drop("_metadata")
