@@ -124,7 +124,8 @@ def merge_dedupe_source(spark, sf_dir):
 
 
 YEAR_ENDS = ["1998-12-31 00:00:00", "1999-12-31 00:00:00", "2000-12-31 00:00:00"]
-CHUNK_SQL = "CASE " + " ".join(f"WHEN l_shipdate <= TIMESTAMP '{b}' THEN {i}" for i, b in enumerate(YEAR_ENDS)) + f" ELSE {len(YEAR_ENDS)} END"
+CHUNK_CASES = " ".join(f"WHEN l_shipdate <= TIMESTAMP '{b}' THEN {i}" for i, b in enumerate(YEAR_ENDS))
+CHUNK_SQL = f"CASE {CHUNK_CASES} ELSE {len(YEAR_ENDS)} END"
 
 
 @query("chunk_assignment", f"SELECT l_orderkey, l_linenumber, l_shipdate, {CHUNK_SQL} AS chunk FROM ({NEW_LINES}) n")
