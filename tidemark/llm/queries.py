@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +16,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors once per application, so that they need no install or search path."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        archive = os.path.join(tempfile.mkdtemp(prefix="ship-"), f"{package.name}.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for file in sorted(package.rglob("*.py")):
+                z.write(file, file.relative_to(package.parent))
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+
+
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[run.__name__] = run
-    return run
+    @functools.wraps(run)
+    def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return run(spark, sf_dir)
+
+    QUERIES[run.__name__] = shipped
+    return shipped
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,3 +64,23 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
         secrets.listed(F.col("findings")).alias("spans"),
     )
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tidemark.llm import tokens
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    counted = tokens.count_tokens(table(spark, sf_dir, "documents"), spec)
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import rules
+
+    docs = table(spark, sf_dir, "documents")
+    return rules.rate(docs, rules.fit(docs, table(spark, sf_dir, "labels")))
