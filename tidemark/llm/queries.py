@@ -84,3 +84,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return rules.rate(docs, rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tidemark.llm import packing
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    return packing.pack(table(spark, sf_dir, "documents"), spec)
