@@ -76,8 +76,10 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 21)
 class Words:
     """The words of a batch: byte spans, hashes, and for each row the range of its words."""
 
-    def __init__(self, column: pa.Array, separator: np.ndarray = SPACE) -> None:
+    def __init__(self, column: pa.Array, separator: np.ndarray = SPACE, fold: np.ndarray | None = None) -> None:
         self.raw, self.offsets = texts_of(column)
+        if fold is not None:
+            self.raw = fold[self.raw]
         inside = ~separator[self.raw]
         row_start = np.zeros(len(self.raw) + 1, bool)
         row_start[self.offsets] = True
