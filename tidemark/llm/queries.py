@@ -103,3 +103,10 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
     found = decontam.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("items", "spans")
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import repeats
+
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("repeats")
