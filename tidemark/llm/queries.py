@@ -110,3 +110,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import repeats
 
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("repeats")
+
+
+@query
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import neardup
+
+    return neardup.class_of(table(spark, sf_dir, "documents"))
