@@ -117,3 +117,10 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import neardup
 
     return neardup.class_of(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import licenses
+
+    return licenses.scan(table(spark, sf_dir, "documents"))
