@@ -153,3 +153,10 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     return made.select("conv_id", "formatted", "loss_spans").mapInPandas(digests, schema)
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import perplexity
+
+    return perplexity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
