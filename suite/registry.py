@@ -42,9 +42,9 @@ def rows_of(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
 
 def new_folder(spark: SparkSession) -> str:
-    """A fresh folder in the shared place the session names; a temporary one only where it names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return scratch_root(spark, None if named else tempfile.mkdtemp(prefix="tidemark-"))
+    """A fresh folder in the shared place the session names; a temporary one only where a local session names none."""
+    local = spark.sparkContext.master.startswith("local[") and not spark.conf.get("spark.checkpoint.dir", None)
+    return scratch_root(spark, tempfile.mkdtemp(prefix="tidemark-") if local else None)
 
 
 def new_store(spark: SparkSession, like: DataFrame) -> TableStore:

@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 from conftest import SMALL, rows
 from suite.registry import tables
 from tidemark.sources.connections import Connection
-from tidemark.sources.extract import extract, fill_field, fill_point, order_sql, projection_sql, remote_sql, schema_probe, where_sql
+from tidemark.sources.extract import extract, fill_field, fill_point, order_sql, projection_sql, remote_literal, remote_sql, schema_probe, where_sql
 from tidemark.sources.jdbc import guid_columns, read, read_options
 from tidemark.sources.naming import field_sql
 from tidemark.spec import Mapping, Source, SpecError
@@ -188,3 +188,29 @@ def test_guid_columns(spark):
     assert rows(guid_columns(df, ["g", "t"])) == sorted(
         [("00112233-4455-6677-8899-AABBCCDDEEFF", "AB"), (None, None), ("", "C")], key=repr
     )
+
+
+def test_remote_points_are_literals_of_their_type():
+    stamp = T.TimestampNTZType()
+    assert remote_literal("2024-01-02 03:04:05.120000", stamp, "postgres") == "CAST('2024-01-02 03:04:05.12' AS timestamp)"
+    assert remote_literal("2024-01-02 03:04:05.000000", stamp, "mssql") == "CAST('2024-01-02 03:04:05' AS datetime2)"
+    assert remote_literal("2024-01-02 03:04:05.500000+02:00", T.TimestampType(), "greenplum").startswith("CAST('2024-01-02 03:04:05.5+02:00'")
+    assert remote_literal("10", T.LongType(), "mssql") == "'10'"
+    assert remote_literal("it's", T.StringType(), "postgres") == "'it''s'"
+
+
+def test_lookback_follows_a_typed_point():
+    source = Source(table="public.t", incr_field="at", lookback="INTERVAL '1' DAY")
+    sql = remote_sql(PG, source, "append", "2024-01-02 00:00:00.000000", dtype=T.TimestampNTZType())
+    assert sql.endswith("> CAST('2024-01-02 00:00:00' AS timestamp) - INTERVAL '1' DAY")
+
+
+@pytest.mark.parametrize("mode", ["initial", "full", "append", "merge"])
+@pytest.mark.parametrize(("given", "point"), [("", "1"), ("7", "7")])
+def test_a_template_on_a_database_has_a_point_in_every_mode(spark, monkeypatch, mode, given, point):
+    seen = []
+    monkeypatch.setattr("tidemark.sources.extract.incr_type", lambda *a: T.LongType())
+    monkeypatch.setattr("tidemark.sources.jdbc.read", lambda spark, connection, source, sql, **k: seen.append(sql))
+    source = Source(sql="SELECT id FROM t WHERE id > ${INCR_POINT}", incr_field="id", incr_point=given)
+    extract(spark, PG, source, mode)
+    assert seen == [f"SELECT * FROM (SELECT id FROM t WHERE id > '{point}') t WHERE (1=1)"]

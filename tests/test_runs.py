@@ -255,6 +255,15 @@ def test_stream_goes_on_and_keeps_the_largest_mark(spark, store, tmp_path):
         load_arrivals(spark, folder, T.StructType(), table, "full", name="q", checkpoint="x")
 
 
+def test_a_stream_under_a_new_checkpoint_is_no_replay(spark, store, tmp_path):
+    table, schema = store("id long"), T.StructType().add("id", T.LongType())
+    for run, (low, high) in enumerate([(0, 10), (10, 60)]):
+        folder = str(tmp_path / f"in{run}")
+        spark.range(low, high).coalesce(1).write.parquet(folder)
+        load_arrivals(spark, folder, schema, table, "append", name="q", checkpoint=str(tmp_path / f"cp{run}")).awaitTermination()
+    assert table.read().count() == 60
+
+
 # The database target. DuckDB's in-memory connection stands in for the database: it runs the same statements.
 
 PG = Connection("pg", "postgres", options={"url": "jdbc:postgresql://db/x", "numPartitions": "4"})

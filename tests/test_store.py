@@ -175,7 +175,9 @@ def test_a_replayed_batch_changes_nothing(spark, store):
     table.load(frame(spark, (3, "c", 1)), "append", stream=("other", 0))
     assert table.read().count() == 3
     table.load(frame(spark), "append", stream=("q", 2))
-    assert table.snapshot().streams == {"q": 2, "other": 0}
+    assert table.snapshot().streams == {"q": ["", 2], "other": ["", 0]}
+    table.load(frame(spark, (4, "d", 1)), "append", stream=("q", 0, "another checkpoint"))
+    assert table.snapshot().streams["q"] == ["another checkpoint", 0]
 
 
 def test_compaction_keeps_rows_and_marks(spark, store):
@@ -190,11 +192,13 @@ def test_compaction_keeps_rows_and_marks(spark, store):
     assert table.compact(rows_below=50) == after
 
 
-def test_a_load_compacts_past_a_number_of_small_parts(spark, store):
-    table = store(SCHEMA, small_parts=3)
+def test_a_load_is_one_commit_however_many_parts_there_are(spark, store):
+    table = store(SCHEMA)
     for i in range(5):
         table.load(frame(spark, (i, "y", i)), "append", incr="at", key=KEY)
-    assert len(table.snapshot().parts) == 2 and table.read().count() == 5
+    assert table.snapshot().version == 5 and len(table.snapshot().parts) == 5
+    table.compact()
+    assert len(table.snapshot().parts) == 1 and table.read().count() == 5
 
 
 def test_expire_deletes_what_only_old_commits_name(spark, store, tmp_path):

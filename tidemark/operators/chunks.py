@@ -44,8 +44,14 @@ def chunk_index(c: Column, bounds: Sequence[str], dtype: T.DataType) -> Column:
     """Number of the chunk from 0: how many bounds lie below the value. NULLs belong to the last chunk."""
     if not bounds:
         return F.when(c.isNull() | c.isNotNull(), F.lit(0))
-    typed = F.array(*[typed_point(b, dtype) for b in bounds])
-    return F.when(c.isNull(), F.lit(len(bounds))).otherwise(F.size(F.filter(typed, lambda b: b < c)))
+    typed = F.array(*[typed_point(b, dtype) for b in bounds])  # a constant; searched by halving
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
+
+    def further(below: Column, step: Column) -> Column:
+        there = below + step
+        return F.when((there <= len(bounds)) & (F.get(typed, there - 1) < c), there).otherwise(below)
+
+    return F.when(c.isNull(), F.lit(len(bounds))).otherwise(F.aggregate(steps, F.lit(0), further))
 
 
 def chunks(source: DataFrame, incr: str, bounds: Sequence[str]) -> Iterator[DataFrame]:

@@ -51,7 +51,7 @@ def default_point(dtype: T.DataType, field: str) -> str:
 
 def identity(job: str, database: str, source: Source, target: Target) -> dict[str, str]:
     """Key of a mark. A three-part source name overrides the connection's database; SQL text is its own name."""
-    key = dict.fromkeys(KEY, "") | {"job_name": job.strip(), "src_db_name": database.strip()}
+    key = dict.fromkeys(KEY, "") | {"job_name": job.strip(), "src_db_name": (source.database or database).strip()}
     if source.table.strip():
         name = split_name(source.table)
         key |= {"src_schema_name": name.schema, "src_table_name": name.table}

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.clean import quoted
@@ -43,14 +43,11 @@ def merge(
 def merge_counts(target: DataFrame, source: DataFrame, pk: Sequence[str], *, small: bool = False) -> DataFrame:
     """One row: target rows a merge deletes, source rows it inserts.
 
-    The target is counted per key before it meets the source, so a hot key is one row per task in the shuffle.
+    The target's keys are matched as in the merge itself: with few source keys the target is not shuffled.
     """
-    per_key = target.where(all_present(pk)).groupBy(*map(quoted, pk)).agg(F.count(F.lit(1)).alias("deleted"))
-    keys = usable_keys(source, pk)
-    # An inner join: the optimizer would move a semi join in front of the counting.
-    deleted = per_key.join(F.broadcast(keys) if small else keys, list(pk))
+    deleted = match(target.select(*map(quoted, pk)), usable_keys(source, pk, small), pk, "left_semi", small=small)
     return (
-        deleted.select("deleted", F.lit(0).cast("long").alias("inserted"))
+        deleted.select(F.lit(1).cast("long").alias("deleted"), F.lit(0).cast("long").alias("inserted"))
         .unionByName(source.select(F.lit(0).cast("long").alias("deleted"), F.lit(1).cast("long").alias("inserted")))
         .agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("deleted", "inserted")])
     )
@@ -96,10 +93,10 @@ def chunked_merge(
 def latest_per_key(source: DataFrame, pk: Sequence[str], incr: str) -> DataFrame:
     """One row per key, the one with the largest ``incr``; rows with a NULL in the key all stay.
 
-    An aggregate rather than a window: each task first keeps one candidate per key. Equal ``incr`` is decided
-    by the other columns, so a rerun picks the same row.
+    One scan; for a first place Spark keeps one candidate per key in each task before it shuffles. Equal ``incr`` is
+    decided by the other columns, so a rerun picks the same row. Rows with a NULL in the key are groups of their own.
     """
-    whole = F.struct(*[F.col(quoted(c)) for c in source.columns])
-    rank = F.struct(F.col(quoted(incr)), *row_columns(source))
-    picked = source.where(all_present(pk)).groupBy(*map(quoted, pk)).agg(F.max_by(whole, rank).alias("__row"))
-    return picked.select("__row.*").unionByName(source.where(~all_present(pk)))
+    alone = F.when(~all_present(pk), F.monotonically_increasing_id())
+    order = [F.desc_nulls_last(F.col(quoted(incr))), *[c.desc_nulls_last() for c in row_columns(source)]]
+    first = F.row_number().over(Window.partitionBy(*map(quoted, pk), "__alone").orderBy(*order))
+    return source.withColumn("__alone", alone).withColumn("__nth", first).where("__nth = 1").drop("__alone", "__nth")

@@ -91,8 +91,9 @@ def load_source(
     connections: Sequence[Connection],
     sink: Sink,
     hook: Hook | None = None,
+    done: Callable[[Applied], None] = lambda applied: None,
 ) -> list[Applied]:
-    """Apply one source of a task to its target: one commit, or one per chunk."""
+    """Apply one source of a task to its target: one commit, or one per chunk; ``done`` hears of each as it is made."""
     target, connection = task.target, find_connection(connections, source.connection)
     mode, point, options = target.mode, None, {"zone": target.timezone}
     if mode in INCREMENTAL_MODES and source.incr_field:
@@ -105,8 +106,10 @@ def load_source(
         options |= {"pk": target.keys, "dedupe": target.dedupe_source}
     rows = _extract(spark, connections, source, mode, point, hook)
     if mode in INCREMENTAL_MODES and target.commit_batch_size > 0:
-        return _load_chunks(sink, rows, source, target, options)
-    return [sink.load(rows, mode, **options)]
+        return _load_chunks(sink, rows, source, target, options | {"after_chunk": done})
+    applied = sink.load(rows, mode, **options)
+    done(applied)
+    return [applied]
 
 
 def _load_chunks(sink: Sink, rows: DataFrame, source: Source, target: Target, options: dict[str, Any]) -> list[Applied]:
@@ -158,49 +161,51 @@ def run_task(
     """Run every source of a task into its target.
 
     ``full`` replaces the target once, with the union of all sources. Elsewhere sources run in order;
-    ``continue`` records a failed one and goes on, ``abort`` raises.
+    ``continue`` records a failed one and goes on, ``abort`` raises; the error then carries the records so far, its own
+    among them, as ``run_records``. A failed source counts what it had committed.
     """
     task.validate()
     records: list[RunRecord] = []
 
-    def attempt(name: str, run: Callable[[], list[Applied]]) -> None:
-        began, done, error = time.monotonic(), [], ""
+    def attempt(name: str, run: Callable[[Callable[[Applied], None]], object]) -> None:
+        began, done, failure = time.monotonic(), [], None
         try:
-            done = run()
+            run(done.append)
         except Exception as e:
-            if task.error_policy == "abort":
-                raise
             log.warning("%s -> %s failed: %s", name, task.target.table, e)
-            error = f"{type(e).__name__}: {str(e)[:300]}"
-        read, deleted = sum(a.inserted for a in done), sum(a.deleted for a in done)
+            failure = e
+        written, deleted = sum(a.inserted for a in done), sum(a.deleted for a in done)
         records.append(
             RunRecord(
                 task=task.name,
                 source=name,
                 target=task.target.table,
                 mode=task.target.mode,
-                status="failed" if error else "success",
-                rows_read=read,
+                status="failed" if failure else "success",
+                rows_read=sum(a.inserted if a.read is None else a.read for a in done),
                 rows_deleted=deleted,
-                rows_written=read,
+                rows_written=written,
                 seconds=round(time.monotonic() - began, 3),
-                error=error,
+                error=f"{type(failure).__name__}: {failure}" if failure else "",
             )
         )
+        if failure and task.error_policy == "abort":
+            failure.run_records = records
+            raise failure
 
     names = [s.table.strip() or "query" for s in task.sources]
     if task.target.mode == "full":
-        def replace_all() -> list[Applied]:
+        def replace_all(done: Callable[[Applied], None]) -> None:
             extracts = [_extract(spark, connections, s, "full", None, hook) for s in task.sources]
             if len(extracts) > 1:
                 schema, defaults = sink.shape()
                 extracts = [align(e, schema, defaults, task.target.timezone) for e in extracts]
-            return [sink.load(union_sources(extracts), "full", zone=task.target.timezone)]
+            done(sink.load(union_sources(extracts), "full", zone=task.target.timezone))
 
         attempt("+".join(names), replace_all)
         return records
     for name, source in zip(names, task.sources):
-        attempt(name, lambda source=source: load_source(spark, task, source, connections, sink, hook))
+        attempt(name, lambda done, source=source: load_source(spark, task, source, connections, sink, hook, done))
     return records
 
 

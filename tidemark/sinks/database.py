@@ -141,7 +141,7 @@ class DatabaseTable:
         return self._one(f"SELECT incr_point FROM {self.mark_table} WHERE {where}", [key[k] for k in KEY])
 
     def reached(self, column: str) -> str | None:
-        return self._one(f"SELECT CAST(MAX({column}) AS VARCHAR(100)) FROM {self.table}")
+        return self._one(f"SELECT CAST(MAX({column}) AS TEXT) FROM {self.table}")
 
     def _one(self, sql: str, values: Sequence[str] = ()) -> str | None:
         cursor = self.db.cursor()

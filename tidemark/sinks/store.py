@@ -82,6 +82,7 @@ class Applied:
     deleted: int = 0
     inserted: int = 0
     point: str | None = None
+    read: int | None = None  # rows of the extract where a dedupe left fewer to insert
 
 
 class TableStore:
@@ -93,14 +94,10 @@ class TableStore:
         root: str,
         *,
         broadcast_bytes: int = BROADCAST_BYTES,
-        small_rows: int = 1_000_000,
-        small_parts: int = 200,
     ) -> None:
-        """Beyond ``small_parts`` directories of fewer than ``small_rows`` rows, a load also compacts them."""
         self.spark = spark
         self.root = qualify(spark, root.rstrip("/"))
         self.broadcast_bytes = broadcast_bytes
-        self.small_rows, self.small_parts = small_rows, small_parts
         self._commits = Folder(f"{self.root}/commits")
 
     @property
@@ -212,27 +209,34 @@ class TableStore:
         facts: dict[str, str] | None = None,
         dedupe: bool = False,
         zone: str = "",
-        stream: tuple[str, int] | None = None,
+        stream: tuple[str, int] | tuple[str, int, str] | None = None,
     ) -> Applied:
         """Apply one extract in one of the four modes, as one commit.
 
         ``incr`` is the target's name of the incremental field, ``key`` the identity of its mark. ``stream`` names
-        a streaming query and its batch; a batch that is already in the table changes nothing.
+        a stream, its batch and the run its checkpoint belongs to; a batch of that run that is already in the table
+        changes nothing, while another run counts its batches anew.
         """
         if mode not in MODES:
             raise SpecError(f"unsupported mode: {mode!r}")
         if mode == "merge" and not pk:
             raise SpecError("pk is required for merge mode")
         before = self.snapshot()
-        if stream and before.streams.get(stream[0], -1) >= stream[1]:
-            return Applied(before.version)
-        streams = before.streams | ({stream[0]: stream[1]} if stream else {})
+        streams = before.streams
+        if stream:
+            name, number, run = (*stream, "")[:3]
+            last_run, last = streams.get(name, (run, -1))
+            if last_run == run and last >= number:
+                return Applied(before.version)
+            streams = streams | {name: [run, number]}
         rows = align(source, before.schema, before.defaults, zone)
         incremental = mode in INCREMENTAL_MODES
         incr = target_name(before.schema, incr) if incremental and incr else ""
         pk = [target_name(before.schema, k) for k in pk]
+        counted = None
         if dedupe and incremental and pk and incr:
-            rows = latest_per_key(rows, pk, incr)
+            counted = Observation()
+            rows = latest_per_key(rows.observe(counted, F.count(F.lit(1)).alias("rows")), pk, incr)
         old_point = self.stored_point(key, before) if key and incr else None
         staged = self.stage(rows, incr, pk if mode == "merge" else (), old_point, gather=incremental)
         if staged.part.rows == 0:
@@ -247,9 +251,8 @@ class TableStore:
         marks = self._mark(before, key if incr else None, facts or {}, staged.point)
         total = before.rows - deleted + staged.part.rows
         after = self._commit(before, rows=total, parts=(*kept, staged.part), marks=marks, streams=streams)
-        if sum(p.rows < self.small_rows for p in after.parts) > self.small_parts:
-            after = self.compact(self.small_rows)
-        return Applied(after.version, deleted, staged.part.rows, staged.point if incr else None)
+        read = counted.get["rows"] if counted else None
+        return Applied(after.version, deleted, staged.part.rows, staged.point if incr else None, read)
 
     def _without(self, before: Snapshot, staged: Staged, pk: Sequence[str]) -> tuple[int, tuple[Part, ...]]:
         """Parts of the table without the rows whose key was staged, and how many rows that takes away.
@@ -295,11 +298,12 @@ class TableStore:
     def _hit(self, files: Sequence[tuple[str, str]], numbers: Collection[int]) -> set[tuple[str, str]]:
         """The (directory, name) of files with one of these numbers."""
         listed = self.spark.createDataFrame(files, "directory string, name string")
-        path = F.concat_ws("/", "directory", "name")
-        return {tuple(r) for r in listed.where(file_number(path).isin(list(numbers))).collect()}
+        numbered = listed.withColumn("number", file_number(F.concat_ws("/", "directory", "name")))
+        wanted = self.spark.createDataFrame([(n,) for n in numbers], "number long")
+        return {(r["directory"], r["name"]) for r in numbered.join(wanted, "number", "left_semi").collect()}
 
-    def compact(self, rows_below: int) -> Snapshot:
-        """Rewrite directories with few rows into one; larger ones stay as they are."""
+    def compact(self, rows_below: int = 1_000_000) -> Snapshot:
+        """Maintenance, apart from loads: rewrite directories with few rows into one; larger ones stay as they are."""
         before = self.snapshot()
         small = [p for p in before.parts if p.rows < rows_below]
         if len(small) < 2:

@@ -6,6 +6,8 @@ source the same SELECT is written in the database's own dialect and runs there.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -19,6 +21,9 @@ FIELD = "${SRC_INCR_FIELD}"
 POINT = "${INCR_POINT}"
 EMPTY = "1=0"
 
+# What databases call a point in time.
+TIME_NAMES = {"postgres": "timestamp", "postgresql": "timestamp", "greenplum": "timestamp", "mssql": "datetime2"}
+
 
 def projection_sql(source: Source, dialect: str = "spark") -> str:
     """``source AS target`` per mapping entry, or ``*``."""
@@ -124,12 +129,12 @@ def extract(
     extraction order, which writing does not need.
     """
     source.validate()
-    if connection.is_jdbc:
-        return jdbc.read(spark, connection, source, remote_sql(connection, source, mode, point, empty=empty))
-
     dtype = incr_type(spark, connection, source, point) if source.incr_field else T.StringType()
     if point is None and uses_point(source):
         point = source.incr_point or default_point(dtype, source.incr_field)
+    if connection.is_jdbc:
+        return jdbc.read(spark, connection, source, remote_sql(connection, source, mode, point, empty=empty, dtype=dtype))
+
     value = f"CAST(:incr_point AS {dtype.simpleString()})"
     inner, args, relations = _relation(spark, connection, source, value, point)
     field = field_sql(source.incr_field) if source.incr_field else ""
@@ -146,14 +151,30 @@ def extract(
     return spark.sql(f"SELECT {projection} FROM {inner} WHERE {outer}", args=args, **relations)
 
 
+def remote_literal(point: str, dtype: T.DataType | None, dialect: str) -> str:
+    """A point for a database: times without trailing zeros of the fraction and cast, so that arithmetic may follow."""
+    text = "'" + point.replace("'", "''") + "'"
+    if not isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)) or dialect not in TIME_NAMES:
+        return text
+    short = re.sub(r"\.(\d*?)0*(?=$|[+-]\d\d:?\d\d$|Z$)", lambda m: f".{m[1]}" if m[1] else "", point)
+    kind = "date" if isinstance(dtype, T.DateType) else TIME_NAMES[dialect]
+    return f"CAST('{short}' AS {kind})"
+
+
 def remote_sql(
-    connection: Connection, source: Source, mode: str = "initial", point: str | None = None, *, empty: bool = False
+    connection: Connection,
+    source: Source,
+    mode: str = "initial",
+    point: str | None = None,
+    *,
+    empty: bool = False,
+    dtype: T.DataType | None = None,
 ) -> str:
-    """The SELECT in the dialect of a database source, the point as a text literal."""
+    """The SELECT in the dialect of a database source, the point as a literal of its type where that is known."""
     if source.table.strip():
         connection.check_table(source.table)
     dialect = connection.kind
-    literal = "'" + (point or "").replace("'", "''") + "'"
+    literal = remote_literal(point or "", dtype, dialect)
     field = field_sql(source.incr_field, dialect) if source.incr_field else ""
     relation = f"({source.sql}) t" if source.sql.strip() else source.table.strip()
     where = where_sql(source, empty) if empty else f"({where_sql(source)})"

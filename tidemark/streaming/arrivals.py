@@ -1,11 +1,14 @@
 """Files arriving in a folder, applied as micro-batches in append or merge mode.
 
-Progress is the checkpoint's. The batch number is stored in the same commit as the rows, so a batch that is
-replayed after a crash changes nothing.
+Progress is the checkpoint's. The batch number and the id that the checkpoint gives its query are stored in the same
+commit as the rows, so a batch that is replayed after a crash changes nothing, and a stream that starts again under a
+new checkpoint is not taken for a replay.
 """
 
 from __future__ import annotations
 
+import functools
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,10 +50,14 @@ def load_arrivals(
 
     facts = {"sync_mode": mode, "src_incr_field": incr, "dst_pk": ",".join(pk)}
 
+    @functools.cache
+    def run_id() -> str:
+        return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
     def apply(batch: DataFrame, number: int) -> None:
         rows = clean(batch)
         rows = rows.transform(hook) if hook else rows
-        store.load(rows, mode, pk=pk, incr=incr, key=key, facts=facts, stream=(name, number))
+        store.load(rows, mode, pk=pk, incr=incr, key=key, facts=facts, stream=(name, number, run_id()))
 
     writer = reader.parquet(folder).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
