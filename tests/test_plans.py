@@ -4,13 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+import suite
 from conftest import SMALL, rows
 from suite.apply_queries import LINE_KEY, NEW_LINES, OLD_LINES
 from suite.registry import rows_of
 from tidemark.functions.clean import clean
 from tidemark.operators import modes
 
-PURE = [n for n in sorted(contract.queries()) if not n.startswith(("publish_", "stream_", "run_"))]
+PURE = [n for n in sorted(suite.QUERIES) if not n.startswith(("publish_", "stream_", "run_"))]
 
 
 def plan(df):
