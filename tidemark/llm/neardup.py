@@ -8,7 +8,9 @@ within the band that 0.8 allows, over all runs of both. As labels are unique, th
 increasing run of places. At a similarity of 0.8 a pair misses all 24 sketches of four with a chance below 5 in a million.
 
 Copies count once. In a bucket every text is first compared with the bucket's earliest text, one comparison for each
-text; then texts that share a bucket but not yet a class are compared with each other. No bucket is cut or sampled.
+text. Buckets whose texts are then still of several classes are dealt out in pairs of blocks of bounded size; a task
+counts the common runs of all texts of such a pair by one sparse product and aligns those that may link two classes. A
+text travels once for each block it meets, not for each text. No bucket is cut or sampled.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ SIMILARITY = 0.8
 SKETCHES = 24
 SAMPLED = 4
 MEMBERS = 64  # texts compared with one leader in one group of rows
+BLOCK = 512  # texts of one bucket that are compared among themselves, or with another such block, in one group of rows
+COLUMNS = 4096  # runs counted at a time
 LAST = (1 << 63) - 1
 
 _SEEDS = streams.mix(np.arange(1, SKETCHES + 1, dtype=U) * U(streams.WORD_BASE)) | U(1)
@@ -151,6 +155,83 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(work, "a binary, b binary").distinct()
 
 
+def common(texts: list[np.ndarray]) -> np.ndarray:
+    """How many labels each two of the texts share."""
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    _, which, often = np.unique(np.concatenate(texts), return_inverse=True, return_counts=True)
+    shared = often[which] > 1
+    owner, which = owner[shared], which[shared]
+    column = np.unique(which, return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(texts), len(texts)), np.float32)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [low, low + COLUMNS])
+        held = np.zeros((len(texts), COLUMNS), np.float32)
+        held[owner[a:b], column[a:b] - low] = 1
+        out += held @ held.T
+    return out
+
+
+def links(nodes: list[bytes], roots: list[bytes], texts: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
+    """Pairs of aligned texts that join the classes of the group; once two classes are joined, no more pairs of them."""
+    parent = {r: r for r in roots}
+
+    def top(r: bytes) -> bytes:
+        while parent[r] != r:
+            parent[r] = parent[parent[r]]
+            r = parent[r]
+        return r
+
+    sizes = np.array([len(t) for t in texts], np.float32)
+    met = common(texts)
+    number = np.unique(np.array(roots, dtype=object), return_inverse=True)[1]
+    likely = (met >= SIMILARITY * (sizes[:, None] + sizes[None, :] - met)) & (number[:, None] < number[None, :])
+    out = []
+    for i, j in np.argwhere(likely).tolist():
+        a, b = top(roots[i]), top(roots[j])
+        if a != b and aligned(texts[i], texts[j]):
+            parent[max(a, b)] = min(a, b)
+            out.append((nodes[i], nodes[j]))
+    return out
+
+
+def block_links(open_: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between texts of one bucket and different classes; ``open_`` has band, key, node and root."""
+    bucket = ["band", "key"]
+    blocks = open_.groupBy(*bucket).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    mine = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    spread = open_.join(blocks, bucket).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    group = [*bucket, "low", "high"]
+    placed = spread.select(*bucket, F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "node", "root")
+    rows = placed.join(texts, "node").repartition(*group).sortWithinPartitions(*group)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, nodes, roots, own = None, [], [], []
+
+        def found() -> pa.RecordBatch:
+            out = links(nodes, roots, own) if len(set(roots)) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+        for part in streams.pieces(batches, "text"):
+            words = streams.Words(part.column("text"))
+            keys = list(zip(*(part.column(c).to_pylist() for c in group)))
+            node, root = part.column("node").to_pylist(), part.column("root").to_pylist()
+            for i, key in enumerate(keys):
+                if key != current:
+                    if nodes:
+                        yield found()
+                    current, nodes, roots, own = key, [], [], []
+                nodes.append(node[i])
+                roots.append(root[i])
+                own.append(labels(words.hashes[words.bounds[i] : words.bounds[i + 1]]))
+        if nodes:
+            yield found()
+
+    columns = [*group, "node", "root", "text"]
+    return rows.select(*columns).mapInArrow(work, "a binary, b binary").distinct()
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """For every distinct text its node, its earliest document, its class and the node that stands for the class.
 
@@ -176,20 +257,14 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     first = scratch.written(verified(stars, texts), "links")
     roots = components(first)
     rest = scratch.written(
-        shared.select(*bucket, "node", "doc", "n")
+        shared.select(*bucket, "node")
         .join(roots, "node", "left")
         .withColumn("root", F.coalesce("root", "node")),
         "rest",
     )
     mixed = rest.groupBy(*bucket).agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most")
-    open_ = rest.join(mixed.select(*bucket), bucket)
-    x, y = open_.alias("x"), open_.alias("y")
-    same = (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
-    apart = (F.col("x.root") != F.col("y.root")) & (F.struct("x.doc", "x.node") < F.struct("y.doc", "y.node"))
-    alike = F.least("x.n", "y.n") >= SIMILARITY * F.greatest("x.n", "y.n")
-    pairs = x.join(y, same & apart & alike).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    tested = scratch.written(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
-    second = scratch.written(verified(tested, texts), "links")
+    open_ = rest.join(mixed.select(*bucket), bucket).select(*bucket, "node", "root")
+    second = scratch.written(block_links(open_, texts), "links")
     final = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(second))
     labelled = nodes.select("node", "doc").join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
     labelled = scratch.written(labelled, "labelled")
