@@ -116,6 +116,17 @@ def stream_append(spark, sf_dir):
     return store.read()
 
 
+@query("stream_new_checkpoint", "SELECT * FROM events")
+def stream_new_checkpoint(spark, sf_dir):
+    """One stream name, two checkpoints: batches of the second are not taken for replays of the first."""
+    events = rows_of(spark, sf_dir, "SELECT * FROM events")
+    work, store = new_folder(spark), new_store(spark, events)
+    for part, rows in enumerate((events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1"))):
+        rows.repartition(2, "event_id").write.parquet(f"{work}/in{part}")
+        stream(spark, f"{work}/in{part}", store, "append", f"{work}/checkpoint{part}")
+    return store.read()
+
+
 @query(
     "stream_merge",
     """SELECT event_id, ts, user_id, event_type, CASE WHEN event_type = 'purchase' THEN value + 1 ELSE value END AS value, props
