@@ -23,7 +23,12 @@ from pyspark.sql import functions as F
 from tidemark.llm import scratch, streams
 
 ROUNDS = 120  # of multiplicative weights
-CACHED_WORDS = 600_000
+CACHED_WORDS = 250_000  # in each half of the cache, some 50 MB
+LATIN_END = "\u0250"
+
+# Byte-level vocabularies write bytes as characters: printable ones as themselves, the others from U+0100 on.
+_PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_LETTERS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 
 _loaded: dict[int, WordIds] = {}
 
@@ -32,7 +37,9 @@ class WordIds:
     """Ids of texts through a cache by white-space delimited word; the library sees each new word once.
 
     For a tokenizer that drops white space, a text's ids are its words' ids in a row. Full stops, commas and bars that
-    follow a letter are tokens of their own, so words are also looked up without them.
+    follow a letter are tokens of their own, so words are also looked up without them. A word of Latin letters alone is
+    lowered and handed to the merges at once, as normalizing and splitting leave it whole. When the cache is full, it
+    becomes the older half and words still in use move on.
     """
 
     def __init__(self, spec: str) -> None:
@@ -40,26 +47,36 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_str(spec)
+        self._merges = self._library.model
+        self._written = [i.to_bytes(4, "little") for i in range(self._library.get_vocab_size())]
         self._cache: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
 
     def _ask(self, word: bytes) -> bytes:
-        return np.array(self._library.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        text, written = word.decode(), self._written
+        if word.isalpha() and word.islower():  # of bytes: of ASCII letters alone
+            return b"".join([written[t.id] for t in self._merges.tokenize(text)])
+        if text.isalpha() and max(text) < LATIN_END and text.lower() == text:
+            return b"".join([written[t.id] for t in self._merges.tokenize(word.decode("latin-1").translate(_BYTE_LETTERS))])
+        return b"".join([written[i] for i in self._library.encode(text, add_special_tokens=False).ids])
 
     def _find(self, word: bytes) -> bytes:
-        core, mark = word[:-1], word[-1:]
-        if mark in (b".", b",", b"|") and core[-1:].isalnum():
-            ids = (self._cache.get(core) or self._find(core)) + (self._cache.get(mark) or self._find(mark))
-        elif word.isascii() and not word.islower() and b"<" not in word and (low := word.lower()) != word:
-            ids = self._cache.get(low)  # the tokenizer lowers letters; not where special strings may be
-            ids = self._find(low) if ids is None else ids
-        else:
-            ids = self._ask(word)
-        self._cache[word] = ids
+        ids = self._cache.get(word)
+        if ids is None:
+            ids = self._older.get(word)
+            if ids is None:
+                if word[-1] in b".,|" and (core := word[:-1])[-1:].isalnum():
+                    ids = self._find(core) + self._find(word[-1:])
+                elif word.isascii() and (low := word.lower()) != word and b"<" not in word:
+                    ids = self._find(low)  # the tokenizer lowers letters; not where special strings may be
+                else:
+                    ids = self._ask(word)
+            self._cache[word] = ids
         return ids
 
     def ids(self, text: bytes) -> bytes:
         if len(self._cache) > CACHED_WORDS:
-            self._cache.clear()
+            self._cache, self._older = {}, self._cache
         get, out = self._cache.get, []
         for word in text.split():
             ids = get(word)
