@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import scratch, streams
 
 WINDOW = 10
-RAREST = 3
+RAREST = 2
+FEW_TERMS = 500_000  # wanted terms sent to all tasks: at most some 20 MB
 BLOCK_TERMS = 2_000_000  # terms looked up in one pass over the corpus: at most 16 MB sent to an executor
 
 # Words are runs of letters, digits and all characters beyond ASCII; only A-Z are lowered.
@@ -42,31 +43,26 @@ def keyed(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("k1", F.xxhash64(content)).withColumn("k2", F.xxhash64(F.lit(1), content))
 
 
-def test_windows(items: DataFrame, item_id: str = "item_id", text: str = "text", size: int = WINDOW) -> DataFrame:
-    """Every distinct window: its phrase, the hashes of its terms, and the ids of the items that hold it.
+def test_items(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """Every item that has words: a number, its id as text, its words and the hashes of its terms.
 
-    An item of fewer words than a window, but not of none, is one window. Items without an id have the empty id.
+    Items without an id have the empty id. Rows are numbered as they are written, so the numbers stay.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in streams.pieces(batches, "text"):
             words = streams.Words(batch.column("text"), SEPARATOR, FOLD)
-            item, phrase, terms = [], [], []
-            for row in range(batch.num_rows):
-                lo, hi = words.bounds[row], words.bounds[row + 1]
-                own = [words.raw[a:b].tobytes() for a, b in zip(words.starts[lo:hi], words.ends[lo:hi])]
-                for i in range(max(1, len(own) - size + 1)) if own else ():
-                    item.append(batch.column("item")[row].as_py())
-                    phrase.append(b" ".join(own[i : i + size]).decode())
-                    terms.append(streams.signed(words.hashes[lo + i : min(lo + i + size, hi)].copy()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(item, pa.string()), pa.array(phrase, pa.string()), pa.array(terms, pa.list_(pa.int64()))],
-                ["item", "phrase", "terms"],
-            )
+            own = [
+                [words.raw[a:b].tobytes().decode() for a, b in zip(words.starts[lo:hi], words.ends[lo:hi])]
+                for lo, hi in zip(words.bounds, words.bounds[1:])
+            ]
+            terms = [streams.signed(words.hashes[lo:hi].copy()) for lo, hi in zip(words.bounds, words.bounds[1:])]
+            columns = [batch.column("id"), pa.array(own, pa.list_(pa.string())), pa.array(terms, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "words", "terms"])
 
-    rows = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text"))
-    found = rows.mapInArrow(work, "item string, phrase string, terms array<long>")
-    return found.groupBy("phrase").agg(F.first("terms").alias("terms"), F.sort_array(F.collect_set("item")).alias("items"))
+    rows = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("id"), F.col(text).alias("text"))
+    found = rows.mapInArrow(work, "id string, words array<string>, terms array<long>").where(F.size("words") > 0)
+    return scratch.written(found.withColumn("item", F.monotonically_increasing_id()), "items")
 
 
 def _lookup(docs: DataFrame, terms: list[int], places: bool, text: str) -> DataFrame:
@@ -111,49 +107,66 @@ def term_counts(docs: DataFrame, terms: list[int], text: str = "text") -> DataFr
 
 
 def index(docs: DataFrame, terms: list[int], text: str = "text") -> DataFrame:
-    """The stored index: postings of the terms over all texts, copies of a text once."""
-    return scratch.written(_lookup(docs, terms, True, text).distinct(), "postings")
-
-
-def rarest(windows: DataFrame, counts: DataFrame, most: int = RAREST) -> DataFrame:
-    """The chosen terms of every window all of whose terms are in the corpus: phrase, term, offset, rank, n_chosen."""
-    places = windows.select("phrase", F.size("terms").alias("n_terms"), F.posexplode("terms").alias("offset", "term"))
-    known = places.join(counts, "term")
-    whole = Window.partitionBy("phrase")
-    ranked = known.select(
-        "phrase",
-        "term",
-        "offset",
-        "n_terms",
-        F.count("*").over(whole).alias("n_known"),
-        F.row_number().over(whole.orderBy("n", "offset")).alias("rank"),
+    """The stored index: postings of the terms over all texts."""
+    return scratch.written(_lookup(docs, terms, True, text), "postings")
+
+
+def rarest(items: DataFrame, counts: DataFrame, size: int = WINDOW, most: int = RAREST) -> DataFrame:
+    """The chosen words of every window all of whose terms are in the corpus: item, offset of the window, place, term, rank.
+
+    A window is ``size`` words of an item, or the whole item if it has fewer.
+    """
+    place = items.select("item", F.size("terms").alias("n"), F.posexplode("terms").alias("place", "term"))
+    last = F.greatest(F.col("n") - size, F.lit(0))
+    first = F.greatest(F.col("place") - size + 1, F.lit(0))
+    in_window = place.withColumn("offset", F.explode(F.sequence(first, F.least(F.col("place"), last))))
+    known = in_window.join(counts.withColumnRenamed("n", "often"), "term")
+    whole = Window.partitionBy("item", "offset")
+    ranked = known.withColumn("known", F.count("*").over(whole)).withColumn(
+        "rank", F.row_number().over(whole.orderBy("often", "place"))
     )
-    chosen = ranked.where((F.col("n_known") == F.col("n_terms")) & (F.col("rank") <= most))
-    return chosen.select("phrase", "term", "offset", "rank", F.least("n_terms", F.lit(most)).alias("n_chosen"))
+    kept = ranked.where((F.col("known") == F.least("n", F.lit(size))) & (F.col("rank") <= most))
+    return kept.select("item", "offset", "place", "term", "rank")
 
 
 def phrase_candidates(postings: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Where the posting lists of a window's chosen terms, moved back by their offsets, meet: text key, phrase, start."""
-    moved = postings.join(chosen, "term").select(
-        "phrase", "k1", "k2", (F.col("position") - F.col("offset")).alias("start"), "rank", "n_chosen"
-    )
-    met = moved.groupBy("phrase", "k1", "k2", "start").agg(
-        F.bit_or(F.expr("shiftleft(1, rank - 1)")).alias("ranks"), F.first("n_chosen").alias("n_chosen")
+    """Where the posting lists of a window's chosen terms, moved back by their places, meet: text, item, offset, start.
+
+    Lists are moved to the start of the item rather than of each window, so a posting is one row however many windows
+    want it; the places found on one diagonal then tell which windows are met.
+    """
+    wanted = chosen.select("item", "place", "term").distinct()
+    moved = _with_terms(postings, wanted).select("item", "k1", "k2", (F.col("position") - F.col("place")).alias("at"), "place")
+    met = moved.groupBy("item", "k1", "k2", "at").agg(F.collect_set("place").alias("places"))
+    each = chosen.groupBy("item", "offset").agg(F.collect_list("place").alias("needed"))
+    least = each.groupBy("item").agg(
+        F.min(F.size("needed")).alias("least"), F.collect_list(F.struct("offset", "needed")).alias("windows")
     )
-    return met.where("ranks = shiftleft(1, n_chosen) - 1 AND start >= 0").select("phrase", "k1", "k2", "start")
+    joined = met.join(least.select("item", "least"), "item").where(F.size("places") >= F.col("least"))
+    whole = joined.join(least.select("item", "windows"), "item")
+    hit = whole.select("item", "k1", "k2", "at", "places", F.explode("windows").alias("w"))
+    hit = hit.where((F.size(F.array_except("w.needed", "places")) == 0) & (F.col("at") + F.col("w.offset") >= 0))
+    return hit.select("item", "k1", "k2", F.col("w.offset").alias("offset"), (F.col("at") + F.col("w.offset")).alias("start"))
+
+
+def _with_terms(postings: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Postings of wanted terms; the terms are sent to all tasks only if they are few."""
+    few = wanted.limit(FEW_TERMS + 1).count() <= FEW_TERMS
+    return postings.join(F.broadcast(wanted) if few else wanted, "term")
 
 
 def proximity_matches(postings: DataFrame, chosen: DataFrame, slop: int) -> DataFrame:
-    """Where all chosen terms of a window stand within ``slop`` words of where the rarest one puts them."""
-    moved = postings.join(chosen, "term").select(
-        "phrase", "k1", "k2", "rank", "n_chosen", (F.col("position") - F.col("offset")).alias("start")
+    """Windows whose chosen terms all stand within ``slop`` words of where the rarest one puts them: text, item, offset, start."""
+    by = ["item", "offset", "k1", "k2"]
+    moved = _with_terms(postings, chosen).select(
+        *by, "rank", (F.col("position") - F.col("place") + F.col("offset")).alias("start")
     )
     cell = F.floor(F.col("start") / (slop + 1))
     first = moved.where("rank = 1").withColumn("cell", F.explode(F.array(cell - 1, cell, cell + 1)))
-    others = moved.select("phrase", "k1", "k2", "rank", F.col("start").alias("other"), cell.alias("cell"))
-    near = first.drop("rank").join(others, ["phrase", "k1", "k2", "cell"]).where(F.abs(F.col("other") - F.col("start")) <= slop)
-    met = near.groupBy("phrase", "k1", "k2", "start").agg(F.countDistinct("rank").alias("n"), F.first("n_chosen").alias("n_chosen"))
-    return met.where("n = n_chosen").select("phrase", "k1", "k2", "start")
+    others = moved.select(*by, "rank", F.col("start").alias("other"), cell.alias("cell"))
+    near = first.drop("rank").join(others, [*by, "cell"]).where(F.abs(F.col("other") - F.col("start")) <= slop)
+    met = near.groupBy(*by, "start").agg(F.countDistinct("rank").alias("n"))
+    return met.join(chosen.groupBy("item", "offset").agg(F.count("*").alias("n")), ["item", "offset", "n"]).drop("n")
 
 
 def hits(
@@ -170,13 +183,16 @@ def hits(
     Null text has no words; null ids and repeated rows are documents of their own; an empty table on either side gives
     no hits. Columns that ``carry`` does not name are not read; a carried column must not have the name of a result.
     """
-    windows = scratch.written(test_windows(items, item_id, text, size), "windows")
-    terms = windows.select(F.explode("terms").alias("term")).distinct()
-    chosen = scratch.written(rarest(windows, term_counts(docs, [r[0] for r in terms.toLocalIterator()], text)), "chosen")
+    known = test_items(items, item_id, text)
+    terms = known.select(F.explode("terms").alias("term")).distinct()
+    counts = term_counts(docs, [r[0] for r in terms.toLocalIterator()], text)
+    chosen = scratch.written(rarest(known, counts, size), "chosen")
     needed = [r[0] for r in chosen.select("term").distinct().toLocalIterator()]
-    found = phrase_candidates(index(docs, needed, text), chosen).join(windows.select("phrase", "items"), "phrase")
+    found = phrase_candidates(index(docs, needed, text), chosen).join(known.select("item", "id", "words"), "item")
+    phrase = F.array_join(F.slice("words", F.col("offset") + 1, F.lit(size)), " ")
+    phrases = found.select("k1", "k2", "start", phrase.alias("phrase"), "id")
     by_text = scratch.written(
-        found.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "phrase", "items")).alias("candidates")), "candidates"
+        phrases.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "phrase", "id")).alias("candidates")), "candidates"
     )
     rows = docs.select(F.col(doc_id).alias("doc_id"), *carry, F.col(text).alias("_text"))
     joined = keyed(rows, "_text").join(by_text, ["k1", "k2"], "left").drop("k1", "k2")
@@ -199,7 +215,7 @@ def hits(
                     if own == phrase:
                         from_.append(a - lo)
                         to.append(b - lo)
-                        names_.update(c["items"])
+                        names_.add(c["id"])
                 covered = streams.cover(np.array(from_, np.int64), np.array(to, np.int64), int(counts[row]))
                 hit[row] = int(covered.sum())
                 edge = np.flatnonzero(np.diff(covered.astype(np.int8), prepend=0, append=0))
