@@ -195,7 +195,8 @@ def hits(
         phrases.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "phrase", "id")).alias("candidates")), "candidates"
     )
     rows = docs.select(F.col(doc_id).alias("doc_id"), *carry, F.col(text).alias("_text"))
-    joined = keyed(rows, "_text").join(by_text, ["k1", "k2"], "left").drop("k1", "k2")
+    # One way at every size: few candidates would be sent to all tasks, many would not, and the cost would jump between.
+    joined = keyed(rows, "_text").join(by_text.hint("merge"), ["k1", "k2"], "left").drop("k1", "k2")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in streams.pieces(batches, "_text"):
