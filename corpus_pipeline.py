@@ -43,7 +43,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     found = secrets.scan_versions(docs, ledger).where(F.size("findings") > 0)
     found = scratch.written(found.groupBy("blob").agg(F.first("findings").alias("findings")), "findings")
     blob = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    joined = docs.select(*COLUMNS).withColumn("blob", blob).join(found, "blob", "left")
+    joined = docs.select(*COLUMNS).withColumn("blob", blob).join(found.hint("merge"), "blob", "left")
     text = F.when(F.col("findings").isNull(), F.col("text")).otherwise(secrets.redacted(F.col("text"), F.col("findings")))
     n_chars = F.when(F.col("findings").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
     return joined.withColumn("text", text).withColumn("n_chars", n_chars).select(*COLUMNS)

@@ -133,8 +133,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     spread = pairs.join(groups, "a").withColumn("part", F.pmod(F.xxhash64("b"), "groups").cast("int"))
     lead = groups.select("a", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
     nobody = F.lit(None).cast("binary")
-    led = lead.join(texts, lead["a"] == texts["node"]).select("a", "part", nobody.alias("b"), "text")
-    members = spread.join(texts, spread["b"] == texts["node"]).select("a", "part", "b", "text")
+    led = lead.hint("merge").join(texts, lead["a"] == texts["node"]).select("a", "part", nobody.alias("b"), "text")
+    members = spread.hint("merge").join(texts, spread["b"] == texts["node"]).select("a", "part", "b", "text")
     rows = led.unionByName(members).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +204,7 @@ def block_links(open_: DataFrame, texts: DataFrame) -> DataFrame:
     spread = open_.join(blocks, bucket).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     group = [*bucket, "low", "high"]
     placed = spread.select(*bucket, F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "node", "root")
-    rows = placed.join(texts, "node").repartition(*group).sortWithinPartitions(*group)
+    rows = placed.hint("merge").join(texts, "node").repartition(*group).sortWithinPartitions(*group)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, nodes, roots, own = None, [], [], []
@@ -253,7 +253,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     )
     needed = shared.select("node", "doc").distinct()
     keyed = docs.select(_order(doc_id).alias("doc"), _node(text).alias("node"), F.col(text).alias("text"))
-    texts = scratch.written(keyed.join(needed, ["doc", "node"], "left_semi").select("node", "text"), "texts")
+    texts = scratch.written(keyed.join(needed.hint("merge"), ["doc", "node"], "left_semi").select("node", "text"), "texts")
     first = scratch.written(verified(stars, texts), "links")
     roots = components(first)
     rest = scratch.written(
