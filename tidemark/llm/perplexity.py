@@ -31,6 +31,7 @@ from tidemark.llm.streams import U
 ORDER = 5
 BEGIN, FINISH = "\x02", "\x03"
 SHARD_WORDS = 250_000
+TASK_WORDS = 500_000  # distinct words that a task gathers before it passes them on
 FEW_IDS = 4_000_000  # ids of trusted documents sent to all executors: at most some 100 MB
 QUANTILE, MARGIN = 0.995, 1.05
 
@@ -66,15 +67,28 @@ def vocabulary(docs: DataFrame) -> DataFrame:
     """Every distinct word with its hash and its count in trusted documents; ``docs`` has text and trusted."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: dict[int, bytes] = {}
+        times: dict[int, int] = {}
+
+        def seen() -> pa.RecordBatch:
+            columns = [pa.array(list(words.values()), pa.binary()), pa.array(list(words), pa.int64()), pa.array(list(times.values()), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["word", "hash", "n"])
+
         for part in streams.pieces(batches, "text"):
             t = Tokens(part.column("text"))
             good = np.repeat(part.column("trusted").to_numpy(zero_copy_only=False).astype(np.int64), np.diff(t.bounds))
             hashes, one, which = np.unique(t.hashes, return_index=True, return_inverse=True)
             n = np.bincount(which, weights=good, minlength=len(hashes)).astype(np.int64)
             data = t.raw.tobytes()
-            words = [data[a:b] for a, b in zip(t.starts[one].tolist(), t.ends[one].tolist())]
-            columns = [pa.array(words, pa.binary()), pa.array(streams.signed(hashes)), pa.array(n)]
-            yield pa.RecordBatch.from_arrays(columns, ["word", "hash", "n"])
+            for h, a, b, more in zip(streams.signed(hashes).tolist(), t.starts[one].tolist(), t.ends[one].tolist(), n.tolist()):
+                if h in words:
+                    times[h] += more
+                else:
+                    words[h], times[h] = data[a:b], more
+            if len(words) > TASK_WORDS:
+                yield seen()
+                words, times = {}, {}
+        yield seen()
 
     found = docs.select("text", "trusted").mapInArrow(work, "word binary, hash long, n long")
     return found.groupBy("hash").agg(F.first("word").alias("word"), F.sum("n").alias("n"))
