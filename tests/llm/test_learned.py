@@ -158,3 +158,39 @@ def test_the_pipeline_on_awkward_rows(spark, docs_of, monkeypatch):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, "")
         assert empty.count() == 0
+
+
+def test_perplexity_looks_past_a_word(spark, docs_of):
+    pick = np.random.default_rng(3)
+    after = {i: (i * 7 + 3) % 61 for i in range(61)}
+
+    def chain(start, n=60):
+        out = [start]
+        while len(out) < n:
+            out.append(after[out[-1]] if pick.random() < 0.9 else int(pick.integers(61)))
+        return [f"w{i}" for i in out]
+
+    trusted = [chain(i % 61) for i in range(60)]
+    whole = chain(5)
+    texts = [" ".join(t) for t in [*trusted, whole, pick.permutation(whole), whole[30:] + whole[:30]]]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in perplexity.classify(docs_of(texts), labels).collect()}
+    assert got[60].kept and not got[61].kept
+    assert got[61].perplexity > 1.3 * got[60].perplexity
+
+
+def test_pairs_and_what_is_left_sum_to_one(spark):
+    words = {w: 2 * (i + 1) for i, w in enumerate("abcd")}
+    counted = [("a", "b", 3), ("a", "c", 1), ("b", "a", 2), ("c", "a", 1), ("b", "b", 1)]
+    pairs = spark.createDataFrame([(1000 + i, words[v], words[w], c) for i, (v, w, c) in enumerate(counted)], "pair long, v long, w long, c long")
+    spelled = spark.createDataFrame([(h, [math.log(0.25)] * 2, 1) for h in words.values()], "hash long, logs array<double>, n int")
+    got = {r.id: r.value for r in perplexity.values(pairs, spelled).collect()}
+    extra = {(v, w): got[1000 + i] for i, (v, w, _) in enumerate(counted)}
+    n_follow, kinds = Counter(w for _, w, _ in counted), len(counted)
+    low = perplexity._discounts(Counter(n_follow.values()))
+    cut = {w: low[min(n, 3) - 1] for w, n in n_follow.items()}
+    p = {w: (n_follow[w] - cut.get(w, 0)) / kinds + sum(cut.values()) / kinds * 0.25 for w in words}
+    assert sum(p.values()) == pytest.approx(1.0)
+    for v in words:
+        left = math.exp(got[words[v]]) / p[v]
+        assert sum(left * p[w] * math.exp(extra.get((v, w), 0.0)) for w in words) == pytest.approx(1.0)

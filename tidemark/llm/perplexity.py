@@ -1,28 +1,30 @@
 """A quality classifier by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model predicts each character of a word, or of a run of signs, from the four before it; a word begins with four
-begin marks and ends with an end mark. Its counts come from all words of trusted documents. A word's probability is the
-same wherever it stands, so every distinct word of the corpus is scored once:
-
-* n-gram counts, the counts of what follows and of what may come before, and the smoothed probabilities are joins and
-  aggregations over n-grams, sharded by n-gram;
-* words are dealt to shards by their hash; a shard asks for the probabilities of its distinct n-grams by a join, and
-  scores its words;
-* each slice of documents sends to every shard which of the shard's words stand in which of its documents and how
-  often, a few bytes for each word of a document; the shard answers with the documents' sums.
+The model predicts each word, or run of signs, of a document from the one before it, and the document's end from its last
+word. Pairs of words are counted over the token stream of trusted documents; below them stands how many words come before
+a word, and below that the word's spelling, so no word is without a probability:
+
+* the spelling predicts each character of a word from the four before it; a word begins with four begin marks and ends
+  with an end mark. Its n-gram counts, continuation counts and smoothed probabilities are joins and aggregations over
+  n-grams, sharded by n-gram; it is asked once for every distinct word of the corpus;
+* all of it is counted apart for two halves of the documents, dealt by their text. A document is scored by the counts of
+  the other half, so none, and no copy of it, is scored by what it has brought itself;
+* a pair that the model has not seen costs what its two words cost each for itself, and a pair that it has seen differs
+  from that by an amount of its own. So words and pairs alike are keys with a value, dealt to shards; each slice of
+  documents sends to every shard which of its keys stand in which documents and how often, and the shard answers with
+  the documents' sums.
 
 A document's perplexity is taken over its characters. Documents are kept up to a quantile of the trusted documents'
-perplexities in the same language. Shards hold a bounded number of words, and are streamed, so memory stays bounded.
+perplexities in the same language. Shards hold a bounded number of keys, and are streamed, so memory stays bounded.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import scratch, streams
@@ -31,6 +33,8 @@ from tidemark.llm.streams import U
 ORDER = 5
 BEGIN, FINISH = "\x02", "\x03"
 SHARD_WORDS = 250_000
+SHARD_KEYS = 1_000_000  # words and pairs whose values a shard holds
+SLICE = 1 << 22  # bytes of text whose keys are gathered before they are passed on
 TASK_WORDS = 500_000  # distinct words that a task gathers before it passes them on
 FEW_IDS = 4_000_000  # ids of trusted documents sent to all executors: at most some 100 MB
 QUANTILE, MARGIN = 0.995, 1.05
@@ -39,6 +43,10 @@ QUANTILE, MARGIN = 0.995, 1.05
 KIND = np.full(256, 2, np.uint8)
 KIND[[0x20, *range(0x09, 0x0E)]] = 0
 KIND[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[0x41:0x5B] += 0x20
+EVEN = U(2**64 - 2)  # the lowest bit of a word's hash gives way to the half of the model
+EDGE = 0x2545F4914F6CDD1C  # stands before the first and after the last word of a document
 
 
 class Tokens:
@@ -46,6 +54,7 @@ class Tokens:
 
     def __init__(self, column: pa.Array) -> None:
         self.raw, self.offsets = streams.texts_of(column)
+        self.raw = FOLD[self.raw]
         kind = KIND[self.raw]
         edge = np.ones(len(kind) + 1, bool)
         edge[1:-1] = kind[1:] != kind[:-1]
@@ -64,25 +73,26 @@ def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
-    """Every distinct word with its hash and its count in trusted documents; ``docs`` has text and trusted."""
+    """Every distinct word with its hash and its counts in the trusted documents of either half; ``docs`` has text, key and trusted."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[int, bytes] = {}
-        times: dict[int, int] = {}
+        times: dict[int, list[int]] = {}
 
         def seen() -> pa.RecordBatch:
-            columns = [pa.array(list(words.values()), pa.binary()), pa.array(list(words), pa.int64()), pa.array(list(times.values()), pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, ["word", "hash", "n"])
+            columns = [pa.array(list(words.values()), pa.binary()), pa.array(list(words), pa.int64()), *(pa.array([n[i] for n in times.values()], pa.int64()) for i in (0, 1))]
+            return pa.RecordBatch.from_arrays(columns, ["word", "hash", "n0", "n1"])
 
         for part in streams.pieces(batches, "text"):
             t = Tokens(part.column("text"))
             good = np.repeat(part.column("trusted").to_numpy(zero_copy_only=False).astype(np.int64), np.diff(t.bounds))
             hashes, one, which = np.unique(t.hashes, return_index=True, return_inverse=True)
-            n = np.bincount(which, weights=good, minlength=len(hashes)).astype(np.int64)
+            half = np.repeat(part.column("key").to_numpy(zero_copy_only=False) & 1, np.diff(t.bounds))
+            n = np.bincount(which * 2 + half, weights=good, minlength=2 * len(hashes)).astype(np.int64).reshape(-1, 2)
             data = t.raw.tobytes()
             for h, a, b, more in zip(streams.signed(hashes).tolist(), t.starts[one].tolist(), t.ends[one].tolist(), n.tolist()):
                 if h in words:
-                    times[h] += more
+                    times[h] = [times[h][0] + more[0], times[h][1] + more[1]]
                 else:
                     words[h], times[h] = data[a:b], more
             if len(words) > TASK_WORDS:
@@ -90,8 +100,8 @@ def vocabulary(docs: DataFrame) -> DataFrame:
                 words, times = {}, {}
         yield seen()
 
-    found = docs.select("text", "trusted").mapInArrow(work, "word binary, hash long, n long")
-    return found.groupBy("hash").agg(F.first("word").alias("word"), F.sum("n").alias("n"))
+    found = docs.select("text", "key", "trusted").mapInArrow(work, "word binary, hash long, n0 long, n1 long")
+    return found.groupBy("hash").agg(F.first("word").alias("word"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
 def _grams(words: DataFrame) -> DataFrame:
@@ -113,7 +123,10 @@ def counts(words: DataFrame) -> list[DataFrame]:
 
 def discounts(grams: DataFrame) -> list[float]:
     """The discounts of n-grams counted once, twice and more often, from how many there are of each."""
-    seen = {r["c"]: r["n"] for r in grams.where("c <= 4").groupBy("c").agg(F.count("*").alias("n")).collect()}
+    return _discounts({r["c"]: r["n"] for r in grams.where("c <= 4").groupBy("c").agg(F.count("*").alias("n")).collect()})
+
+
+def _discounts(seen: dict[int, int]) -> list[float]:
     n = [0, *(seen.get(i, 0) for i in range(1, 5))]
     y = n[1] / max(n[1] + 2 * n[2], 1)
     return [min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.05), float(i)) if n[i] else min(0.5 * i, 1.5) for i in (1, 2, 3)]
@@ -147,81 +160,187 @@ def probabilities(by_order: list[DataFrame], wanted: DataFrame) -> DataFrame:
     return p
 
 
+def spellings(words: DataFrame, shards: int) -> DataFrame:
+    """For each word, by hash, the log probabilities of its spelling in either half and its number of predicted characters."""
+    padded = F.concat(F.lit(BEGIN * (ORDER - 1)), F.lower(F.col("word").cast("string")), F.lit(FINISH))
+    grams = F.transform(F.sequence(F.lit(1), F.length("p") - ORDER + 1), lambda i: F.substring("p", i, F.lit(ORDER)))
+    asked = scratch.written(words.select("shard", padded.alias("p")).select("shard", F.explode(grams).alias("gram")).distinct(), "asked")
+    wanted = scratch.written(asked.select("gram").distinct(), "wanted")
+    first, second = (probabilities(counts(words.select("word", F.col(n).alias("n"))), wanted).withColumnRenamed("p", n) for n in ("n0", "n1"))
+    logs = F.array(F.log("n0"), F.log("n1"))
+    answers = asked.join(first.join(second, "gram"), "gram").select("shard", F.lit(0).alias("kind"), F.col("gram").cast("binary").alias("a"), logs.alias("p"))
+    spelling = words.select("shard", F.lit(1).alias("kind"), padded.cast("binary").alias("a"), "hash")
+    rows = answers.unionByName(spelling, allowMissingColumns=True).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, grams = None, {}
+        for batch in batches:
+            out = []
+            for shard, kind, a, p, h in zip(*(batch.column(c).to_pylist() for c in ("shard", "kind", "a", "p", "hash"))):
+                if shard != current:
+                    current, grams = shard, {}
+                spelled = a.decode()
+                if kind == 0:
+                    grams[spelled] = p
+                else:
+                    n = len(spelled) - ORDER + 1
+                    own = [grams[spelled[k : k + ORDER]] for k in range(n)]
+                    out.append((h, [sum(x[i] for x in own) for i in (0, 1)], n))
+            columns = [pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.list_(pa.float64()), pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["hash", "logs", "n"])
+
+    return rows.select("shard", "kind", "a", "p", "hash").mapInArrow(work, "hash long, logs array<double>, n int")
+
+
+def _pairs(part: pa.RecordBatch, other: int) -> tuple[np.ndarray, ...]:
+    """Rows, words and words before them of a batch, each document between two edges, and the hashes of these pairs.
+
+    Words carry the half of their document's text, or with ``other`` = 1 the other half, in the lowest bit.
+    """
+    t = Tokens(part.column("text"))
+    size = np.diff(t.bounds)
+    size = size + (size > 0)
+    ends = np.cumsum(size)
+    row = np.repeat(np.arange(len(size)), size)
+    half = part.column("key").to_numpy(zero_copy_only=False).view(U) & U(1) ^ U(other)
+    words = np.empty(len(row), U)
+    last = np.zeros(len(row), bool)
+    last[ends[size > 0] - 1] = True
+    words[~last], words[last] = t.hashes, U(EDGE)
+    words = words & EVEN | half[row]
+    before = np.concatenate([words[-1:], words[:-1]])  # the edge that ends a document is that before the next
+    before = np.where(np.concatenate([last[-1:], last[:-1]]), U(EDGE) & EVEN | half[row], before)
+    return row, words, before, streams.mix(before * U(streams.WORD_BASE) + words)
+
+
+def pair_counts(docs: DataFrame) -> DataFrame:
+    """How often each pair of words follows one another in trusted documents, by half; ``docs`` has text, key and trusted."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in streams.pieces(batches, "text", SLICE):
+            _, w, v, pair = _pairs(part, 0)
+            pair, at, n = np.unique(pair, return_index=True, return_counts=True)
+            columns = [pa.array(streams.signed(x)) for x in (pair, v[at], w[at])]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64))], ["pair", "v", "w", "c"])
+
+    found = docs.where("trusted").select("text", "key").mapInArrow(work, "pair long, v long, w long, c long")
+    return found.groupBy("pair").agg(F.first("v").alias("v"), F.first("w").alias("w"), F.sum("c").alias("c"))
+
+
+def values(pairs: DataFrame, spelled: DataFrame) -> DataFrame:
+    """Keys of words and of pairs seen with their values: the log probability of a document is the sum over its keys.
+
+    A word's value is the log of its probability below pairs and of the weight that it leaves to what it was not seen
+    with; a pair's is what its probability differs by from the one and the other.
+    """
+
+    def half(c: str) -> Column:
+        return F.col(c).bitwiseAND(F.lit(1))
+
+    def leveled(column: Column, by: list[list[float]], which: Column) -> Column:
+        """The discount of a count in one of the halves."""
+        each = [F.when(column == 1, d[0]).when(column == 2, d[1]).when(column > 2, d[2]).otherwise(0.0) for d in by]
+        return F.when(which == 0, each[0]).otherwise(each[1])
+
+    def found(counted: DataFrame) -> list[list[float]]:
+        seen = [(r["half"], r["c"], r["n"]) for r in counted.where("c <= 4").groupBy("half", "c").agg(F.count("*").alias("n")).collect()]
+        return [_discounts({c: n for h, c, n in seen if h == k}) for k in (0, 1)]
+
+    top = found(pairs.select(half("v").alias("half"), "c"))
+    cut = leveled(F.col("c"), top, half("v"))
+    after = pairs.groupBy(F.col("v").alias("word")).agg(F.sum("c").alias("total"), F.sum(cut).alias("left"))
+    follows = scratch.written(pairs.groupBy(F.col("w").alias("word")).agg(F.count("*").alias("c")), "follows")
+    low = found(follows.select(half("word").alias("half"), "c"))
+    low_cut = leveled(F.col("c"), low, half("word"))
+    whole = {r["half"]: (r["c"], r["left"]) for r in follows.groupBy(half("word").alias("half")).agg(F.sum("c").alias("c"), F.sum(low_cut).alias("left")).collect()}
+    share = [(lambda c, left: (1.0 / c, left / c))(*whole[k]) if k in whole else (0.0, 1.0) for k in (0, 1)]
+    words = spelled.select(F.col("hash").bitwiseAND(F.lit(-2)).alias("hash"), "n", F.posexplode("logs").alias("half", "log"))
+    words = words.select(F.col("hash").bitwiseOR(F.col("half").cast("long")).alias("word"), "log", "n", "half")
+    one, rest = (F.when(F.col("half") == 0, share[0][i]).otherwise(share[1][i]) for i in (0, 1))
+    p = F.coalesce(F.col("c") - low_cut, F.lit(0.0)) * one + rest * F.exp("log")
+    left = F.coalesce(F.col("left") / F.col("total"), F.lit(1.0))
+    table = words.join(follows, "word", "left").join(after, "word", "left").select("word", F.log(p).alias("log_p"), F.log(left).alias("log_left"), "total", "n")
+    table = scratch.written(table, "words")
+    by_before = table.select(F.col("word").alias("v"), "log_left", "total")
+    by_word = table.select(F.col("word").alias("w"), "log_p")
+    apart = F.col("log_left") + F.col("log_p")
+    seen = pairs.join(by_before, "v").join(by_word, "w")
+    more = seen.select(F.col("pair").alias("id"), F.log1p((F.col("c") - cut) / F.col("total") * F.exp(-apart)).alias("value"), F.lit(0).alias("n"))
+    return table.select(F.col("word").alias("id"), (F.col("log_p") + F.col("log_left")).alias("value"), "n").unionByName(more)
+
+
 def _incidence(docs: DataFrame, shards: int) -> DataFrame:
-    """For each slice of documents and each shard: words by hash, and by word the documents it stands in and how often."""
+    """For each slice of documents and each shard: keys, and by key the documents it stands in and how often."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in streams.pieces(batches, "text"):
-            t = Tokens(part.column("text"))
-            row = np.repeat(np.arange(part.num_rows), np.diff(t.bounds))
-            words, which = np.unique(t.hashes, return_inverse=True)
-            pair, n = np.unique(which * part.num_rows + row, return_counts=True)
-            word, row = pair // part.num_rows, (pair % part.num_rows).astype(np.uint16 if part.num_rows <= 65536 else np.uint32)
-            at = shard_of(words, shards)
-            ids = {c: part.column(c) for c in ("doc_id", "key")}
-            for s in np.unique(at).tolist():
-                mine = at == s
-                rows = mine[word]
-                per_word = np.bincount(word[rows], minlength=len(words))[mine]
-                small = n[rows].max(initial=0) < 256
-                blobs = [words[mine].tobytes(), per_word.astype(np.uint32).tobytes(), row[rows].tobytes(), n[rows].astype(np.uint8 if small else np.uint32).tobytes()]
+        for part in streams.pieces(batches, "text", SLICE):
+            row, words, _, pair = _pairs(part, 1)
+            row = np.concatenate([row, row])
+            keys, which = np.unique(np.concatenate([words, pair]), return_inverse=True)
+            at = shard_of(keys, shards)
+            order = np.argsort(at, kind="stable")
+            rank = np.empty_like(order)
+            rank[order] = np.arange(len(order))
+            keys, at = keys[order], at[order]
+            cell, n = np.unique(rank[which] * part.num_rows + row, return_counts=True)
+            key, row = cell // part.num_rows, (cell % part.num_rows).astype(np.uint16 if part.num_rows <= 65536 else np.uint32)
+            per_key = np.bincount(key, minlength=len(keys)).astype(np.uint32)
+            cuts = np.flatnonzero(np.diff(at, prepend=-1, append=-1)) if len(at) else np.zeros(1, np.int64)
+            ids = {c: part.column(c).to_pylist() for c in ("doc_id", "key")}
+            for a, b, x, y in zip(cuts, cuts[1:], np.searchsorted(key, cuts), np.searchsorted(key, cuts[1:])):
+                times = n[x:y].astype(np.uint8 if n[x:y].max(initial=0) < 256 else np.uint32)
+                blobs = [keys[a:b].tobytes(), per_key[a:b].tobytes(), row[x:y].tobytes(), times.tobytes()]
                 columns = [
-                    pa.array([s], pa.int32()),
-                    *(pa.array([ids[c].to_pylist()], pa.list_(pa.int64())) for c in ids),
-                    *(pa.array([b], pa.binary()) for b in blobs),
+                    pa.array([at[a]], pa.int32()),
+                    *(pa.array([i], pa.list_(pa.int64())) for i in ids.values()),
+                    *(pa.array([blob], pa.binary()) for blob in blobs),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "docs", "doc_keys", "words", "sizes", "rows", "times"])
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "docs", "doc_keys", "keys", "sizes", "rows", "times"])
 
-    schema = "shard int, docs array<long>, doc_keys array<long>, words binary, sizes binary, rows binary, times binary"
+    schema = "shard int, docs array<long>, doc_keys array<long>, keys binary, sizes binary, rows binary, times binary"
     return docs.select("doc_id", "key", "text").mapInArrow(work, schema)
 
 
-def sums(docs: DataFrame, words: DataFrame, shards: int) -> DataFrame:
+def sums(docs: DataFrame, keyed: DataFrame, shards: int) -> DataFrame:
     """For each document its log probability and its number of predicted characters; ``docs`` has doc_id, key and text."""
-    by_order = counts(words)
-    spelled = words.select("shard", "word", F.lit(1).alias("n"))
-    padded = F.concat(F.lit(BEGIN * (ORDER - 1)), F.lower(F.col("word").cast("string")), F.lit(FINISH))
-    grams = F.transform(F.sequence(F.lit(1), F.length("p") - ORDER + 1), lambda i: F.substring("p", i, F.lit(ORDER)))
-    asked = scratch.written(spelled.select("shard", padded.alias("p")).select("shard", F.explode(grams).alias("gram")).distinct(), "asked")
-    answers = asked.join(probabilities(by_order, asked.select("gram").distinct()), "gram").select(
-        "shard", F.lit(0).alias("kind"), F.col("gram").cast("binary").alias("a"), F.log("p").alias("p")
-    )
-    spelling = words.select("shard", F.lit(1).alias("kind"), padded.cast("binary").alias("a"), "hash")
-    slices = _incidence(docs, shards).withColumn("kind", F.lit(2))
-    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), (answers, spelling, slices))
-    rows = rows.repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+    at = F.pmod(F.shiftrightunsigned("id", 32), F.lit(shards)).cast("int")
+    known = keyed.select(at.alias("shard"), F.lit(0).alias("kind"), "id", "value", "n")
+    slices = _incidence(docs, shards).withColumn("kind", F.lit(1))
+    rows = known.unionByName(slices, allowMissingColumns=True).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, grams, hashes, logs, lengths, ordered = None, {}, [], [], [], None
+        current, held, ordered = None, [], None
         for batch in batches:
             column = {n: batch.column(n) for n in batch.schema.names}
-            shard, kind = column["shard"].to_pylist(), column["kind"].to_pylist()
-            a, p = column["a"].to_pylist(), column["p"].to_pylist()
-            for i in range(batch.num_rows):
-                if shard[i] != current:
-                    current, grams, hashes, logs, lengths, ordered = shard[i], {}, [], [], [], None
-                if kind[i] == 0:
-                    grams[a[i].decode()] = p[i]
-                elif kind[i] == 1:
-                    spelled = a[i].decode()
-                    hashes.append(column["hash"][i].as_py())
-                    logs.append(sum(grams[spelled[k : k + ORDER]] for k in range(len(spelled) - ORDER + 1)))
-                    lengths.append(len(spelled) - ORDER + 1)
-                else:
-                    if ordered is None:
-                        h = np.array(hashes, np.int64).view(U)
-                        order = np.argsort(h)
-                        ordered = h[order], np.array(logs)[order], np.array(lengths)[order]
-                    ids, keys = column["docs"][i].values.to_numpy(zero_copy_only=False), column["doc_keys"][i].values
-                    words_, sizes = (np.frombuffer(column[c][i].as_py(), t) for c, t in (("words", U), ("sizes", np.uint32)))
-                    n = int(sizes.sum())
+            shard, kind = (column[c].to_numpy(zero_copy_only=False) for c in ("shard", "kind"))
+            edges = np.flatnonzero(np.diff(shard.astype(np.int64) * 2 + kind, prepend=-1, append=-1))
+            for a, b in zip(edges, edges[1:]):
+                if shard[a] != current:
+                    current, held, ordered = shard[a], [], None
+                if kind[a] == 0:
+                    held.append([column[c].slice(a, b - a).to_numpy(zero_copy_only=False) for c in ("id", "value", "n")])
+                    continue
+                if ordered is None:
+                    ids, value, n = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, t) for t in (np.int64, float, np.int32))
+                    order = np.argsort(ids.view(U))
+                    ordered, held = (ids.view(U)[order], value[order], n[order]), []
+                for i in range(a, b):
+                    docs_, doc_keys = column["docs"][i].values, column["doc_keys"][i].values
+                    keys, sizes = (np.frombuffer(column[c][i].as_py(), t) for c, t in (("keys", U), ("sizes", np.uint32)))
+                    many = int(sizes.sum())
                     of_row, times = (column[c][i].as_py() for c in ("rows", "times"))
-                    row = np.frombuffer(of_row, np.uint16 if len(of_row) == 2 * n else np.uint32)
-                    times = np.frombuffer(times, np.uint8 if len(times) == n else np.uint32)
-                    at = np.repeat(np.searchsorted(ordered[0], words_), sizes)
-                    log = np.bincount(row, ordered[1][at] * times, len(keys))
-                    size = np.bincount(row, ordered[2][at] * times, len(keys)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([column["docs"][i].values, keys, pa.array(log), pa.array(size)], ["doc_id", "key", "log", "n"])
+                    row = np.frombuffer(of_row, np.uint16 if len(of_row) == 2 * many else np.uint32)
+                    times = np.frombuffer(times, np.uint8 if len(times) == many else np.uint32)
+                    log, size = np.zeros(len(docs_)), np.zeros(len(docs_), np.int64)
+                    if len(ordered[0]):
+                        at = np.minimum(np.searchsorted(ordered[0], keys), len(ordered[0]) - 1)
+                        hit = ordered[0][at] == keys  # a pair that was not seen adds nothing
+                        at, hit = np.repeat(at, sizes), np.repeat(hit, sizes)
+                        log = np.bincount(row, np.where(hit, ordered[1][at], 0.0) * times, len(docs_))
+                        size = np.bincount(row, np.where(hit, ordered[2][at], 0) * times, len(docs_)).astype(np.int64)
+                    seen = np.flatnonzero(np.bincount(row, minlength=len(docs_)))
+                    columns = [docs_.take(pa.array(seen)), doc_keys.take(pa.array(seen)), pa.array(log[seen]), pa.array(size[seen])]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "log", "n"])
 
     return rows.mapInArrow(work, "doc_id long, key long, log double, n long").groupBy("doc_id", "key").agg(F.sum("log").alias("log"), F.sum("n").alias("n"))
 
@@ -251,7 +370,11 @@ def classify(
     words = scratch.written(vocabulary(rows), "words")
     shards = max(1, -(-words.count() // SHARD_WORDS))
     at = F.pmod(F.shiftrightunsigned("hash", 32), F.lit(shards)).cast("int")
-    scored = scratch.written(sums(rows, words.withColumn("shard", at), shards), "sums")
+    edge = docs.sparkSession.createDataFrame([(EDGE, bytearray(), 0, 0)], "hash long, word binary, n0 long, n1 long")  # spelled as no characters and an end
+    spelled = scratch.written(spellings(words.unionByName(edge).withColumn("shard", at), shards), "spellings")
+    pairs = scratch.written(pair_counts(rows), "pairs")
+    keyed = scratch.written(values(pairs, spelled), "values")
+    scored = scratch.written(sums(rows, keyed, max(1, -(-keyed.count() // SHARD_KEYS))), "sums")
     same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.key") == F.col("s.key"))
     rated = rows.drop("text").alias("d").join(scored.alias("s"), same, "left").select("d.*", F.exp(-F.col("log") / F.col("n")).alias("perplexity"))
     rated = scratch.written(rated.drop("key"), "rated")
