@@ -57,6 +57,14 @@ def test_licenses_in_awkward_texts(spark, docs_of):
     assert licenses.scan(docs_of([])).count() == 0
 
 
+def test_licenses_inside_quotes_brackets_and_marks(spark, docs_of):
+    forms = ["({})", '"{}"', "<p>{}</p>", "**{}**", "_{}_", "\u201c{}\u201d", "[{}]", "// {}", "'{}'", "see:{}!", "x ({}), y"]
+    texts = [f.format(n) for n in (NOTICE, "Licensed under CC BY 4.0.") for f in forms]
+    texts += ["Released under the <b>MIT</b> License.", "Released under the [MIT License](http://x.org/mit)."]
+    found = licenses.scan(docs_of(texts)).collect()
+    assert {r.doc_id for r in found} == set(range(len(texts))) and len(found) == len(texts)
+
+
 def test_bands_miss_as_rarely_as_asked():
     for n in (1, 2, 5, 10, 40):
         window = 4 << int(np.log2(n))

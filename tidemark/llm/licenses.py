@@ -46,10 +46,15 @@ NOTICES = (
 )
 
 
+# What parts words: all but a single sign between letters or digits ("2.0", "and/or"), and quotes, brackets and stops even there.
+_IN = r"\p{L}\p{N}\p{M}"
+PARTS = rf"[^{_IN}]{{2,}}+|(?<![{_IN}])[^{_IN}]|[^{_IN}](?![{_IN}])|[\s\"()<>|:;,!?\[\]{{}}*\u201c\u201d\u00ab\u00bb]"
+
+
 def terms(text: Column) -> Column:
-    """Words of letters, digits and dots inside numbers or names, in lower case."""
-    bare = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[.,;:!?]+(?=\s|$)", "")
-    return F.filter(F.split(bare, r'[\s"()<>|]+'), lambda w: w != "")
+    """Words of letters, digits and single signs inside them, in lower case; tags without attributes are left out."""
+    bare = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"</?[a-z][a-z0-9]*\s*/?>", " ")
+    return F.filter(F.split(bare, PARTS), lambda w: w != "")
 
 
 def shingles(words: Column) -> Column:
