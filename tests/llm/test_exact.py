@@ -65,6 +65,18 @@ def test_licenses_inside_quotes_brackets_and_marks(spark, docs_of):
     assert {r.doc_id for r in found} == set(range(len(texts))) and len(found) == len(texts)
 
 
+def test_every_place_of_a_notice_and_of_a_family_counts(spark, docs_of):
+    two, three = (f"This work is licensed under the GNU General Public License, version {n}." for n in (2, 3))
+    other = three.replace("work", "library")
+    texts = [f"{two} {prose(1, 90)} {other}", f"{NOTICE} {prose(2, 40)} {NOTICE} {NOTICE}", f"{two} {three}", other]
+    got = defaultdict(list)
+    for r in licenses.scan(docs_of(texts)).collect():
+        got[r.doc_id].append((r.at, r.license))
+    assert sorted(got[0]) == [(0, "GPL-2.0"), (12 + 90 + 2, "GPL-3.0")]
+    assert sorted(got[1]) == [(0, "MIT"), (45, "MIT"), (50, "MIT")]
+    assert sorted(got[2]) == [(0, "GPL-2.0"), (12, "GPL-3.0")] and [x for _, x in got[3]] == ["GPL-3.0"]
+
+
 def test_bands_miss_as_rarely_as_asked():
     for n in (1, 2, 5, 10, 40):
         window = 4 << int(np.log2(n))

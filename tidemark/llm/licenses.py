@@ -97,11 +97,11 @@ def scan(
     share: float = SHARE,
     miss: float = MISS,
 ) -> DataFrame:
-    """Each place of a notice in a text: license, notice, first word of the window, share of the notice's shingles.
+    """Each place of a notice in a text: license, notice, first word of the place, share of the notice's shingles.
 
     Null text holds none; documents without an id and repeated rows are listed as often as they stand; an empty table
-    gives no rows; other columns are neither read nor returned. Of the windows that hold a notice the fullest counts,
-    the earliest among equals.
+    gives no rows; other columns are neither read nor returned. Where places of one family of licenses overlap, the
+    fullest counts; places apart are all listed.
     """
     spark = docs.sparkSession
     given = spark.createDataFrame([(i, n.license, n.text) for i, n in enumerate(notices)], "notice int, license string, text string")
@@ -138,12 +138,54 @@ def scan(
         listed = part if listed is None else listed.unionByName(part)
     met = looks.join(F.broadcast(listed), ["class", "band", "key"])  # bounded: bands times the given notices
     found = met.withColumn("share", F.size(F.array_intersect("window", "wanted")) / F.size("wanted")).where(F.col("share") >= share)
-    best = found.groupBy("row", "notice").agg(
-        F.first("doc_id").alias("doc_id"),
-        F.first("license").alias("license"),
-        F.max(F.struct("share", (-F.col("at")).alias("before"))).alias("best"),
+    pairs = found.select("row", "notice").distinct()
+    return _apart(_places(pairs, held, sized, share)).select("doc_id", "license", "notice", "at", "share")
+
+
+def _places(pairs: DataFrame, held: DataFrame, notices: DataFrame, share: float) -> DataFrame:
+    """Every place of a found notice in its text: from the first to the last of its shingles there.
+
+    From each shingle of the notice on, twice the notice's length is looked at; of places that overlap the fullest
+    stays, the shortest among equals.
+    """
+    given = F.broadcast(notices.select("notice", "license", "wanted"))  # given, not gathered
+    hits = pairs.join(held, "row").join(given, "notice").select("row", "doc_id", "notice", "license", "wanted", F.posexplode("hashes").alias("pos", "h"))
+    hits = hits.where(F.array_contains("wanted", F.col("h"))).withColumn("size", F.size("wanted")).drop("wanted")
+    listed = hits.groupBy("row", "doc_id", "notice", "license", "size").agg(F.array_sort(F.collect_list(F.struct("pos", "h"))).alias("hits"))
+
+    def span(x: Column, i: Column) -> Column:
+        # at most 2 * size shingles of the notice can stand in the span
+        ahead = F.filter(F.slice("hits", i + 1, 2 * F.col("size")), lambda y: y["pos"] < x["pos"] + 2 * F.col("size"))
+        kinds = F.array_distinct(F.transform(ahead, lambda y: y["h"]))
+        first = F.transform(kinds, lambda h: F.array_min(F.transform(F.filter(ahead, lambda y: y["h"] == h), lambda y: y["pos"])))
+        return F.struct(x["pos"].alias("at"), F.array_max(first).alias("last"), (F.size(kinds) / F.col("size")).alias("share"))
+
+    spans = F.filter(F.transform("hits", span), lambda x: x["share"] >= share)
+    spans = listed.select("row", "doc_id", "notice", "license", spans.alias("spans"))
+
+    def fuller(x: Column, y: Column) -> Column:
+        longer = (x["share"] == y["share"]) & (x["last"] - x["at"] < y["last"] - y["at"])
+        return (x["share"] > y["share"]) | longer
+
+    def kept(so_far: Column, x: Column) -> Column:
+        before = F.element_at(so_far, -1)
+        held_back = F.slice(so_far, 1, F.size(so_far) - 1)
+        return (
+            F.when(F.size(so_far) == 0, F.array(x))
+            .when(x["at"] > before["last"], F.concat(so_far, F.array(x)))
+            .when(fuller(x, before), F.concat(held_back, F.array(x)))
+            .otherwise(so_far)
+        )
+
+    empty = F.array().cast("array<struct<at:int,last:int,share:double>>")
+    return spans.select("row", "doc_id", "notice", "license", F.explode(F.aggregate("spans", empty, kept)).alias("place")).select(
+        "row", "doc_id", "notice", "license", "place.*"
     )
-    # Notices that differ in a number only are found together; of such a family the fullest count.
-    most = F.max("best.share").over(Window.partitionBy("row", F.substring_index("license", "-", 1)))
-    fullest = best.withColumn("most", most).where("best.share = most")
-    return fullest.select("doc_id", "license", "notice", (-F.col("best.before")).alias("at"), F.col("best.share").alias("share"))
+
+
+def _apart(places: DataFrame) -> DataFrame:
+    """Notices that differ in a number only are found at one place together; of those of a family the fullest counts there."""
+    family = Window.partitionBy("row", F.substring_index("license", "-", 1))
+    seen = places.withColumn("all", F.collect_list(F.struct("at", "last", "share")).over(family))
+    beaten = F.exists("all", lambda y: (y["share"] > F.col("share")) & (y["at"] <= F.col("last")) & (F.col("at") <= y["last"]))
+    return seen.where(~beaten)
