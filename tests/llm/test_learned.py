@@ -194,3 +194,24 @@ def test_pairs_and_what_is_left_sum_to_one(spark):
     for v in words:
         left = math.exp(got[words[v]]) / p[v]
         assert sum(left * p[w] * math.exp(extra.get((v, w), 0.0)) for w in words) == pytest.approx(1.0)
+
+
+def test_pairs_at_the_threshold_align_after_a_header():
+    import pyarrow as pa
+
+    def own(words):
+        return neardup.labels(streams.Words(pa.array([" ".join(words)])).hashes)
+
+    for m in (1, 2, 3, 7, 50, 100, 333):
+        body, header = [f"b{i}" for i in range(4 * m + 4)], [f"h{i}" for i in range(m)]
+        assert neardup.aligned(own(header + body), own(body)) == pytest.approx(0.8), m
+
+
+def test_short_pairs_never_miss(docs_of):
+    texts = [" ".join(f"x{k}_{i}" for i in range(n)) for k in range(1500) for n in (8, 9)]
+    got = {r.doc_id: r.class_id for r in neardup.class_of(docs_of(texts)).collect()}
+    assert got == {i: i - i % 2 for i in range(len(texts))}
+    words = [f"y{i}" for i in range(79)]
+    for n in range(5, 76):
+        longer, shorter = (neardup.labels(streams.Words(neardup.pa.array([" ".join(words[:k])])).hashes) for k in (n + 4, -(-4 * n // 5) + 4))
+        assert np.intersect1d(neardup.prefix(longer), neardup.prefix(shorter)).size

@@ -5,7 +5,9 @@ unique in it. A sketch takes, for each of several hash functions, the few labels
 them in text order; texts agree on it the more, the more runs they share in the same order. Texts that agree on one are
 candidates. Two texts are near-duplicates if at least 0.8 of their runs align: the runs in common that lie in one order
 within the band that 0.8 allows, over all runs of both. As labels are unique, the longest alignment is a longest
-increasing run of places. At a similarity of 0.8 a pair misses all 24 sketches of four with a chance below 5 in a million.
+increasing run of places. At a similarity of 0.8 a pair misses all 24 sketches of four with a chance below 5 in a million
+if the longer text has 60 runs or more. Shorter texts miss them more often, so they also have as keys the smallest of their
+runs, so many that texts that share 0.8 of their runs share one of these (a prefix filter): of such pairs none is missed.
 
 Copies count once. In a bucket every text is first compared with the bucket's earliest text, one comparison for each
 text. Buckets whose texts are then still of several classes are dealt out in pairs of blocks of bounded size; a task
@@ -15,6 +17,7 @@ text travels once for each block it meets, not for each text. No bucket is cut o
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -34,6 +37,7 @@ SAMPLED = 4
 MEMBERS = 64  # texts compared with one leader in one group of rows
 BLOCK = 512  # texts of one bucket that are compared among themselves, or with another such block, in one group of rows
 COLUMNS = 4096  # runs counted at a time
+SHORT = 75  # texts of up to so many runs have prefix keys: those like a text of up to 60 runs
 LAST = (1 << 63) - 1
 
 _SEEDS = streams.mix(np.arange(1, SKETCHES + 1, dtype=U) * U(streams.WORD_BASE)) | U(1)
@@ -73,6 +77,12 @@ def sketch(own: np.ndarray) -> np.ndarray:
     return out
 
 
+def prefix(own: np.ndarray) -> np.ndarray:
+    """The smallest labels of a short text: one of them at least is among those of any text that is like it."""
+    n = len(own) if len(own) <= SHORT else 0
+    return np.sort(own)[: n - math.ceil(SIMILARITY * n - 1e-9) + 1] if n else own[:0]
+
+
 def aligned(a: np.ndarray, b: np.ndarray, at_least: float = SIMILARITY) -> float:
     """Share of the runs of two texts that align, or 0 if it is below ``at_least``."""
     total = len(a) + len(b)
@@ -83,7 +93,8 @@ def aligned(a: np.ndarray, b: np.ndarray, at_least: float = SIMILARITY) -> float
         return 0.0
     place = in_b[np.argsort(in_a)]
     where = np.sort(in_a)
-    band = total * (1 - 2 * at_least / (1 + at_least))  # insertions and deletions that the similarity allows
+    # Insertions or deletions before a run that the similarity allows; rounding must not lose a pair at the threshold.
+    band = int(total * (1 - at_least) / (1 + at_least) + 1e-9 * total + 1e-9)
     place = place[np.abs(place - where) <= band]
     if len(place) > 1 and (np.diff(place) <= 0).any():
         tails: list[int] = []
@@ -115,7 +126,7 @@ def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             found, sizes = [], []
             for row in range(part.num_rows):
                 own = labels(words.hashes[words.bounds[row] : words.bounds[row + 1]])
-                found.append(streams.signed(sketch(own)) if len(own) else None)
+                found.append(streams.signed(np.concatenate([sketch(own), prefix(own)])) if len(own) else None)
                 sizes.append(len(own))
             columns = [part.column("doc"), part.column("node"), pa.array(sizes, pa.int32()), pa.array(found, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["doc", "node", "n", "keys"])
@@ -242,6 +253,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         made.groupBy("node").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("keys").alias("keys")), "nodes"
     )
     places = nodes.where("keys IS NOT NULL").select("node", "doc", "n", F.posexplode("keys").alias("band", "key"))
+    places = places.withColumn("band", F.least("band", F.lit(SKETCHES)))  # prefix keys meet whatever their places
     bucket = ["band", "key"]
     size = places.groupBy(*bucket).agg(F.min(F.struct("doc", "node")).alias("lead"), F.count("*").alias("members"))
     shared = scratch.written(places.join(size.where("members > 1"), bucket), "buckets")
