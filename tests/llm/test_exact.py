@@ -70,13 +70,24 @@ def test_every_place_of_a_notice_and_of_a_family_counts(spark, docs_of):
     other = three.replace("work", "library")
     texts = [f"{two} {prose(1, 90)} {other}", f"{NOTICE} {prose(2, 40)} {NOTICE} {NOTICE}", f"{two} {three}", other]
     got = defaultdict(list)
-    for r in licenses.scan(docs_of(texts)).collect():
+    for r in licenses.scan(docs_of(texts), licenses.NOTICES[:10]).collect():
         got[r.doc_id].append((r.at, r.license))
     assert sorted(got[0]) == [(0, "GPL-2.0"), (12 + 90 + 2, "GPL-3.0")]
     assert sorted(got[1]) == [(0, "MIT"), (45, "MIT"), (50, "MIT")]
     assert sorted(got[2]) == [(0, "GPL-2.0"), (12, "GPL-3.0")] and [x for _, x in got[3]] == ["GPL-3.0"]
 
 
+def test_common_headers_are_found(spark, docs_of):
+    gnu = "This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU {}General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version."
+    texts = {gnu.format(""): "GPL-3.0", gnu.format("Affero "): "AGPL-3.0", gnu.format("Lesser "): "LGPL-3.0"}
+    texts |= {"This is free and unencumbered software released into the public domain.": "Unlicense"}
+    texts |= {"Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0", "Licensed under the CC0 1.0 Universal Public Domain Dedication.": "CC0-1.0"}
+    got = defaultdict(set)
+    for r in licenses.scan(docs_of([f"{prose(1, 30)}\n# {t}\n{prose(2, 300)}" for t in texts])).collect():
+        got[r.doc_id].add(r.license)
+    assert got == {i: {name} for i, name in enumerate(texts.values())}
+
+
 def test_bands_miss_as_rarely_as_asked():
     for n in (1, 2, 5, 10, 40):
         window = 4 << int(np.log2(n))

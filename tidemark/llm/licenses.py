@@ -31,7 +31,46 @@ class Notice:
     text: str
 
 
-# Notices by which public licenses are declared.
+_GNU = (
+    "is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, "
+    "either version {} of the License, or (at your option) any later version."
+)
+_WARRANTY = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+    "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY "
+    "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+    "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+
+
+def _gnu() -> tuple[Notice, ...]:
+    """Headers and short notices of the GNU licenses, of a version alone or of later ones too."""
+    names = {"GPL": ("General Public License", "23"), "LGPL": ("Lesser General Public License", ("2.1", "3")), "AGPL": ("Affero General Public License", "3")}
+    made = []
+    for short, (name, versions) in names.items():
+        for v in versions:
+            label = f"{short}-{v if '.' in v else v + '.0'}"
+            made += [Notice(label, f"This {kind} {_GNU.format(name, v)}") for kind in ("program", "library")]
+            made += [Notice(label, f"Licensed under the GNU {name}, version {v}."), Notice(label, f"Licensed under the GNU {name} v{v}.")]
+            made += [Notice(label, f"under the terms of the GNU {name} version {v} as published by the Free Software Foundation.")]
+    return tuple(made)
+
+
+def _creative_commons() -> tuple[Notice, ...]:
+    kinds = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives"}
+    kinds |= {"BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+    made = []
+    for short, name in kinds.items():
+        for v in ("4.0", "3.0"):
+            label = f"CC-{short}-{v}"
+            scope = "International" if v == "4.0" else "Unported"
+            made += [Notice(label, f"This work is licensed under a Creative Commons {name} {v} {scope} License.")]
+            if label not in ("CC-BY-4.0", "CC-BY-NC-4.0"):  # listed below
+                made += [Notice(label, f"Licensed under CC {short} {v}.")]
+    return tuple(made)
+
+
+# Notices by which public licenses are declared, and short licenses whole.
 NOTICES = (
     Notice("MIT", "Released under the MIT License."),
     Notice("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
@@ -43,6 +82,35 @@ NOTICES = (
     Notice("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
     Notice("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     Notice("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose"),
+    *_gnu(),
+    *_creative_commons(),
+    Notice("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    Notice("CC0-1.0", "Licensed under the CC0 1.0 Universal Public Domain Dedication."),
+    Notice("Unlicense", "This is free and unencumbered software released into the public domain."),
+    Notice(
+        "Unlicense",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+        "binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
+    Notice(
+        "Apache-2.0",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+        "You may obtain a copy of the License at",
+    ),
+    Notice(
+        "MIT",
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. " + _WARRANTY,
+    ),
+    Notice(
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+        "copyright notice and this permission notice appear in all copies.",
+    ),
+    Notice("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    Notice("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
 )
 
 
@@ -184,8 +252,12 @@ def _places(pairs: DataFrame, held: DataFrame, notices: DataFrame, share: float)
 
 
 def _apart(places: DataFrame) -> DataFrame:
-    """Notices that differ in a number only are found at one place together; of those of a family the fullest counts there."""
-    family = Window.partitionBy("row", F.substring_index("license", "-", 1))
+    """Notices that differ in a number or a word are found at one place together; of a family the fullest counts there.
+
+    Of equally full ones the longest counts. The GNU licenses are one family.
+    """
+    family = Window.partitionBy("row", F.regexp_replace(F.substring_index("license", "-", 1), "^[AL]GPL$", "GPL"))
     seen = places.withColumn("all", F.collect_list(F.struct("at", "last", "share")).over(family))
-    beaten = F.exists("all", lambda y: (y["share"] > F.col("share")) & (y["at"] <= F.col("last")) & (F.col("at") <= y["last"]))
+    longer = lambda y: (y["share"] == F.col("share")) & (y["last"] - y["at"] > F.col("last") - F.col("at"))
+    beaten = F.exists("all", lambda y: ((y["share"] > F.col("share")) | longer(y)) & (y["at"] <= F.col("last")) & (F.col("at") <= y["last"]))
     return seen.where(~beaten)
