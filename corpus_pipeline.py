@@ -64,7 +64,7 @@ STAGES = [
     ("best-fit packing", best_fit_packing),
 ]
 
-ORACLE_SQL = None  # the model, the sketches and the packing plan have no SQL; the tests hold run() against brute force
+ORACLE_SQL = None  # the model, the sketches and the packing plan have no SQL; the tests walk the stages over a few rows, run() itself is not tested
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
