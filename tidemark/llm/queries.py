@@ -160,3 +160,16 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import perplexity
 
     return perplexity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tidemark.llm import alignment
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        model = f.read()
+    return alignment.digest(table(spark, sf_dir, "documents"), spec, model)
