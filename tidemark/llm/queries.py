@@ -173,3 +173,10 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
         model = f.read()
     return alignment.digest(table(spark, sf_dir, "documents"), spec, model)
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import repair
+
+    return repair.report(repair.damaged(table(spark, sf_dir, "conversations")))
