@@ -180,3 +180,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import repair
 
     return repair.report(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import langid
+
+    return langid.identify(table(spark, sf_dir, "documents"))
