@@ -129,7 +129,9 @@ def fit(learned: DataFrame, text: str = "text", lang: str = "lang", buckets: int
     spark = learned.sparkSession
     rows = learned.select(F.col(lang).alias("lang"), F.lower(text).alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    sizes = rows.groupBy("lang").count().orderBy("lang").limit(LANGUAGES + 1).collect()
+    hashed = rows.withColumn("h", F.xxhash64("text"))
+    sizes = hashed.groupBy("lang").agg(F.count("*").alias("count"), F.approx_count_distinct("h").alias("texts"))
+    sizes = sizes.orderBy("lang").limit(LANGUAGES + 1).collect()
     if len(sizes) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages to learn")
     languages = tuple(r["lang"] for r in sizes)
@@ -156,9 +158,12 @@ def fit(learned: DataFrame, text: str = "text", lang: str = "lang", buckets: int
         df[r["bucket"]] = r["n"]
     idf = np.log((1 + sum(r["count"] for r in sizes)) / (1 + df)).astype(np.float32) + np.float32(1e-3)
 
-    hashed = rows.withColumn("h", F.xxhash64("text"))
+    # Hashes are spread evenly, so few but the smallest need to be ranked; a language of any size sends as many to its task.
+    shares = [(r["lang"], min(4 * sample_rows * 2**64 // max(r["texts"], 1), 2**64 - 1) - 2**63) for r in sizes]
+    low = spark.createDataFrame(shares, "lang string, low long")
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    last = hashed.select("lang", "h").distinct().withColumn("nth", nth).where(f"nth <= {sample_rows}")
+    few = hashed.select("lang", "h").join(F.broadcast(low), "lang").where("h <= low").select("lang", "h")
+    last = few.distinct().withColumn("nth", nth).where(f"nth <= {sample_rows}")
     last = last.groupBy("lang").agg(F.max("h").alias("last"))  # a row for each language
     sample = hashed.join(F.broadcast(last), "lang").where("h <= last").dropDuplicates(["lang", "h"]).select("lang", "text")
     shared_idf = spark.sparkContext.broadcast(idf)
