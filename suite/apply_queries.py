@@ -9,7 +9,7 @@ from suite.registry import query, rows_of
 from tidemark.operators import modes
 from tidemark.operators.align import align
 from tidemark.operators.chunks import chunk_index
-from tidemark.operators.matching import hot_keys, plan_match
+from tidemark.operators.matching import hot_keys, hot_on_either, plan_match
 
 CUT = "TIMESTAMP '1998-01-01 00:00:00'"
 
@@ -154,7 +154,7 @@ CHUNKED_MERGE = f"SELECT {LINE_COLUMNS} FROM ({merged_sql(OLD_LINES, LAST_CHUNKS
 @query("mode_chunked_merge", CHUNKED_MERGE)
 def mode_chunked_merge(spark, sf_dir):
     target, source = rows_of(spark, sf_dir, OLD_LINES), rows_of(spark, sf_dir, NEW_LINES)
-    how = plan_match(target, source, LINE_KEY) | {"hot": hot_keys(source, LINE_KEY)}
+    how = plan_match(target, source, LINE_KEY) | {"hot": hot_on_either(target, source, LINE_KEY)}
     return modes.chunked_merge(target, source, LINE_KEY, "l_shipdate", YEAR_ENDS, **how)
 
 

@@ -13,8 +13,7 @@ from suite.apply_queries import (
     merged_sql,
 )
 from suite.registry import new_folder, new_store, query, rows_of, tables
-from tidemark.operators.chunks import chunk_bounds
-from tidemark.plans.load import load_chunks, run_log, run_task
+from tidemark.plans.load import load_chunks, load_in_chunks, run_log, run_task
 from tidemark.spec import Mapping, Source, Target, Task
 from tidemark.streaming.arrivals import load_arrivals
 
@@ -33,9 +32,7 @@ def mode_chunked_append(spark, sf_dir):
     old, new = rows_of(spark, sf_dir, OLD_LINES), rows_of(spark, sf_dir, NEW_LINES)
     store = new_store(spark, old)
     store.load(old, "initial")
-    rows = new.count()
-    bounds = chunk_bounds(new, "l_shipdate", rows, -(-rows // 3))
-    load_chunks(store, new, "append", bounds, incr="l_shipdate")
+    load_in_chunks(store, new, "append", -(-new.count() // 3), incr="l_shipdate")
     return store.read()
 
 

@@ -10,7 +10,7 @@ from conftest import rows
 from tidemark.operators import modes
 from tidemark.operators.align import align
 from tidemark.operators.chunks import chunk_bounds, chunk_index, chunks
-from tidemark.operators.matching import hot_keys, key_hash, match, plan_match, usable_keys
+from tidemark.operators.matching import hot_keys, hot_on_either, key_hash, match, plan_match, usable_keys
 from tidemark.spec import SpecError
 
 SCHEMA = "k long, j string, v double, at long"
@@ -211,3 +211,21 @@ def test_text_with_its_own_offset_keeps_its_instant(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     seconds = [r[0] for r in align(df, target, zone="America/Mexico_City").select(F.unix_seconds("t")).collect()]
     assert seconds == [1704088800] * 4
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_counts_with_a_key_that_owns_a_third_of_the_target_alone(spark, small):
+    target = spark.range(3000).selectExpr("IF(id % 3 = 0, 7, id + 100) AS k", "'x' AS j", "0.5 AS v", "id AS at")
+    source = spark.createDataFrame([(7, "x", 0.5, 1), (101, "x", 0.5, 1), (None, "x", 0.5, 1), (7, "y", 0.5, 2)], SCHEMA)
+    got = modes.merge_counts(target, source, ["k"], small=small).first()
+    assert (got.deleted, got.inserted) == (1001, 4)
+
+
+def test_chunked_merge_with_a_key_that_is_hot_in_the_target_alone(spark):
+    target = spark.range(900).selectExpr("IF(id % 3 = 0, 7, id + 100) AS k", "'x' AS j", "CAST(0 AS DOUBLE) AS v", "id AS at")
+    source = spark.createDataFrame([(7, "n", 1.0, 1), (7, "n", 2.0, 9), (101, "n", 1.0, 5), (None, "n", 1.0, 2)], SCHEMA)
+    hot = hot_on_either(target, source, ["k"])
+    assert set(hot) >= {r.h for r in spark.range(1).selectExpr("xxhash64(CAST(7 AS LONG)) AS h").collect()}
+    got = rows(modes.chunked_merge(target, source, ["k"], "at", ["4"], hot=hot))
+    old = [tuple(r) for r in target.collect() if r.k not in (7, 101)]
+    assert got == sorted(old + [(7, "n", 2.0, 9), (101, "n", 1.0, 5), (None, "n", 1.0, 2)], key=repr)

@@ -1,16 +1,23 @@
 import datetime as dt
+import pathlib
+import random
+import shutil
 import threading
+import time
 
 import pytest
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tidemark.operators import chunks
 from tidemark.operators.hwm import identity
-from tidemark.plans.load import load_chunks
+from tidemark.plans.load import load_chunks, load_in_chunks
 from tidemark.sinks.files import CommitConflict, Folder, scratch_root
 from tidemark.spec import Source, SpecError, Target
 
 SCHEMA = "id long, v string, at long"
+SCHEMA_NAMES = ["id", "v", "at"]
 KEY = identity("job", "db", Source(table="raw.t"), Target("ods.t", "merge", "id"))
 
 
@@ -59,27 +66,90 @@ def test_null_keys_pile_up_and_composite_keys(spark, store):
     assert rows(table.read()) == sorted([data[0], data[0], data[1], data[1], data[2]], key=repr)
 
 
+def files_of(table, directories=None):
+    root = pathlib.Path(table.root.removeprefix("file:")) / "data"
+    return {str(f): f.stat().st_mtime_ns for d in directories or [p.name for p in root.iterdir()] for f in (root / d).glob("*.parquet")}
+
+
 @pytest.mark.parametrize("limit", [0, 1 << 20])
-def test_merge_rewrites_only_files_with_matches(spark, store, limit):
+def test_merge_rewrites_no_file(spark, store, limit):
     table = store(SCHEMA, broadcast_bytes=limit)
     base = spark.range(1000).select("id", F.lit("old").alias("v"), F.col("id").alias("at"))
     table.load(base.repartitionByRange(4, "id"), "initial")
     table.load(base.select((F.col("id") + 1000).alias("id"), "v", "at"), "initial")
-    before = table.snapshot()
+    before, written = table.snapshot(), files_of(table)
     fix = spark.range(10, 20).select("id", F.lit("new").alias("v"), F.lit(5).cast("long").alias("at"))
     done = table.load(fix, "merge", pk=["id"])
     assert (done.deleted, done.inserted) == (10, 10)
     after = table.snapshot()
-    assert after.parts[1] in before.parts or after.parts[0] in before.parts
-    hollow = [p for p in after.parts if p.directory == before.parts[0].directory]
-    assert len(hollow) == 1 and len(hollow[0].files) == 3
+    assert after.parts[:2] == before.parts and len(after.parts) == 3 and [d.rows for d in after.deletions] == [10]
+    assert written.items() <= files_of(table).items()
+    keys = spark.read.parquet(f"{table.root}/data/{after.deletions[0].directory}")
+    assert rows(keys) == [(i, 1) for i in range(10, 20)]
     assert after.rows == 2000 == table.read().count()
     assert table.read().where("v = 'new'").count() == 10
     assert table.read().select("id").distinct().count() == 2000
-    # A key range that meets no row leaves every file alone.
+    # A key range that meets no row leaves nothing behind but its own rows.
     far = spark.createDataFrame([(5000, "x", 1)], SCHEMA)
     assert table.load(far, "merge", pk=["id"]).deleted == 0
-    assert table.snapshot().parts[: len(after.parts)] == after.parts
+    assert table.snapshot().deletions == after.deletions
+    folded = table.compact(rows_below=0, fold_share=0)
+    assert folded.deletions == () and folded.rows == 2001 == table.read().count()
+    assert before.parts[1].directory in folded.directories() and before.parts[0].directory not in folded.directories()
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_any_order_of_loads_and_compactions(spark, store, limit):
+    """Against a list of rows in Python: merges by one and by two keys, appends, full loads, null keys, repeated keys."""
+    table, have, pick = store(SCHEMA, broadcast_bytes=limit), [], random.Random(limit)
+    for step in range(14):
+        data = [(pick.choice([None, *range(6)]), pick.choice([None, "a", "b"]), step) for _ in range(pick.randint(1, 5))]
+        mode, pk = pick.choice([("append", []), ("merge", ["id"]), ("merge", ["id"]), ("merge", ["id", "v"]), ("merge", ["v"])])
+        mode = "full" if step == 9 else mode
+        taken = {tuple(r[SCHEMA_NAMES.index(k)] for k in pk) for r in data}
+        gone = [r for r in have if (key := tuple(r[SCHEMA_NAMES.index(k)] for k in pk)) in taken and None not in key] if mode == "merge" else []
+        done = table.load(frame(spark, *data), mode, pk=pk)
+        assert (done.deleted, done.inserted) == (len(have) if mode == "full" else len(gone), len(data))
+        have = [] if mode == "full" else [r for r in have if r not in gone]
+        have += data
+        if step in (4, 8, 12):
+            table.compact(rows_below=3, fold_share=pick.choice([0, 0.4]))
+        assert rows(table.read()) == sorted(have, key=repr) and table.snapshot().rows == len(have)
+    table.compact(rows_below=0, fold_share=0)
+    assert table.snapshot().deletions == () and rows(table.read()) == sorted(have, key=repr)
+
+
+def test_chunked_merge_rewrites_no_file(spark, store):
+    table = store(SCHEMA)
+    table.load(spark.range(100).select("id", F.lit("old").alias("v"), F.col("id").alias("at")).repartition(5), "initial")
+    written = files_of(table)
+    # Keys come again in later chunks, whose rows then stand.
+    again = spark.range(300).selectExpr("id % 60 AS id", "concat('new', id) AS v", "id AS at")
+    seen = []
+    load_chunks(table, again, "merge", ["99", "199"], incr="at", pk=["id"], after_chunk=lambda a: seen.append((a.version, a.deleted, set(files_of(table)))))
+    after = table.snapshot()
+    assert [v for v, _, _ in seen] == [2, 3, 4] and after.version == 4
+    assert written.items() <= files_of(table).items()
+    assert len(files_of(table)) - len(written) == len(files_of(table, after.directories() - {after.parts[0].directory}))
+    want = {}
+    for i in range(300):
+        want.setdefault((i % 60, i // 100), []).append((i % 60, f"new{i}", i))
+    last = {k: max(c for key, c in want if key == k) for k in range(60)}
+    left = [r for (k, c), own in want.items() if c == last[k] for r in own] + [(i, "old", i) for i in range(60, 100)]
+    assert rows(table.read()) == sorted(left, key=repr) and after.rows == len(left)
+
+
+def test_commits_do_not_grow_with_files(spark, store):
+    table = store(SCHEMA)
+    table.load(frame(spark, *[(i, "x", i) for i in range(3)]).coalesce(1), "initial")
+    size = len(table.snapshot().to_json())
+    (one,) = files_of(table)
+    table.load(frame(spark, (7, "y", 7)).coalesce(1), "initial")
+    for i in range(10_000):
+        shutil.copyfile(one, one.replace("part-00000", f"part-{i + 1:05d}"))
+    done = table.load(frame(spark, (1, "z", 1), (7, "z", 1)), "merge", pk=["id"])
+    assert done.deleted == 10_002 and table.read().count() == 20_004
+    assert len(table.snapshot().to_json()) < size + 1000
 
 
 @pytest.mark.parametrize("limit", [0, 1 << 20])
@@ -175,9 +245,157 @@ def test_a_replayed_batch_changes_nothing(spark, store):
     table.load(frame(spark, (3, "c", 1)), "append", stream=("other", 0))
     assert table.read().count() == 3
     table.load(frame(spark), "append", stream=("q", 2))
-    assert table.snapshot().streams == {"q": ["", 2], "other": ["", 0]}
+    assert table.snapshot().streams == {"q": {"": 2}, "other": {"": 0}}
     table.load(frame(spark, (4, "d", 1)), "append", stream=("q", 0, "another checkpoint"))
-    assert table.snapshot().streams["q"] == ["another checkpoint", 0]
+    assert table.snapshot().streams["q"] == {"": 2, "another checkpoint": 0}
+
+
+@pytest.mark.parametrize("mode", ["append", "merge"])
+def test_a_replay_after_another_run_changes_nothing(spark, store, mode):
+    """Run A commits batch 5 and dies before its checkpoint does, run B starts, then A replays batch 5."""
+    table, pk = store(SCHEMA), ["id"] if mode == "merge" else []
+    table.load(frame(spark, (1, "a", 1)), mode, pk=pk, stream=("q", 5, "A"))
+    table.load(frame(spark, (2, "b", 1)), mode, pk=pk, stream=("q", 0, "B"))
+    table.load(frame(spark, (2, "c", 1)), mode, pk=pk, stream=("q", 1, "B"))
+    version, content = table.snapshot().version, rows(table.read())
+    table.load(frame(spark, (1, "a", 1)), mode, pk=pk, stream=("q", 5, "A"))
+    assert table.snapshot().version == version and rows(table.read()) == content
+    table.load(frame(spark, (3, "d", 1)), mode, pk=pk, stream=("q", 6, "A"))
+    assert table.snapshot().streams == {"q": {"A": 6, "B": 1}}
+
+
+# Two writers
+
+
+def overtaken(table, monkeypatch, between):
+    """Loads of the table see its state before ``between`` at first."""
+    stale, seen, real = table.snapshot(), [], table.snapshot
+    between()
+
+    def snapshot():
+        seen.append(1)
+        return stale if len(seen) == 1 else real()
+
+    monkeypatch.setattr(table, "snapshot", snapshot)
+
+
+def test_an_append_goes_on_from_the_commit_that_overtook_it(spark, store, monkeypatch):
+    table = store(SCHEMA)
+    table.load(frame(spark, (1, "a", 1)), "append", incr="at", key=KEY)
+    overtaken(table, monkeypatch, lambda: table.load(frame(spark, (2, "b", 50)), "append", incr="at", key=KEY))
+    done = table.load(frame(spark, (3, "c", 7)), "append", incr="at", key=KEY)
+    monkeypatch.undo()
+    assert (done.version, done.inserted) == (3, 1) and rows(table.read()) == [(1, "a", 1), (2, "b", 50), (3, "c", 7)]
+    assert table.stored_point(KEY) == "50" and table.snapshot().rows == 3
+
+
+def test_an_append_after_a_merge_keeps_its_rows(spark, store, monkeypatch):
+    table = store(SCHEMA)
+    table.load(frame(spark, (1, "a", 1)), "append")
+    overtaken(table, monkeypatch, lambda: table.load(frame(spark, (1, "b", 2)), "merge", pk=["id"]))
+    table.load(frame(spark, (1, "c", 3)), "append")
+    monkeypatch.undo()
+    assert rows(table.read()) == [(1, "b", 2), (1, "c", 3)]
+
+
+@pytest.mark.parametrize("mode", ["merge", "full"])
+def test_an_overtaken_merge_or_full_load_is_a_conflict(spark, store, monkeypatch, mode):
+    table = store(SCHEMA)
+    table.load(frame(spark, (1, "a", 1)), "append")
+    overtaken(table, monkeypatch, lambda: table.load(frame(spark, (1, "b", 2)), "merge", pk=["id"]))
+    with pytest.raises(CommitConflict):
+        table.load(frame(spark, (1, "c", 3)), mode, pk=["id"])
+    monkeypatch.undo()
+    assert rows(table.read()) == [(1, "b", 2)]
+
+
+def test_appends_at_the_same_time_are_all_kept(spark, store):
+    table, errors = store(SCHEMA), []
+
+    def run(i):
+        try:
+            table.load(frame(spark, (i, "x", i)), "append", incr="at", key=KEY)
+        except Exception as e:  # reported below
+            errors.append(e)
+
+    threads = [threading.Thread(target=run, args=(i,)) for i in range(5)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert errors == [] and rows(table.read()) == [(i, "x", i) for i in range(5)]
+    assert table.snapshot().version == 5 and table.stored_point(KEY) == "4"
+
+
+def test_storage_without_a_conditional_create_is_refused(tmp_path):
+    def folder(**options):
+        made = Folder(str(tmp_path / "c"), **options)
+        made._fs = fs.SubTreeFileSystem("/", fs.LocalFileSystem())
+        return made
+
+    with pytest.raises(CommitConflict, match="single_writer"):
+        folder().publish("1.json", "x")
+    alone = folder(single_writer=True)
+    alone.publish("1.json", "x")
+    with pytest.raises(CommitConflict):
+        alone.publish("1.json", "y")
+    assert alone.read("1.json") == "x" and alone.names() == ["1.json"] == [p.name for p in (tmp_path / "c").iterdir()]
+
+
+# What is left behind
+
+
+def test_sweep_takes_what_no_commit_names(spark, store):
+    table = store(SCHEMA)
+    table.load(frame(spark, (1, "a", 1)), "append")
+    table.load(frame(spark, (1, "b", 2)), "merge", pk=["id"])
+    table.stage(frame(spark, (9, "lost", 9)))
+    assert table.sweep() == 0  # too young
+    with table.lease():
+        running = table.stage(frame(spark, (8, "running", 8)))
+        assert table.sweep(older_than=0) == 1
+        assert table.read_part(running.part, table.snapshot().schema).count() == 1
+    assert table.sweep(older_than=0) == 1
+    assert rows(table.read()) == [(1, "b", 2)] and table.sweep(older_than=0) == 0
+    table._leases.publish("0000000000001-dead", "")
+    table.stage(frame(spark, (9, "lost", 9)))
+    assert table.sweep(older_than=0) == 1 and table._leases.names() == []
+
+
+def test_loads_leave_nothing_that_no_commit_names(spark, store):
+    table = store(SCHEMA)
+    source = spark.range(100).select((F.col("id") % 40).alias("id"), F.lit("x").alias("v"), F.col("id").alias("at"))
+    load_in_chunks(table, source, "merge", 30, incr="at", pk=["id"])
+    table.load(frame(spark), "append")
+    table.load(frame(spark, (5000, "far", 1)), "merge", pk=["id"])
+    assert set(table._data.directories()) == table.snapshot().directories() and table._leases.names() == []
+
+
+# Chunks
+
+
+def test_a_chunked_load_reads_its_source_once(spark, store):
+    table = store(SCHEMA)
+    # Every reading of this source gives other values, so a second one would lose or double rows.
+    source = spark.range(2000).select("id", F.lit("x").alias("v"), (F.rand() * 1000).cast("long").alias("at"))
+    done = load_in_chunks(table, source, "append", 500, incr="at", key=KEY)
+    assert len(done) == 4 and sum(d.inserted for d in done) == 2000
+    assert rows(table.read().select("id")) == sorted(((i,) for i in range(2000)), key=repr)
+    ends = [set(r.at for r in table.read_part(p, table.snapshot().schema).select("at").distinct().collect()) for p in table.snapshot().parts]
+    assert all(max(a) < min(b) for a, b in zip(ends, ends[1:]))  # equal values share a chunk
+
+
+@pytest.mark.parametrize("of", ["text", "ties", "many", "null"])
+def test_chunks_of_awkward_fields(spark, store, monkeypatch, of):
+    if of == "many":
+        monkeypatch.setattr(chunks, "GRID", 20)  # too coarse for so many chunks
+    kind = {"text": "string"}.get(of, "long")
+    table = store(f"id long, at {kind}")
+    value = {"text": "concat('k', lpad(id % 50, 3, '0'))", "ties": "CAST(7 AS LONG)", "many": "id", "null": "CAST(IF(id % 2 = 0, NULL, id) AS LONG)"}[of]
+    source = spark.range(400).selectExpr("id", f"{value} AS at")
+    done = load_in_chunks(table, source, "append", 80 if of == "many" else 100, incr="at")
+    assert len(done) == {"text": 4, "ties": 1, "many": 5, "null": 4}[of]
+    assert rows(table.read()) == rows(source)
 
 
 def test_compaction_keeps_rows_and_marks(spark, store):

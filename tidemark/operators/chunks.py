@@ -17,6 +17,28 @@ from tidemark.operators.hwm import point_text, typed_point
 
 # Types whose ranges Spark can estimate with percentile_approx.
 _MEASURED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+GRID = 1000  # quantiles of a sketch
+
+
+def sketch(c: Column, dtype: T.DataType) -> dict[str, Column]:
+    """Aggregates that go along with a write and give the bounds of chunks afterwards; none for types without quantiles."""
+    if not isinstance(dtype, _MEASURED):
+        return {}
+    shares = [i / GRID for i in range(1, GRID)]
+    grid = F.transform(F.percentile_approx(c, shares, 100 * GRID), lambda x: point_text(x, dtype))
+    return {"grid": grid, "top": point_text(F.max(c), dtype)}
+
+
+def sketched_bounds(measured: dict, rows: int, rows_per_chunk: int) -> list[str] | None:
+    """What ``chunk_bounds`` gives, from a measured sketch; None where it is too coarse for so many chunks."""
+    chunks = math.ceil(rows / max(rows_per_chunk, 1))
+    if chunks < 2:
+        return []
+    if "grid" not in measured or chunks > GRID // 10:
+        return None
+    grid = measured["grid"] or []
+    cuts = [grid[round(i * GRID / chunks) - 1] for i in range(1, chunks)] if grid else []
+    return [c for c in dict.fromkeys(cuts) if c != measured["top"]]
 
 
 def chunk_bounds(source: DataFrame, incr: str, rows: int, rows_per_chunk: int) -> list[str]:

@@ -104,7 +104,28 @@ def match(
     return matched.unionAll(df.where(~all_present(keys))) if how == "left_anti" else matched
 
 
+def key_counts(df: DataFrame, keys_df: DataFrame, keys: Sequence[str], *, small: bool = False) -> DataFrame:
+    """Each key that both sides hold, with how many rows of ``df`` have it, as ``__rows``.
+
+    ``small`` keys are broadcast and ``df`` is cut down before it is counted. Else ``df`` is counted per key first, with
+    partial aggregates, so each key is one row on either side when they meet, whatever share of the rows it owns.
+    """
+    names = [quoted(k) for k in keys]
+    count = F.count(F.lit(1)).alias("__rows")
+    present = df.select(*names).where(all_present(keys))
+    if small:
+        return match(present, keys_df, keys, "left_semi", small=True).groupBy(*names).agg(count)
+    same = reduce(and_, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in names])
+    met = present.groupBy(*names).agg(count).alias("l").join(keys_df.alias("r"), same)
+    return met.select(*[F.col(f"l.{k}") for k in names], "__rows")
+
+
 def plan_match(df: DataFrame, source: DataFrame, keys: Sequence[str], limit: int = BROADCAST_BYTES) -> dict:
     """How to match ``df`` with the source's keys: measured as small enough to broadcast, or with hot keys found."""
     size = source.agg(key_bytes(source, keys).alias("size")).first().size
     return {"small": True} if size <= limit else {"hot": hot_keys(df, keys)}
+
+
+def hot_on_either(df: DataFrame, source: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
+    """Keys that own a large share of the rows of either side: for joins of each side's own rows with one list of keys."""
+    return sorted({*hot_keys(df, keys, share), *hot_keys(source, keys, share)})

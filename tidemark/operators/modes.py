@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clean import quoted
 from tidemark.operators.chunks import chunk_index
-from tidemark.operators.matching import all_present, match, row_columns, usable_keys
+from tidemark.operators.matching import all_present, key_counts, match, row_columns, usable_keys
 
 
 def initial(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -43,11 +43,12 @@ def merge(
 def merge_counts(target: DataFrame, source: DataFrame, pk: Sequence[str], *, small: bool = False) -> DataFrame:
     """One row: target rows a merge deletes, source rows it inserts.
 
-    The target's keys are matched as in the merge itself: with few source keys the target is not shuffled.
+    The target is counted per key before it meets the source's keys, so a key that owns many of its rows is one row there;
+    with few source keys they are broadcast and the target is not shuffled.
     """
-    deleted = match(target.select(*map(quoted, pk)), usable_keys(source, pk, small), pk, "left_semi", small=small)
+    taken = key_counts(target, usable_keys(source, pk, small), pk, small=small)
     return (
-        deleted.select(F.lit(1).cast("long").alias("deleted"), F.lit(0).cast("long").alias("inserted"))
+        taken.select(F.col("__rows").alias("deleted"), F.lit(0).cast("long").alias("inserted"))
         .unionByName(source.select(F.lit(0).cast("long").alias("deleted"), F.lit(1).cast("long").alias("inserted")))
         .agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("deleted", "inserted")])
     )

@@ -17,8 +17,7 @@ from tidemark.functions.clean import clean, quoted
 from tidemark.functions.transforms import field_transforms
 from tidemark.operators import hwm
 from tidemark.operators.align import align
-from tidemark.operators.chunks import chunk_bounds, chunks
-from tidemark.operators.matching import row_columns
+from tidemark.operators.chunks import chunk_bounds, chunks, sketch, sketched_bounds
 from tidemark.sinks.store import Applied, TableStore, target_name
 from tidemark.sources.connections import Connection, find_connection
 from tidemark.sources.extract import extract, incr_type
@@ -113,23 +112,32 @@ def load_source(
 
 
 def _load_chunks(sink: Sink, rows: DataFrame, source: Source, target: Target, options: dict[str, Any]) -> list[Applied]:
-    """One commit per chunk. A table is read once per chunk, by range; a query runs once and its rows are kept.
+    return load_in_chunks(sink, rows, target.mode, source.batch_size * target.commit_batch_size, **options)
 
-    The kept rows are laid out by the incremental field, so a chunk reads few files; a hash behind it keeps a
-    value that many rows share from filling one task.
+
+def load_in_chunks(sink: Sink, rows: DataFrame, mode: str, rows_per_chunk: int, *, incr: str, zone: str = "", **options: Any) -> list[Applied]:
+    """One commit per chunk of about so many rows. The source is read once: its rows are kept while chunks are loaded.
+
+    Bounds come from a sketch measured on that one write, so rows that change at the source meanwhile are neither missed
+    nor doubled. Kept files are sorted by the incremental field, so a chunk reads few row groups of each; no shuffle is
+    needed, and a value that many rows share fills no task.
     """
-    incr = options["incr"]
-    if source.sql.strip():
-        schema, defaults = sink.shape()
-        incr = target_name(schema, incr)
-        aligned = align(rows, schema, defaults, options.pop("zone"))
-        laid_out = aligned.repartitionByRange(quoted(incr), F.xxhash64(*row_columns(aligned)))
-        kept = sink.staging.stage(laid_out).part
-        rows, count = sink.staging.read_part(kept, schema), kept.rows
-    else:
-        count = rows.count()
-    bounds = chunk_bounds(rows, incr, count, source.batch_size * target.commit_batch_size)
-    return load_chunks(sink, rows, target.mode, bounds, **options)
+    schema, defaults = sink.shape()
+    given = {c.lower() for c in rows.columns}
+    wanted = T.StructType([f for f in schema.fields if f.name.lower() in given])
+    # Columns that only the target has get their defaults when a chunk is loaded.
+    aligned = align(rows, wanted, {}, zone) if len(wanted) == len(given) else align(rows, schema, defaults, zone)
+    incr = target_name(aligned.schema, incr)
+    staging, dtype = sink.staging, aligned.schema[incr].dataType
+    with staging.lease():
+        kept = staging.stage(aligned.sortWithinPartitions(quoted(incr)), also=sketch(F.col(quoted(incr)), dtype))
+        rows = staging.read_part(kept.part, aligned.schema)
+        bounds = sketched_bounds(kept.also, kept.part.rows, rows_per_chunk)
+        if bounds is None:
+            bounds = chunk_bounds(rows, incr, kept.part.rows, rows_per_chunk)
+        done = load_chunks(sink, rows, mode, bounds, incr=incr, **options)
+        staging.discard(kept.part)
+    return done
 
 
 def load_chunks(

@@ -177,8 +177,9 @@ class DatabaseTable:
         old = self.stored_point(key) if incr and key else None
         staged = self.staging.stage(rows, incr, old_point=old, gather=mode in INCREMENTAL_MODES)
         if not staged.part.rows:
+            self.staging.discard(staged.part)
             return Applied(0)
-        name = f"{self.table}_staging_{staged.part.directory[:12]}"
+        name = f"{self.table}_staging_{staged.part.directory[-12:]}"
         self._run(create_staging_sql(name, self.table))
         try:
             self._fill(self.staging.read_part(staged.part, rows.schema), self.connection, name)
@@ -197,6 +198,7 @@ class DatabaseTable:
             )
         finally:
             self._run(f"DROP TABLE {name}")
+            self.staging.discard(staged.part)
 
     def _run(self, statement: str) -> None:
         self.db.cursor().execute(statement)

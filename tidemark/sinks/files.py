@@ -17,10 +17,16 @@ class CommitConflict(RuntimeError):
 
 
 class Folder:
-    """A directory of small immutable files."""
+    """A directory of small immutable files, or of directories that Spark writes.
 
-    def __init__(self, uri: str) -> None:
+    A new file must appear whole, and only if its name is free. A local file system links it into place, HDFS renames it
+    and fails when the name is taken. No other storage reached from here promises that, so publishing there is refused
+    unless ``single_writer`` says that nobody else publishes.
+    """
+
+    def __init__(self, uri: str, single_writer: bool = False) -> None:
         self._fs, self._path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+        self._single_writer = single_writer
 
     def names(self) -> list[str]:
         found = self._fs.get_file_info(fs.FileSelector(self._path, allow_not_found=True))
@@ -31,12 +37,15 @@ class Folder:
             return f.read().decode()
 
     def publish(self, name: str, text: str) -> None:
-        """Make a whole file appear under a new name in one step."""
+        """Make a whole file appear under a new name in one step; CommitConflict where the name is taken."""
+        local, renames = isinstance(self._fs, fs.LocalFileSystem), self._fs.type_name == "hdfs"
+        if not (local or renames or self._single_writer):
+            raise CommitConflict(f"{self._fs.type_name} cannot create a file only if it is absent; pass single_writer for one writer")
         self._fs.create_dir(self._path, recursive=True)
         temporary, final = f"{self._path}/.{uuid.uuid4().hex}", f"{self._path}/{name}"
         with self._fs.open_output_stream(temporary) as f:
             f.write(text.encode())
-        if isinstance(self._fs, fs.LocalFileSystem):
+        if local:
             try:
                 os.link(temporary, final)  # fails when the name is taken
             except FileExistsError as e:
@@ -44,9 +53,21 @@ class Folder:
             finally:
                 os.unlink(temporary)
             return
-        if self._fs.get_file_info(final).type != fs.FileType.NotFound:
-            raise CommitConflict(name)
-        self._fs.move(temporary, final)
+        try:
+            if self._fs.get_file_info(final).type != fs.FileType.NotFound:
+                raise CommitConflict(name)
+            self._fs.move(temporary, final)
+        except OSError as e:
+            if self._fs.get_file_info(final).type == fs.FileType.NotFound:
+                raise
+            raise CommitConflict(name) from e
+        finally:
+            if self._fs.get_file_info(temporary).type != fs.FileType.NotFound:
+                self._fs.delete_file(temporary)
+
+    def directories(self) -> list[str]:
+        found = self._fs.get_file_info(fs.FileSelector(self._path, allow_not_found=True))
+        return sorted(f.base_name for f in found if f.type == fs.FileType.Directory and not f.base_name.startswith("."))
 
     def remove(self, name: str) -> None:
         self._fs.delete_file(f"{self._path}/{name}")

@@ -2,15 +2,20 @@
 
 Data is written to new directories first. Publishing the next commit file is the only commit: files, high-water
 marks and stream progress become visible together, and a run that dies before it leaves the table as it was.
-A merge rewrites only files that hold a matched key.
+
+A merge rewrites nothing. Beside its rows it writes the keys that it found in the table, once each; a reader takes rows
+with such a key out of the directories that are older than the merge. ``compact`` folds these key tables in. Neither the
+commit files nor the driver hold anything that grows with the number of files or of rows.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections import defaultdict
-from collections.abc import Collection, Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field, replace
 from typing import Any
 
@@ -21,29 +26,46 @@ from pyspark.sql import types as T
 from tidemark.functions.clean import quoted
 from tidemark.operators import hwm
 from tidemark.operators.align import align
-from tidemark.operators.matching import BROADCAST_BYTES, all_present, hot_keys, key_bytes, match, usable_keys
+from tidemark.operators.matching import BROADCAST_BYTES, HOT_SHARE, all_present, key_bytes, key_counts, key_hash, match, usable_keys
 from tidemark.operators.modes import latest_per_key
-from tidemark.sinks.files import Folder, qualify
+from tidemark.sinks.files import CommitConflict, Folder, qualify
 from tidemark.spec import INCREMENTAL_MODES, MODES, SpecError
 
+FORMAT = 2  # of commit files
+RETRIES = 20  # of an append that another commit overtook
+KEEP_SECONDS = 24 * 3600.0  # age from which directories that no commit names are garbage
+LEASE_SECONDS = 30 * KEEP_SECONDS  # no load runs longer; older leases are void
 _ORDERED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)
 
 
 @dataclass(frozen=True)
 class Part:
-    """One written directory; ``files`` is None when all of it belongs to the table.
+    """One written directory, the commit that it came with, and how many rows were written to it."""
+
+    directory: str
+    rows: int
+    version: int = 0
+
 
-    ``rows`` counts what was written, which is more than what is left once a merge has replaced some files.
+@dataclass(frozen=True)
+class Deletion:
+    """Keys that a merge took from all parts older than its commit: a directory with each key once.
+
+    ``hot`` are hashes of the few keys that owned a large share of the table; known only where the keys are too many to
+    be broadcast.
     """
 
     directory: str
+    version: int
+    pk: tuple[str, ...]
     rows: int
-    files: tuple[str, ...] | None = None
+    key_size: int
+    hot: tuple[int, ...] = ()
 
 
 @dataclass(frozen=True)
 class Snapshot:
-    """What one commit file says."""
+    """What one commit file says. ``streams`` has the last batch of every run of every stream."""
 
     version: int
     schema: T.StructType
@@ -51,16 +73,23 @@ class Snapshot:
     defaults: dict[str, Any] = field(default_factory=dict)
     parts: tuple[Part, ...] = ()
     marks: dict[str, dict[str, str]] = field(default_factory=dict)
-    streams: dict[str, int] = field(default_factory=dict)
+    streams: dict[str, dict[str, int]] = field(default_factory=dict)
+    deletions: tuple[Deletion, ...] = ()
 
     def to_json(self) -> str:
-        return json.dumps(asdict(replace(self, schema=None)) | {"schema": self.schema.jsonValue()})
+        return json.dumps({"format": FORMAT} | asdict(replace(self, schema=None)) | {"schema": self.schema.jsonValue()})
 
     @classmethod
     def from_json(cls, text: str) -> Snapshot:
         raw = json.loads(text)
-        parts = [Part(p["directory"], p["rows"], p["files"] and tuple(p["files"])) for p in raw["parts"]]
-        return cls(**raw | {"schema": T.StructType.fromJson(raw["schema"]), "parts": tuple(parts)})
+        if raw.pop("format", 1) != FORMAT:
+            raise SpecError("the table was written in another format")
+        deletions = (Deletion(**d | {"pk": tuple(d["pk"]), "hot": tuple(d["hot"])}) for d in raw["deletions"])
+        lists = {"parts": tuple(Part(**p) for p in raw["parts"]), "deletions": tuple(deletions)}
+        return cls(**raw | lists | {"schema": T.StructType.fromJson(raw["schema"])})
+
+    def directories(self) -> set[str]:
+        return {x.directory for x in (*self.parts, *self.deletions)}
 
 
 @dataclass(frozen=True)
@@ -72,6 +101,7 @@ class Staged:
     key_size: int = 0
     low: Any = None
     high: Any = None
+    also: dict[str, Any] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -86,7 +116,11 @@ class Applied:
 
 
 class TableStore:
-    """One target table under ``root``. One run writes at a time; a second one gets CommitConflict."""
+    """One target table under ``root``.
+
+    Of two writers the later commits on top of the earlier if it only adds rows, else it gets CommitConflict. Where the
+    storage cannot create a file only if it is absent, commits are refused unless ``single_writer`` vouches for one.
+    """
 
     def __init__(
         self,
@@ -94,11 +128,14 @@ class TableStore:
         root: str,
         *,
         broadcast_bytes: int = BROADCAST_BYTES,
+        single_writer: bool = False,
     ) -> None:
         self.spark = spark
         self.root = qualify(spark, root.rstrip("/"))
         self.broadcast_bytes = broadcast_bytes
-        self._commits = Folder(f"{self.root}/commits")
+        self._commits = Folder(f"{self.root}/commits", single_writer)
+        self._data = Folder(f"{self.root}/data", single_writer)
+        self._leases = Folder(f"{self.root}/leases", single_writer)
 
     @property
     def staging(self) -> TableStore:
@@ -128,6 +165,8 @@ class TableStore:
 
     def _commit(self, before: Snapshot, **changes: Any) -> Snapshot:
         after = replace(before, version=before.version + 1, **changes)
+        oldest = min((p.version for p in after.parts), default=after.version)
+        after = replace(after, deletions=tuple(d for d in after.deletions if d.version > oldest))
         self._publish(after)
         return after
 
@@ -135,27 +174,71 @@ class TableStore:
 
     def read(self, snapshot: Snapshot | None = None) -> DataFrame:
         snapshot = snapshot or self.snapshot()
-        return self._read_parts(snapshot.parts, snapshot.schema)
+        return self._rows(snapshot.parts, snapshot)
 
     def read_part(self, part: Part, schema: T.StructType) -> DataFrame:
-        return self._read_parts([part], schema)
-
-    def _read_parts(self, parts: Iterable[Part], schema: T.StructType) -> DataFrame:
-        paths = []
-        for p in parts:
-            base = f"{self.root}/data/{p.directory}"
-            paths += [base] if p.files is None else [f"{base}/{name}" for name in p.files]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        return self._scan([part], schema)
+
+    def _scan(self, parts: Iterable[Part | Deletion], schema: T.StructType) -> DataFrame:
+        paths = [f"{self.root}/data/{p.directory}" for p in parts]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def _dated(self, parts: Sequence[Part | Deletion], schema: T.StructType, name: str) -> DataFrame:
+        """Rows with the name and the commit of their directory. The directories are those of the commit file."""
+        rows = self._scan(parts, schema).withColumn("__directory", directory_of())
+        if len({p.version for p in parts}) == 1:
+            return rows.withColumn(name, F.lit(parts[0].version).cast("long"))
+        listed = self.spark.createDataFrame([(p.directory, p.version) for p in parts], f"__directory string, {name} long")
+        return rows.join(F.broadcast(listed), "__directory")
+
+    def _taken_keys(self, deletions: Sequence[Deletion], pk: Sequence[str], schema: T.StructType) -> tuple[DataFrame, dict]:
+        """Each deleted key with the newest commit that took it, and how to match it."""
+        keys = self._dated(deletions, T.StructType([schema[k] for k in pk]), "__until").drop("__directory")
+        if len(deletions) > 1:
+            keys = keys.groupBy(*map(quoted, pk)).agg(F.max("__until").alias("__until"))
+        if sum(d.key_size for d in deletions) <= self.broadcast_bytes:
+            return keys, {"small": True}
+        return keys, {"hot": sorted({h for d in deletions for h in d.hot})}
+
+    def _rows(self, parts: Sequence[Part], snapshot: Snapshot, how: str = "left_anti") -> DataFrame:
+        """What is left of the parts; with ``left_semi`` the directory of each row that later merges took."""
+        schema, pending = snapshot.schema, snapshot.deletions
+        newest = max((d.version for d in pending), default=0)
+        older = [p for p in parts if p.version < newest]
+        rows = None
+        if older:
+            by_key = defaultdict(list)
+            for d in pending:
+                by_key[d.pk].append(d)
+            rows = self._dated(older, schema, "__since")
+            found = []
+            for pk, deletions in by_key.items():
+                keys, options = self._taken_keys(deletions, pk, schema)
+                matched = match(rows, keys, pk, how, also="l.__since < r.__until", **options)
+                found.append(matched)
+                rows = matched if how == "left_anti" else match(rows, keys, pk, "left_anti", also="l.__since < r.__until", **options)
+            if how == "left_semi":
+                return _all_of([f.select("__directory") for f in found])
+            rows = rows.select(*map(quoted, schema.names))
+        untouched = [p for p in parts if p.version >= newest]
+        plain = [self._scan(untouched, schema)] if untouched or rows is None else []
+        return _all_of([*([rows] if rows is not None else []), *plain])
 
     # Writing
 
     def stage(
-        self, df: DataFrame, incr: str = "", pk: Sequence[str] = (), old_point: str | None = None, gather: bool = False
+        self,
+        df: DataFrame,
+        incr: str = "",
+        pk: Sequence[str] = (),
+        old_point: str | None = None,
+        gather: bool = False,
+        also: dict[str, Column] | None = None,
     ) -> Staged:
         """Write rows to a new directory, measuring them on the way. ``gather`` lets AQE even out many small tasks.
 
+        ``also`` are aggregates of the caller, measured with the others.
+
         The measurements sit directly on the write, in its result stage, where Spark counts each task once.
         """
         first = pk[0] if pk and isinstance(df.schema[pk[0]].dataType, _ORDERED) else None
@@ -171,12 +254,28 @@ class TableStore:
             dtype = df.schema[incr].dataType
             top = F.greatest(F.max(quoted(incr)), hwm.typed_point(old_point, dtype))
             measures[1] = hwm.point_text(top, dtype).alias("top")
+        measures += [c.alias(name) for name, c in (also or {}).items()]
         seen = Observation()
-        directory = uuid.uuid4().hex
+        directory = new_directory()
         out = df.hint("rebalance") if gather else df
         out.observe(seen, *measures).write.mode("errorifexists").parquet(f"{self.root}/data/{directory}")
         got = seen.get
-        return Staged(Part(directory, got["rows"]), got["top"], got["key_size"], got["low"], got["high"])
+        extra = {name: got[name] for name in also or {}}
+        return Staged(Part(directory, got["rows"]), got["top"], got["key_size"], got["low"], got["high"], extra)
+
+    def discard(self, part: Part | Deletion) -> None:
+        """Remove a staged directory that no commit names."""
+        self._data.remove_directory(part.directory)
+
+    @contextmanager
+    def lease(self) -> Iterator[None]:
+        """While it is held, ``sweep`` leaves directories alone that were made since."""
+        name = new_directory()
+        self._leases.publish(name, "")
+        try:
+            yield
+        finally:
+            self._leases.remove(name)
 
     def _mark(self, before: Snapshot, key: dict[str, str] | None, facts: dict[str, str], point: str | None):
         if not key or not point:
@@ -214,102 +313,140 @@ class TableStore:
         """Apply one extract in one of the four modes, as one commit.
 
         ``incr`` is the target's name of the incremental field, ``key`` the identity of its mark. ``stream`` names
-        a stream, its batch and the run its checkpoint belongs to; a batch of that run that is already in the table
-        changes nothing, while another run counts its batches anew.
+        a stream, its batch and the run its checkpoint belongs to; a batch that the table has of that run changes
+        nothing, whatever other runs have done since.
         """
         if mode not in MODES:
             raise SpecError(f"unsupported mode: {mode!r}")
         if mode == "merge" and not pk:
             raise SpecError("pk is required for merge mode")
-        before = self.snapshot()
+        with self.lease():
+            before = self.snapshot()
+            if stream and self._has(before, stream):
+                return Applied(before.version)
+            rows = align(source, before.schema, before.defaults, zone)
+            incremental = mode in INCREMENTAL_MODES
+            incr = target_name(before.schema, incr) if incremental and incr else ""
+            pk = [target_name(before.schema, k) for k in pk]
+            counted = None
+            if dedupe and incremental and pk and incr:
+                counted = Observation()
+                rows = latest_per_key(rows.observe(counted, F.count(F.lit(1)).alias("rows")), pk, incr)
+            old_point = self.stored_point(key, before) if key and incr else None
+            staged = self.stage(rows, incr, pk if mode == "merge" else (), old_point, gather=incremental)
+            read = counted.get["rows"] if counted else None
+            for attempt in range(RETRIES + 1):
+                try:
+                    done = self._apply(before, staged, mode, pk, key if incr else None, facts or {}, stream)
+                    return replace(done, point=done.point if incr else None, read=read if done.inserted else None)
+                except CommitConflict:
+                    if mode not in ("initial", "append") or attempt == RETRIES:
+                        raise
+                    before = self._newer(before)
+                    if stream and self._has(before, stream):
+                        return Applied(before.version)
+                    if old_point != (point := self.stored_point(key, before) if key and incr else None):
+                        staged, old_point = replace(staged, point=self._larger(staged.point, point, before.schema[incr].dataType)), point
+        raise AssertionError
+
+    def _newer(self, before: Snapshot) -> Snapshot:
+        """The table that an append goes on from once another commit was first."""
+        after = self.snapshot()
+        if after.schema != before.schema:
+            raise CommitConflict("the columns have changed")
+        return after
+
+    def _larger(self, a: str | None, b: str | None, dtype: T.DataType) -> str | None:
+        if not a or not b:
+            return a or b
+        larger = F.greatest(hwm.typed_point(a, dtype), hwm.typed_point(b, dtype))
+        return self.spark.range(1).select(hwm.point_text(larger, dtype)).first()[0]
+
+    def _has(self, before: Snapshot, stream: tuple) -> bool:
+        name, number, run = (*stream, "")[:3]
+        return before.streams.get(name, {}).get(run, -1) >= number
+
+    def _apply(
+        self,
+        before: Snapshot,
+        staged: Staged,
+        mode: str,
+        pk: Sequence[str],
+        key: dict[str, str] | None,
+        facts: dict[str, str],
+        stream: tuple | None,
+    ) -> Applied:
         streams = before.streams
         if stream:
             name, number, run = (*stream, "")[:3]
-            last_run, last = streams.get(name, (run, -1))
-            if last_run == run and last >= number:
-                return Applied(before.version)
-            streams = streams | {name: [run, number]}
-        rows = align(source, before.schema, before.defaults, zone)
-        incremental = mode in INCREMENTAL_MODES
-        incr = target_name(before.schema, incr) if incremental and incr else ""
-        pk = [target_name(before.schema, k) for k in pk]
-        counted = None
-        if dedupe and incremental and pk and incr:
-            counted = Observation()
-            rows = latest_per_key(rows.observe(counted, F.count(F.lit(1)).alias("rows")), pk, incr)
-        old_point = self.stored_point(key, before) if key and incr else None
-        staged = self.stage(rows, incr, pk if mode == "merge" else (), old_point, gather=incremental)
+            streams = streams | {name: streams.get(name, {}) | {run: number}}
         if staged.part.rows == 0:
-            if stream:
-                return Applied(self._commit(before, streams=streams).version)
-            return Applied(before.version)
-        deleted, kept = 0, before.parts
+            self.discard(staged.part)
+            return Applied(self._commit(before, streams=streams).version if stream else before.version)
+        added = replace(staged.part, version=before.version + 1)
+        kept, deletions, deleted = before.parts, before.deletions, 0
         if mode == "full":
-            deleted, kept = before.rows, ()
-        elif mode == "merge":
-            deleted, kept = self._without(before, staged, pk)
-        marks = self._mark(before, key if incr else None, facts or {}, staged.point)
-        total = before.rows - deleted + staged.part.rows
-        after = self._commit(before, rows=total, parts=(*kept, staged.part), marks=marks, streams=streams)
-        read = counted.get["rows"] if counted else None
-        return Applied(after.version, deleted, staged.part.rows, staged.point if incr else None, read)
-
-    def _without(self, before: Snapshot, staged: Staged, pk: Sequence[str]) -> tuple[int, tuple[Part, ...]]:
-        """Parts of the table without the rows whose key was staged, and how many rows that takes away.
-
-        First a pass over the key columns alone finds the files with matches; then only those are rewritten.
+            kept, deletions, deleted = (), (), before.rows
+        elif mode == "merge" and (taken := self._take(before, staged, pk)):
+            deletions, deleted = (*deletions, taken), taken.rows
+        marks = self._mark(before, key, facts, staged.point)
+        total = before.rows - deleted + added.rows
+        after = self._commit(before, rows=total, parts=(*kept, added), deletions=deletions, marks=marks, streams=streams)
+        return Applied(after.version, deleted, added.rows, staged.point)
+
+    def _take(self, before: Snapshot, staged: Staged, pk: Sequence[str]) -> Deletion | None:
+        """The keys of the table that were staged, written once each, with how many rows they take away.
+
+        Reads the key columns alone, and of them only what lies within the range of the staged keys. Target rows are
+        counted per key before they meet the staged keys, so a key that owns many rows on either side is one row.
         """
         if not before.parts:
-            return 0, ()
+            return None
         small = staged.key_size <= self.broadcast_bytes
         keys = usable_keys(self.read_part(staged.part, before.schema), pk, small)
         in_reach = all_present(pk)
         if staged.low is not None:
             dtype, c = before.schema[pk[0]].dataType, F.col(quoted(pk[0]))
             in_reach &= (c >= hwm.typed_point(staged.low, dtype)) & (c <= hwm.typed_point(staged.high, dtype))
-        near = self.read(before).where(in_reach)
-        how = {"small": True} if small else {"hot": hot_keys(near, pk)}
-
-        number = file_number(F.col("_metadata.file_path")).alias("__file")
-        hits = match(near.select(*map(quoted, pk), number), keys, pk, "left_semi", **how)
-        per_file = {r["__file"]: r["n"] for r in hits.groupBy("__file").agg(F.count("*").alias("n")).collect()}
-        if not per_file:
-            return 0, before.parts
-
-        files = [tuple(f.rsplit("/", 2)[1:]) for f in near.inputFiles()]
-        hit = self._hit(files, per_file.keys())
-        hit_names, other_names = defaultdict(list), defaultdict(list)
-        for directory, name in sorted(files):
-            (hit_names if (directory, name) in hit else other_names)[directory].append(name)
-        touched, kept = [], []
-        for part in before.parts:
-            mine, rest = hit_names[part.directory], other_names[part.directory]
-            if not mine:
-                kept.append(part)
-                continue
-            touched.append(replace(part, files=tuple(mine)))
-            if rest:
-                kept.append(replace(part, files=tuple(rest)))
-        old = self._read_parts(touched, before.schema)
-        remaining = match(old, keys, pk, "left_anti", **how)
-        rewritten = self.stage(remaining).part
-        return sum(per_file.values()), (*kept, *([rewritten] if rewritten.rows else []))
-
-    def _hit(self, files: Sequence[tuple[str, str]], numbers: Collection[int]) -> set[tuple[str, str]]:
-        """The (directory, name) of files with one of these numbers."""
-        listed = self.spark.createDataFrame(files, "directory string, name string")
-        numbered = listed.withColumn("number", file_number(F.concat_ws("/", "directory", "name")))
-        wanted = self.spark.createDataFrame([(n,) for n in numbers], "number long")
-        return {(r["directory"], r["name"]) for r in numbered.join(wanted, "number", "left_semi").collect()}
-
-    def compact(self, rows_below: int = 1_000_000) -> Snapshot:
-        """Maintenance, apart from loads: rewrite directories with few rows into one; larger ones stay as they are."""
-        before = self.snapshot()
-        small = [p for p in before.parts if p.rows < rows_below]
-        if len(small) < 2:
-            return before
-        merged = self.stage(self._read_parts(small, before.schema), gather=True).part
-        return self._commit(before, parts=(*[p for p in before.parts if p not in small], merged))
+        near = self.read(before).where(in_reach).select(*map(quoted, pk))
+        counts = key_counts(near, keys, pk, small=small)
+        found = self.stage(counts, pk=pk, also={"taken": F.coalesce(F.sum("__rows"), F.lit(0))})
+        if not found.part.rows:
+            self.discard(found.part)
+            return None
+        hot: tuple[int, ...] = ()
+        if found.key_size > self.broadcast_bytes:
+            written = self._scan([found.part], counts.schema)
+            large = written.where(F.col("__rows") > HOT_SHARE * before.rows).select(key_hash(written, pk).alias("h"))
+            hot = tuple(sorted({r["h"] for r in large.collect()}))  # at most 1 / HOT_SHARE keys own so much
+        return Deletion(found.part.directory, before.version + 1, tuple(pk), found.also["taken"], found.key_size, hot)
+
+    def compact(self, rows_below: int = 1_000_000, fold_share: float = 0.1) -> Snapshot:
+        """Maintenance, apart from loads: rewrite directories with few rows into one, and fold merges in.
+
+        A directory that has lost more than ``fold_share`` of its rows to later merges is rewritten without them, so the
+        work is in proportion to what was deleted; 0 folds everything. Key tables that concern no directory any more are
+        dropped.
+        """
+        with self.lease():
+            before = self.snapshot()
+            lost: dict[str, int] = {}
+            if before.deletions and before.parts:
+                gone = self._rows(before.parts, before, "left_semi").groupBy("__directory").count()
+                lost = {r["__directory"]: r["count"] for r in gone.collect()}  # a row for each part of the commit file
+            small = [p for p in before.parts if p.rows - lost.get(p.directory, 0) < rows_below]
+            worn = [p for p in before.parts if lost.get(p.directory, 0) > fold_share * p.rows]
+            old = [p for p in before.parts if p in worn or (len(small) > 1 and p in small)]
+            if not old and not before.deletions:
+                return before
+            version = before.version + 1
+            kept = [p if p.directory in lost else replace(p, version=version) for p in before.parts if p not in old]
+            if old:
+                merged = self.stage(self._rows(old, before), gather=True).part
+                kept += [replace(merged, version=version)] if merged.rows else []
+            if tuple(kept) == before.parts:
+                return before
+            return self._commit(before, parts=tuple(kept))
 
     def expire(self, keep: int = 10) -> int:
         """Delete commits but the last ``keep``, and the directories that only those named. Gives their number.
@@ -318,16 +455,32 @@ class TableStore:
         """
         names = self._commits.names()
         old, kept = names[:-keep], names[-keep:]
-        directories = lambda name: {p.directory for p in Snapshot.from_json(self._commits.read(name)).parts}
-        needed = set().union(*map(directories, kept))
-        gone = set().union(*map(directories, old)) - needed
-        data = Folder(f"{self.root}/data")
+        named = lambda which: set().union(*(Snapshot.from_json(self._commits.read(n)).directories() for n in which))
+        gone = named(old) - named(kept)
         for directory in sorted(gone):
-            data.remove_directory(directory)
+            self._data.remove_directory(directory)
         for name in old:
             self._commits.remove(name)
         return len(gone)
 
+    def sweep(self, older_than: float = KEEP_SECONDS, lease_for: float = LEASE_SECONDS) -> int:
+        """Delete directories that no commit names and that are older than so many seconds. Gives their number.
+
+        What was made since a running load took its lease stays. A lease older than ``lease_for`` belongs to a load that
+        died, and is removed.
+        """
+        now = time.time()
+        for name in self._leases.names():
+            if made_at(name) < now - lease_for:
+                self._leases.remove(name)
+        limit = min([now - older_than, *map(made_at, self._leases.names())])
+        found = self._data.directories()  # before the commits: what is committed later is not in this list
+        needed = set().union(*(Snapshot.from_json(self._commits.read(n)).directories() for n in self._commits.names()))
+        gone = [d for d in found if d not in needed and made_at(d) < limit]
+        for directory in gone:
+            self._data.remove_directory(directory)
+        return len(gone)
+
     def marks(self) -> DataFrame:
         """The high-water marks as a control table."""
         fields = [*hwm.KEY, "incr_point", "sync_mode", "src_incr_field", "dst_pk"]
@@ -348,6 +501,24 @@ def target_name(schema: T.StructType, name: str) -> str:
     raise SpecError(f"column {name!r} is not in the target")
 
 
-def file_number(path: Column) -> Column:
-    """A file as one number: its path would be shuffled with every row. Two files that share one count as both hit."""
-    return F.xxhash64(F.substring_index(path, "/", -2))
+def directory_of() -> Column:
+    """The directory, by its name, that a row was read from."""
+    return F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -2), "/", 1)
+
+
+def new_directory() -> str:
+    """A new name that says when it was made."""
+    return f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex}"
+
+
+def made_at(name: str) -> float:
+    """When a directory or lease was made, in seconds; 0 for names without it."""
+    stamp = name.split("-")[0]
+    return int(stamp) / 1000 if stamp.isdigit() else 0.0
+
+
+def _all_of(frames: Sequence[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionAll(f)
+    return out
