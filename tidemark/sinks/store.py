@@ -14,7 +14,7 @@ import json
 import time
 import uuid
 from collections import defaultdict
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field, replace
 from typing import Any
@@ -32,6 +32,7 @@ from tidemark.sinks.files import CommitConflict, Folder, qualify
 from tidemark.spec import INCREMENTAL_MODES, MODES, SpecError
 
 FORMAT = 2  # of commit files
+LISTED = 50  # directories up to which their commits are a constant of the plan, not a table
 RETRIES = 20  # of an append that another commit overtook
 KEEP_SECONDS = 24 * 3600.0  # age from which directories that no commit names are garbage
 LEASE_SECONDS = 30 * KEEP_SECONDS  # no load runs longer; older leases are void
@@ -188,20 +189,33 @@ class TableStore:
         rows = self._scan(parts, schema).withColumn("__directory", directory_of())
         if len({p.version for p in parts}) == 1:
             return rows.withColumn(name, F.lit(parts[0].version).cast("long"))
-        listed = self.spark.createDataFrame([(p.directory, p.version) for p in parts], f"__directory string, {name} long")
-        return rows.join(F.broadcast(listed), "__directory")
+        listed = [(p.directory, p.version) for p in parts]
+        if len(listed) <= LISTED:
+            known = F.create_map(*[F.lit(x) for pair in listed for x in pair])
+            return rows.withColumn(name, F.element_at(known, F.col("__directory")).cast("long"))
+        commits = self.spark.createDataFrame(listed, f"__directory string, {name} long")
+        return rows.join(F.broadcast(commits), "__directory")
 
     def _taken_keys(self, deletions: Sequence[Deletion], pk: Sequence[str], schema: T.StructType) -> tuple[DataFrame, dict]:
-        """Each deleted key with the newest commit that took it, and how to match it."""
+        """The deleted keys with the commits that took them, and how to match them."""
         keys = self._dated(deletions, T.StructType([schema[k] for k in pk]), "__until").drop("__directory")
-        if len(deletions) > 1:
-            keys = keys.groupBy(*map(quoted, pk)).agg(F.max("__until").alias("__until"))
         if sum(d.key_size for d in deletions) <= self.broadcast_bytes:
             return keys, {"small": True}
+        if len(deletions) > 1:
+            keys = keys.groupBy(*map(quoted, pk)).agg(F.max("__until").alias("__until"))
         return keys, {"hot": sorted({h for d in deletions for h in d.hot})}
 
-    def _rows(self, parts: Sequence[Part], snapshot: Snapshot, how: str = "left_anti") -> DataFrame:
-        """What is left of the parts; with ``left_semi`` the directory of each row that later merges took."""
+    def _rows(
+        self,
+        parts: Sequence[Part],
+        snapshot: Snapshot,
+        how: str = "left_anti",
+        only: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    ) -> DataFrame:
+        """What is left of the parts; with ``left_semi`` the directory of each row that later merges took.
+
+        ``only`` cuts the rows down before they meet the keys that later merges took.
+        """
         schema, pending = snapshot.schema, snapshot.deletions
         newest = max((d.version for d in pending), default=0)
         older = [p for p in parts if p.version < newest]
@@ -210,7 +224,7 @@ class TableStore:
             by_key = defaultdict(list)
             for d in pending:
                 by_key[d.pk].append(d)
-            rows = self._dated(older, schema, "__since")
+            rows = only(self._dated(older, schema, "__since"))
             found = []
             for pk, deletions in by_key.items():
                 keys, options = self._taken_keys(deletions, pk, schema)
@@ -221,7 +235,7 @@ class TableStore:
                 return _all_of([f.select("__directory") for f in found])
             rows = rows.select(*map(quoted, schema.names))
         untouched = [p for p in parts if p.version >= newest]
-        plain = [self._scan(untouched, schema)] if untouched or rows is None else []
+        plain = [only(self._scan(untouched, schema))] if untouched or rows is None else []
         return _all_of([*([rows] if rows is not None else []), *plain])
 
     # Writing
@@ -408,8 +422,15 @@ class TableStore:
         if staged.low is not None:
             dtype, c = before.schema[pk[0]].dataType, F.col(quoted(pk[0]))
             in_reach &= (c >= hwm.typed_point(staged.low, dtype)) & (c <= hwm.typed_point(staged.high, dtype))
-        near = self.read(before).where(in_reach).select(*map(quoted, pk))
-        counts = key_counts(near, keys, pk, small=small)
+
+        def near(rows: DataFrame) -> DataFrame:
+            rows = rows.where(in_reach)
+            return match(rows, keys, pk, "left_semi", small=True) if small else rows
+
+        names = [quoted(k) for k in pk]
+        rows = self._rows(before.parts, before, only=near).select(*names)
+        count = F.count(F.lit(1)).alias("__rows")
+        counts = rows.groupBy(*names).agg(count) if small else key_counts(rows, keys, pk)
         found = self.stage(counts, pk=pk, also={"taken": F.coalesce(F.sum("__rows"), F.lit(0))})
         if not found.part.rows:
             self.discard(found.part)
