@@ -1,3 +1,4 @@
+import duckdb
 import pytest
 from pyspark.sql import types as T
 
@@ -5,7 +6,7 @@ from conftest import SMALL, rows
 from suite.registry import tables
 from tidemark.sources.connections import Connection
 from tidemark.sources.extract import extract, fill_field, fill_point, order_sql, projection_sql, remote_literal, remote_sql, schema_probe, where_sql
-from tidemark.sources.jdbc import guid_columns, read, read_options
+from tidemark.sources.jdbc import depth_predicates, depth_sql, guid_columns, read, read_options
 from tidemark.sources.naming import field_sql
 from tidemark.spec import Mapping, Source, SpecError
 
@@ -160,6 +161,10 @@ class FakeReader:
     def load(self):
         return self.answer
 
+    def jdbc(self, url, table, predicates, properties):
+        self.asked.append({"url": url, "dbtable": table, "predicates": predicates} | properties)
+        return self.answer
+
 
 def test_jdbc_read_is_split(spark):
     mssql = Connection("m", "mssql", options={"url": "u", "partitionColumn": "[Order Id]"})
@@ -176,12 +181,53 @@ def test_jdbc_read_splits_by_the_incremental_field(spark):
     reader = FakeReader(spark.sql("SELECT timestamp_ntz'2024-01-01' AS lo, timestamp_ntz'2024-02-01' AS hi"))
     read(reader, pg, source, "SELECT 1")
     assert reader.asked[1]["partitionColumn"] == "seen" and reader.asked[1]["lowerBound"] == "2024-01-01 00:00:00"
-    for answer in ("SELECT 'a' AS lo, 'b' AS hi", "SELECT CAST(NULL AS long) AS lo, CAST(NULL AS long) AS hi"):
+    for answer in ("SELECT CAST(NULL AS long) AS lo, CAST(NULL AS long) AS hi",):
         reader = FakeReader(spark.sql(answer))
         read(reader, pg, source, "SELECT 1")
         assert "partitionColumn" not in reader.asked[1]
 
 
+@pytest.mark.parametrize(("kind", "quote"), [("mssql", "N'"), ("postgres", "'")])
+def test_text_and_guid_keys_are_split_by_equal_depth(spark, kind, quote):
+    connection = Connection("c", kind, options={"url": "u", "partitionColumn": "code", "numPartitions": "3"})
+    reader = FakeReader(spark.createDataFrame([("2", "m"), ("1", "it's"), ("3", "z")], "lo string, hi string"))
+    read(reader, connection, Source(table="a"), "SELECT 1")
+    name = "[code]" if kind == "mssql" else '"code"'
+    value = f"CAST({name} AS {'NVARCHAR(4000)' if kind == 'mssql' else 'TEXT'})"
+    assert "NTILE(3) OVER (ORDER BY " + value in reader.asked[1]["dbtable"]
+    assert reader.asked[2]["predicates"] == [
+        f"{value} <= {quote}it''s'",
+        f"{value} > {quote}it''s' AND {value} <= {quote}m'",
+        f"{value} > {quote}m' OR {name} IS NULL",
+    ]
+    assert reader.asked[2]["dbtable"] == "(SELECT 1) t" and "numPartitions" not in reader.asked[2]
+
+
+@pytest.mark.parametrize("column", ["code", "guid", "skewed", "one", "none"])
+def test_predicates_hold_of_every_row_once(column):
+    """The statements run in DuckDB, which has the window function they use."""
+    db = duckdb.connect()
+    db.execute("""CREATE TABLE t AS SELECT i, CASE WHEN i % 50 <> 0 THEN 'it''s ' || (i * 7919 % 1000) END AS code, uuid() AS guid,
+                  CASE WHEN i % 3 = 0 THEN 5 ELSE i * i END AS skewed, 'x' AS one, NULL::VARCHAR AS none FROM range(1000) r(i)""")
+    sql, name, as_text = "SELECT * FROM t", f'"{column}"', column != "skewed"
+    highs = db.execute(depth_sql(PG, sql, name, 8, as_text=as_text)).fetchall()
+    predicates = depth_predicates(PG, name, highs, as_text=as_text)
+    if column in ("one", "none"):
+        assert predicates is None
+        return
+    counts = [db.execute(f"SELECT count(*) FROM ({sql}) q WHERE {p}").fetchone()[0] for p in predicates]
+    assert sum(counts) == 1000 and all(counts)
+    assert max(counts) <= (1000 // 3 + 130 if column == "skewed" else 160)
+
+
+def test_the_number_of_splits_follows_the_counted_rows(spark):
+    connection = Connection("c", "postgres", options={"url": "u", "partitionColumn": "id", "rowsPerPartition": "1000"})
+    reader = FakeReader(spark.sql("SELECT 12345L AS lo, 20000L AS hi"))
+    read(reader, connection, Source(table="a"), "SELECT 1")
+    assert reader.asked[1]["dbtable"] == "(SELECT COUNT(*) AS n FROM (SELECT 1) c) t" and reader.asked[2]["numPartitions"] == "13"
+    assert "rowsPerPartition" not in reader.asked[2]
+
+
 def test_guid_columns(spark):
     known = bytes.fromhex("33221100554477668899aabbccddeeff")
     df = spark.createDataFrame([(known, "ab"), (None, None), (known[:15], "c")], "g binary, t string")
