@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from suite.registry import query, rows_of
 from tidemark.operators import modes
-from tidemark.operators.align import align
+from tidemark.operators.align import align, align_marked, good_rows, rejected
 from tidemark.operators.chunks import chunk_index
 from tidemark.operators.matching import hot_keys, hot_on_either, plan_match
 
@@ -178,3 +178,39 @@ def align_columns(spark, sf_dir):
         ]
     )
     return align(rows_of(spark, sf_dir, ALIGN_SOURCE), target, {"C_SEGMENT": "NONE"})
+
+
+# Nations as text that is a number for most customers; balances that must be whole.
+MIXED = """
+SELECT c_custkey, c_name,
+       CASE c_custkey % 7 WHEN 0 THEN concat('n/a ', CAST(c_custkey AS VARCHAR(9))) WHEN 1 THEN NULL WHEN 2 THEN ''
+            ELSE CAST(c_nationkey AS VARCHAR(9)) END AS nation,
+       CASE WHEN c_custkey % 5 = 0 THEN c_acctbal ELSE floor(c_acctbal) END AS balance FROM customer"""
+MIXED_TARGET = (
+    T.StructType()
+    .add("c_custkey", T.LongType())
+    .add("nation", T.IntegerType())
+    .add("balance", T.LongType())
+    .add("c_name", T.StringType())
+    .add("note", T.StringType())
+)
+BAD_NATION = "(nation IS NOT NULL AND TRY_CAST(nation AS INTEGER) IS NULL)"
+BAD_BALANCE = "(balance IS NOT NULL AND CAST(balance AS BIGINT) <> balance)"
+
+
+@query(
+    "align_good_rows",
+    f"""SELECT c_custkey, TRY_CAST(nation AS INTEGER) AS nation, CAST(balance AS BIGINT) AS balance, c_name, 'none' AS note
+        FROM ({MIXED}) m WHERE NOT {BAD_NATION} AND NOT {BAD_BALANCE}""",
+)
+def align_good_rows(spark, sf_dir):
+    return good_rows(align_marked(rows_of(spark, sf_dir, MIXED), MIXED_TARGET, {"note": "none"}))
+
+
+@query(
+    "align_rejects",
+    f"""SELECT 'nation' AS field, nation AS text, 'not a int' AS reason FROM ({MIXED}) m WHERE {BAD_NATION}
+        UNION ALL SELECT 'balance', CAST(balance AS VARCHAR), 'not a bigint' FROM ({MIXED}) n WHERE {BAD_BALANCE}""",
+)
+def align_rejects(spark, sf_dir):
+    return rejected(align_marked(rows_of(spark, sf_dir, MIXED), MIXED_TARGET, {"note": "none"})).drop("row")

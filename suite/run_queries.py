@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import types as T
+
 from suite.apply_queries import (
+    BAD_BALANCE,
+    BAD_NATION,
     CHUNKED_MERGE,
     LINE_KEY,
+    MIXED,
+    MIXED_TARGET,
     NEW_LINES,
     NEW_ORDERS,
     OLD_LINES,
@@ -13,7 +19,8 @@ from suite.apply_queries import (
     merged_sql,
 )
 from suite.registry import new_folder, new_store, query, rows_of, tables
-from tidemark.plans.load import load_chunks, load_in_chunks, run_log, run_task
+from tidemark.plans.load import load_chunks, load_in_chunks, load_with_rejects, run_log, run_task
+from tidemark.sinks.store import TableStore
 from tidemark.spec import Mapping, Source, Target, Task
 from tidemark.streaming.arrivals import load_arrivals
 
@@ -141,3 +148,21 @@ def stream_merge(spark, sf_dir):
     fixes.coalesce(1).write.mode("append").parquet(f"{work}/in")
     stream(spark, f"{work}/in", store, "merge", f"{work}/checkpoint", pk=["event_id"])
     return store.read()
+
+
+@query(
+    "publish_with_rejects",
+    f"""SELECT 'rows' AS what, count(*) AS n FROM ({MIXED}) m WHERE NOT {BAD_NATION} AND NOT {BAD_BALANCE}
+        UNION ALL SELECT 'rejects', (SELECT count(*) FROM ({MIXED}) a WHERE {BAD_NATION}) + (SELECT count(*) FROM ({MIXED}) b WHERE {BAD_BALANCE})
+        UNION ALL SELECT 'read', count(*) FROM customer""",
+)
+def publish_with_rejects(spark, sf_dir):
+    """Good rows are loaded and bad values kept beside them, from one reading of the source."""
+    mixed = rows_of(spark, sf_dir, MIXED)
+    store = TableStore(spark, new_folder(spark))
+    store.create(MIXED_TARGET, {"note": "none"})
+    refused = TableStore(spark, new_folder(spark))
+    refused.create(T.StructType.fromDDL("field string, text string, reason string, row string"))
+    done = load_with_rejects(store, mixed, "initial", refused, 0.6)
+    counted = [("rows", store.read().count()), ("rejects", refused.read().count()), ("read", done.read)]
+    return spark.createDataFrame(counted, "what string, n long")

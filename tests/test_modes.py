@@ -1,5 +1,6 @@
 """The write modes against brute force in plain Python, on small random tables with copies, NULLs and hot keys."""
 
+import json
 import random
 
 import pytest
@@ -8,9 +9,10 @@ from pyspark.sql import types as T
 
 from conftest import rows
 from tidemark.operators import modes
-from tidemark.operators.align import align
+from tidemark.operators.align import align, align_marked, good_rows, rejected
 from tidemark.operators.chunks import chunk_bounds, chunk_index, chunks
 from tidemark.operators.matching import hot_keys, hot_on_either, key_hash, match, plan_match, usable_keys
+from tidemark.plans.load import load_with_rejects
 from tidemark.spec import SpecError
 
 SCHEMA = "k long, j string, v double, at long"
@@ -229,3 +231,26 @@ def test_chunked_merge_with_a_key_that_is_hot_in_the_target_alone(spark):
     got = rows(modes.chunked_merge(target, source, ["k"], "at", ["4"], hot=hot))
     old = [tuple(r) for r in target.collect() if r.k not in (7, 101)]
     assert got == sorted(old + [(7, "n", 2.0, 9), (101, "n", 1.0, 5), (None, "n", 1.0, 2)], key=repr)
+
+
+def test_bad_values_become_rows(spark):
+    df = spark.createDataFrame([("5", 1.5, "x"), ("q", 1e30, "y"), ("", None, None), (None, 2.0, "z")], "ID string, Price double, NAME string")
+    marked = align_marked(df, TARGET, {"flag": True})
+    assert good_rows(marked).schema.simpleString() == TARGET.simpleString()
+    assert [(r.id, str(r.price), r.name) for r in good_rows(marked).collect()] == [(5, "1.50", "x"), (None, "2.00", "z")]
+    found = {(r.field, r.text, r.reason) for r in rejected(marked).collect()}
+    assert found == {("id", "q", "not a bigint"), ("price", "1.0E30", "not a decimal(9,2)"), ("id", "", "not a bigint")}
+    assert json.loads(rejected(marked).where("text = 'q'").first().row) == {"ID": "q", "Price": 1e30, "NAME": "y"}
+    same = align_marked(good_rows(marked), TARGET)
+    assert good_rows(same).count() == 2 and rejected(same).count() == 0
+
+
+def test_rejects_are_bounded_by_a_share(spark, store):
+    kept, refused = store("id long"), store("field string, text string, reason string, row string")
+    source = spark.createDataFrame([("1",), ("x",), ("3",), ("4",)], "id string")
+    with pytest.raises(SpecError, match="1 of 4 rows"):
+        load_with_rejects(kept, source, "append", refused, 0.2)
+    assert kept.snapshot().version == refused.snapshot().version == 0 and kept._data.directories() == []
+    done = load_with_rejects(kept, source, "append", refused, 0.25)
+    assert (done.inserted, done.read) == (3, 4) and [r.text for r in refused.read().collect()] == ["x"]
+    assert rows(kept.read()) == [(1,), (3,), (4,)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Any, Protocol
 
@@ -16,13 +16,13 @@ from pyspark.sql import types as T
 from tidemark.functions.clean import clean, quoted
 from tidemark.functions.transforms import field_transforms
 from tidemark.operators import hwm
-from tidemark.operators.align import align
+from tidemark.operators.align import FAULTS, align, align_marked, good_rows, rejected
 from tidemark.operators.chunks import chunk_bounds, chunks, sketch, sketched_bounds
 from tidemark.sinks.store import Applied, TableStore, target_name
 from tidemark.sources.connections import Connection, find_connection
 from tidemark.sources.extract import extract, incr_type
 from tidemark.sources.jdbc import guid_columns
-from tidemark.spec import INCREMENTAL_MODES, Source, Target, Task
+from tidemark.spec import INCREMENTAL_MODES, Source, SpecError, Target, Task
 
 log = logging.getLogger(__name__)
 
@@ -140,6 +140,31 @@ def load_in_chunks(sink: Sink, rows: DataFrame, mode: str, rows_per_chunk: int,
     return done
 
 
+def load_with_rejects(
+    sink: TableStore, rows: DataFrame, mode: str, rejects: TableStore, max_share: float, *, zone: str = "", **options: Any
+) -> Applied:
+    """Load the rows whose values the target can hold, and keep the bad values of the others in ``rejects``.
+
+    The source is read once, into a staged copy on which good and bad rows are counted. With a larger share of bad rows
+    than ``max_share`` nothing is loaded and SpecError names the share. Rejects are committed before the rows, so no row is
+    lost silently; a load that dies in between leaves rejects that the next run writes again.
+    """
+    schema, defaults = sink.shape()
+    marked = align_marked(rows, schema, defaults, zone)
+    with sink.lease():
+        kept = sink.stage(marked, also={"bad": F.count_if(F.size(FAULTS) > 0)})
+        bad = kept.also["bad"]
+        if bad > max_share * kept.part.rows:
+            sink.discard(kept.part)
+            raise SpecError(f"{bad} of {kept.part.rows} rows hold bad values, more than a share of {max_share}")
+        staged = sink.read_part(kept.part, marked.schema)
+        if bad:
+            rejects.load(rejected(staged), "append")
+        done = sink.load(good_rows(staged), mode, **options)
+        sink.discard(kept.part)
+    return replace(done, read=kept.part.rows)
+
+
 def load_chunks(
     sink: Sink,
     rows: DataFrame,
