@@ -215,17 +215,17 @@ def test_bad_jobs(spark, bad):
 
 
 def test_mapping_violations(spark):
-    raws = ['{"id": "select", "a": "b-c", "source.field": "ok", "now()": "cdt", "": "x", "y": ""}', '{"a": {"b": "c"}}', "*", '{"a": null}', "null", '["a"]']
+    raws = ['{"k": "where", "p": "p/q", "web.k": "ok", "upper(k)": "u", "": "x", "y": ""}', '{"p": {"q": "r"}}', "*", '{"p": null}', "null", '[1]']
     jobs = spark.createDataFrame(list(enumerate(raws)), "job_id long, fields_mapping string")
     found = {(r.job_id, r.source, r.violation, r.severity) for r in mapping_violations(jobs).collect()}
     assert found == {
-        (0, "id", "reserved_target", "error"),
-        (0, "a", "bad_target", "error"),
-        (0, "source.field", "odd_source", "warning"),
+        (0, "k", "reserved_target", "error"),
+        (0, "p", "bad_target", "error"),
+        (0, "web.k", "odd_source", "warning"),
         (0, "", "empty_source", "error"),
         (0, "y", "empty_target", "error"),
         (1, "", "bad_json", "error"),
-        (3, "a", "empty_target", "error"),
+        (3, "p", "empty_target", "error"),
         (5, "", "bad_json", "error"),
     }
 
