@@ -8,11 +8,14 @@ from suite.apply_queries import (
     BAD_BALANCE,
     BAD_NATION,
     CHUNKED_MERGE,
+    LINE_COLUMNS,
     LINE_KEY,
     MIXED,
     MIXED_TARGET,
+    NEW_HOT,
     NEW_LINES,
     NEW_ORDERS,
+    OLD_HOT,
     OLD_LINES,
     OLD_ORDERS,
     YEAR_ENDS,
@@ -166,3 +169,58 @@ def publish_with_rejects(spark, sf_dir):
     done = load_with_rejects(store, mixed, "initial", refused, 0.6)
     counted = [("rows", store.read().count()), ("rejects", refused.read().count()), ("read", done.read)]
     return spark.createDataFrame(counted, "what string, n long")
+
+
+HOT_MERGED = merged_sql(OLD_HOT, NEW_HOT, ["o_orderkey"])
+
+
+@query("publish_merge_shuffled", HOT_MERGED)
+def publish_merge_shuffled(spark, sf_dir):
+    """A merge whose keys are too many to broadcast; one key owns a third of both sides."""
+    old = rows_of(spark, sf_dir, OLD_HOT)
+    store = TableStore(spark, new_folder(spark), broadcast_bytes=0)
+    store.create(old.schema)
+    store.load(old, "initial")
+    store.load(rows_of(spark, sf_dir, NEW_HOT), "merge", pk=["o_orderkey"], incr="o_orderdate")
+    return store.read()
+
+
+@query("publish_compacted", f"{CHUNKED_MERGE} UNION ALL SELECT {LINE_COLUMNS} FROM ({OLD_LINES}) o")
+def publish_compacted(spark, sf_dir):
+    """Chunks are merged, other rows appended, and then all key tables folded into the rows."""
+    old = rows_of(spark, sf_dir, OLD_LINES)
+    store = new_store(spark, old)
+    store.load(old, "initial")
+    load_chunks(store, rows_of(spark, sf_dir, NEW_LINES), "merge", YEAR_ENDS, incr="l_shipdate", pk=LINE_KEY)
+    store.load(old, "append")
+    store.compact(fold_share=0)
+    return store.read()
+
+
+@query(
+    "publish_counts",
+    f"""SELECT 'merge' AS what, (SELECT count(*) FROM ({OLD_HOT}) t WHERE EXISTS (SELECT 1 FROM ({NEW_HOT}) s WHERE s.o_orderkey = t.o_orderkey)) AS deleted,
+               (SELECT count(*) FROM ({NEW_HOT}) n) AS inserted, (SELECT count(*) FROM ({HOT_MERGED}) m) AS rows
+        UNION ALL SELECT 'again', (SELECT count(*) FROM ({NEW_HOT}) a), (SELECT count(*) FROM ({NEW_HOT}) b), (SELECT count(*) FROM ({HOT_MERGED}) c)""",
+)
+def publish_counts(spark, sf_dir):
+    """What merges report: a second merge of the same rows takes away what the first has brought."""
+    old, new = rows_of(spark, sf_dir, OLD_HOT), rows_of(spark, sf_dir, NEW_HOT)
+    store = new_store(spark, old)
+    store.load(old, "initial")
+    counted = []
+    for what in ("merge", "again"):
+        done = store.load(new, "merge", pk=["o_orderkey"])
+        counted.append((what, done.deleted, done.inserted, store.snapshot().rows))
+    return spark.createDataFrame(counted, "what string, deleted long, inserted long, rows long")
+
+
+@query("stream_replayed", "SELECT * FROM events")
+def stream_replayed(spark, sf_dir):
+    """Batches of two runs of one stream, each delivered again after the other run has gone on."""
+    events = rows_of(spark, sf_dir, "SELECT * FROM events")
+    store = new_store(spark, events)
+    halves = [events.where(f"event_id % 4 = {i}") for i in range(4)]
+    for run, number, part in ((0, 0, 0), (1, 0, 1), (0, 0, 0), (0, 1, 2), (1, 0, 1), (1, 1, 3), (0, 1, 2), (1, 1, 3)):
+        store.load(halves[part], "append", stream=("events", number, f"run {run}"))
+    return store.read()

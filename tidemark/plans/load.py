@@ -61,11 +61,16 @@ def start_point(spark: SparkSession, sink: Sink, source: Source, key: dict[str,
 
     None on a first load into an empty table, which reads everything.
     """
-    given, stored = source.incr_point.strip() or None, sink.stored_point(key)
-    if given and stored:
-        larger = F.greatest(hwm.typed_point(given, dtype), hwm.typed_point(stored, dtype))
-        return spark.range(1).select(hwm.point_text(larger, dtype)).first()[0]
-    return given or stored or sink.reached(source.target_incr_field)
+    given, stored = source.incr_point.strip(), sink.stored_point(key)
+    reached = None if given or stored else sink.reached(source.target_incr_field)  # a scan, so only where it decides
+    names = ", ".join(f"{k} string" for k in hwm.KEY)
+    own = tuple(key[k] for k in hwm.KEY)
+    loads = spark.createDataFrame([(*own, given, source.incr_field)], f"{names}, incr_point string, src_incr_field string")
+    control = spark.createDataFrame([(*own, stored)] if stored else [], f"{names}, incr_point string")
+    target = spark.createDataFrame([(key["dst_schema_name"], key["dst_table_name"], reached)], "dst_schema_name string, dst_table_name string, target_point string")
+    target = target.withColumn("target_point", F.col("target_point").cast(dtype))
+    found = hwm.lookup(loads, control, target, dtype).select(hwm.point_text(F.col("point"), dtype).alias("point"), "origin").first()
+    return None if found.origin == "default" else found.point
 
 
 def _extract(

@@ -17,6 +17,7 @@ from tidemark.operators.hwm import KEY
 from tidemark.operators.modes import latest_per_key
 from tidemark.sinks.store import Applied, TableStore, target_name
 from tidemark.sources.connections import Connection
+from tidemark.sources.jdbc import OWN_OPTIONS
 from tidemark.spec import INCREMENTAL_MODES, MODES, SpecError
 
 
@@ -38,7 +39,7 @@ def create_staging_sql(staging: str, target: str) -> str:
 
 
 def write_options(connection: Connection, staging: str, batch_size: int = 10_000) -> dict[str, str]:
-    options = {k: v for k, v in connection.options.items() if k not in ("partitionColumn", "numPartitions")}
+    options = {k: v for k, v in connection.options.items() if k not in OWN_OPTIONS}
     # Text reaches uuid, json and similar columns untyped, for the database to read.
     return {"stringtype": "unspecified"} | options | {"dbtable": staging, "batchsize": str(batch_size), "truncate": "true"}
 

@@ -32,6 +32,9 @@ from tidemark.sinks.files import CommitConflict, Folder, qualify
 from tidemark.spec import INCREMENTAL_MODES, MODES, SpecError
 
 FORMAT = 2  # of commit files
+MARK_FIELDS = [*hwm.KEY, "incr_point", "sync_mode", "src_incr_field", "dst_pk"]
+MARK_SCHEMA = ", ".join(f"{f} string" for f in MARK_FIELDS)
+CONTROL_FIELDS = [*MARK_FIELDS, "cdt", "udt"]
 LISTED = 50  # directories up to which their commits are a constant of the plan, not a table
 RETRIES = 20  # of an append that another commit overtook
 KEEP_SECONDS = 24 * 3600.0  # age from which directories that no commit names are garbage
@@ -291,10 +294,19 @@ class TableStore:
         finally:
             self._leases.remove(name)
 
-    def _mark(self, before: Snapshot, key: dict[str, str] | None, facts: dict[str, str], point: str | None):
-        if not key or not point:
-            return before.marks
-        return before.marks | {mark_name(key): key | facts | {"incr_point": point}}
+    def _marked(
+        self, before: Snapshot, key: dict[str, str] | None, facts: dict[str, str], point: str | None, dtype: T.DataType | None
+    ) -> tuple[dict[str, dict[str, str]], str | None]:
+        """The marks after a load that reached ``point``, and the point that its mark has then."""
+        if not key:
+            return before.marks, point
+        name = mark_name(key)
+        if not point:
+            return before.marks, before.marks.get(name, {}).get("incr_point")
+        update = self.spark.createDataFrame([tuple((key | facts | {"incr_point": point}).get(f, "") for f in MARK_FIELDS)], MARK_SCHEMA)
+        now = F.localtimestamp()
+        row = hwm.upsert(self._control(before, [name]), update, dtype, now).select(*[F.col(c).cast("string") for c in CONTROL_FIELDS]).first()
+        return before.marks | {name: {f: row[f] or "" for f in CONTROL_FIELDS}}, row["incr_point"]
 
     def reached(self, column: str) -> str | None:
         """Largest value of a target column as text; None while the table is empty."""
@@ -308,8 +320,8 @@ class TableStore:
         snapshot = self.snapshot()
         return snapshot.schema, snapshot.defaults
 
-    def stored_point(self, key: dict[str, str], snapshot: Snapshot | None = None) -> str | None:
-        return (snapshot or self.snapshot()).marks.get(mark_name(key), {}).get("incr_point")
+    def stored_point(self, key: dict[str, str]) -> str | None:
+        return self.snapshot().marks.get(mark_name(key), {}).get("incr_point")
 
     def load(
         self,
@@ -346,12 +358,11 @@ class TableStore:
             if dedupe and incremental and pk and incr:
                 counted = Observation()
                 rows = latest_per_key(rows.observe(counted, F.count(F.lit(1)).alias("rows")), pk, incr)
-            old_point = self.stored_point(key, before) if key and incr else None
-            staged = self.stage(rows, incr, pk if mode == "merge" else (), old_point, gather=incremental)
+            staged = self.stage(rows, incr, pk if mode == "merge" else (), gather=incremental)
             read = counted.get["rows"] if counted else None
             for attempt in range(RETRIES + 1):
                 try:
-                    done = self._apply(before, staged, mode, pk, key if incr else None, facts or {}, stream)
+                    done = self._apply(before, staged, mode, pk, incr, key if incr else None, facts or {}, stream)
                     return replace(done, point=done.point if incr else None, read=read if done.inserted else None)
                 except CommitConflict:
                     if mode not in ("initial", "append") or attempt == RETRIES:
@@ -359,8 +370,6 @@ class TableStore:
                     before = self._newer(before)
                     if stream and self._has(before, stream):
                         return Applied(before.version)
-                    if old_point != (point := self.stored_point(key, before) if key and incr else None):
-                        staged, old_point = replace(staged, point=self._larger(staged.point, point, before.schema[incr].dataType)), point
         raise AssertionError
 
     def _newer(self, before: Snapshot) -> Snapshot:
@@ -370,12 +379,6 @@ class TableStore:
             raise CommitConflict("the columns have changed")
         return after
 
-    def _larger(self, a: str | None, b: str | None, dtype: T.DataType) -> str | None:
-        if not a or not b:
-            return a or b
-        larger = F.greatest(hwm.typed_point(a, dtype), hwm.typed_point(b, dtype))
-        return self.spark.range(1).select(hwm.point_text(larger, dtype)).first()[0]
-
     def _has(self, before: Snapshot, stream: tuple) -> bool:
         name, number, run = (*stream, "")[:3]
         return before.streams.get(name, {}).get(run, -1) >= number
@@ -386,6 +389,7 @@ class TableStore:
         staged: Staged,
         mode: str,
         pk: Sequence[str],
+        incr: str,
         key: dict[str, str] | None,
         facts: dict[str, str],
         stream: tuple | None,
@@ -403,10 +407,10 @@ class TableStore:
             kept, deletions, deleted = (), (), before.rows
         elif mode == "merge" and (taken := self._take(before, staged, pk)):
             deletions, deleted = (*deletions, taken), taken.rows
-        marks = self._mark(before, key, facts, staged.point)
+        marks, point = self._marked(before, key, facts, staged.point, before.schema[incr].dataType if incr else None)
         total = before.rows - deleted + added.rows
         after = self._commit(before, rows=total, parts=(*kept, added), deletions=deletions, marks=marks, streams=streams)
-        return Applied(after.version, deleted, added.rows, staged.point)
+        return Applied(after.version, deleted, added.rows, point)
 
     def _take(self, before: Snapshot, staged: Staged, pk: Sequence[str]) -> Deletion | None:
         """The keys of the table that were staged, written once each, with how many rows they take away.
@@ -504,10 +508,14 @@ class TableStore:
 
     def marks(self) -> DataFrame:
         """The high-water marks as a control table."""
-        fields = [*hwm.KEY, "incr_point", "sync_mode", "src_incr_field", "dst_pk"]
-        schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
-        rows = [tuple(mark.get(f, "") for f in fields) for mark in self.snapshot().marks.values()]
-        return self.spark.createDataFrame(rows, schema)
+        return self._control(self.snapshot())
+
+    def _control(self, snapshot: Snapshot, names: Sequence[str] | None = None) -> DataFrame:
+        marks = snapshot.marks
+        kept = [marks[n] for n in (marks if names is None else names) if n in marks]
+        rows = [tuple(mark.get(f) or (None if f in ("cdt", "udt") else "") for f in CONTROL_FIELDS) for mark in kept]
+        schema = T.StructType([T.StructField(f, T.StringType()) for f in CONTROL_FIELDS])
+        return self.spark.createDataFrame(rows, schema).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("cdt", "udt")})
 
 
 def mark_name(key: dict[str, str]) -> str:
