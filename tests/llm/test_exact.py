@@ -128,6 +128,35 @@ def test_branches_are_ranked_by_score(spark):
     assert chat.format_trees(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_replies_in_circles_and_repeated_messages(spark):
+    schema = "conv_id long, message long, parent long, score double, role string, text string, extra string"
+    links = {
+        1: [(5, 5)],  # answers itself
+        2: [(1, 2), (2, 1)],
+        3: [(4, 9), (9, 7), (7, 4), (20, 9), (21, 20), (30, None), (31, 30)],  # a circle with a tail, and a tree
+        4: [(1, None), (2, 1), (2, 1), (2, 1), (3, 2)],  # a message three times
+        5: [(i, (i + 1) % 40) for i in range(40)],
+        None: [(1, 1), (2, 99)],
+        6: [(None, None), (1, None)],
+    }
+    rows = [(c, m, p, 1.0, "user", f"{m};", "x") for c, own in links.items() for m, p in own]
+    found = {}
+    for r in chat.format_trees(spark.createDataFrame(rows, schema), most=9).collect():
+        found.setdefault(r.conv_id, []).append("".join(t for _, t in chat.read_back(r.formatted)))
+    assert {c: sorted(p) for c, p in found.items()} == {
+        1: ["5;"],
+        2: ["1;2;"],
+        3: ["30;31;", "4;7;9;20;21;"],
+        4: ["1;2;3;"],
+        5: ["".join(f"{i};" for i in [0, *range(39, 0, -1)])],
+        None: ["1;", "2;"],
+        6: ["1;", "None;"],
+    }
+    texts = [(1, 1, None, 0.0, "user", t, "x") for t in ("b", "a", None)]
+    (one,) = chat.format_trees(spark.createDataFrame(texts, schema)).collect()
+    assert len(chat.read_back(one.formatted)) == 1
+
+
 # 3 decontamination
 
 

@@ -53,26 +53,18 @@ def paths(messages: DataFrame, most: int = 1) -> DataFrame:
     """The chosen root-to-leaf paths: conv_id, path (0 is the best), message, depth from the leaf.
 
     ``messages`` has conv_id, message, parent (null or unknown: a root) and score. A path's score is the sum of its
-    messages' scores; ties go to the longer path, then to the smaller leaf. Messages are unique within a conversation.
+    messages' scores; ties go to the longer path, then to the smaller leaf. Of several rows of one message the one with the
+    smallest parent, then score, counts; a null message is one message that nothing answers. Where replies run in a circle,
+    the smallest message of the circle is taken for a root, so every message stays on some path.
     """
-    up = messages.alias("m").join(
-        messages.select(F.col("conv_id").alias("c"), F.col("message").alias("p")),
-        F.col("m.conv_id").eqNullSafe(F.col("c")) & (F.col("m.parent") == F.col("p")),
-        "left",
-    )
-    jump = scratch.written(
-        up.select("conv_id", "message", F.col("p").alias("to"), F.coalesce("score", F.lit(0.0)).cast("double").alias("score")), "links"
-    )
-    jumps = [jump]
-    while True:  # who stands twice as far above, and the score on the way
-        a = jumps[-1].alias("a")
-        b = jumps[-1].select(F.col("conv_id").alias("c"), F.col("message").alias("via"), F.col("to").alias("next"), F.col("score").alias("more"))
-        joined = a.join(b, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("to") == F.col("via")), "left")
-        further = joined.select("conv_id", "message", F.col("next").alias("to"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"))
-        further = scratch.written(further, "jumps")
-        if further.where("to IS NOT NULL").isEmpty():
-            break
-        jumps.append(further)
+    messages = messages.groupBy("conv_id", "message").agg(F.min(F.struct("parent", "score")).alias("first"))
+    messages = scratch.written(messages.select("conv_id", "message", "first.parent", "first.score"), "tree")
+    largest = messages.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    rounds = largest.bit_length()  # jumps of that many doublings are longer than any way to a root
+    jumps, further = _jumps(messages, rounds)
+    if not further.where("to IS NOT NULL").isEmpty():
+        jumps, further = _jumps(_opened(messages, further, rounds), rounds)
+    jump = jumps[0]
     total = further.select("conv_id", "message", "score")  # every way now ends at its root
     answered = jump.where("to IS NOT NULL").select("conv_id", F.col("to").alias("message")).distinct()
     is_answered = F.col("l.conv_id").eqNullSafe(F.col("r.conv_id")) & (F.col("l.message") == F.col("r.message"))
@@ -89,6 +81,48 @@ def paths(messages: DataFrame, most: int = 1) -> DataFrame:
     return walk
 
 
+def _jumps(messages: DataFrame, rounds: int) -> tuple[list[DataFrame], DataFrame]:
+    """Who stands 1, 2, 4, ... messages above each, with the score on the way; last the first of them that all ended at.
+
+    Without circles the last has no targets; with them it has some even after ``rounds`` doublings.
+    """
+    up = messages.alias("m").join(
+        messages.select(F.col("conv_id").alias("c"), F.col("message").alias("p")),
+        F.col("m.conv_id").eqNullSafe(F.col("c")) & (F.col("m.parent") == F.col("p")),
+        "left",
+    )
+    score = F.coalesce("score", F.lit(0.0)).cast("double")
+    jumps = [scratch.written(up.select("conv_id", "message", F.col("p").alias("to"), score.alias("score")), "links")]
+    while True:
+        a = jumps[-1].alias("a")
+        b = jumps[-1].select(F.col("conv_id").alias("c"), F.col("message").alias("via"), F.col("to").alias("next"), F.col("score").alias("more"))
+        joined = a.join(b, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("to") == F.col("via")), "left")
+        further = joined.select("conv_id", "message", F.col("next").alias("to"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"))
+        further = scratch.written(further, "jumps")
+        if len(jumps) > rounds or further.where("to IS NOT NULL").isEmpty():
+            return jumps, further
+        jumps.append(further)
+
+
+def _opened(messages: DataFrame, further: DataFrame, rounds: int) -> DataFrame:
+    """The messages with one root in each circle: the smallest message there answers nothing.
+
+    After jumps longer than any way, everything that leads into a circle stands on it, so the targets are the circles'
+    members. Their least message is found by doubling too.
+    """
+    on = further.where("to IS NOT NULL").select(F.col("conv_id").alias("c"), F.col("to").alias("t")).distinct()
+    member = F.col("m.conv_id").eqNullSafe(F.col("o.c")) & (F.col("m.message") == F.col("o.t"))
+    ring = messages.alias("m").join(on.alias("o"), member, "left_semi")
+    ring = scratch.written(ring.select("conv_id", "message", F.col("parent").alias("to"), F.col("message").alias("least")), "circles")
+    for _ in range(rounds):
+        b = ring.select(F.col("conv_id").alias("c"), F.col("message").alias("via"), F.col("to").alias("next"), F.col("least").alias("other"))
+        met = ring.join(b, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("to") == F.col("via")))
+        ring = scratch.written(met.select("conv_id", "message", F.col("next").alias("to"), F.least("least", "other").alias("least")), "circles")
+    roots = ring.where("message = least").select(F.col("conv_id").alias("c"), F.col("message").alias("root"))
+    opened = messages.join(roots, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("message") == F.col("root")), "left")
+    return opened.select("conv_id", "message", F.when(F.col("root").isNull(), F.col("parent")).alias("parent"), "score")
+
+
 def formatted(turns: DataFrame) -> DataFrame:
     """One row for each path: its text and the spans, in code points, of what the assistant says.
 
@@ -158,11 +192,13 @@ def chain(rows: DataFrame) -> DataFrame:
 def format_trees(messages: DataFrame, most: int = 1) -> DataFrame:
     """The best paths of every tree, formatted; ``messages`` as for ``paths``, with role and text.
 
-    Null texts and roles are empty; a null conv_id is a conversation of its own; an empty table gives no rows; other
-    columns are not read.
+    Null texts and roles are empty; a null conv_id is a conversation of its own; an empty table gives no rows; repeated
+    messages and circles are treated as in ``paths``; other columns are not read.
     """
     kept = scratch.written(messages.select("conv_id", "message", "parent", "score", "role", "text"), "messages")
+    said = kept.groupBy("conv_id", "message").agg(F.min(F.struct("parent", "score", "role", "text")).alias("first"))
+    said = said.select("conv_id", "message", "first.role", "first.text")
     walk = paths(kept.select("conv_id", "message", "parent", "score"), most)
-    same = F.col("w.conv_id").eqNullSafe(F.col("m.conv_id")) & (F.col("w.message") == F.col("m.message"))
-    turns = walk.alias("w").join(kept.alias("m"), same).select("w.conv_id", "path", "up", "role", "text")
+    same = F.col("w.conv_id").eqNullSafe(F.col("m.conv_id")) & F.col("w.message").eqNullSafe(F.col("m.message"))
+    turns = walk.alias("w").join(said.alias("m"), same).select("w.conv_id", "path", "up", "role", "text")
     return formatted(turns)
