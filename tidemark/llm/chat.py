@@ -82,9 +82,10 @@ def paths(messages: DataFrame, most: int = 1) -> DataFrame:
 
 
 def _jumps(messages: DataFrame, rounds: int) -> tuple[list[DataFrame], DataFrame]:
-    """Who stands 1, 2, 4, ... messages above each, with the score on the way; last the first of them that all ended at.
+    """Who stands 1, 2, 4, ... messages above each, with the score on the way; last, where each ends and its whole score.
 
-    Without circles the last has no targets; with them it has some even after ``rounds`` doublings.
+    A message that has reached its root is not joined again, so a few long conversations do not drag the others through
+    their rounds. Without circles the last has no targets; with them it has some even after ``rounds`` doublings.
     """
     up = messages.alias("m").join(
         messages.select(F.col("conv_id").alias("c"), F.col("message").alias("p")),
@@ -92,16 +93,19 @@ def _jumps(messages: DataFrame, rounds: int) -> tuple[list[DataFrame], DataFrame
         "left",
     )
     score = F.coalesce("score", F.lit(0.0)).cast("double")
-    jumps = [scratch.written(up.select("conv_id", "message", F.col("p").alias("to"), score.alias("score")), "links")]
-    while True:
-        a = jumps[-1].alias("a")
-        b = jumps[-1].select(F.col("conv_id").alias("c"), F.col("message").alias("via"), F.col("to").alias("next"), F.col("score").alias("more"))
-        joined = a.join(b, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("to") == F.col("via")), "left")
-        further = joined.select("conv_id", "message", F.col("next").alias("to"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"))
+    links = scratch.written(up.select("conv_id", "message", F.col("p").alias("to"), score.alias("score")), "links")
+    jumps, running, ended = [links], links.where("to IS NOT NULL"), links.where("to IS NULL")
+    while len(jumps) <= rounds and not running.isEmpty():
+        b = running.unionByName(ended).select(
+            F.col("conv_id").alias("c"), F.col("message").alias("via"), F.col("to").alias("next"), F.col("score").alias("more")
+        )
+        joined = running.join(b, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("to") == F.col("via")))
+        further = joined.select("conv_id", "message", F.col("next").alias("to"), (F.col("score") + F.col("more")).alias("score"))
         further = scratch.written(further, "jumps")
-        if len(jumps) > rounds or further.where("to IS NOT NULL").isEmpty():
-            return jumps, further
+        ended = ended.unionByName(further.where("to IS NULL"))
+        running = further.where("to IS NOT NULL")
         jumps.append(further)
+    return jumps, running.unionByName(ended)
 
 
 def _opened(messages: DataFrame, further: DataFrame, rounds: int) -> DataFrame:
