@@ -183,7 +183,7 @@ def align_columns(spark, sf_dir):
 # Nations as text that is a number for most customers; balances that must be whole.
 MIXED = """
 SELECT c_custkey, c_name,
-       CASE c_custkey % 7 WHEN 0 THEN concat('n/a ', CAST(c_custkey AS VARCHAR(9))) WHEN 1 THEN NULL WHEN 2 THEN ''
+       CASE c_custkey % 7 WHEN 0 THEN concat('n/a ', CAST(c_custkey AS VARCHAR(9))) WHEN 1 THEN '007' WHEN 2 THEN ''
             ELSE CAST(c_nationkey AS VARCHAR(9)) END AS nation,
        CASE WHEN c_custkey % 5 = 0 THEN c_acctbal ELSE floor(c_acctbal) END AS balance FROM customer"""
 MIXED_TARGET = (
