@@ -25,7 +25,7 @@ def sketch(c: Column, dtype: T.DataType) -> dict[str, Column]:
     if not isinstance(dtype, _MEASURED):
         return {}
     shares = [i / GRID for i in range(1, GRID)]
-    grid = F.transform(F.percentile_approx(c, shares, 100 * GRID), lambda x: point_text(x, dtype))
+    grid = F.transform(F.percentile_approx(c, shares, 10 * GRID), lambda x: point_text(x, dtype))
     return {"grid": grid, "top": point_text(F.max(c), dtype)}
 
 
