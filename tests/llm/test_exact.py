@@ -319,6 +319,30 @@ def test_plans_place_every_piece_and_come_near_the_bound(seed):
     assert sum(t for _, t in plans) <= -(-sum(k * n for k, n in histogram.items()) // 256) * 1.02 + 1
 
 
+@pytest.mark.parametrize("copies", [1, 100])
+def test_the_program_needs_fewer_sequences_than_best_fit_and_places_most_pieces(copies, monkeypatch):
+    alone, left = packing.best_fit, []
+    monkeypatch.setattr(packing, "best_fit", lambda rest, capacity: left.append(sum(rest.values())) or alone(rest, capacity))
+    few = {1400: 300 * copies, 1300: 300 * copies, 2100: 200 * copies, 1900: 200 * copies, 700: 90 * copies}
+    used = sum(t for _, t in packing.plan(few, 4096))
+    # 2100 + 1900, 1400 + 1300 + 1300, 1400 + 1400 + 700, and five times 700
+    assert used <= 429 * copies < sum(t for _, t in alone(few, 4096)) and left[-1] <= sum(few.values()) // 10
+    pick = random.Random(4)
+    many = {k: n * 10 * copies for k, n in Counter(min(4095, int(pick.lognormvariate(6, 1)) + 3) for _ in range(1000)).items()}
+    used = sum(t for _, t in packing.plan(many, 4096))
+    bound = -(-sum(k * n for k, n in many.items()) // 4096)
+    assert bound <= used <= sum(t for _, t in alone(many, 4096)) and used <= bound * 1.0005 + 1
+    assert left[-1] <= sum(many.values()) // 2
+
+
+def test_the_bound_of_the_program_is_below_every_plan():
+    lengths, need = np.array([3, 5, 7]), np.array([40.0, 30.0, 20.0])
+    solution, bound = packing.program(lengths, need, 16)
+    assert all(lengths[at] @ n <= 16 for at, n, _ in solution)
+    assert (40 * 3 + 30 * 5 + 20 * 7) / 16 <= bound + 1e-6 and bound <= sum(t for _, t in packing.plan({3: 40, 5: 30, 7: 20}, 16))
+    assert packing.plan({}, 16) == [] and packing.plan({16: 3, 4: 0}, 16) == [({16: 1}, 3)]
+
+
 def test_the_priced_fill_is_worth_most():
     lengths, worth = np.array([3, 5, 7]), np.array([1.0, 2.0, 2.9])
     fill = packing.priced(lengths, worth, 15)

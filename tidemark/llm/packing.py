@@ -2,9 +2,10 @@
 
 The number of pieces of each length is all that the plan needs, at most ``capacity`` numbers. Over it stands the
 configuration linear program: choose how often to use each way of filling a sequence so that all pieces are covered.
-It is solved by multiplicative weights; the fill that is worth most under the weights comes from a knapsack dynamic
-program. The solution is rounded down to whole uses, and what is left is filled by best fit. Pieces then find their
-places by their rank among the pieces of their length, so no task sees more than its own rows.
+It is solved by multiplicative weights; the fills that are worth most under the weights come from a knapsack dynamic
+program. The solution is rounded to whole uses, the program is solved again over what that leaves, and only the last rest
+is filled by best fit. Pieces then find their places by their rank among the pieces of their length, so no task sees more
+than its own rows.
 """
 
 from __future__ import annotations
@@ -22,7 +23,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import scratch, streams
 
-ROUNDS = 120  # of multiplicative weights
+ROUNDS = 100  # of multiplicative weights
+LEADERS = 256  # fills drawn in a round
+SLACK = 0.0005  # a drawn fill is worth at most this share less than the best
+PASSES = 4  # over what rounding has left
 CACHED_WORDS = 250_000  # in each half of the cache, some 50 MB
 LATIN_END = "\u0250"
 
@@ -130,61 +134,132 @@ def cut(docs: DataFrame, spec: str, capacity: int, end_id: int, doc_id: str, tex
     return rows.mapInArrow(work, schema + (", ids array<int>" if with_ids else ""))
 
 
-def priced(lengths: np.ndarray, worth: np.ndarray, capacity: int) -> dict[int, int]:
-    """The multiset of lengths within the capacity that is worth most: an unbounded knapsack by dynamic programming."""
+def knapsack(lengths: np.ndarray, worth: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every room up to the capacity what its best fill is worth, and a length to begin that fill with, -1 if none."""
     best = np.zeros(capacity + 1)
     took = np.full(capacity + 1, -1, np.int64)
     fitting = np.searchsorted(lengths, np.arange(capacity + 1), "right")
     for c in range(1, capacity + 1):
         n = fitting[c]
-        best[c] = best[c - 1]
+        best[c], took[c] = best[c - 1], took[c - 1]
         if n:
             values = best[c - lengths[:n]] + worth[:n]
             i = int(values.argmax())
             if values[i] > best[c]:
                 best[c], took[c] = values[i], i
+    return best, took
+
+
+def priced(lengths: np.ndarray, worth: np.ndarray, capacity: int) -> dict[int, int]:
+    """The multiset of lengths within the capacity that is worth most: an unbounded knapsack by dynamic programming."""
+    _, took = knapsack(lengths, worth, capacity)
     fill: dict[int, int] = {}
     c = capacity
-    while c > 0:
-        if took[c] < 0:
-            c -= 1
-            continue
+    while took[c] >= 0:
         length = int(lengths[took[c]])
         fill[length] = fill.get(length, 0) + 1
         c -= length
     return fill
 
 
-def plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
-    """Fills and how often to use each, so that every piece of the histogram has a place."""
-    left = {length: n for length, n in histogram.items() if n > 0}
+def near_best(
+    lengths: np.ndarray, worth: np.ndarray, best: np.ndarray, first: np.ndarray, slack: float, liked: np.ndarray, pick: np.random.Generator
+) -> np.ndarray:
+    """Fills that begin with the given lengths and are worth at most ``slack`` less than the best, drawn as lengths are liked.
+
+    A row is a fill: how often each length is in it. Beginnings that cannot be completed so well give no row.
+    """
+    capacity = len(best) - 1
+    fills = np.zeros((len(first), len(lengths)), np.int32)
+    fills[np.arange(len(first)), first] = 1
+    room = capacity - lengths[first]
+    spare = slack - (best[capacity] - worth[first] - best[room])
+    row = np.flatnonzero(spare >= 0)
+    room, spare, good = room[row], spare[row], row
+    while len(row):
+        after = room[:, None] - lengths
+        loss = np.where(after >= 0, best[room][:, None] - worth - best[np.maximum(after, 0)], np.inf)
+        fits = loss <= spare[:, None] + 1e-12
+        go = fits.any(1)
+        row, room, spare, loss, fits = row[go], room[go], spare[go], loss[go], fits[go]
+        if len(row):
+            chance = np.cumsum(fits * liked, 1)
+            drawn = (chance <= (pick.random(len(row)) * chance[:, -1])[:, None]).sum(1)
+            at = np.arange(len(row))
+            fills[row, drawn] += 1
+            spare, room = spare - loss[at, drawn], room - lengths[drawn]
+    return fills[good]
+
+
+def program(lengths: np.ndarray, need: np.ndarray, capacity: int, rounds: int = ROUNDS) -> tuple[list[tuple[np.ndarray, np.ndarray, float]], float]:
+    """The configuration program: fills as lengths (by index), pieces of each, and uses; and a lower bound of all uses.
+
+    Each round the knapsack prices fills, and those drawn among its near-best ones cover lengths by some share. Prices
+    rise where that share stays short, by a length's part of all tokens, and fall where it is twice what is needed.
+    Among fills worth alike, lengths are liked more the less they were covered. The solution is the mean of the later half.
+    """
+    pick = np.random.default_rng(1)  # the plan is the same in every run
+    tokens = need * lengths
+    part = tokens / tokens.sum()
+    raised, lowered, liking, recent, lasting = (np.zeros(len(lengths)) for _ in range(5))
+    recent += 1
+    lasting += 1
+    uses: dict[tuple[bytes, bytes], float] = {}
+    bound, begin = 0.0, rounds // 2
+    for r in range(rounds):
+        worth = lengths * np.exp(raised + lowered)
+        worth /= worth.max()
+        best, _ = knapsack(lengths, worth, capacity)
+        bound = max(bound, float(need @ worth / best[capacity]))
+        liked = need * np.exp(liking)
+        chance = np.cumsum(liked * lengths)
+        first = np.searchsorted(chance, chance[-1] * (np.arange(LEADERS) + pick.random()) / LEADERS)
+        fills = near_best(lengths, worth, best, np.minimum(first, len(lengths) - 1), SLACK * best[capacity], liked, pick)
+        if not len(fills):
+            one = priced(lengths, worth, capacity)
+            fills = np.array([[one.get(int(k), 0) for k in lengths]], np.int32)
+        each = tokens.sum() / (fills.sum(0) @ lengths)  # sequences that a drawn fill stands for
+        share = fills.sum(0) * each / need
+        recent = 0.9 * recent + 0.1 * share
+        lasting = 0.97 * lasting + 0.03 * share
+        short = np.sign(1 - recent) * np.maximum(np.abs(1 - recent) - 0.3, 0)
+        raised += 4 / (r + 1) ** 0.5 * part * np.clip(short, -1, 1)
+        lowered = np.where(lasting > 2, lowered - 0.2, np.where(lasting < 1, np.minimum(lowered + 0.2, 0), lowered))
+        liking = np.clip(liking - 0.3 * np.clip(share - 1, -1, 4), -12, 12)
+        if r >= begin:
+            for fill in fills:
+                at = np.flatnonzero(fill)
+                key = (at.tobytes(), fill[at].tobytes())
+                uses[key] = uses.get(key, 0.0) + each / (rounds - begin)
+    return [(np.frombuffer(a, np.int64), np.frombuffer(n, np.int32).astype(np.int64), x) for (a, n), x in uses.items()], bound
+
+
+def rounded(solution: list[tuple[np.ndarray, np.ndarray, float]], lengths: np.ndarray, left: np.ndarray) -> list[tuple[dict[int, int], int]]:
+    """Whole uses of the solution's fills, taken off ``left``; fractions are carried on to the next fill, then fills are
+    used once more, fullest first, while their pieces are there."""
+    times: dict[int, int] = {}
+
+    def use(i: int, wanted: int) -> None:
+        at, n, _ = solution[i]
+        able = min(wanted, int((left[at] // n).min()))
+        if able > 0:
+            times[i] = times.get(i, 0) + able
+            left[at] -= n * able
+
+    carry = 0.0
+    for i in sorted(range(len(solution)), key=lambda i: -solution[i][2]):
+        whole = int(solution[i][2] + carry)
+        carry += solution[i][2] - whole
+        use(i, whole)
+    for i in sorted(range(len(solution)), key=lambda i: -int(lengths[solution[i][0]] @ solution[i][1])):
+        use(i, 1)
+    return [({int(k): int(n) for k, n in zip(lengths[solution[i][0]], solution[i][1])}, t) for i, t in times.items()]
+
+
+def best_fit(left: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Sequences filled from the longest piece that fits down, for pieces that the program has left."""
+    left = dict(left)
     out: list[tuple[dict[int, int], int]] = []
-    # No fill can take in more of a length than there is; lengths with many pieces are what the program is about.
-    lengths = np.array(sorted(k for k, n in left.items() if n * k >= capacity), np.int64)
-    if len(lengths):
-        need = np.array([left[int(k)] for k in lengths], float)
-        covered = np.zeros(len(lengths))
-        chosen: list[tuple[dict[int, int], float]] = []
-        for _ in range(rounds):
-            price = np.exp(-(covered / need - (covered / need).min()) * 8.0) / need
-            fill = priced(lengths, price, capacity)
-            at = np.searchsorted(lengths, list(fill))
-            uses = np.array(list(fill.values()), float)
-            step = float((need[at] / uses).min())
-            covered[at] += uses * step
-            chosen.append((fill, step))
-        scale = max(float(np.median(covered / need)), 1e-9)
-        merged: dict[tuple, float] = {}
-        for fill, x in chosen:
-            key = tuple(sorted(fill.items()))
-            merged[key] = merged.get(key, 0) + x / max(scale, 1.0)
-        for key, x in sorted(merged.items(), key=lambda kv: -sum(k * n for k, n in kv[0]) * capacity - kv[1]):
-            times = min([int(x), *(left.get(k, 0) // n for k, n in key)])
-            full = sum(k * n for k, n in key) >= capacity - 8  # looser ones are left to best fit
-            if times > 0 and full:
-                out.append((dict(key), times))
-                for k, n in key:
-                    left[k] -= n * times
     rest = sorted(k for k, n in left.items() if n > 0)
     while rest:
         fill, room = {}, capacity
@@ -206,6 +281,27 @@ def plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list
     return out
 
 
+def plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
+    """Fills and how often to use each, so that every piece of the histogram has a place.
+
+    The program is solved and rounded, then solved again over what rounding has left, while that places a tenth of it.
+    """
+    out = [({capacity: 1}, n) for k, n in histogram.items() if k == capacity and n > 0]  # no choice to be made
+    left = {k: n for k, n in histogram.items() if n > 0 and k < capacity}
+    for _ in range(PASSES):
+        if not left:
+            break
+        lengths = np.array(sorted(left), np.int64)
+        need = np.array([left[int(k)] for k in lengths], np.int64)
+        solution, _ = program(lengths, need.astype(float), capacity, rounds)
+        before = int(need.sum())
+        out += rounded(solution, lengths, need)
+        left = {int(k): int(n) for k, n in zip(lengths, need) if n}
+        if before - int(need.sum()) < before // 10:
+            break
+    return out + best_fit(left, capacity)
+
+
 def places(plans: list[tuple[dict[int, int], int]]) -> np.ndarray:
     """Rows of length, first rank, first sequence, pieces of the length in a sequence, offset there; sorted."""
     rows, seen, base = [], {}, 0
