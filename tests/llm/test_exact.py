@@ -200,6 +200,53 @@ def test_proximity_finds_what_phrases_miss(spark, docs_of):
     assert decontam.proximity_matches(postings, chosen, 2).select("k1").distinct().count() == 2
 
 
+def near_of(texts, items, slop=decontam.SLOP, most=decontam.RAREST):
+    """For every text the number of words in near matches and their items, by trying every window at every place."""
+    all_words = [ascii_words(t) for t in texts]
+    often = Counter(w for own in all_words for w in own)
+    out = []
+    for own in all_words:
+        near, named = set(), set()
+        for i, t in items:
+            test = ascii_words(t)
+            for k in range(max(1, len(test) - 9)) if test else ():
+                window = test[k : k + 10]
+                least = -(-len(window) * 4 // 5)
+                chosen = sorted((often[w], j) for j, w in enumerate(window) if often[w])[:most]
+                if sum(w in often for w in window) < least:
+                    continue
+                for s in range(-10, len(own)):
+                    found = {j for j, w in enumerate(window) if w in own[max(s + j - slop, 0) : max(s + j + slop + 1, 0)]}
+                    first = s + chosen[0][1]
+                    if 0 <= first < len(own) and own[first] == window[chosen[0][1]] and {j for _, j in chosen} <= found and len(found) >= least:
+                        near.update(range(max(s, 0), min(s + len(window), len(own))))
+                        named.add("" if i is None else str(i))
+        out.append((len(near), sorted(named)))
+    return out
+
+
+def test_near_matches_against_brute_force(spark, docs_of):
+    passage = prose(1, 40).split()
+    inserted = [x for k, w in enumerate(passage) for x in ([w, "more"] if k % 9 == 4 else [w])]
+    dropped = [w for k, w in enumerate(passage) if k % 9 != 4]
+    changed = [f"other{k}" if k % 9 == 4 else w for k, w in enumerate(passage)]
+    items = [(1, " ".join(passage)), (2, "One, TWO three four five"), (3, None), (None, prose(5, 12)), (10, " ".join(passage)), (5, "--"), (6, "lost " + prose(7, 20))]
+    texts = [" ".join(w) for w in (inserted, dropped, changed, passage, passage[::-1], passage[3:15])]
+    texts += ["two one three four five", "five four three two one", None, "", prose(9, 300), f"{prose(5, 12)} x {texts[1]}", prose(7, 20), texts[0]]
+    ids = [*range(len(texts) - 1), 0]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = decontam.hits(docs_of(texts, ids), table, slop=decontam.SLOP).collect()
+    expected = [(i, n, len(named), named) for i, (n, named) in zip(ids, near_of(texts, items))]
+    assert sorted((r.doc_id, r.n_near, r.n_near_items, r.near_items) for r in got) == sorted(expected)
+    found = {r.doc_id: r.n_near for r in got}
+    assert all(found[i] > 10 for i in range(4)) and found[4] == found[10] == 0  # edited every nine words; backwards, another text
+    plain = decontam.hits(docs_of(texts, ids), table).collect()
+    contract = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans")
+    assert sorted(str([r[c] for c in contract]) for r in got) == sorted(str([r[c] for c in contract]) for r in plain)
+    assert all(r.n_near >= r.n_hit and set(r.items) <= set(r.near_items) for r in got)
+    assert all((r.n_near, r.near_items) == (r.n_hit, r.items) for r in plain)
+
+
 # 4 tokens
 
 

@@ -2,8 +2,10 @@
 
 The index holds, for each term that test windows need, the places where it stands: (term, text, position). For every
 window of test words its rarest terms in the corpus are chosen; their posting lists, each moved back by the term's
-offset in the window, are intersected. What is left are phrases or near phrases; phrases are compared word by word with
-the text before they count. Rarest terms are few, so the index that is stored stays small beside the corpus.
+offset in the window, are intersected, exactly or up to a slop. What is left are phrases or near phrases, and both are
+compared word by word with the text before they count: a phrase has all words of its window in their places, a near match
+most of them, each at most the slop away from its place. Rarest terms are few, so the index that is stored stays small
+beside the corpus.
 
 Texts are told apart by 128 bits of hash of the whole text, so copies share postings and one text's rows need no id.
 """
@@ -15,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,9 +25,25 @@ from tidemark.llm import scratch, streams
 
 WINDOW = 10
 RAREST = 2
+SLOP = 2  # words by which a word of a near match may stand off its place
+NEAR = 0.8  # share of a window's words that a near match has
 FEW_TERMS = 500_000  # wanted terms sent to all tasks: at most some 20 MB
+CANDIDATES = 50_000  # verified at once
 BLOCK_TERMS = 2_000_000  # terms looked up in one pass over the corpus: at most 16 MB sent to an executor
 
+RESULTS = {
+    "n_words": "long",
+    "n_hit": "long",
+    "n_items": "long",
+    "items_sha256": "string",
+    "contaminated": "boolean",
+    "n_near": "long",
+    "n_near_items": "long",
+    "items": "array<string>",
+    "near_items": "array<string>",
+    "spans": "array<struct<start:int,end:int>>",
+}
+
 # Words are runs of letters, digits and all characters beyond ASCII; only A-Z are lowered.
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[0x41:0x5B] += 0x20
@@ -111,10 +130,10 @@ def index(docs: DataFrame, terms: list[int], text: str = "text") -> DataFrame:
     return scratch.written(_lookup(docs, terms, True, text), "postings")
 
 
-def rarest(items: DataFrame, counts: DataFrame, size: int = WINDOW, most: int = RAREST) -> DataFrame:
-    """The chosen words of every window all of whose terms are in the corpus: item, offset of the window, place, term, rank.
+def rarest(items: DataFrame, counts: DataFrame, size: int = WINDOW, most: int = RAREST, share: float = 1.0) -> DataFrame:
+    """The chosen words of every window with enough terms in the corpus: item, offset of the window, place, term, rank.
 
-    A window is ``size`` words of an item, or the whole item if it has fewer.
+    A window is ``size`` words of an item, or the whole item if it has fewer; ``share`` of its terms must be known.
     """
     place = items.select("item", F.size("terms").alias("n"), F.posexplode("terms").alias("place", "term"))
     last = F.greatest(F.col("n") - size, F.lit(0))
@@ -125,28 +144,45 @@ def rarest(items: DataFrame, counts: DataFrame, size: int = WINDOW, most: int =
     ranked = known.withColumn("known", F.count("*").over(whole)).withColumn(
         "rank", F.row_number().over(whole.orderBy("often", "place"))
     )
-    kept = ranked.where((F.col("known") == F.least("n", F.lit(size))) & (F.col("rank") <= most))
+    kept = ranked.where((F.col("known") >= F.ceil(F.least("n", F.lit(size)) * F.lit(share) - 1e-9)) & (F.col("rank") <= most))
     return kept.select("item", "offset", "place", "term", "rank")
 
 
 def phrase_candidates(postings: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Where the posting lists of a window's chosen terms, moved back by their places, meet: text, item, offset, start.
+    """Where the posting lists of a window's chosen terms, moved back by their places, meet: text, item, offset, start."""
+    return _meetings(postings, chosen, 0).where("start >= 0").drop("needed")
 
-    Lists are moved to the start of the item rather than of each window, so a posting is one row however many windows
-    want it; the places found on one diagonal then tell which windows are met.
-    """
+
+def proximity_matches(postings: DataFrame, chosen: DataFrame, slop: int) -> DataFrame:
+    """Where the moved lists of a window's chosen terms come within ``slop`` words of each other: text, item, offset, the
+    first of 2 * (slop + 1) starts among which that is, and the chosen places, the rarest term's first."""
+    return _meetings(postings, chosen, slop)
+
+
+def _meetings(postings: DataFrame, chosen: DataFrame, slop: int) -> DataFrame:
+    """Lists are moved to the start of the item rather than of each window, so a posting is one row, or two, however many
+    windows want it; the places found in one cell of diagonals then tell which windows are met. Cells of twice the width
+    begin at every width, so places no more than the slop apart always share one."""
     wanted = chosen.select("item", "place", "term").distinct()
     moved = _with_terms(postings, wanted).select("item", "k1", "k2", (F.col("position") - F.col("place")).alias("at"), "place")
-    met = moved.groupBy("item", "k1", "k2", "at").agg(F.collect_set("place").alias("places"))
-    each = chosen.groupBy("item", "offset").agg(F.collect_list("place").alias("needed"))
+    width = slop + 1
+    if slop:
+        cell = F.floor(F.col("at") / width)
+        moved = moved.withColumn("cell", F.explode(F.array(cell - 1, cell)))
+    else:
+        moved = moved.withColumn("cell", F.col("at").cast("long"))
+    met = moved.groupBy("item", "k1", "k2", "cell").agg(F.collect_set("place").alias("places"))
+    by_rank = F.array_sort(F.collect_list(F.struct("rank", "place")))
+    each = chosen.groupBy("item", "offset").agg(F.transform(by_rank, lambda x: x["place"]).alias("needed"))
     least = each.groupBy("item").agg(
         F.min(F.size("needed")).alias("least"), F.collect_list(F.struct("offset", "needed")).alias("windows")
     )
     joined = met.join(least.select("item", "least"), "item").where(F.size("places") >= F.col("least"))
     whole = joined.join(least.select("item", "windows"), "item")
-    hit = whole.select("item", "k1", "k2", "at", "places", F.explode("windows").alias("w"))
-    hit = hit.where((F.size(F.array_except("w.needed", "places")) == 0) & (F.col("at") + F.col("w.offset") >= 0))
-    return hit.select("item", "k1", "k2", F.col("w.offset").alias("offset"), (F.col("at") + F.col("w.offset")).alias("start"))
+    hit = whole.select("item", "k1", "k2", "cell", "places", F.explode("windows").alias("w"))
+    hit = hit.where(F.size(F.array_except("w.needed", "places")) == 0)
+    start = (F.col("cell") * width + F.col("w.offset")).cast("int").alias("start")
+    return hit.select("item", "k1", "k2", F.col("w.offset").alias("offset"), start, F.col("w.needed").alias("needed"))
 
 
 def _with_terms(postings: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -155,18 +191,43 @@ def _with_terms(postings: DataFrame, wanted: DataFrame) -> DataFrame:
     return postings.join(F.broadcast(wanted) if few else wanted, "term")
 
 
-def proximity_matches(postings: DataFrame, chosen: DataFrame, slop: int) -> DataFrame:
-    """Windows whose chosen terms all stand within ``slop`` words of where the rarest one puts them: text, item, offset, start."""
-    by = ["item", "offset", "k1", "k2"]
-    moved = _with_terms(postings, chosen).select(
-        *by, "rank", (F.col("position") - F.col("place") + F.col("offset")).alias("start")
-    )
-    cell = F.floor(F.col("start") / (slop + 1))
-    first = moved.where("rank = 1").withColumn("cell", F.explode(F.array(cell - 1, cell, cell + 1)))
-    others = moved.select(*by, "rank", F.col("start").alias("other"), cell.alias("cell"))
-    near = first.drop("rank").join(others, [*by, "cell"]).where(F.abs(F.col("other") - F.col("start")) <= slop)
-    met = near.groupBy(*by, "start").agg(F.countDistinct("rank").alias("n"))
-    return met.join(chosen.groupBy("item", "offset").agg(F.count("*").alias("n")), ["item", "offset", "n"]).drop("n")
+def _verified(words: streams.Words, row: np.ndarray, start: np.ndarray, phrases: pa.Array, needed: list[list[int]], slop: int):
+    """Places where candidates hold: candidate, first word in the batch, number of words, and whether it is the phrase itself.
+
+    ``start`` is the first of a candidate's starts in its row; ``needed`` are the places of the chosen words in the window.
+    """
+    test = streams.Words(phrases, SEPARATOR)
+    size = test.counts
+    starts = 2 * (slop + 1) if slop else 1
+    for a in range(0, len(row), CANDIDATES):
+        c = np.arange(a, min(a + CANDIDATES, len(row)))
+        place = np.arange(int(size[c].max(initial=0)))
+        real = place < size[c, None]
+        term = test.hashes[np.where(real, test.bounds[c, None] + place, 0)]
+        chosen = np.zeros(real.shape, bool)
+        for k, own in enumerate(needed[a : a + len(c)]):
+            chosen[k, own] = True
+        rarest_ = np.array([own[0] for own in needed[a : a + len(c)]], np.int64)
+        lo, hi = words.bounds[row[c]], words.bounds[row[c] + 1]
+        for s in range(starts):
+            begin = lo + start[c] + s
+            found = np.zeros(real.shape, bool)
+            for off in [0, *(d for k in range(1, slop + 1) for d in (-k, k))]:
+                at = begin[:, None] + place + off
+                inside = real & (at >= lo[:, None]) & (at < hi[:, None])
+                found |= inside & (words.hashes[np.where(inside, at, 0)] == term)
+                if off == 0:
+                    same = found | ~real
+                    anchored = found[np.arange(len(c)), rarest_]
+            for k in np.flatnonzero(same.all(1)).tolist():
+                i, b = int(c[k]), int(begin[k])
+                own = b" ".join(words.raw[x:y].tobytes() for x, y in zip(words.starts[b : b + size[i]], words.ends[b : b + size[i]]))
+                if own == phrases[i].as_py().encode():
+                    yield i, b, int(size[i]), True
+            if slop:
+                near = anchored & (found | ~chosen).all(1) & (found.sum(1) >= np.ceil(size[c] * NEAR - 1e-9))
+                for k in np.flatnonzero(near).tolist():
+                    yield int(c[k]), int(begin[k]), int(size[c[k]]), False
 
 
 def hits(
@@ -177,22 +238,30 @@ def hits(
     item_id: str = "item_id",
     size: int = WINDOW,
     carry: tuple[str, ...] = (),
+    slop: int = 0,
 ) -> DataFrame:
     """For every document its words, the spans of words that test windows cover, and the items they come from.
 
+    The same for near matches, which the phrases are among: the rarest known word of a window stands in its place, the
+    other chosen one at most ``slop`` words off, and so do at least 0.8 of all its words. Without slop there are none but
+    the phrases. ``contaminated`` heeds phrases alone.
+
     Null text has no words; null ids and repeated rows are documents of their own; an empty table on either side gives
     no hits. Columns that ``carry`` does not name are not read; a carried column must not have the name of a result.
     """
     known = test_items(items, item_id, text)
     terms = known.select(F.explode("terms").alias("term")).distinct()
     counts = term_counts(docs, [r[0] for r in terms.toLocalIterator()], text)
-    chosen = scratch.written(rarest(known, counts, size), "chosen")
+    chosen = scratch.written(rarest(known, counts, size, share=NEAR if slop else 1.0), "chosen")
     needed = [r[0] for r in chosen.select("term").distinct().toLocalIterator()]
-    found = phrase_candidates(index(docs, needed, text), chosen).join(known.select("item", "id", "words"), "item")
+    found = proximity_matches(index(docs, needed, text), chosen, slop).join(known.select("item", "id", "words"), "item")
     phrase = F.array_join(F.slice("words", F.col("offset") + 1, F.lit(size)), " ")
-    phrases = found.select("k1", "k2", "start", phrase.alias("phrase"), "id")
+    inside = F.transform("needed", lambda x: x - F.col("offset"))
+    phrases = found.select("k1", "k2", "start", phrase.alias("phrase"), inside.alias("needed"), "id")
+    # Equal windows choose equal places, so a phrase is one candidate however many items it stands in.
+    phrases = phrases.groupBy("k1", "k2", "start", "phrase", "needed").agg(F.collect_set("id").alias("ids"))
     by_text = scratch.written(
-        phrases.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "phrase", "id")).alias("candidates")), "candidates"
+        phrases.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "phrase", "needed", "ids")).alias("candidates")), "candidates"
     )
     rows = docs.select(F.col(doc_id).alias("doc_id"), *carry, F.col(text).alias("_text"))
     # One way at every size: few candidates would be sent to all tasks, many would not, and the cost would jump between.
@@ -201,43 +270,49 @@ def hits(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in streams.pieces(batches, "_text"):
             words = streams.Words(part.column("_text"), SEPARATOR, FOLD)
-            counts = words.counts.astype(np.int64)
-            hit = np.zeros(part.num_rows, np.int64)
-            spans: list[list] = [[] for _ in range(part.num_rows)]
-            named: list[list[str]] = [[] for _ in range(part.num_rows)]
+            n = part.num_rows
             candidates = part.column("candidates")
-            for row in np.flatnonzero(candidates.is_valid().to_numpy(zero_copy_only=False)).tolist():
-                lo, hi = words.bounds[row], words.bounds[row + 1]
-                from_, to, names_ = [], [], set()
-                for c in candidates[row].as_py():
-                    a, phrase = lo + c["start"], c["phrase"].encode()
-                    b = a + phrase.count(b" ") + 1
-                    own = b" ".join(words.raw[s:e].tobytes() for s, e in zip(words.starts[a:b], words.ends[a:b])) if b <= hi else b""
-                    if own == phrase:
-                        from_.append(a - lo)
-                        to.append(b - lo)
-                        names_.add(c["id"])
-                covered = streams.cover(np.array(from_, np.int64), np.array(to, np.int64), int(counts[row]))
-                hit[row] = int(covered.sum())
-                edge = np.flatnonzero(np.diff(covered.astype(np.int8), prepend=0, append=0))
-                spans[row] = [{"start": int(a), "end": int(b)} for a, b in zip(edge[::2], edge[1::2])]
-                named[row] = sorted(names_, key=lambda s: s.encode())
-            digest = [hashlib.sha256(",".join(n).encode()).hexdigest() for n in named]
+            row = pc.list_parent_indices(candidates).to_numpy()
+            each = candidates.flatten()
+            start, phrase, places, ids = (pc.struct_field(each, f) for f in ("start", "phrase", "needed", "ids"))
+            from_, to, exact, of = [], [], [], []
+            named: list[tuple[set, set]] = [(set(), set()) for _ in range(n)]
+            for i, at, length, same in _verified(words, row, start.to_numpy(), phrase, places.to_pylist(), slop):
+                from_.append(at)
+                to.append(at + length)
+                exact.append(same)
+                of.append(int(row[i]))
+                for kind in (0, 1) if same else (1,):
+                    named[of[-1]][kind].update(ids[i].as_py())
+            from_, to, exact, of = np.array(from_, np.int64), np.array(to, np.int64), np.array(exact, bool), np.array(of, np.int64)
+            to = np.minimum(to, words.bounds[of + 1])  # the end of a near match may stand in words that the text lacks
+            from_ = np.maximum(from_, words.bounds[of])
+            covered = streams.cover(from_[exact], to[exact], len(words.starts))
+            near = streams.cover(from_, to, len(words.starts))
+            hit, n_near = (streams.per_row(x.astype(np.int64), words.bounds) for x in (covered, near))
+            spans: list[list] = [[] for _ in range(n)]
+            for r in np.flatnonzero(hit).tolist():
+                edge = np.flatnonzero(np.diff(covered[words.bounds[r] : words.bounds[r + 1]].astype(np.int8), prepend=0, append=0))
+                spans[r] = [{"start": int(a), "end": int(b)} for a, b in zip(edge[::2], edge[1::2])]
+            sorted_ = [[sorted(x, key=lambda s: s.encode()) for x in both] for both in named]
+            digest = [hashlib.sha256(",".join(x).encode()).hexdigest() for x, _ in sorted_]
             kept = [part.column(c) for c in ("doc_id", *carry)]
             yield pa.RecordBatch.from_arrays(
                 [
                     *kept,
-                    pa.array(counts),
+                    pa.array(words.counts.astype(np.int64)),
                     pa.array(hit),
-                    pa.array([len(n) for n in named], pa.int64()),
+                    pa.array([len(x) for x, _ in sorted_], pa.int64()),
                     pa.array(digest, pa.string()),
                     pa.array(hit > 0),
-                    pa.array(named, pa.list_(pa.string())),
+                    pa.array(n_near),
+                    pa.array([len(x) for _, x in sorted_], pa.int64()),
+                    pa.array([x for x, _ in sorted_], pa.list_(pa.string())),
+                    pa.array([x for _, x in sorted_], pa.list_(pa.string())),
                     pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                 ],
-                ["doc_id", *carry, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "spans"],
+                ["doc_id", *carry, *RESULTS],
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
-    schema += ", n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    return joined.mapInArrow(work, schema + ", items array<string>, spans array<struct<start:int,end:int>>")
+    return joined.mapInArrow(work, schema + "".join(f", {name} {kind}" for name, kind in RESULTS.items()))

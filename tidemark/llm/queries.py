@@ -101,8 +101,8 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import decontam
 
-    found = decontam.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.drop("items", "spans")
+    found = decontam.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=decontam.SLOP)
+    return found.drop("items", "near_items", "spans")
 
 
 @query
