@@ -200,7 +200,7 @@ def test_proximity_finds_what_phrases_miss(spark, docs_of):
     assert decontam.proximity_matches(postings, chosen, 2).select("k1").distinct().count() == 2
 
 
-def near_of(texts, items, slop=decontam.SLOP, most=decontam.RAREST):
+def near_of(texts, items, slop=decontam.SLOP, most=decontam.NEAR_RAREST):
     """For every text the number of words in near matches and their items, by trying every window at every place."""
     all_words = [ascii_words(t) for t in texts]
     often = Counter(w for own in all_words for w in own)
@@ -217,8 +217,8 @@ def near_of(texts, items, slop=decontam.SLOP, most=decontam.RAREST):
                     continue
                 for s in range(-10, len(own)):
                     found = {j for j, w in enumerate(window) if w in own[max(s + j - slop, 0) : max(s + j + slop + 1, 0)]}
-                    first = s + chosen[0][1]
-                    if 0 <= first < len(own) and own[first] == window[chosen[0][1]] and {j for _, j in chosen} <= found and len(found) >= least:
+                    stands = any(0 <= s + j < len(own) and own[s + j] == window[j] for _, j in chosen)
+                    if stands and len(found) >= least:
                         near.update(range(max(s, 0), min(s + len(window), len(own))))
                         named.add("" if i is None else str(i))
         out.append((len(near), sorted(named)))
@@ -239,7 +239,7 @@ def test_near_matches_against_brute_force(spark, docs_of):
     expected = [(i, n, len(named), named) for i, (n, named) in zip(ids, near_of(texts, items))]
     assert sorted((r.doc_id, r.n_near, r.n_near_items, r.near_items) for r in got) == sorted(expected)
     found = {r.doc_id: r.n_near for r in got}
-    assert all(found[i] > 10 for i in range(4)) and found[4] == found[10] == 0  # edited every nine words; backwards, another text
+    assert all(found[i] >= 30 for i in range(4)) and found[4] == found[10] == 0  # edited every nine words; backwards, another text
     plain = decontam.hits(docs_of(texts, ids), table).collect()
     contract = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans")
     assert sorted(str([r[c] for c in contract]) for r in got) == sorted(str([r[c] for c in contract]) for r in plain)

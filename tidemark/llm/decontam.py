@@ -25,6 +25,7 @@ from tidemark.llm import scratch, streams
 
 WINDOW = 10
 RAREST = 2
+NEAR_RAREST = 4  # of a window of ten, two words of which may be missing, two of the four are there
 SLOP = 2  # words by which a word of a near match may stand off its place
 NEAR = 0.8  # share of a window's words that a near match has
 FEW_TERMS = 500_000  # wanted terms sent to all tasks: at most some 20 MB
@@ -133,7 +134,8 @@ def index(docs: DataFrame, terms: list[int], text: str = "text") -> DataFrame:
 def rarest(items: DataFrame, counts: DataFrame, size: int = WINDOW, most: int = RAREST, share: float = 1.0) -> DataFrame:
     """The chosen words of every window with enough terms in the corpus: item, offset of the window, place, term, rank.
 
-    A window is ``size`` words of an item, or the whole item if it has fewer; ``share`` of its terms must be known.
+    A window is ``size`` words of an item, or the whole item if it has fewer. A match has ``share`` of its words at least;
+    ``met`` is how many of the chosen ones are then among them.
     """
     place = items.select("item", F.size("terms").alias("n"), F.posexplode("terms").alias("place", "term"))
     last = F.greatest(F.col("n") - size, F.lit(0))
@@ -144,8 +146,11 @@ def rarest(items: DataFrame, counts: DataFrame, size: int = WINDOW, most: int =
     ranked = known.withColumn("known", F.count("*").over(whole)).withColumn(
         "rank", F.row_number().over(whole.orderBy("often", "place"))
     )
-    kept = ranked.where((F.col("known") >= F.ceil(F.least("n", F.lit(size)) * F.lit(share) - 1e-9)) & (F.col("rank") <= most))
-    return kept.select("item", "offset", "place", "term", "rank")
+    words = F.least("n", F.lit(size))
+    least = F.ceil(words * F.lit(share) - 1e-9)
+    kept = ranked.where((F.col("known") >= least) & (F.col("rank") <= most))
+    met = F.greatest(F.least("known", F.lit(most)) - (words - least), F.lit(1)).cast("int").alias("met")
+    return kept.select("item", "offset", "place", "term", "rank", met)
 
 
 def phrase_candidates(postings: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -155,7 +160,7 @@ def phrase_candidates(postings: DataFrame, chosen: DataFrame) -> DataFrame:
 
 def proximity_matches(postings: DataFrame, chosen: DataFrame, slop: int) -> DataFrame:
     """Where the moved lists of a window's chosen terms come within ``slop`` words of each other: text, item, offset, the
-    first of 2 * (slop + 1) starts among which that is, and the chosen places, the rarest term's first."""
+    first of 2 * (slop + 1) starts among which that is, and the chosen places. As many of them meet as a match must have."""
     return _meetings(postings, chosen, slop)
 
 
@@ -172,15 +177,12 @@ def _meetings(postings: DataFrame, chosen: DataFrame, slop: int) -> DataFrame:
     else:
         moved = moved.withColumn("cell", F.col("at").cast("long"))
     met = moved.groupBy("item", "k1", "k2", "cell").agg(F.collect_set("place").alias("places"))
-    by_rank = F.array_sort(F.collect_list(F.struct("rank", "place")))
-    each = chosen.groupBy("item", "offset").agg(F.transform(by_rank, lambda x: x["place"]).alias("needed"))
-    least = each.groupBy("item").agg(
-        F.min(F.size("needed")).alias("least"), F.collect_list(F.struct("offset", "needed")).alias("windows")
-    )
+    each = chosen.groupBy("item", "offset").agg(F.array_sort(F.collect_list("place")).alias("needed"), F.first("met").alias("met"))
+    least = each.groupBy("item").agg(F.min("met").alias("least"), F.collect_list(F.struct("offset", "needed", "met")).alias("windows"))
     joined = met.join(least.select("item", "least"), "item").where(F.size("places") >= F.col("least"))
     whole = joined.join(least.select("item", "windows"), "item")
     hit = whole.select("item", "k1", "k2", "cell", "places", F.explode("windows").alias("w"))
-    hit = hit.where(F.size(F.array_except("w.needed", "places")) == 0)
+    hit = hit.where(F.size(F.array_intersect("w.needed", "places")) >= F.col("w.met"))
     start = (F.col("cell") * width + F.col("w.offset")).cast("int").alias("start")
     return hit.select("item", "k1", "k2", F.col("w.offset").alias("offset"), start, F.col("w.needed").alias("needed"))
 
@@ -207,7 +209,6 @@ def _verified(words: streams.Words, row: np.ndarray, start: np.ndarray, phrases:
         chosen = np.zeros(real.shape, bool)
         for k, own in enumerate(needed[a : a + len(c)]):
             chosen[k, own] = True
-        rarest_ = np.array([own[0] for own in needed[a : a + len(c)]], np.int64)
         lo, hi = words.bounds[row[c]], words.bounds[row[c] + 1]
         for s in range(starts):
             begin = lo + start[c] + s
@@ -218,14 +219,14 @@ def _verified(words: streams.Words, row: np.ndarray, start: np.ndarray, phrases:
                 found |= inside & (words.hashes[np.where(inside, at, 0)] == term)
                 if off == 0:
                     same = found | ~real
-                    anchored = found[np.arange(len(c)), rarest_]
+                    anchored = (found & chosen).any(1)
             for k in np.flatnonzero(same.all(1)).tolist():
                 i, b = int(c[k]), int(begin[k])
                 own = b" ".join(words.raw[x:y].tobytes() for x, y in zip(words.starts[b : b + size[i]], words.ends[b : b + size[i]]))
                 if own == phrases[i].as_py().encode():
                     yield i, b, int(size[i]), True
             if slop:
-                near = anchored & (found | ~chosen).all(1) & (found.sum(1) >= np.ceil(size[c] * NEAR - 1e-9))
+                near = anchored & (found.sum(1) >= np.ceil(size[c] * NEAR - 1e-9))
                 for k in np.flatnonzero(near).tolist():
                     yield int(c[k]), int(begin[k]), int(size[c[k]]), False
 
@@ -242,9 +243,10 @@ def hits(
 ) -> DataFrame:
     """For every document its words, the spans of words that test windows cover, and the items they come from.
 
-    The same for near matches, which the phrases are among: the rarest known word of a window stands in its place, the
-    other chosen one at most ``slop`` words off, and so do at least 0.8 of all its words. Without slop there are none but
-    the phrases. ``contaminated`` heeds phrases alone.
+    The same for near matches, which the phrases are among: one of the four rarest words of a window that the corpus knows
+    stands in its place, and at least 0.8 of all words of the window stand at most ``slop`` words off theirs. None of them
+    is missed, as two of the four are then there. Without slop there are none but the phrases. ``contaminated`` heeds
+    phrases alone.
 
     Null text has no words; null ids and repeated rows are documents of their own; an empty table on either side gives
     no hits. Columns that ``carry`` does not name are not read; a carried column must not have the name of a result.
@@ -252,7 +254,8 @@ def hits(
     known = test_items(items, item_id, text)
     terms = known.select(F.explode("terms").alias("term")).distinct()
     counts = term_counts(docs, [r[0] for r in terms.toLocalIterator()], text)
-    chosen = scratch.written(rarest(known, counts, size, share=NEAR if slop else 1.0), "chosen")
+    sought = rarest(known, counts, size, NEAR_RAREST, NEAR) if slop else rarest(known, counts, size)
+    chosen = scratch.written(sought, "chosen")
     needed = [r[0] for r in chosen.select("term").distinct().toLocalIterator()]
     found = proximity_matches(index(docs, needed, text), chosen, slop).join(known.select("item", "id", "words"), "item")
     phrase = F.array_join(F.slice("words", F.col("offset") + 1, F.lit(size)), " ")
