@@ -225,7 +225,10 @@ def near_of(texts, items, slop=decontam.SLOP, most=decontam.NEAR_RAREST):
     return out
 
 
-def test_near_matches_against_brute_force(spark, docs_of):
+@pytest.mark.parametrize("blocks", [False, True])
+def test_near_matches_against_brute_force(spark, docs_of, monkeypatch, blocks):
+    if blocks:
+        monkeypatch.setattr(decontam, "BLOCK_CHOSEN", 100)
     passage = prose(1, 40).split()
     inserted = [x for k, w in enumerate(passage) for x in ([w, "more"] if k % 9 == 4 else [w])]
     dropped = [w for k, w in enumerate(passage) if k % 9 != 4]

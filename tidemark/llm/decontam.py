@@ -28,7 +28,8 @@ RAREST = 2
 NEAR_RAREST = 4  # of a window of ten, two words of which may be missing, two of the four are there
 SLOP = 2  # words by which a word of a near match may stand off its place
 NEAR = 0.8  # share of a window's words that a near match has
-FEW_TERMS = 500_000  # wanted terms sent to all tasks: at most some 20 MB
+BLOCK_CHOSEN = 1_000_000  # chosen words looked up in one pass over the index: at most 40 MB sent to an executor
+ROWS = 1 << 21  # postings moved to items at once
 CANDIDATES = 50_000  # verified at once
 BLOCK_TERMS = 2_000_000  # terms looked up in one pass over the corpus: at most 16 MB sent to an executor
 
@@ -85,14 +86,23 @@ def test_items(items: DataFrame, item_id: str = "item_id", text: str = "text") -
     return scratch.written(found.withColumn("item", F.monotonically_increasing_id()), "items")
 
 
-def _lookup(docs: DataFrame, terms: list[int], places: bool, text: str) -> DataFrame:
-    """How often each of the terms stands in the corpus, or where."""
-    parts = []
+def _blocks(docs: DataFrame, terms: list[int]) -> Iterator:
     for at in range(0, max(len(terms), 1), BLOCK_TERMS):
-        wanted = np.sort(np.array(terms[at : at + BLOCK_TERMS], np.int64))
-        shared = docs.sparkSession.sparkContext.broadcast(wanted)
+        yield docs.sparkSession.sparkContext.broadcast(np.sort(np.array(terms[at : at + BLOCK_TERMS], np.int64)))
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
-        def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+
+def term_counts(docs: DataFrame, terms: list[int], text: str = "text") -> DataFrame:
+    """How often each of the terms stands in the corpus."""
+
+    def counted(shared) -> DataFrame:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             wanted = shared.value
             counts = np.zeros(len(wanted), np.int64)
             for part in streams.pieces(batches, "text"):
@@ -100,35 +110,40 @@ def _lookup(docs: DataFrame, terms: list[int], places: bool, text: str) -> DataF
                 hashes = streams.signed(words.hashes)
                 at = np.minimum(np.searchsorted(wanted, hashes), max(len(wanted) - 1, 0))
                 hit = np.flatnonzero(wanted[at] == hashes) if len(wanted) else np.zeros(0, np.int64)
-                if places:
-                    row = words.rows()[hit]
-                    key = [part.column(c).take(pa.array(row)) for c in ("k1", "k2")]
-                    position = (hit - words.bounds[row]).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes[hit]), *key, pa.array(position)], ["term", "k1", "k2", "position"])
-                else:
-                    counts += np.bincount(at[hit], minlength=len(wanted))
-            if not places:
-                seen = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_arrays([pa.array(wanted[seen]), pa.array(counts[seen])], ["term", "n"])
-
-        if places:
-            rows = keyed(docs.select(F.col(text).alias("text"))).select("k1", "k2", "text")
-            parts.append(rows.mapInArrow(work, "term long, k1 long, k2 long, position int"))
-        else:
-            parts.append(docs.select(F.col(text).alias("text")).mapInArrow(work, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+                counts += np.bincount(at[hit], minlength=len(wanted))
+            seen = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(wanted[seen]), pa.array(counts[seen])], ["term", "n"])
 
+        return docs.select(F.col(text).alias("text")).mapInArrow(work, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
-def term_counts(docs: DataFrame, terms: list[int], text: str = "text") -> DataFrame:
-    return _lookup(docs, terms, False, text)
+    return _union([counted(shared) for shared in _blocks(docs, terms)])
 
 
-def index(docs: DataFrame, terms: list[int], text: str = "text") -> DataFrame:
-    """The stored index: postings of the terms over all texts."""
-    return scratch.written(_lookup(docs, terms, True, text), "postings")
+def index(docs: DataFrame, terms: list[int] | np.ndarray, text: str = "text") -> DataFrame:
+    """The stored index, in segments: the texts of a slice of the corpus and the postings of the terms there, by term.
+
+    All postings of a text lie in one segment, so lists are intersected where they are stored. The terms are sent to all
+    tasks: ``hits`` gives those of a block of items.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(np.sort(np.array(terms, np.int64)))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = shared.value
+        for part in streams.pieces(batches, "text"):
+            words = streams.Words(part.column("text"), SEPARATOR, FOLD)
+            hashes = streams.signed(words.hashes)
+            at = np.minimum(np.searchsorted(wanted, hashes), max(len(wanted) - 1, 0))
+            hit = np.flatnonzero(wanted[at] == hashes) if len(wanted) else np.zeros(0, np.int64)
+            hit = hit[np.argsort(at[hit], kind="stable")]
+            row = words.rows()[hit]
+            lists = [part.column(c).to_numpy() for c in ("k1", "k2")]
+            lists += [hashes[hit], row.astype(np.int32), (hit - words.bounds[row]).astype(np.int32)]
+            columns = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x)) for x in lists]
+            yield pa.RecordBatch.from_arrays(columns, ["k1", "k2", "term", "text", "position"])
+
+    rows = keyed(docs.select(F.col(text).alias("text"))).select("k1", "k2", "text")
+    schema = "k1 array<long>, k2 array<long>, term array<long>, text array<int>, position array<int>"
+    return scratch.written(rows.mapInArrow(work, schema), "postings")
 
 
 def rarest(items: DataFrame, counts: DataFrame, size: int = WINDOW, most: int = RAREST, share: float = 1.0) -> DataFrame:
@@ -155,80 +170,132 @@ def rarest(items: DataFrame, counts: DataFrame, size: int = WINDOW, most: int =
 
 def phrase_candidates(postings: DataFrame, chosen: DataFrame) -> DataFrame:
     """Where the posting lists of a window's chosen terms, moved back by their places, meet: text, item, offset, start."""
-    return _meetings(postings, chosen, 0).where("start >= 0").drop("needed")
+    return proximity_matches(postings, chosen, 0)
 
 
 def proximity_matches(postings: DataFrame, chosen: DataFrame, slop: int) -> DataFrame:
-    """Where the moved lists of a window's chosen terms come within ``slop`` words of each other: text, item, offset, the
-    first of 2 * (slop + 1) starts among which that is, and the chosen places. As many of them meet as a match must have."""
-    return _meetings(postings, chosen, slop)
-
-
-def _meetings(postings: DataFrame, chosen: DataFrame, slop: int) -> DataFrame:
-    """Lists are moved to the start of the item rather than of each window, so a posting is one row, or two, however many
-    windows want it; the places found in one cell of diagonals then tell which windows are met. Cells of twice the width
-    begin at every width, so places no more than the slop apart always share one."""
-    wanted = chosen.select("item", "place", "term").distinct()
-    moved = _with_terms(postings, wanted).select("item", "k1", "k2", (F.col("position") - F.col("place")).alias("at"), "place")
-    width = slop + 1
-    if slop:
-        cell = F.floor(F.col("at") / width)
-        moved = moved.withColumn("cell", F.explode(F.array(cell - 1, cell)))
-    else:
-        moved = moved.withColumn("cell", F.col("at").cast("long"))
-    met = moved.groupBy("item", "k1", "k2", "cell").agg(F.collect_set("place").alias("places"))
-    each = chosen.groupBy("item", "offset").agg(F.array_sort(F.collect_list("place")).alias("needed"), F.first("met").alias("met"))
-    least = each.groupBy("item").agg(F.min("met").alias("least"), F.collect_list(F.struct("offset", "needed", "met")).alias("windows"))
-    joined = met.join(least.select("item", "least"), "item").where(F.size("places") >= F.col("least"))
-    whole = joined.join(least.select("item", "windows"), "item")
-    hit = whole.select("item", "k1", "k2", "cell", "places", F.explode("windows").alias("w"))
-    hit = hit.where(F.size(F.array_intersect("w.needed", "places")) >= F.col("w.met"))
-    start = (F.col("cell") * width + F.col("w.offset")).cast("int").alias("start")
-    return hit.select("item", "k1", "k2", F.col("w.offset").alias("offset"), start, F.col("w.needed").alias("needed"))
-
-
-def _with_terms(postings: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Postings of wanted terms; the terms are sent to all tasks only if they are few."""
-    few = wanted.limit(FEW_TERMS + 1).count() <= FEW_TERMS
-    return postings.join(F.broadcast(wanted) if few else wanted, "term")
-
-
-def _verified(words: streams.Words, row: np.ndarray, start: np.ndarray, phrases: pa.Array, needed: list[list[int]], slop: int):
-    """Places where candidates hold: candidate, first word in the batch, number of words, and whether it is the phrase itself.
-
-    ``start`` is the first of a candidate's starts in its row; ``needed`` are the places of the chosen words in the window.
+    """Where the moved lists of a window's chosen terms come within ``slop`` words of one of them: text, item, offset, start.
+
+    As many of them meet as a match must have. The chosen words are sent to all tasks: ``hits`` gives those of a block of items.
     """
+    names = ["item", "offset", "place", "term", "met"]
+    own = chosen.select(*names).toArrow()
+    shared = postings.sparkSession.sparkContext.broadcast([own.column(c).to_numpy().astype(np.int64) for c in names])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows = Windows(*shared.value)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                k1, k2, *lists = (batch.column(c)[i].values.to_numpy() for c in ("k1", "k2", "term", "text", "position"))
+                for text, item, offset, start in windows.meetings(*lists, slop):
+                    columns = [pa.array(k1[text]), pa.array(k2[text]), *(pa.array(x) for x in (item, offset, start))]
+                    yield pa.RecordBatch.from_arrays(columns, ["k1", "k2", "item", "offset", "start"])
+
+    return postings.mapInArrow(work, "k1 long, k2 long, item long, offset long, start long")
+
+
+def _meetings(docs: DataFrame, chosen: DataFrame, slop: int, text: str) -> DataFrame:
+    """The matches of all items: for each block of them an index of its terms and one pass over that."""
+    blocks = max(1, -(-chosen.count() // BLOCK_CHOSEN))
+    parts = []
+    for b in range(blocks):
+        own = chosen.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
+        needed = own.select("term").distinct().toArrow().column(0).to_numpy()
+        parts.append(proximity_matches(index(docs, needed, text), own, slop))
+    return _union(parts)
+
+
+def _expand(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For ranges the number of the range and the place of each of their members."""
+    n = hi - lo
+    which = np.repeat(np.arange(len(n)), n)
+    return which, lo[which] + np.arange(len(which)) - (np.cumsum(n) - n)[which]
+
+
+class Windows:
+    """Chosen words of windows, by term and by the item and place that windows share."""
+
+    def __init__(self, item: np.ndarray, offset: np.ndarray, place: np.ndarray, term: np.ndarray, met: np.ndarray) -> None:
+        self.items, number = np.unique(item, return_inverse=True)
+        order = np.lexsort((offset, place, number))
+        self.number, self.place, self.offset, self.met = number[order], place[order], offset[order], met[order]
+        first = np.ones(len(order), bool)
+        first[1:] = (np.diff(self.number) != 0) | (np.diff(self.place) != 0)
+        self.first = np.append(np.flatnonzero(first), len(order))  # of the windows that chose a place of an item
+        spot = np.argsort(term[order][self.first[:-1]], kind="stable")
+        self.spot, self.term = spot, term[order][self.first[:-1]][spot]
+        self.least = np.full(len(self.items), 1 << 30)
+        np.minimum.at(self.least, self.number, self.met)
+
+    def meetings(self, term: np.ndarray, text: np.ndarray, position: np.ndarray, slop: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """Text, item, offset and start of windows that a segment's postings meet, for some texts at a time."""
+        order = np.argsort(text, kind="stable")
+        term, text, position = term[order], text[order].astype(np.int64), position[order].astype(np.int64)
+        lo, hi = np.searchsorted(self.term, term), np.searchsorted(self.term, term, "right")
+        ends = np.flatnonzero(np.diff(text, append=-1)) + 1
+        size = np.cumsum(hi - lo)
+        a = 0
+        while a < len(term):
+            done = size[a - 1] if a else 0
+            k = np.searchsorted(size[ends - 1], done + ROWS, "right")
+            b = int(ends[min(max(k, np.searchsorted(ends, a, "right") + 1), len(ends)) - 1])
+            own, at = _expand(lo[a:b], hi[a:b])
+            spot = self.spot[at]
+            where = self.first[spot]
+            diagonal = position[a:b][own] - self.place[where]
+            yield from self._of(text[a:b][own], spot, diagonal, slop)
+            a = b
+
+    def _of(self, text: np.ndarray, spot: np.ndarray, diagonal: np.ndarray, slop: int) -> Iterator[tuple[np.ndarray, ...]]:
+        item = self.number[self.first[spot]]
+        order = np.lexsort((diagonal, item, text))
+        text, item, spot, diagonal = text[order], item[order], spot[order], diagonal[order]
+        close = np.zeros(len(text), bool)  # to the posting before it on the diagonals of its text and item
+        close[1:] = (np.diff(text) == 0) & (np.diff(item) == 0) & (np.diff(diagonal) <= slop)
+        kept = np.flatnonzero(close | np.append(close[1:], False) | (self.least[item] <= 1))
+        own, at = _expand(self.first[spot[kept]], self.first[spot[kept] + 1])
+        text, item, start = text[kept][own], item[kept][own], diagonal[kept][own] + self.offset[at]
+        offset, met = self.offset[at], self.met[at]
+        order = np.lexsort((start, offset, item, text))
+        text, item, offset, start, met = (x[order] for x in (text, item, offset, start, met))
+        new = np.ones(len(text), bool)
+        new[1:] = (np.diff(text) != 0) | (np.diff(item) != 0) | (np.diff(offset) != 0)
+        if not len(text):
+            return
+        apart = int(start.max() - start.min()) + 2 * slop + 2
+        line = (np.cumsum(new) - 1) * apart + (start - start.min())  # starts of one text and window, far from all others
+        near = np.searchsorted(line, line + slop, "right") - np.searchsorted(line, line - slop)
+        once = np.append(True, np.diff(line) != 0)
+        hit = np.flatnonzero((near >= met) & once)
+        if len(hit):
+            yield text[hit], self.items[item[hit]], offset[hit], start[hit]
+
+
+def _verified(words: streams.Words, row: np.ndarray, start: np.ndarray, phrases: pa.Array, slop: int):
+    """Places where candidates hold: candidate, first word in the batch, number of words, and whether it is the phrase itself."""
     test = streams.Words(phrases, SEPARATOR)
     size = test.counts
-    starts = 2 * (slop + 1) if slop else 1
     for a in range(0, len(row), CANDIDATES):
         c = np.arange(a, min(a + CANDIDATES, len(row)))
         place = np.arange(int(size[c].max(initial=0)))
         real = place < size[c, None]
         term = test.hashes[np.where(real, test.bounds[c, None] + place, 0)]
-        chosen = np.zeros(real.shape, bool)
-        for k, own in enumerate(needed[a : a + len(c)]):
-            chosen[k, own] = True
         lo, hi = words.bounds[row[c]], words.bounds[row[c] + 1]
-        for s in range(starts):
-            begin = lo + start[c] + s
-            found = np.zeros(real.shape, bool)
-            for off in [0, *(d for k in range(1, slop + 1) for d in (-k, k))]:
-                at = begin[:, None] + place + off
-                inside = real & (at >= lo[:, None]) & (at < hi[:, None])
-                found |= inside & (words.hashes[np.where(inside, at, 0)] == term)
-                if off == 0:
-                    same = found | ~real
-                    anchored = (found & chosen).any(1)
-            for k in np.flatnonzero(same.all(1)).tolist():
-                i, b = int(c[k]), int(begin[k])
-                own = b" ".join(words.raw[x:y].tobytes() for x, y in zip(words.starts[b : b + size[i]], words.ends[b : b + size[i]]))
-                if own == phrases[i].as_py().encode():
-                    yield i, b, int(size[i]), True
-            if slop:
-                near = anchored & (found.sum(1) >= np.ceil(size[c] * NEAR - 1e-9))
-                for k in np.flatnonzero(near).tolist():
-                    yield int(c[k]), int(begin[k]), int(size[c[k]]), False
+        begin = lo + start[c]
+        found = np.zeros(real.shape, bool)
+        for off in [0, *(d for k in range(1, slop + 1) for d in (-k, k))]:
+            at = begin[:, None] + place + off
+            inside = real & (at >= lo[:, None]) & (at < hi[:, None])
+            found |= inside & (words.hashes[np.where(inside, at, 0)] == term)
+            if off == 0:
+                same = (found | ~real).all(1)
+        near = (found.sum(1) >= np.ceil(size[c] * NEAR - 1e-9)) & (slop > 0)
+        for k in np.flatnonzero(same | near).tolist():
+            i, b = int(c[k]), int(begin[k])
+            spans = zip(words.starts[b : b + size[i]], words.ends[b : b + size[i]]) if same[k] else ()
+            exact = bool(same[k]) and b" ".join(words.raw[x:y].tobytes() for x, y in spans) == phrases[i].as_py().encode()
+            if exact or near[k]:
+                yield i, b, int(size[i]), exact
 
 
 def hits(
@@ -256,15 +323,13 @@ def hits(
     counts = term_counts(docs, [r[0] for r in terms.toLocalIterator()], text)
     sought = rarest(known, counts, size, NEAR_RAREST, NEAR) if slop else rarest(known, counts, size)
     chosen = scratch.written(sought, "chosen")
-    needed = [r[0] for r in chosen.select("term").distinct().toLocalIterator()]
-    found = proximity_matches(index(docs, needed, text), chosen, slop).join(known.select("item", "id", "words"), "item")
+    found = _meetings(docs, chosen, slop, text).join(known.select("item", "id", "words"), "item")
     phrase = F.array_join(F.slice("words", F.col("offset") + 1, F.lit(size)), " ")
-    inside = F.transform("needed", lambda x: x - F.col("offset"))
-    phrases = found.select("k1", "k2", "start", phrase.alias("phrase"), inside.alias("needed"), "id")
-    # Equal windows choose equal places, so a phrase is one candidate however many items it stands in.
-    phrases = phrases.groupBy("k1", "k2", "start", "phrase", "needed").agg(F.collect_set("id").alias("ids"))
+    phrases = found.select("k1", "k2", "start", phrase.alias("phrase"), "id")
+    # A phrase is one candidate however many items it stands in.
+    phrases = phrases.groupBy("k1", "k2", "start", "phrase").agg(F.collect_set("id").alias("ids"))
     by_text = scratch.written(
-        phrases.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "phrase", "needed", "ids")).alias("candidates")), "candidates"
+        phrases.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "phrase", "ids")).alias("candidates")), "candidates"
     )
     rows = docs.select(F.col(doc_id).alias("doc_id"), *carry, F.col(text).alias("_text"))
     # One way at every size: few candidates would be sent to all tasks, many would not, and the cost would jump between.
@@ -277,10 +342,10 @@ def hits(
             candidates = part.column("candidates")
             row = pc.list_parent_indices(candidates).to_numpy()
             each = candidates.flatten()
-            start, phrase, places, ids = (pc.struct_field(each, f) for f in ("start", "phrase", "needed", "ids"))
+            start, phrase, ids = (pc.struct_field(each, f) for f in ("start", "phrase", "ids"))
             from_, to, exact, of = [], [], [], []
             named: list[tuple[set, set]] = [(set(), set()) for _ in range(n)]
-            for i, at, length, same in _verified(words, row, start.to_numpy(), phrase, places.to_pylist(), slop):
+            for i, at, length, same in _verified(words, row, start.to_numpy(), phrase, slop):
                 from_.append(at)
                 to.append(at + length)
                 exact.append(same)
