@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 from collections import Counter
 
 import numpy as np
@@ -145,3 +146,20 @@ def test_the_registered_query(spark, docs_of, files, tmp_path):
     docs_of(texts).write.parquet(f"{tmp_path}/documents.parquet")
     got = of(queries.QUERIES["op11_cross_tokenizer_alignment"](spark, str(tmp_path)))
     assert got == sorted(Plain(files).rows(list(enumerate(texts))), key=repr)
+
+
+def test_the_cache_stays_small(files):
+    def held(x):
+        return sys.getsizeof(x) + (sum(map(held, x)) if isinstance(x, tuple) else 0)
+
+    tokenizers = alignment.Pair(*files)
+    for low in range(0, 420_000, 30_000):
+        tokenizers.of([f" w{i}".encode() for i in range(low, low + 30_000)])
+    halves = (tokenizers._cache, tokenizers._older)
+    assert sum(held(half) + sum(held(k) + held(v) for k, v in half.items()) for half in halves) < 60 << 20
+
+
+def test_pieces_of_a_slice_do_not_show(files, spark, docs_of, monkeypatch):
+    texts = [None, *[prose(k, 60) for k in range(20)], "", "y" * 500]
+    monkeypatch.setattr(alignment, "PIECE", 700)
+    assert of(alignment.digest(docs_of(texts).coalesce(1), *files)) == sorted(Plain(files).rows(list(enumerate(texts))), key=repr)

@@ -12,6 +12,7 @@ sums are shuffled by pair. The counts go back to their block, where the compact
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import os
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import scratch, streams
 
 LANE = 1024  # bytes of text that one entry of the state vector walks
-CACHED_SEGMENTS, CACHED_BYTES = 200_000, 64  # segments in each half of the cache, bytes of the longest kept
+CACHED_SEGMENTS, CACHED_BYTES = 100_000, 64  # segments in each half of the cache, bytes of the longest kept
+PIECE = 1 << 19  # bytes of text that are aligned at once; what a task holds beside its cache is in proportion to it
 BLOCK_PAIRS, BLOCK_BYTES = 1 << 20, 64 << 20  # a block is closed beyond either
 B_BITS = 32  # a pair is one number: the id of A above so many bits, the id of B below
 
@@ -42,7 +44,8 @@ class Pair:
     those of its segments between such places; each segment is looked up, and the libraries see a new one once. New
     segments of A go to the merges by rank where the file's merges stand in the order of their ids, else and for long
     segments to the file's own library. The cache has two halves; when one is full it becomes the older, and segments
-    still in use move on.
+    still in use move on. A segment's ids of both are one run of numbers, as narrow as the vocabularies allow: the number
+    of A's ids in two 16-bit halves, A's ids, B's ids. A segment that the tokens do not spell has an empty run.
     """
 
     def __init__(self, spec_a: str, model_b: bytes) -> None:
@@ -65,19 +68,20 @@ class Pair:
             raise ValueError("a piece runs from a word into the next; segments would not be independent")
         self._ranked = _by_rank(json.loads(spec_a), letters)
         self.sizes_a, self.sizes_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
-        self._cache: dict[bytes, tuple[bytes, bytes] | tuple[()]] = {}
-        self._older: dict[bytes, tuple[bytes, bytes] | tuple[()]] = {}
+        self.kind = np.dtype("<u2" if max(size_a, size_b) <= 1 << 16 else "<i4")
+        self._cache: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
 
-    def _one(self, segment: bytes) -> tuple[bytes, bytes] | tuple[()]:
-        """Ids of both as little-endian int32; empty where the tokens do not spell the segment."""
+    def _one(self, segment: bytes) -> bytes:
+        """The run of one segment."""
         text = segment.decode(errors="replace")
         a = self._a.encode(text, add_special_tokens=False).ids
         b = self._b.encode(text[1:], num_threads=1) if text[1:] else [self._b.piece_to_id("▁")]  # a text's last space
         if b"".join([self.bytes_a[i] for i in a]) != segment or b"".join([self.bytes_b[i] for i in b]) != segment:
-            return ()
-        return np.array(a, "<i4").tobytes(), np.array(b, "<i4").tobytes()
+            return b""
+        return np.array([len(a) >> 16, len(a) & 0xFFFF, *a, *b], self.kind).tobytes()
 
-    def _many(self, segments: list[bytes]) -> list[tuple[bytes, bytes] | tuple[()]]:
+    def _many(self, segments: list[bytes]) -> list[bytes]:
         """The same of many short segments that end in no white space: one call of each library."""
         whole = b"".join(segments)
         ends = np.cumsum([len(s) for s in segments])
@@ -96,20 +100,22 @@ class Pair:
         to_a, to_b = np.searchsorted(after_a, ends, "right"), np.cumsum([len(ids) for ids in each])
         if (after_a[to_a - 1] != ends).any() or (after_b[to_b - 1] != ends).any():
             return [self._one(s) for s in segments]
-        a, b = a.tobytes(), b.tobytes()
-        cuts = zip(*[[0, *(4 * t).tolist()] for t in (to_a, to_b)])
-        low, out = next(cuts), []
-        for high in cuts:
-            out.append((a[low[0] : high[0]], b[low[1] : high[1]]))
-            low = high
-        return out
-
-    def of(self, segments: list[bytes]) -> list[tuple[bytes, bytes] | tuple[()]]:
+        n_a, n_b = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
+        after = np.cumsum(2 + n_a + n_b)
+        runs = np.zeros(after[-1], self.kind)
+        first = after - n_a - n_b
+        runs[first - 1] = n_a  # short segments have few
+        runs[np.repeat(first - (to_a - n_a), n_a) + np.arange(len(a))] = a
+        runs[np.repeat(after - to_b, n_b) + np.arange(len(b))] = b
+        data, stops = runs.tobytes(), (self.kind.itemsize * after).tolist()
+        return [data[x:y] for x, y in zip([0, *stops], stops)]
+
+    def of(self, segments: list[bytes]) -> list[bytes]:
         if len(self._cache) > CACHED_SEGMENTS:
             self._cache, self._older = {}, self._cache
         cache, older = self._cache, self._older
         new = {s for s in segments if s not in cache}
-        passing: dict[bytes, tuple[bytes, bytes] | tuple[()]] = {}
+        passing: dict[bytes, bytes] = {}
         if new:
             short = []
             for s in new:
@@ -124,6 +130,19 @@ class Pair:
             cache.update(zip(short, self._many(short)))
         return [cache[s] if s in cache else passing[s] for s in segments]
 
+    @functools.cached_property
+    def written(self) -> Written:
+        return Written(max(len(self.bytes_a), len(self.bytes_b)))
+
+    def split(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of A and those of B of runs that are not empty."""
+        runs = np.frombuffer(b"".join(found), self.kind)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        first = np.cumsum(sizes) - sizes
+        n_a = (runs[first].astype(np.int64) << 16) | runs[first + 1]
+        is_a, is_b = (np.repeat(np.tile([False, of_a, not of_a], len(found)), np.stack([np.full(len(found), 2), n_a, sizes - 2 - n_a], 1).ravel()) for of_a in (True, False))
+        return runs[is_a].astype(np.int32), runs[is_b].astype(np.int32)
+
 
 def _sure(segment: bytes) -> bool:
     """Whether the last character surely is not white space: ASCII, or a letter of two bytes."""
@@ -242,7 +261,7 @@ def aligned(column: pa.Array, tokenizers: Pair) -> Aligned:
         row = np.searchsorted(offsets, at, "right") - 1
         spelled = ~np.isin(row, row[~spelled])
         found = [f for f, ok in zip(found, spelled.tolist()) if ok]
-    a, b = (np.frombuffer(b"".join([f[k] for f in found]), "<i4") for k in (0, 1))
+    a, b = tokenizers.split(found)
     sizes = np.diff(np.array(edges, np.int64))
 
     def ends(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -314,7 +333,7 @@ def links(docs: DataFrame, spec_a: str, model_b: bytes, doc_id: str = "doc_id",
     a, b = context.broadcast(spec_a), context.broadcast(model_b)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in streams.pieces(batches, "text"):
+        for part in streams.pieces(batches, "text", PIECE):
             x = aligned(part.column("text"), _tokenizers(a, b))
             rows = np.repeat(np.arange(part.num_rows), np.diff(x.bounds_links))
             cut_bounds = np.concatenate([[0], np.cumsum(x.cut)])[x.bounds_links]
@@ -363,20 +382,24 @@ def digest(docs: DataFrame, spec_a: str, model_b: bytes, doc_id: str = "doc_id",
         return pa.RecordBatch.from_arrays([given.get(f.name, pa.nulls(1, f.type)) for f in schema], schema=schema)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        written, block, size = None, uuid.uuid4().hex, 0
+        block, size = uuid.uuid4().hex, 0
         pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
         def summed() -> pa.RecordBatch:
             return row(block=pa.array([block]), pairs=one_list(pa.array(pairs)), counts=one_list(pa.array(counts)))
 
         for part in streams.pieces(batches, "text"):
-            tokenizers = _tokenizers(a, b)
-            written = written or Written(max(len(tokenizers.bytes_a), len(tokenizers.bytes_b)))
-            x = aligned(part.column("text"), tokenizers)
-            hashes = [hashlib.sha256(t).hexdigest() if len(t) else "" for t in written.texts(x)]
-            cuts = streams.per_row(x.cut, x.bounds_links)
-            per_doc = (np.diff(x.bounds_a), np.diff(x.bounds_b), cuts, np.diff(x.bounds_links))
-            seen, local, own = np.unique(x.pairs(), return_inverse=True, return_counts=True)
+            hashes, per_piece, linked = [], [], []
+            for piece in streams.pieces(iter([part]), "text", PIECE):
+                tokenizers = _tokenizers(a, b)
+                x = aligned(piece.column("text"), tokenizers)
+                hashes += [hashlib.sha256(t).hexdigest() if len(t) else "" for t in tokenizers.written.texts(x)]
+                cuts = streams.per_row(x.cut, x.bounds_links)
+                per_piece.append((np.diff(x.bounds_a), np.diff(x.bounds_b), cuts, np.diff(x.bounds_links)))
+                linked.append(x.pairs())
+                size += int(x.starts[-1])
+            per_doc = [np.concatenate(values) for values in zip(*per_piece)]
+            seen, local, own = np.unique(np.concatenate(linked), return_inverse=True, return_counts=True)
             narrow = local.astype("<u2" if len(seen) <= 1 << 16 else "<u4").tobytes()
             yield row(
                 block=pa.array([block]),
@@ -390,7 +413,7 @@ def digest(docs: DataFrame, spec_a: str, model_b: bytes, doc_id: str = "doc_id",
             both, into = np.unique(np.concatenate([pairs, seen]), return_inverse=True)
             total = np.zeros(len(both), np.int64)
             np.add.at(total, into, np.concatenate([counts, own]))
-            pairs, counts, size = both, total, size + int(x.starts[-1])
+            pairs, counts = both, total
             if len(pairs) >= BLOCK_PAIRS or size >= BLOCK_BYTES:
                 yield summed()
                 block, size = uuid.uuid4().hex, 0
