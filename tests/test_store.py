@@ -398,6 +398,17 @@ def test_chunks_of_awkward_fields(spark, store, monkeypatch, of):
     assert rows(table.read()) == rows(source)
 
 
+def test_staging_shuffles_nothing_and_packs_small_files(spark, store):
+    table = store("id long")
+    few, many = (table.stage(spark.range(0, 4000, 1, n), gather=True) for n in (4, 400))
+    assert len(files_of(table, [few.part.directory])) == 4  # rows stay in the task that read them
+    assert len(files_of(table, [many.part.directory])) <= max(spark.sparkContext.defaultParallelism, 400 // 20)
+    assert few.part.rows == many.part.rows == 4000
+    assert {f.name for f in (pathlib.Path(table.root.removeprefix("file:")) / "data").iterdir()} == {few.part.directory, many.part.directory}
+    for part in (few.part, many.part):
+        assert rows(table.read_part(part, table.snapshot().schema)) == [(i,) for i in sorted(range(4000), key=lambda i: repr((i,)))]
+
+
 def test_compaction_keeps_rows_and_marks(spark, store):
     table = store(SCHEMA)
     big = spark.range(100).select("id", F.lit("x").alias("v"), F.col("id").alias("at"))

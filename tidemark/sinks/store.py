@@ -36,6 +36,7 @@ MARK_FIELDS = [*hwm.KEY, "incr_point", "sync_mode", "src_incr_field", "dst_pk"]
 MARK_SCHEMA = ", ".join(f"{f} string" for f in MARK_FIELDS)
 CONTROL_FIELDS = [*MARK_FIELDS, "cdt", "udt"]
 LISTED = 50  # directories up to which their commits are a constant of the plan, not a table
+ROWS_PER_FILE = 100_000  # fewer on average, from more tasks than run at once, are too many small files
 RETRIES = 20  # of an append that another commit overtook
 KEEP_SECONDS = 24 * 3600.0  # age from which directories that no commit names are garbage
 LEASE_SECONDS = 30 * KEEP_SECONDS  # no load runs longer; older leases are void
@@ -252,9 +253,10 @@ class TableStore:
         gather: bool = False,
         also: dict[str, Column] | None = None,
     ) -> Staged:
-        """Write rows to a new directory, measuring them on the way. ``gather`` lets AQE even out many small tasks.
+        """Write rows to a new directory, measuring them on the way; they are not shuffled for it.
 
-        ``also`` are aggregates of the caller, measured with the others.
+        ``gather`` copies what many tasks wrote into many small files once more, into fewer: Spark packs small files when
+        it reads them. ``also`` are aggregates of the caller, measured with the others.
 
         The measurements sit directly on the write, in its result stage, where Spark counts each task once.
         """
@@ -272,13 +274,20 @@ class TableStore:
             top = F.greatest(F.max(quoted(incr)), hwm.typed_point(old_point, dtype))
             measures[1] = hwm.point_text(top, dtype).alias("top")
         measures += [c.alias(name) for name, c in (also or {}).items()]
+        out = df
+        if gather:
+            measures.append(F.approx_count_distinct("__task").alias("tasks"))
+            out = df.withColumn("__task", F.spark_partition_id())
         seen = Observation()
-        directory = new_directory()
-        out = df.hint("rebalance") if gather else df
-        out.observe(seen, *measures).write.mode("errorifexists").parquet(f"{self.root}/data/{directory}")
+        part = Part(new_directory(), 0)
+        out.observe(seen, *measures).drop("__task").write.mode("errorifexists").parquet(f"{self.root}/data/{part.directory}")
         got = seen.get
+        if gather and got["tasks"] > max(self.spark.sparkContext.defaultParallelism, got["rows"] / ROWS_PER_FILE):
+            scattered, part = part, Part(new_directory(), 0)
+            self._scan([scattered], df.schema).write.mode("errorifexists").parquet(f"{self.root}/data/{part.directory}")
+            self.discard(scattered)
         extra = {name: got[name] for name in also or {}}
-        return Staged(Part(directory, got["rows"]), got["top"], got["key_size"], got["low"], got["high"], extra)
+        return Staged(replace(part, rows=got["rows"]), got["top"], got["key_size"], got["low"], got["high"], extra)
 
     def discard(self, part: Part | Deletion) -> None:
         """Remove a staged directory that no commit names."""
