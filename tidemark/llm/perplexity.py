@@ -210,7 +210,11 @@ def _pairs(part: pa.RecordBatch, other: int) -> tuple[np.ndarray, ...]:
     words = words & EVEN | half[row]
     before = np.concatenate([words[-1:], words[:-1]])  # the edge that ends a document is that before the next
     before = np.where(np.concatenate([last[-1:], last[:-1]]), U(EDGE) & EVEN | half[row], before)
-    return row, words, before, streams.mix(before * U(streams.WORD_BASE) + words)
+    return row, words, before, _pair(before, words)
+
+
+def _pair(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return streams.mix(before * U(streams.WORD_BASE) + words)
 
 
 def pair_counts(docs: DataFrame) -> DataFrame:
@@ -220,16 +224,29 @@ def pair_counts(docs: DataFrame) -> DataFrame:
         for part in streams.pieces(batches, "text", SLICE):
             _, w, v, pair = _pairs(part, 0)
             pair, at, n = np.unique(pair, return_index=True, return_counts=True)
-            columns = [pa.array(streams.signed(x)) for x in (pair, v[at], w[at])]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64))], ["pair", "v", "w", "c"])
+            columns = [pa.array(streams.signed(x)) for x in (v[at], w[at])]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64))], ["v", "w", "c"])
+
+    found = docs.where("trusted").select("text", "key").mapInArrow(work, "v long, w long, c long")
+    return found.groupBy("v", "w").agg(F.sum("c").alias("c"))
 
-    found = docs.where("trusted").select("text", "key").mapInArrow(work, "pair long, v long, w long, c long")
-    return found.groupBy("pair").agg(F.first("v").alias("v"), F.first("w").alias("w"), F.sum("c").alias("c"))
+
+def _hashed(pairs: DataFrame) -> DataFrame:
+    """The hash of each pair, as ``id``, in the place of its two words."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v, w = (batch.column(c).to_numpy(zero_copy_only=False).view(U) for c in ("v", "w"))
+            yield pa.RecordBatch.from_arrays([pa.array(streams.signed(_pair(v, w))), batch.column("value")], ["id", "value"])
+
+    return pairs.mapInArrow(work, "id long, value double")
 
 
 def values(pairs: DataFrame, spelled: DataFrame) -> DataFrame:
     """Keys of words and of pairs seen with their values: the log probability of a document is the sum over its keys.
 
+    ``pairs`` have their two words, ``v`` and ``w``, their count, and may bring a key of their own, ``pair``.
+
     A word's value is the log of its probability below pairs and of the weight that it leaves to what it was not seen
     with; a pair's is what its probability differs by from the one and the other.
     """
@@ -261,11 +278,12 @@ def values(pairs: DataFrame, spelled: DataFrame) -> DataFrame:
     left = F.coalesce(F.col("left") / F.col("total"), F.lit(1.0))
     table = words.join(follows, "word", "left").join(after, "word", "left").select("word", F.log(p).alias("log_p"), F.log(left).alias("log_left"), "total", "n")
     table = scratch.written(table, "words")
-    by_before = table.select(F.col("word").alias("v"), "log_left", "total")
+    by_before = table.where("total IS NOT NULL").select(F.col("word").alias("v"), "log_left", "total")
     by_word = table.select(F.col("word").alias("w"), "log_p")
-    apart = F.col("log_left") + F.col("log_p")
-    seen = pairs.join(by_before, "v").join(by_word, "w")
-    more = seen.select(F.col("pair").alias("id"), F.log1p((F.col("c") - cut) / F.col("total") * F.exp(-apart)).alias("value"), F.lit(0).alias("n"))
+    name = ["pair"] if "pair" in pairs.columns else ["v", "w"]
+    own = pairs.join(by_before, "v").select(*{*name, "w"}, ((F.col("c") - cut) / F.col("total")).alias("own"), "log_left")
+    more = own.join(by_word, "w").select(*name, F.log1p(F.col("own") * F.exp(-F.col("log_left") - F.col("log_p"))).alias("value"))
+    more = (more.withColumnRenamed("pair", "id") if "pair" in pairs.columns else _hashed(more)).withColumn("n", F.lit(0))
     return table.select(F.col("word").alias("id"), (F.col("log_p") + F.col("log_left")).alias("value"), "n").unionByName(more)
 
 
@@ -367,14 +385,18 @@ def classify(
     content = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), content.alias("text"), F.col(lang).alias("lang"), F.xxhash64(content).alias("key"))
     rows = rows.join(F.broadcast(good) if few else good, F.col("doc_id") == F.col("good"), "left").withColumn("trusted", F.col("good").isNotNull()).drop("good")
-    words = scratch.written(vocabulary(rows), "words")
-    shards = max(1, -(-words.count() // SHARD_WORDS))
-    at = F.pmod(F.shiftrightunsigned("hash", 32), F.lit(shards)).cast("int")
-    edge = docs.sparkSession.createDataFrame([(EDGE, bytearray(), 0, 0)], "hash long, word binary, n0 long, n1 long")  # spelled as no characters and an end
-    spelled = scratch.written(spellings(words.unionByName(edge).withColumn("shard", at), shards), "spellings")
-    pairs = scratch.written(pair_counts(rows), "pairs")
-    keyed = scratch.written(values(pairs, spelled), "values")
-    scored = scratch.written(sums(rows, keyed, max(1, -(-keyed.count() // SHARD_KEYS))), "sums")
+    spark = docs.sparkSession
+    with scratch.phase(spark) as keep_scored:
+        with scratch.phase(spark) as keep_keyed:
+            words = scratch.written(vocabulary(rows), "words")
+            shards = max(1, -(-words.count() // SHARD_WORDS))
+            at = F.pmod(F.shiftrightunsigned("hash", 32), F.lit(shards)).cast("int")
+            edge = spark.createDataFrame([(EDGE, bytearray(), 0, 0)], "hash long, word binary, n0 long, n1 long")  # spelled as no characters and an end
+            with scratch.phase(spark) as keep_spelled:
+                spelled = keep_spelled(spellings(words.unionByName(edge).withColumn("shard", at), shards), "spellings")
+            pairs = scratch.written(pair_counts(rows), "pairs")
+            keyed = keep_keyed(values(pairs, spelled), "values")
+        scored = keep_scored(sums(rows, keyed, max(1, -(-keyed.count() // SHARD_KEYS))), "sums")
     same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.key") == F.col("s.key"))
     rated = rows.drop("text").alias("d").join(scored.alias("s"), same, "left").select("d.*", F.exp(-F.col("log") / F.col("n")).alias("perplexity"))
     rated = scratch.written(rated.drop("key"), "rated")

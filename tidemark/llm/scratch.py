@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sinks.files import Folder
+
+CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_open: list[list[str]] = []  # for each phase that runs, the folders written in it
+
 
 def folder(spark: SparkSession) -> str:
     """A new folder name under ``spark.checkpoint.dir``; under a temporary one only where a local session names none."""
@@ -22,5 +29,35 @@ def folder(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, read back from Parquet: computed once, lineage cut, safe when executors are lost."""
     path = f"{folder(df.sparkSession)}/{name}"
+    if _open:
+        _open[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def phase(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """What is written inside is deleted at the end; the function that this gives writes tables that outlive the phase.
+
+    Shuffle files of a job that runs inside go when it ends, so frames that are used again have to be written.
+    """
+    before, made = spark.conf.get(CLEANED), []
+    outer = _open[-1] if _open else None
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        out = written(df, name)
+        path = made.pop()
+        if outer is not None:
+            outer.append(path)
+        return out
+
+    _open.append(made)
+    spark.conf.set(CLEANED, "true")
+    try:
+        yield keep
+    finally:
+        spark.conf.set(CLEANED, before)
+        _open.pop()
+        for path in made:
+            root, name = path.rsplit("/", 1)
+            Folder(root).remove_directory(name)
