@@ -334,6 +334,22 @@ def test_redaction_joins_overlapping_spans(spark):
 # 7 packing
 
 
+def test_words_that_differ_by_case_or_signs_are_asked_for_once(monkeypatch):
+    text = spec("word_bpe_49k.json")
+    library, words, asked = Tokenizer.from_str(text), packing.WordIds(text), []
+    ask = words._ask
+    monkeypatch.setattr(words, "_ask", lambda word: asked.append(word.decode()) or ask(word))
+
+    def same(x):
+        return np.frombuffer(words.ids(x.encode()), "<u4").tolist() == library.encode(x, add_special_tokens=False).ids
+
+    assert same("été Été ÉTÉ été, Été.### été!! abc abc$$$ ABC*** Abc.%%% 7### x7")
+    assert asked == ["été", ",", ".###", "!!", "abc", "$$$", "***", ".%%%", "7", "###", "x7"]
+    pick = random.Random(7)
+    parts = list("abXÉéßİıǅªÿŉ09²'.,|<>#$&!?*-_@^`~\"([{}\\+;") + ["'s", "'re", "<|endoftext|>", "<|", "|>", "\u0301", "\u0338", "ﬁ", "中", "Ж", "ẞ", "Σ", " ", "…"]
+    assert all(same("".join(pick.choices(parts, k=pick.randint(1, 7)))) for _ in range(20000))
+
+
 def test_packing_against_the_library(spark, docs_of):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     texts = [None, "", "Über, Straße. İI Ⅷ don't I'll", "<|endoftext|> <|Endoftext|>. a|", "x? , !| \x85é é", prose(1, 900), prose(2, 90)]

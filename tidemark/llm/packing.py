@@ -29,6 +29,7 @@ SLACK = 0.0005  # a drawn fill is worth at most this share less than the best
 PASSES = 4  # over what rounding has left
 CACHED_WORDS = 250_000  # in each half of the cache, some 50 MB
 LATIN_END = "\u0250"
+SIGNS = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum())
 
 # Byte-level vocabularies write bytes as characters: printable ones as themselves, the others from U+0100 on.
 _PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -40,10 +41,10 @@ _loaded: dict[int, WordIds] = {}
 class WordIds:
     """Ids of texts through a cache by white-space delimited word; the library sees each new word once.
 
-    For a tokenizer that drops white space, a text's ids are its words' ids in a row. Full stops, commas and bars that
-    follow a letter are tokens of their own, so words are also looked up without them. A word of Latin letters alone is
-    lowered and handed to the merges at once, as normalizing and splitting leave it whole. When the cache is full, it
-    becomes the older half and words still in use move on.
+    For a tokenizer that drops white space, a text's ids are its words' ids in a row. A run of ASCII signs that follows a
+    Latin letter or a digit is split off by the tokenizer, so the word and the run are looked up apart. A word of Latin
+    letters alone is lowered and handed to the merges at once, as normalizing and splitting leave it whole. When the cache
+    is full, it becomes the older half and words still in use move on.
     """
 
     def __init__(self, spec: str) -> None:
@@ -69,10 +70,11 @@ class WordIds:
         if ids is None:
             ids = self._older.get(word)
             if ids is None:
-                if word[-1] in b".,|" and (core := word[:-1])[-1:].isalnum():
-                    ids = self._find(core) + self._find(word[-1:])
-                elif word.isascii() and (low := word.lower()) != word and b"<" not in word:
-                    ids = self._find(low)  # the tokenizer lowers letters; not where special strings may be
+                special = b"<" in word  # special strings stand as they are written
+                if word[-1] in SIGNS and not special and _splits(core := word.rstrip(SIGNS)):
+                    ids = self._find(core) + self._find(word[len(core) :])
+                elif not special and (low := _lowered(word)) != word:
+                    ids = self._find(low)
                 else:
                     ids = self._ask(word)
             self._cache[word] = ids
@@ -81,13 +83,30 @@ class WordIds:
     def ids(self, text: bytes) -> bytes:
         if len(self._cache) > CACHED_WORDS:
             self._cache, self._older = {}, self._cache
-        get, out = self._cache.get, []
-        for word in text.split():
-            ids = get(word)
-            out.append(self._find(word) if ids is None else ids)
+        words = text.split()
+        out = list(map(self._cache.get, words))
+        if None in out:
+            out = [self._find(word) if ids is None else ids for word, ids in zip(words, out)]
         return b"".join(out)
 
 
+def _splits(core: bytes) -> bool:
+    """Whether the tokenizer parts this from the signs behind it: it ends in a Latin letter or an ASCII digit."""
+    if core[-1:].isalnum():
+        return True
+    last = core[-2:].decode(errors="ignore")[-1:]  # Latin letters beyond ASCII have two bytes
+    return last.lower().isalpha() and last < LATIN_END  # a dotted capital I leaves its dot to the signs
+
+
+def _lowered(word: bytes) -> bytes:
+    """The word in lower case as the tokenizer has it, where that is sure: of ASCII or of Latin letters alone."""
+    if word.isascii():
+        return word.lower()
+    text = word.decode()
+    low = text.lower()
+    return low.encode() if low != text and text.isalpha() and low.isalpha() and max(text) < LATIN_END and max(low) < LATIN_END else word
+
+
 def cut(docs: DataFrame, spec: str, capacity: int, end_id: int, doc_id: str, text: str, with_ids: bool) -> DataFrame:
     """Pieces of every document's ids, each with its rank among the pieces of its length that its task has made."""
     shared = docs.sparkSession.sparkContext.broadcast(spec)
