@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from llm.conftest import prose
@@ -180,6 +181,23 @@ def test_perplexity_looks_past_a_word(spark, docs_of):
     assert got[61].perplexity > 1.3 * got[60].perplexity
 
 
+def test_pairs_of_passes_are_all_pairs_once(spark, docs_of, monkeypatch):
+    texts = [prose(i, 150) for i in range(24)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    whole = {r.doc_id: r.perplexity for r in perplexity.classify(docs_of(texts), labels).collect()}
+    docs = docs_of(texts).select("text", F.xxhash64("text").alias("key"), F.lit(True).alias("trusted"))
+    pairs = Counter({(r.v, r.w): r.c for r in perplexity.pair_counts(docs).collect()})
+    passes = [Counter({(r.v, r.w): r.c for r in perplexity.pair_counts(docs, i, 4).collect()}) for i in range(4)]
+    assert sum(passes, Counter()) == pairs and sum(map(len, passes)) == len(pairs) and max(map(len, passes)) < len(pairs) / 2
+    shuffled, parts = [], scratch.parts
+    monkeypatch.setattr(perplexity, "PASS_TOKENS", 1000)
+    monkeypatch.setattr(scratch, "parts", lambda spark, frames, name: shuffled.append(name) or parts(spark, (shuffled.append(i) or f for i, f in enumerate(frames)), name))
+    dealt = {r.doc_id: r.perplexity for r in perplexity.classify(docs_of(texts), labels).collect()}
+    n = shuffled.index("sums") - 1
+    assert n > 1 and shuffled == ["pairs", *range(n), "sums", *range(n)]
+    assert dealt == pytest.approx(whole, rel=1e-12)
+
+
 def test_pairs_and_what_is_left_sum_to_one(spark):
     words = {w: 2 * (i + 1) for i, w in enumerate("abcd")}
     counted = [("a", "b", 3), ("a", "c", 1), ("b", "a", 2), ("c", "a", 1), ("b", "b", 1)]

@@ -14,6 +14,10 @@ a word, and below that the word's spelling, so no word is without a probability:
   documents sends to every shard which of its keys stand in which documents and how often, and the shard answers with
   the documents' sums.
 
+Keys are dealt to passes by word, or by the first word of a pair. Pairs are counted and documents scored in one pass after
+another, and what a pass has shuffled is deleted before the next, so the disk holds a share of the pairs at a time; every
+pass reads all texts again.
+
 A document's perplexity is taken over its characters. Documents are kept up to a quantile of the trusted documents'
 perplexities in the same language. Shards hold a bounded number of keys, and are streamed, so memory stays bounded.
 """
@@ -24,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +37,10 @@ from tidemark.llm.streams import U
 
 ORDER = 5
 BEGIN, FINISH = "\x02", "\x03"
-SHARD_WORDS = 250_000
-SHARD_KEYS = 1_000_000  # words and pairs whose values a shard holds
+PASSES, PASS_TOKENS = 12, 200_000  # passes at most, and tokens of trusted documents for each of fewer
+FEW_WORDS = 1_000_000  # first words of a pass sent to all executors: at most some 50 MB
+SHARD_WORDS = 50_000
+SHARD_KEYS = 2_000_000  # words and pairs whose values a shard holds
 SLICE = 1 << 22  # bytes of text whose keys are gathered before they are passed on
 TASK_WORDS = 500_000  # distinct words that a task gathers before it passes them on
 FEW_IDS = 4_000_000  # ids of trusted documents sent to all executors: at most some 100 MB
@@ -67,6 +74,14 @@ class Tokens:
         sums = streams.span_sums(streams.KEYED[self.raw], streams.BYTE_BASE, self.starts, self.ends)
         self.hashes = streams.mix(sums + (self.ends - self.starts).astype(U))
 
+    def spelled(self, which: np.ndarray) -> pa.Array:
+        """The bytes of the tokens with these numbers."""
+        starts, sizes = self.starts[which], self.ends[which] - self.starts[which]
+        at = np.zeros(len(which) + 1, np.int64)
+        np.cumsum(sizes, out=at[1:])
+        data = self.raw[np.repeat(starts - at[:-1], sizes) + np.arange(at[-1])]
+        return pa.Array.from_buffers(pa.binary(), len(which), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)])
+
 
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> U(32)) % U(shards)).astype(np.int32)
@@ -75,30 +90,31 @@ def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
 def vocabulary(docs: DataFrame) -> DataFrame:
     """Every distinct word with its hash and its counts in the trusted documents of either half; ``docs`` has text, key and trusted."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[int, bytes] = {}
-        times: dict[int, list[int]] = {}
+    def together(parts: list[tuple[np.ndarray, pa.Array, np.ndarray]]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        hashes, one, which = np.unique(np.concatenate([p[0] for p in parts]), return_index=True, return_inverse=True)
+        n = np.concatenate([p[2] for p in parts])
+        n = np.stack([np.bincount(which, n[:, i], len(hashes)) for i in (0, 1)], 1)
+        return hashes, pa.concat_arrays([p[1] for p in parts]).take(pa.array(one)), n
 
-        def seen() -> pa.RecordBatch:
-            columns = [pa.array(list(words.values()), pa.binary()), pa.array(list(words), pa.int64()), *(pa.array([n[i] for n in times.values()], pa.int64()) for i in (0, 1))]
-            return pa.RecordBatch.from_arrays(columns, ["word", "hash", "n0", "n1"])
+    def batch_of(hashes: np.ndarray, words: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+        columns = [words, pa.array(streams.signed(hashes)), *(pa.array(n[:, i].astype(np.int64)) for i in (0, 1))]
+        return pa.RecordBatch.from_arrays(columns, ["word", "hash", "n0", "n1"])
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, pa.Array, np.ndarray]] = []
         for part in streams.pieces(batches, "text"):
             t = Tokens(part.column("text"))
-            good = np.repeat(part.column("trusted").to_numpy(zero_copy_only=False).astype(np.int64), np.diff(t.bounds))
+            good = np.repeat(part.column("trusted").to_numpy(zero_copy_only=False).astype(float), np.diff(t.bounds))
             hashes, one, which = np.unique(t.hashes, return_index=True, return_inverse=True)
             half = np.repeat(part.column("key").to_numpy(zero_copy_only=False) & 1, np.diff(t.bounds))
-            n = np.bincount(which * 2 + half, weights=good, minlength=2 * len(hashes)).astype(np.int64).reshape(-1, 2)
-            data = t.raw.tobytes()
-            for h, a, b, more in zip(streams.signed(hashes).tolist(), t.starts[one].tolist(), t.ends[one].tolist(), n.tolist()):
-                if h in words:
-                    times[h] = [times[h][0] + more[0], times[h][1] + more[1]]
-                else:
-                    words[h], times[h] = data[a:b], more
-            if len(words) > TASK_WORDS:
-                yield seen()
-                words, times = {}, {}
-        yield seen()
+            n = np.bincount(which * 2 + half, weights=good, minlength=2 * len(hashes)).reshape(-1, 2)
+            held.append((hashes, t.spelled(one), n))
+            if sum(len(h[0]) for h in held) > 2 * TASK_WORDS:
+                held = [together(held)]
+                if len(held[0][0]) > TASK_WORDS:
+                    yield batch_of(*held.pop())
+        if held:
+            yield batch_of(*together(held))
 
     found = docs.select("text", "key", "trusted").mapInArrow(work, "word binary, hash long, n0 long, n1 long")
     return found.groupBy("hash").agg(F.first("word").alias("word"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
@@ -160,6 +176,20 @@ def probabilities(by_order: list[DataFrame], wanted: DataFrame) -> DataFrame:
     return p
 
 
+def _windows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the n-grams of full order of each text, and where each text's begin; texts are at least that long."""
+    signs = np.frombuffer(b"".join(column.to_pylist()).decode().encode("utf-32-le"), "<u4").astype(U)
+    sizes = pc.utf8_length(column.cast(pa.string())).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(sizes)
+    counts = sizes - (ORDER - 1)
+    bounds = np.concatenate([[0], np.cumsum(counts)])
+    at = np.repeat(ends - sizes - bounds[:-1], counts) + np.arange(bounds[-1])
+    sums = np.zeros(len(at), U)
+    for i in range(ORDER):
+        sums = streams.mix(sums * U(streams.WORD_BASE) + signs[at + i])
+    return sums, bounds
+
+
 def spellings(words: DataFrame, shards: int) -> DataFrame:
     """For each word, by hash, the log probabilities of its spelling in either half and its number of predicted characters."""
     padded = F.concat(F.lit(BEGIN * (ORDER - 1)), F.lower(F.col("word").cast("string")), F.lit(FINISH))
@@ -173,21 +203,26 @@ def spellings(words: DataFrame, shards: int) -> DataFrame:
     rows = answers.unionByName(spelling, allowMissingColumns=True).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, grams = None, {}
+        current, held, known = None, [], None
         for batch in batches:
-            out = []
-            for shard, kind, a, p, h in zip(*(batch.column(c).to_pylist() for c in ("shard", "kind", "a", "p", "hash"))):
-                if shard != current:
-                    current, grams = shard, {}
-                spelled = a.decode()
-                if kind == 0:
-                    grams[spelled] = p
-                else:
-                    n = len(spelled) - ORDER + 1
-                    own = [grams[spelled[k : k + ORDER]] for k in range(n)]
-                    out.append((h, [sum(x[i] for x in own) for i in (0, 1)], n))
-            columns = [pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.list_(pa.float64()), pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, ["hash", "logs", "n"])
+            shard, kind = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("shard", "kind"))
+            edges = np.flatnonzero(np.diff(shard.astype(np.int64) * 2 + kind, prepend=-1, append=-1))
+            for a, b in zip(edges, edges[1:]):
+                part = batch.slice(a, b - a)
+                if shard[a] != current:
+                    current, held, known = shard[a], [], None
+                grams, bounds = _windows(part.column("a"))
+                if kind[a] == 0:
+                    held.append((grams, part.column("p").flatten().to_numpy(zero_copy_only=False).reshape(-1, 2)))
+                    continue
+                if known is None:
+                    keys, logs = (np.concatenate(x) for x in zip(*held))
+                    order = np.argsort(keys)
+                    known, held = (keys[order], logs[order]), []
+                own = np.add.reduceat(known[1][np.searchsorted(known[0], grams)], bounds[:-1])
+                logs = pa.ListArray.from_arrays(pa.array(np.arange(0, 2 * len(own) + 1, 2, np.int32)), pa.array(own.ravel()))
+                columns = [part.column("hash"), logs, pa.array(np.diff(bounds).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, ["hash", "logs", "n"])
 
     return rows.select("shard", "kind", "a", "p", "hash").mapInArrow(work, "hash long, logs array<double>, n int")
 
@@ -217,12 +252,22 @@ def _pair(before: np.ndarray, words: np.ndarray) -> np.ndarray:
     return streams.mix(before * U(streams.WORD_BASE) + words)
 
 
-def pair_counts(docs: DataFrame) -> DataFrame:
-    """How often each pair of words follows one another in trusted documents, by half; ``docs`` has text, key and trusted."""
+def pass_of(words: np.ndarray, passes: int) -> np.ndarray:
+    return (words >> U(8)) % U(passes)
+
+
+def in_pass(word: str, number: int, passes: int) -> Column:
+    return F.pmod(F.shiftrightunsigned(word, 8), F.lit(passes)) == number
+
+
+def pair_counts(docs: DataFrame, number: int = 0, passes: int = 1) -> DataFrame:
+    """How often each pair of words of a pass follows one another in trusted documents, by half; ``docs`` has text, key and trusted."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in streams.pieces(batches, "text", SLICE):
             _, w, v, pair = _pairs(part, 0)
+            own = pass_of(v, passes) == number
+            w, v, pair = w[own], v[own], pair[own]
             pair, at, n = np.unique(pair, return_index=True, return_counts=True)
             columns = [pa.array(streams.signed(x)) for x in (v[at], w[at])]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64))], ["v", "w", "c"])
@@ -231,70 +276,93 @@ def pair_counts(docs: DataFrame) -> DataFrame:
     return found.groupBy("v", "w").agg(F.sum("c").alias("c"))
 
 
-def _hashed(pairs: DataFrame) -> DataFrame:
-    """The hash of each pair, as ``id``, in the place of its two words."""
+def values(pairs: DataFrame, spelled: DataFrame) -> DataFrame:
+    """Keys of words and of pairs seen with their values: the log probability of a document is the sum over its keys.
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            v, w = (batch.column(c).to_numpy(zero_copy_only=False).view(U) for c in ("v", "w"))
-            yield pa.RecordBatch.from_arrays([pa.array(streams.signed(_pair(v, w))), batch.column("value")], ["id", "value"])
+    ``pairs`` have their two words, ``v`` and ``w``, their count, and a key of their own, ``pair``.
+    """
+    table, top = word_values(pairs, spelled)
+    more = pair_values(pairs, table, table, top, "pair").select(F.col("pair").alias("id"), "value", F.lit(0).alias("n"))
+    return table.select(F.col("word").alias("id"), "value", "n").unionByName(more)
 
-    return pairs.mapInArrow(work, "id long, value double")
 
+def _half(c: str) -> Column:
+    return F.col(c).bitwiseAND(F.lit(1))
 
-def values(pairs: DataFrame, spelled: DataFrame) -> DataFrame:
-    """Keys of words and of pairs seen with their values: the log probability of a document is the sum over its keys.
 
-    ``pairs`` have their two words, ``v`` and ``w``, their count, and may bring a key of their own, ``pair``.
+def _leveled(column: Column, by: list[list[float]], which: Column) -> Column:
+    """The discount of a count in one of the halves."""
+    each = [F.when(column == 1, d[0]).when(column == 2, d[1]).when(column > 2, d[2]).otherwise(0.0) for d in by]
+    return F.when(which == 0, each[0]).otherwise(each[1])
 
-    A word's value is the log of its probability below pairs and of the weight that it leaves to what it was not seen
-    with; a pair's is what its probability differs by from the one and the other.
-    """
 
-    def half(c: str) -> Column:
-        return F.col(c).bitwiseAND(F.lit(1))
+def word_values(pairs: DataFrame, spelled: DataFrame) -> tuple[DataFrame, list[list[float]]]:
+    """What each word is worth, with what its pairs are reckoned from; and the discounts of pairs.
 
-    def leveled(column: Column, by: list[list[float]], which: Column) -> Column:
-        """The discount of a count in one of the halves."""
-        each = [F.when(column == 1, d[0]).when(column == 2, d[1]).when(column > 2, d[2]).otherwise(0.0) for d in by]
-        return F.when(which == 0, each[0]).otherwise(each[1])
+    A word's value is the log of its probability below pairs and of the weight that it leaves to what it was not seen
+    with.
+    """
 
     def found(counted: DataFrame) -> list[list[float]]:
         seen = [(r["half"], r["c"], r["n"]) for r in counted.where("c <= 4").groupBy("half", "c").agg(F.count("*").alias("n")).collect()]
         return [_discounts({c: n for h, c, n in seen if h == k}) for k in (0, 1)]
 
-    top = found(pairs.select(half("v").alias("half"), "c"))
-    cut = leveled(F.col("c"), top, half("v"))
+    top = found(pairs.select(_half("v").alias("half"), "c"))
+    cut = _leveled(F.col("c"), top, _half("v"))
     after = pairs.groupBy(F.col("v").alias("word")).agg(F.sum("c").alias("total"), F.sum(cut).alias("left"))
     follows = scratch.written(pairs.groupBy(F.col("w").alias("word")).agg(F.count("*").alias("c")), "follows")
-    low = found(follows.select(half("word").alias("half"), "c"))
-    low_cut = leveled(F.col("c"), low, half("word"))
-    whole = {r["half"]: (r["c"], r["left"]) for r in follows.groupBy(half("word").alias("half")).agg(F.sum("c").alias("c"), F.sum(low_cut).alias("left")).collect()}
+    low = found(follows.select(_half("word").alias("half"), "c"))
+    low_cut = _leveled(F.col("c"), low, _half("word"))
+    whole = {r["half"]: (r["c"], r["left"]) for r in follows.groupBy(_half("word").alias("half")).agg(F.sum("c").alias("c"), F.sum(low_cut).alias("left")).collect()}
     share = [(lambda c, left: (1.0 / c, left / c))(*whole[k]) if k in whole else (0.0, 1.0) for k in (0, 1)]
     words = spelled.select(F.col("hash").bitwiseAND(F.lit(-2)).alias("hash"), "n", F.posexplode("logs").alias("half", "log"))
     words = words.select(F.col("hash").bitwiseOR(F.col("half").cast("long")).alias("word"), "log", "n", "half")
     one, rest = (F.when(F.col("half") == 0, share[0][i]).otherwise(share[1][i]) for i in (0, 1))
     p = F.coalesce(F.col("c") - low_cut, F.lit(0.0)) * one + rest * F.exp("log")
     left = F.coalesce(F.col("left") / F.col("total"), F.lit(1.0))
-    table = words.join(follows, "word", "left").join(after, "word", "left").select("word", F.log(p).alias("log_p"), F.log(left).alias("log_left"), "total", "n")
-    table = scratch.written(table, "words")
-    by_before = table.where("total IS NOT NULL").select(F.col("word").alias("v"), "log_left", "total")
-    by_word = table.select(F.col("word").alias("w"), "log_p")
-    name = ["pair"] if "pair" in pairs.columns else ["v", "w"]
-    own = pairs.join(by_before, "v").select(*{*name, "w"}, ((F.col("c") - cut) / F.col("total")).alias("own"), "log_left")
-    more = own.join(by_word, "w").select(*name, F.log1p(F.col("own") * F.exp(-F.col("log_left") - F.col("log_p"))).alias("value"))
-    more = (more.withColumnRenamed("pair", "id") if "pair" in pairs.columns else _hashed(more)).withColumn("n", F.lit(0))
-    return table.select(F.col("word").alias("id"), (F.col("log_p") + F.col("log_left")).alias("value"), "n").unionByName(more)
+    table = words.join(follows, "word", "left").join(after, "word", "left").select(
+        "word", F.log(p).alias("log_p"), F.log(left).alias("log_left"), (F.log(p) + F.log(left)).alias("value"), "total", "n", F.col("c").isNotNull().alias("follows")
+    )
+    return scratch.written(table, "words"), top
+
 
+def pair_values(pairs: DataFrame, befores: DataFrame, words: DataFrame, top: list[list[float]], *name: str, few: bool = False) -> DataFrame:
+    """What the probability of each pair differs by from those of its two words, as a log; ``befores`` and ``words`` have theirs."""
+    by_before = befores.where("total IS NOT NULL").select(F.col("word").alias("v"), "log_left", "total")
+    by_word = words.where("follows").select(F.col("word").alias("w"), "log_p")
+    cut = _leveled(F.col("c"), top, _half("v"))
+    own = pairs.join(F.broadcast(by_before) if few else by_before, "v").select(*{*name, "w"}, ((F.col("c") - cut) / F.col("total")).alias("own"), "log_left")
+    return own.join(by_word, "w").select(*name, F.log1p(F.col("own") * F.exp(-F.col("log_left") - F.col("log_p"))).alias("value"))
 
-def _incidence(docs: DataFrame, shards: int) -> DataFrame:
-    """For each slice of documents and each shard: keys, and by key the documents it stands in and how often."""
+
+def _dealt(keyed: DataFrame, shards: int) -> DataFrame:
+    """Keys and their values in runs, a few for each shard of a batch. A key is ``w`` alone, or where ``v`` is given a pair."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w, value, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("w", "value", "n"))
+            v = pc.fill_null(batch.column("v"), 0).to_numpy(zero_copy_only=False).view(U)
+            keys = np.where(batch.column("v").is_null().to_numpy(zero_copy_only=False), w.view(U), _pair(v, w.view(U)))
+            at = shard_of(keys, shards)
+            order = np.argsort(at, kind="stable")
+            keys, value, n, at = keys[order], value[order], n[order].astype(np.uint32), at[order]
+            cuts = np.flatnonzero(np.diff(at, prepend=-1, append=-1))
+            blobs = [[x[a:b].tobytes() for a, b in zip(cuts, cuts[1:])] for x in (keys, n, value)]
+            columns = [pa.array(at[cuts[:-1]], pa.int32()), *(pa.array(x, pa.binary()) for x in blobs)]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "keys", "sizes", "known"])
+
+    return keyed.select("v", "w", "value", "n").mapInArrow(work, "shard int, keys binary, sizes binary, known binary")
+
+
+def _incidence(docs: DataFrame, shards: int, number: int, passes: int) -> DataFrame:
+    """For each slice of documents and each shard: keys of a pass, and by key the documents it stands in and how often."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in streams.pieces(batches, "text", SLICE):
-            row, words, _, pair = _pairs(part, 1)
-            row = np.concatenate([row, row])
-            keys, which = np.unique(np.concatenate([words, pair]), return_inverse=True)
+            row, words, before, pair = _pairs(part, 1)
+            alone, paired = (pass_of(x, passes) == number for x in (words, before))
+            row = np.concatenate([row[alone], row[paired]])
+            keys, which = np.unique(np.concatenate([words[alone], pair[paired]]), return_inverse=True)
             at = shard_of(keys, shards)
             order = np.argsort(at, kind="stable")
             rank = np.empty_like(order)
@@ -302,12 +370,13 @@ def _incidence(docs: DataFrame, shards: int) -> DataFrame:
             keys, at = keys[order], at[order]
             cell, n = np.unique(rank[which] * part.num_rows + row, return_counts=True)
             key, row = cell // part.num_rows, (cell % part.num_rows).astype(np.uint16 if part.num_rows <= 65536 else np.uint32)
-            per_key = np.bincount(key, minlength=len(keys)).astype(np.uint32)
+            per_key = np.bincount(key, minlength=len(keys))
             cuts = np.flatnonzero(np.diff(at, prepend=-1, append=-1)) if len(at) else np.zeros(1, np.int64)
             ids = {c: part.column(c).to_pylist() for c in ("doc_id", "key")}
             for a, b, x, y in zip(cuts, cuts[1:], np.searchsorted(key, cuts), np.searchsorted(key, cuts[1:])):
                 times = n[x:y].astype(np.uint8 if n[x:y].max(initial=0) < 256 else np.uint32)
-                blobs = [keys[a:b].tobytes(), per_key[a:b].tobytes(), row[x:y].tobytes(), times.tobytes()]
+                sizes = per_key[a:b].astype(np.uint8 if per_key[a:b].max(initial=0) < 256 else np.uint32)
+                blobs = [keys[a:b].tobytes(), sizes.tobytes(), row[x:y].tobytes(), times.tobytes()]
                 columns = [
                     pa.array([at[a]], pa.int32()),
                     *(pa.array([i], pa.list_(pa.int64())) for i in ids.values()),
@@ -319,11 +388,13 @@ def _incidence(docs: DataFrame, shards: int) -> DataFrame:
     return docs.select("doc_id", "key", "text").mapInArrow(work, schema)
 
 
-def sums(docs: DataFrame, keyed: DataFrame, shards: int) -> DataFrame:
-    """For each document its log probability and its number of predicted characters; ``docs`` has doc_id, key and text."""
-    at = F.pmod(F.shiftrightunsigned("id", 32), F.lit(shards)).cast("int")
-    known = keyed.select(at.alias("shard"), F.lit(0).alias("kind"), "id", "value", "n")
-    slices = _incidence(docs, shards).withColumn("kind", F.lit(1))
+def sums(docs: DataFrame, keyed: DataFrame, shards: int, number: int = 0, passes: int = 1) -> DataFrame:
+    """For each document, over its keys of a pass, the log probability and the number of predicted characters.
+
+    ``docs`` has doc_id, key and text; ``keyed`` the values of words, ``w``, and of pairs, ``v`` and ``w``.
+    """
+    known = _dealt(keyed, shards).withColumn("kind", F.lit(0))
+    slices = _incidence(docs, shards, number, passes).withColumn("kind", F.lit(1))
     rows = known.unionByName(slices, allowMissingColumns=True).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,15 +407,17 @@ def sums(docs: DataFrame, keyed: DataFrame, shards: int) -> DataFrame:
                 if shard[a] != current:
                     current, held, ordered = shard[a], [], None
                 if kind[a] == 0:
-                    held.append([column[c].slice(a, b - a).to_numpy(zero_copy_only=False) for c in ("id", "value", "n")])
+                    blobs = [b"".join(column[c].slice(a, b - a).to_pylist()) for c in ("keys", "known", "sizes")]
+                    held.append([np.frombuffer(x, t) for x, t in zip(blobs, (U, float, np.uint32))])
                     continue
                 if ordered is None:
-                    ids, value, n = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, t) for t in (np.int64, float, np.int32))
-                    order = np.argsort(ids.view(U))
-                    ordered, held = (ids.view(U)[order], value[order], n[order]), []
+                    keys, value, n = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, t) for t in (U, float, np.uint32))
+                    order = np.argsort(keys)
+                    ordered, held = (keys[order], value[order], n[order]), []
                 for i in range(a, b):
                     docs_, doc_keys = column["docs"][i].values, column["doc_keys"][i].values
-                    keys, sizes = (np.frombuffer(column[c][i].as_py(), t) for c, t in (("keys", U), ("sizes", np.uint32)))
+                    keys, sizes = np.frombuffer(column["keys"][i].as_py(), U), column["sizes"][i].as_py()
+                    sizes = np.frombuffer(sizes, np.uint8 if len(sizes) == len(keys) else np.uint32)
                     many = int(sizes.sum())
                     of_row, times = (column[c][i].as_py() for c in ("rows", "times"))
                     row = np.frombuffer(of_row, np.uint16 if len(of_row) == 2 * many else np.uint32)
@@ -387,16 +460,27 @@ def classify(
     rows = rows.join(F.broadcast(good) if few else good, F.col("doc_id") == F.col("good"), "left").withColumn("trusted", F.col("good").isNotNull()).drop("good")
     spark = docs.sparkSession
     with scratch.phase(spark) as keep_scored:
-        with scratch.phase(spark) as keep_keyed:
+        with scratch.phase(spark):
             words = scratch.written(vocabulary(rows), "words")
-            shards = max(1, -(-words.count() // SHARD_WORDS))
+            found = words.agg(F.count("*").alias("words"), F.coalesce(F.sum(F.col("n0") + F.col("n1")), F.lit(0)).alias("tokens")).first()
+            shards = max(1, -(-found["words"] // SHARD_WORDS))
+            passes = min(PASSES, max(1, -(-found["tokens"] // PASS_TOKENS)))
             at = F.pmod(F.shiftrightunsigned("hash", 32), F.lit(shards)).cast("int")
             edge = spark.createDataFrame([(EDGE, bytearray(), 0, 0)], "hash long, word binary, n0 long, n1 long")  # spelled as no characters and an end
             with scratch.phase(spark) as keep_spelled:
                 spelled = keep_spelled(spellings(words.unionByName(edge).withColumn("shard", at), shards), "spellings")
-            pairs = scratch.written(pair_counts(rows), "pairs")
-            keyed = keep_keyed(values(pairs, spelled), "values")
-        scored = keep_scored(sums(rows, keyed, max(1, -(-keyed.count() // SHARD_KEYS))), "sums")
+            pairs = scratch.parts(spark, (pair_counts(rows, i, passes) for i in range(passes)), "pairs")
+            table, top = word_values(pairs, spelled)
+            many = table.count()
+
+            def keyed(i: int) -> DataFrame:
+                own = table.where(in_pass("word", i, passes))
+                more = pair_values(pairs.where(F.col("part") == i), own, table, top, "v", "w", few=many <= passes * FEW_WORDS)
+                return own.select(F.lit(None).cast("long").alias("v"), F.col("word").alias("w"), "value", "n").unionByName(more.withColumn("n", F.lit(0)))
+
+            shards = max(spark.sparkContext.defaultParallelism, -(-(many + pairs.count()) // (passes * SHARD_KEYS)))
+            partial = scratch.parts(spark, (sums(rows, keyed(i), shards, i, passes) for i in range(passes)), "sums")
+            scored = keep_scored(partial.groupBy("doc_id", "key").agg(F.sum("log").alias("log"), F.sum("n").alias("n")), "scored")
     same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.key") == F.col("s.key"))
     rated = rows.drop("text").alias("d").join(scored.alias("s"), same, "left").select("d.*", F.exp(-F.col("log") / F.col("n")).alias("perplexity"))
     rated = scratch.written(rated.drop("key"), "rated")

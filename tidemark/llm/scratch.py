@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark.sinks.files import Folder
 
@@ -35,6 +36,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def parts(spark: SparkSession, frames: Iterable[DataFrame], name: str) -> DataFrame:
+    """Frames of the same columns, computed and written one after another; read back as one, with their number as ``part``."""
+    path = f"{folder(spark)}/{name}"
+    if _open:
+        _open[-1].append(path)
+    for i, df in enumerate(frames):
+        df.write.parquet(f"{path}/part={i}")
+    schema = T.StructType([*df.schema.fields, T.StructField("part", T.IntegerType())])
+    return spark.read.schema(schema).parquet(path)
+
+
 @contextmanager
 def phase(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """What is written inside is deleted at the end; the function that this gives writes tables that outlive the phase.
@@ -46,7 +58,7 @@ def phase(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         out = written(df, name)
-        path = made.pop()
+        path = _open[-1].pop()  # of the innermost phase, which may be a later one
         if outer is not None:
             outer.append(path)
         return out
