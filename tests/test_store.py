@@ -10,7 +10,7 @@ from pyarrow import fs
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tidemark.operators import chunks
+from tidemark.operators import chunks, matching
 from tidemark.operators.hwm import identity
 from tidemark.plans.load import load_chunks, load_in_chunks
 from tidemark.sinks.files import CommitConflict, Folder, scratch_root
@@ -409,6 +409,33 @@ def test_staging_shuffles_nothing_and_packs_small_files(spark, store):
         assert rows(table.read_part(part, table.snapshot().schema)) == [(i,) for i in sorted(range(4000), key=lambda i: repr((i,)))]
 
 
+def test_rows_whose_keys_were_surely_not_taken_are_not_shuffled(spark, store):
+    table = store("k double, s string, v long")
+    table.broadcast_bytes = 4096  # fewer than the keys need, and 32768 bits for their hashes
+    key = lambda i: None if i % 1000 == 7 else -0.0 if i == 0 else float("nan") if i == 1 else float(i)
+    made = lambda ids, v: spark.createDataFrame([(key(i), f"s{i % 3}", v) for i in ids], table.snapshot().schema)
+    table.load(made(range(4000), 0), "initial")
+    expected = {i: 0 for i in range(4000)}
+    nulls = []
+    for v, ids in ((1, range(0, 4000, 10)), (2, range(1, 4000, 9)), (3, [*range(0, 300), *range(4000, 4300)])):
+        done = table.load(made(ids, v).replace(-0.0, 0.0), "merge", pk=["K", "s"])
+        assert done.deleted == sum(key(i) is not None and i in expected for i in ids)
+        nulls += [i for i in ids if key(i) is None]
+        expected |= {i: v for i in ids if key(i) is not None}
+    got = table.read()
+    assert "__bits" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.count() == 4300 - 5 + 4 + len(nulls)  # four rows with a null key match nothing, and those of merges are added
+    values = {("nan" if r.k != r.k else r.k, r.s): r.v for r in got.where("k IS NOT NULL").collect()}
+    assert values == {("nan" if i == 1 else float(i), f"s{i % 3}"): v for i, v in expected.items() if key(i) is not None}
+    keys = made(range(0, 4000, 10), 0)
+    seen = matching.marked(made(range(4000), 0), matching.key_filter(keys, ["k", "s"], 4096), ["k", "s"], 4096).groupBy("__may").count()
+    may = {r["__may"]: r["count"] for r in seen.collect()}
+    assert 400 <= may[True] < 500 and may[True] + may[False] == 4000
+    before = rows(got)
+    table.compact(fold_share=0)
+    assert not table.snapshot().deletions and rows(table.read()) == before
+
+
 def test_compaction_keeps_rows_and_marks(spark, store):
     table = store(SCHEMA)
     big = spark.range(100).select("id", F.lit("x").alias("v"), F.col("id").alias("at"))

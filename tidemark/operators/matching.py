@@ -4,7 +4,8 @@ Matching only asks whether a row's key is among the source's keys, so the key si
 (partial aggregation collapses copies before the shuffle). A key side of checked size is broadcast and the
 other side is not shuffled at all. Beyond that size both sides are shuffled by key, but rows of hot keys go
 apart: the hot keys are few, so the source's share of them is broadcast and their rows stay where they are.
-Rows with a NULL in the key match nothing and bypass the join too.
+Rows with a NULL in the key match nothing and bypass the join too. So do rows whose key is surely not among the
+source's: a bit for each hash of a key, in blocks of a bounded size together, is broadcast and tells which they are.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from tidemark.functions.clean import quoted
 
 HOT_SHARE = 0.005
 BROADCAST_BYTES = 32 << 20
+BLOCK_BITS = 15  # a block of a key filter has so many bits as a power of two, as bitmap_construct_agg makes them
 
 
 def all_present(keys: Sequence[str]) -> Column:
@@ -49,6 +51,34 @@ def key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.xxhash64(*[c + F.lit(0.0) if isinstance(df.schema[k].dataType, floating) else c for k, c in zip(keys, columns)])
 
 
+def can_filter(df: DataFrame, keys: Sequence[str], size: int, limit: int) -> bool:
+    """Whether key_filter helps: keys that hash alike where they are equal, and bits enough for keys of this ``size``."""
+    plain = (T.IntegralType, T.FractionalType, T.BooleanType, T.BinaryType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    types = [df.schema[k].dataType for k in keys]
+    return limit >> (BLOCK_BITS - 3) > 0 and size <= 256 * limit and all(isinstance(t, plain) or t == T.StringType() for t in types)
+
+
+def key_filter(keys_df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """Blocks of bits, of ``limit`` bytes together, where the hashes of keys are set; small enough to broadcast."""
+    place = keys_df.where(all_present(keys)).select(_filter_place(keys_df, keys, limit).alias("__place"))
+    block, bit = F.shiftright("__place", BLOCK_BITS).alias("__block"), F.col("__place").bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
+    return place.groupBy(block).agg(F.bitmap_construct_agg(bit).alias("__bits"))
+
+
+def _filter_place(df: DataFrame, keys: Sequence[str], limit: int) -> Column:
+    return F.pmod(key_hash(df, keys), F.lit(limit >> (BLOCK_BITS - 3) << BLOCK_BITS))
+
+
+def marked(df: DataFrame, blocks: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """The rows with ``__may``: false where a key is surely not among those of the filter. Rows stay where they are."""
+    rows = df.withColumn("__place", _filter_place(df, keys, limit)).withColumn("__at", F.shiftright("__place", BLOCK_BITS))
+    rows = rows.join(F.broadcast(blocks), F.col("__at") == F.col("__block"), "left")
+    bit = F.col("__place").bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
+    byte = F.ascii(F.decode(F.substring("__bits", F.shiftright(bit, 3) + 1, F.lit(1)), "ISO-8859-1"))
+    may = F.coalesce(F.getbit(byte, bit.bitwiseAND(F.lit(7))) == 1, F.lit(False))
+    return rows.select(*map(quoted, df.columns), may.alias("__may"))
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
     """Hashes of every key that owns more than ``share`` of the rows: at most 1/share numbers.
 
@@ -80,11 +110,14 @@ def match(
     hot: Sequence[int] = (),
     small: bool = False,
     also: str = "",
+    blocks: DataFrame | None = None,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``left_semi`` or ``left_anti`` of ``df`` against usable keys. ``also`` adds a condition over aliases l and r.
 
     Both sides hold the key in the same types. ``hot`` are hashes from ``hot_keys``; the keys that have them are
-    at most as many, which bounds what is broadcast. ``df`` is read once more for the rows that go apart.
+    at most as many, which bounds what is broadcast. ``df`` is read once more for the rows that go apart. With
+    ``blocks``, a key filter of ``limit`` bytes, only rows whose key may be among the keys are shuffled.
     """
 
     def joined(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -94,6 +127,10 @@ def match(
 
     if small:
         return joined(df, F.broadcast(keys_df))
+    if blocks is not None:
+        rows = marked(df, blocks, keys, limit)
+        met = match(rows.where("__may").drop("__may"), keys_df, keys, how, hot=hot, also=also)
+        return met if how == "left_semi" else met.unionAll(rows.where("NOT __may").drop("__may"))
     present = df.where(all_present(keys))
     if hot:
         in_df, in_keys = (key_hash(side, keys).isin(list(hot)) for side in (df, keys_df))

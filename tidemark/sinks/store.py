@@ -26,7 +26,19 @@ from pyspark.sql import types as T
 from tidemark.functions.clean import quoted
 from tidemark.operators import hwm
 from tidemark.operators.align import align
-from tidemark.operators.matching import BROADCAST_BYTES, HOT_SHARE, all_present, key_bytes, key_counts, key_hash, match, usable_keys
+from tidemark.operators.matching import (
+    BROADCAST_BYTES,
+    HOT_SHARE,
+    all_present,
+    can_filter,
+    key_bytes,
+    key_counts,
+    key_filter,
+    key_hash,
+    marked,
+    match,
+    usable_keys,
+)
 from tidemark.operators.modes import latest_per_key
 from tidemark.sinks.files import CommitConflict, Folder, qualify
 from tidemark.spec import INCREMENTAL_MODES, MODES, SpecError
@@ -203,24 +215,27 @@ class TableStore:
     def _taken_keys(self, deletions: Sequence[Deletion], pk: Sequence[str], schema: T.StructType) -> tuple[DataFrame, dict]:
         """The deleted keys with the commits that took them, and how to match them."""
         keys = self._dated(deletions, T.StructType([schema[k] for k in pk]), "__until").drop("__directory")
-        if sum(d.key_size for d in deletions) <= self.broadcast_bytes:
+        size, limit = sum(d.key_size for d in deletions), self.broadcast_bytes
+        if size <= limit:
             return keys, {"small": True}
+        blocks = key_filter(keys, pk, limit) if can_filter(keys, pk, size, limit) else None
         if len(deletions) > 1:
             keys = keys.groupBy(*map(quoted, pk)).agg(F.max("__until").alias("__until"))
-        return keys, {"hot": sorted({h for d in deletions for h in d.hot})}
+        return keys, {"hot": sorted({h for d in deletions for h in d.hot}), "blocks": blocks, "limit": limit}
 
     def _rows(
         self,
         parts: Sequence[Part],
         snapshot: Snapshot,
         how: str = "left_anti",
-        only: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+        only: Callable[[DataFrame], DataFrame] | None = None,
     ) -> DataFrame:
         """What is left of the parts; with ``left_semi`` the directory of each row that later merges took.
 
         ``only`` cuts the rows down before they meet the keys that later merges took.
         """
         schema, pending = snapshot.schema, snapshot.deletions
+        cut_down = only or (lambda rows: rows)
         newest = max((d.version for d in pending), default=0)
         older = [p for p in parts if p.version < newest]
         rows = None
@@ -228,10 +243,12 @@ class TableStore:
             by_key = defaultdict(list)
             for d in pending:
                 by_key[d.pk].append(d)
-            rows = only(self._dated(older, schema, "__since"))
+            rows = cut_down(self._dated(older, schema, "__since"))
             found = []
             for pk, deletions in by_key.items():
                 keys, options = self._taken_keys(deletions, pk, schema)
+                if only and "blocks" in options:  # few rows are left, which may be shuffled
+                    options["blocks"] = None
                 matched = match(rows, keys, pk, how, also="l.__since < r.__until", **options)
                 found.append(matched)
                 rows = matched if how == "left_anti" else match(rows, keys, pk, "left_anti", also="l.__since < r.__until", **options)
@@ -239,7 +256,7 @@ class TableStore:
                 return _all_of([f.select("__directory") for f in found])
             rows = rows.select(*map(quoted, schema.names))
         untouched = [p for p in parts if p.version >= newest]
-        plain = [only(self._scan(untouched, schema))] if untouched or rows is None else []
+        plain = [cut_down(self._scan(untouched, schema))] if untouched or rows is None else []
         return _all_of([*([rows] if rows is not None else []), *plain])
 
     # Writing
@@ -424,13 +441,16 @@ class TableStore:
     def _take(self, before: Snapshot, staged: Staged, pk: Sequence[str]) -> Deletion | None:
         """The keys of the table that were staged, written once each, with how many rows they take away.
 
-        Reads the key columns alone, and of them only what lies within the range of the staged keys. Target rows are
-        counted per key before they meet the staged keys, so a key that owns many rows on either side is one row.
+        Reads the key columns alone, and of them only what lies within the range of the staged keys and, by a filter of
+        bounded size, may be among them. Target rows are counted per key before they meet the staged keys, so a key that
+        owns many rows on either side is one row.
         """
         if not before.parts:
             return None
-        small = staged.key_size <= self.broadcast_bytes
-        keys = usable_keys(self.read_part(staged.part, before.schema), pk, small)
+        small, limit = staged.key_size <= self.broadcast_bytes, self.broadcast_bytes
+        new = self.read_part(staged.part, before.schema)
+        keys = usable_keys(new, pk, small)
+        blocks = None if small or not can_filter(new, pk, staged.key_size, limit) else key_filter(new, pk, limit)
         in_reach = all_present(pk)
         if staged.low is not None:
             dtype, c = before.schema[pk[0]].dataType, F.col(quoted(pk[0]))
@@ -438,7 +458,9 @@ class TableStore:
 
         def near(rows: DataFrame) -> DataFrame:
             rows = rows.where(in_reach)
-            return match(rows, keys, pk, "left_semi", small=True) if small else rows
+            if small:
+                return match(rows, keys, pk, "left_semi", small=True)
+            return rows if blocks is None else marked(rows, blocks, pk, limit).where("__may").drop("__may")
 
         names = [quoted(k) for k in pk]
         rows = self._rows(before.parts, before, only=near).select(*names)
