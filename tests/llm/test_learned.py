@@ -2,9 +2,11 @@
 
 import math
 import tempfile
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -181,6 +183,22 @@ def test_perplexity_looks_past_a_word(spark, docs_of):
     assert got[61].perplexity > 1.3 * got[60].perplexity
 
 
+def test_a_task_of_the_classifier_stays_small(monkeypatch):
+    many = 16 << 20
+    words = np.random.default_rng(1).integers(0, 50_000, many // 6)
+    texts = [" ".join(f"w{w}" for w in part) for part in np.array_split(words, 4000)]
+    columns = [pa.array(range(len(texts)), pa.int64()), pa.array(range(len(texts)), pa.int64()), pa.array(texts)]
+    batch = pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "text"])
+    monkeypatch.setattr(streams, "_powers", {})
+    tracemalloc.start()
+    try:
+        rows = sum(len(b.column("rows")[0].as_py()) for b in perplexity._entries(iter([batch]), 6, 0, 12))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows > 0 and peak < 120 << 20
+
+
 def test_pairs_of_passes_are_all_pairs_once(spark, docs_of, monkeypatch):
     texts = [prose(i, 150) for i in range(24)]
     labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int")

@@ -41,7 +41,7 @@ PASSES, PASS_TOKENS = 12, 200_000  # passes at most, and tokens of trusted docum
 FEW_WORDS = 1_000_000  # first words of a pass sent to all executors: at most some 50 MB
 SHARD_WORDS = 50_000
 SHARD_KEYS = 2_000_000  # words and pairs whose values a shard holds
-SLICE = 1 << 22  # bytes of text whose keys are gathered before they are passed on
+SLICE = 1 << 20  # bytes of text whose words and keys are gathered before they are passed on; arrays of a task take some 100 times as much
 TASK_WORDS = 500_000  # distinct words that a task gathers before it passes them on
 FEW_IDS = 4_000_000  # ids of trusted documents sent to all executors: at most some 100 MB
 QUANTILE, MARGIN = 0.995, 1.05
@@ -102,7 +102,7 @@ def vocabulary(docs: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, pa.Array, np.ndarray]] = []
-        for part in streams.pieces(batches, "text"):
+        for part in streams.pieces(batches, "text", SLICE):
             t = Tokens(part.column("text"))
             good = np.repeat(part.column("trusted").to_numpy(zero_copy_only=False).astype(float), np.diff(t.bounds))
             hashes, one, which = np.unique(t.hashes, return_index=True, return_inverse=True)
@@ -117,7 +117,7 @@ def vocabulary(docs: DataFrame) -> DataFrame:
             yield batch_of(*together(held))
 
     found = docs.select("text", "key", "trusted").mapInArrow(work, "word binary, hash long, n0 long, n1 long")
-    return found.groupBy("hash").agg(F.first("word").alias("word"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    return found.groupBy("hash", "word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))  # words as keys need no sort
 
 
 def _grams(words: DataFrame) -> DataFrame:
@@ -354,38 +354,38 @@ def _dealt(keyed: DataFrame, shards: int) -> DataFrame:
     return keyed.select("v", "w", "value", "n").mapInArrow(work, "shard int, keys binary, sizes binary, known binary")
 
 
-def _incidence(docs: DataFrame, shards: int, number: int, passes: int) -> DataFrame:
+def _entries(batches: Iterator[pa.RecordBatch], shards: int, number: int, passes: int) -> Iterator[pa.RecordBatch]:
     """For each slice of documents and each shard: keys of a pass, and by key the documents it stands in and how often."""
+    for part in streams.pieces(batches, "text", SLICE):
+        row, words, before, pair = _pairs(part, 1)
+        alone, paired = (pass_of(x, passes) == number for x in (words, before))
+        row = np.concatenate([row[alone], row[paired]])
+        keys, which = np.unique(np.concatenate([words[alone], pair[paired]]), return_inverse=True)
+        at = shard_of(keys, shards)
+        order = np.argsort(at, kind="stable")
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        keys, at = keys[order], at[order]
+        cell, n = np.unique(rank[which] * part.num_rows + row, return_counts=True)
+        key, row = cell // part.num_rows, (cell % part.num_rows).astype(np.uint16 if part.num_rows <= 65536 else np.uint32)
+        per_key = np.bincount(key, minlength=len(keys))
+        cuts = np.flatnonzero(np.diff(at, prepend=-1, append=-1)) if len(at) else np.zeros(1, np.int64)
+        ids = {c: part.column(c).to_pylist() for c in ("doc_id", "key")}
+        for a, b, x, y in zip(cuts, cuts[1:], np.searchsorted(key, cuts), np.searchsorted(key, cuts[1:])):
+            times = n[x:y].astype(np.uint8 if n[x:y].max(initial=0) < 256 else np.uint32)
+            sizes = per_key[a:b].astype(np.uint8 if per_key[a:b].max(initial=0) < 256 else np.uint32)
+            blobs = [keys[a:b].tobytes(), sizes.tobytes(), row[x:y].tobytes(), times.tobytes()]
+            columns = [
+                pa.array([at[a]], pa.int32()),
+                *(pa.array([i], pa.list_(pa.int64())) for i in ids.values()),
+                *(pa.array([blob], pa.binary()) for blob in blobs),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "docs", "doc_keys", "keys", "sizes", "rows", "times"])
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in streams.pieces(batches, "text", SLICE):
-            row, words, before, pair = _pairs(part, 1)
-            alone, paired = (pass_of(x, passes) == number for x in (words, before))
-            row = np.concatenate([row[alone], row[paired]])
-            keys, which = np.unique(np.concatenate([words[alone], pair[paired]]), return_inverse=True)
-            at = shard_of(keys, shards)
-            order = np.argsort(at, kind="stable")
-            rank = np.empty_like(order)
-            rank[order] = np.arange(len(order))
-            keys, at = keys[order], at[order]
-            cell, n = np.unique(rank[which] * part.num_rows + row, return_counts=True)
-            key, row = cell // part.num_rows, (cell % part.num_rows).astype(np.uint16 if part.num_rows <= 65536 else np.uint32)
-            per_key = np.bincount(key, minlength=len(keys))
-            cuts = np.flatnonzero(np.diff(at, prepend=-1, append=-1)) if len(at) else np.zeros(1, np.int64)
-            ids = {c: part.column(c).to_pylist() for c in ("doc_id", "key")}
-            for a, b, x, y in zip(cuts, cuts[1:], np.searchsorted(key, cuts), np.searchsorted(key, cuts[1:])):
-                times = n[x:y].astype(np.uint8 if n[x:y].max(initial=0) < 256 else np.uint32)
-                sizes = per_key[a:b].astype(np.uint8 if per_key[a:b].max(initial=0) < 256 else np.uint32)
-                blobs = [keys[a:b].tobytes(), sizes.tobytes(), row[x:y].tobytes(), times.tobytes()]
-                columns = [
-                    pa.array([at[a]], pa.int32()),
-                    *(pa.array([i], pa.list_(pa.int64())) for i in ids.values()),
-                    *(pa.array([blob], pa.binary()) for blob in blobs),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "docs", "doc_keys", "keys", "sizes", "rows", "times"])
 
+def _incidence(docs: DataFrame, shards: int, number: int, passes: int) -> DataFrame:
     schema = "shard int, docs array<long>, doc_keys array<long>, keys binary, sizes binary, rows binary, times binary"
-    return docs.select("doc_id", "key", "text").mapInArrow(work, schema)
+    return docs.select("doc_id", "key", "text").mapInArrow(lambda batches: _entries(batches, shards, number, passes), schema)
 
 
 def sums(docs: DataFrame, keyed: DataFrame, shards: int, number: int = 0, passes: int = 1) -> DataFrame:
@@ -461,13 +461,13 @@ def classify(
     spark = docs.sparkSession
     with scratch.phase(spark) as keep_scored:
         with scratch.phase(spark):
-            words = scratch.written(vocabulary(rows), "words")
-            found = words.agg(F.count("*").alias("words"), F.coalesce(F.sum(F.col("n0") + F.col("n1")), F.lit(0)).alias("tokens")).first()
-            shards = max(1, -(-found["words"] // SHARD_WORDS))
-            passes = min(PASSES, max(1, -(-found["tokens"] // PASS_TOKENS)))
-            at = F.pmod(F.shiftrightunsigned("hash", 32), F.lit(shards)).cast("int")
-            edge = spark.createDataFrame([(EDGE, bytearray(), 0, 0)], "hash long, word binary, n0 long, n1 long")  # spelled as no characters and an end
             with scratch.phase(spark) as keep_spelled:
+                words = scratch.written(vocabulary(rows), "words")
+                found = words.agg(F.count("*").alias("words"), F.coalesce(F.sum(F.col("n0") + F.col("n1")), F.lit(0)).alias("tokens")).first()
+                shards = max(1, -(-found["words"] // SHARD_WORDS))
+                passes = min(PASSES, max(1, -(-found["tokens"] // PASS_TOKENS)))
+                at = F.pmod(F.shiftrightunsigned("hash", 32), F.lit(shards)).cast("int")
+                edge = spark.createDataFrame([(EDGE, bytearray(), 0, 0)], "hash long, word binary, n0 long, n1 long")  # spelled as no characters and an end
                 spelled = keep_spelled(spellings(words.unionByName(edge).withColumn("shard", at), shards), "spellings")
             pairs = scratch.parts(spark, (pair_counts(rows, i, passes) for i in range(passes)), "pairs")
             table, top = word_values(pairs, spelled)
