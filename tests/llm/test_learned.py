@@ -199,6 +199,37 @@ def test_a_task_of_the_classifier_stays_small(monkeypatch):
     assert rows > 0 and peak < 120 << 20
 
 
+def test_frequent_keys_and_unseen_pairs_are_not_shuffled(spark, docs_of):
+    texts = [prose(i, 150) for i in range(40)]
+    docs = docs_of(texts).select("doc_id", "text", F.xxhash64("text").alias("key"), (F.col("doc_id") < 30).alias("trusted"))
+    counted = perplexity._counted(docs, 0, 1, 3).collect()
+    pairs = pa.table({c: [r[c] for r in counted if r.v is not None and r.c > 1] for c in ("v", "w")}).append_column("value", pa.array([-0.5] * sum(r.v is not None and r.c > 1 for r in counted)))
+    pairs = pairs.append_column("often", pa.array([r.c for r in counted if r.v is not None and r.c > 1]))
+    heads = sorted({r.v for r in counted if r.v is not None})[::3]
+    words = pa.table({"w": heads, "value": [-1.0] * len(heads), "n": [2] * len(heads), "often": [10] * len(heads)})
+    known = perplexity.Known(words, pairs, {r.shard: bytes(r.bits) for r in counted if r.v is None}, 3)
+    seen = [(r.v, r.w) for r in counted if r.v is not None]
+    v, w = (np.array(x).view(np.uint64) for x in zip(*seen))
+    assert known.may_have(v, perplexity._pair(v, w)).all()  # no pair of trusted documents is missed
+    batch = docs.select("doc_id", "key", "text").toArrow().combine_chunks().to_batches()[0]
+
+    def entries(known):
+        rows = [r for b in perplexity._entries(iter([batch]), 1, 0, 1, known) for r in b.to_pylist()]
+        sums = [(np.frombuffer(r["log"]), np.frombuffer(r["n"], np.int64)) for r in rows if r["log"]]
+        return [np.frombuffer(r["keys"], np.uint64) for r in rows if r["keys"]][0], sums
+
+    plain, none = entries(None)
+    rest, sums = entries(known)
+    assert not none and len(sums) == 1 and len(rest) < 0.7 * len(plain) and set(rest) <= set(plain)
+    kept = set(known.keys[known.keys > 0])
+    assert not kept & set(rest) and {int(k) for k in perplexity._pair(v, w)} & set(plain.tolist()) <= {int(k) for k in kept} | set(rest.tolist())
+    row, tokens, _, pair = perplexity._pairs(batch, 1)
+    value = {int(k): (x, n) for k, x, n in zip(known.keys, known.values, known.sizes) if k}
+    for i in range(batch.num_rows):
+        own = [value.get(int(k), (0.0, 0)) for k in (*tokens[row == i], *pair[row == i])]
+        assert sums[0][0][i] == pytest.approx(sum(x for x, _ in own)) and sums[0][1][i] == sum(n for _, n in own)
+
+
 def test_pairs_of_passes_are_all_pairs_once(spark, docs_of, monkeypatch):
     texts = [prose(i, 150) for i in range(24)]
     labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int")

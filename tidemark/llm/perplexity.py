@@ -16,7 +16,8 @@ a word, and below that the word's spelling, so no word is without a probability:
 
 Keys are dealt to passes by word, or by the first word of a pair. Pairs are counted and documents scored in one pass after
 another, and what a pass has shuffled is deleted before the next, so the disk holds a share of the pairs at a time; every
-pass reads all texts again.
+pass reads all texts again. The most frequent keys of a pass are sent to all executors with their values, a bounded number
+of them, and a filter tells most pairs that no trusted document has; only the other keys are shuffled.
 
 A document's perplexity is taken over its characters. Documents are kept up to a quantile of the trusted documents'
 perplexities in the same language. Shards hold a bounded number of keys, and are streamed, so memory stays bounded.
@@ -24,11 +25,12 @@ perplexities in the same language. Shards hold a bounded number of keys, and are
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +39,11 @@ from tidemark.llm.streams import U
 
 ORDER = 5
 BEGIN, FINISH = "\x02", "\x03"
-PASSES, PASS_TOKENS = 12, 200_000  # passes at most, and tokens of trusted documents for each of fewer
+PASSES, PASS_TOKENS = 4, 600_000  # passes at most, and tokens of trusted documents for each of fewer
+FREQUENT_WORDS, FREQUENT_PAIRS = 100_000, 300_000  # keys of a pass whose values are sent to all executors: at most some 10 MB
+FILTER_BITS, FILTER_BYTES = 12, 64 << 20  # bits of the filter for each pair, and bytes of it in a pass at most
+TASK_PAIRS = 400_000  # pairs that a task gathers before it passes them on
+SHARD_PAIRS = 500_000  # pairs that a shard counts, as they come from the tasks
 FEW_WORDS = 1_000_000  # first words of a pass sent to all executors: at most some 50 MB
 SHARD_WORDS = 50_000
 SHARD_KEYS = 2_000_000  # words and pairs whose values a shard holds
@@ -260,20 +266,116 @@ def in_pass(word: str, number: int, passes: int) -> Column:
     return F.pmod(F.shiftrightunsigned(word, 8), F.lit(passes)) == number
 
 
-def pair_counts(docs: DataFrame, number: int = 0, passes: int = 1) -> DataFrame:
-    """How often each pair of words of a pass follows one another in trusted documents, by half; ``docs`` has text, key and trusted."""
+def _range_of(words: np.ndarray, shards: int) -> np.ndarray:
+    """Shards that are runs of words in the order of their hashes."""
+    return ((words >> U(32)) * U(shards) >> U(32)).astype(np.int64)
+
+
+def _places(pair: np.ndarray, sizes: np.ndarray | U) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of a pair in a filter of so many bits."""
+    return (pair >> U(8)) % sizes, (pair * U(streams.BYTE_BASE) >> U(8)) % sizes
+
+
+def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Pairs in the order of their words, each once with the sum of its counts."""
+    v, w, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((w, v))
+    v, w, n = v[order], w[order], n[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(v), 1), bool), (v[1:] != v[:-1]) | (w[1:] != w[:-1])]))
+    return v[first], w[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], shards: int, number: int, passes: int) -> Iterator[pa.RecordBatch]:
+    """The pairs of a pass in runs for each shard of first words, with how often each stands in a run's texts."""
+
+    def dealt(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        v, w, n = _summed(parts)
+        at = _range_of(v, shards)
+        cuts = np.flatnonzero(np.diff(at, prepend=-1, append=-1)) if len(at) else np.zeros(1, np.int64)
+        blobs = [[x[a:b].tobytes() for a, b in zip(cuts, cuts[1:])] for x in (v, w, n.astype(np.uint32))]
+        return pa.RecordBatch.from_arrays([pa.array(at[cuts[:-1]], pa.int32()), *(pa.array(x, pa.binary()) for x in blobs)], ["shard", "v", "w", "n"])
+
+    held, many = [], 0
+    for part in streams.pieces(batches, "text", SLICE):
+        _, w, v, _ = _pairs(part, 0)
+        own = pass_of(v, passes) == number
+        held.append((v[own], w[own], np.ones(int(own.sum()), np.int64)))
+        many += len(held[-1][0])
+        if many > TASK_PAIRS:
+            yield dealt(held)
+            held, many = [], 0
+    if many:
+        yield dealt(held)
+
+
+def _counted(docs: DataFrame, number: int, passes: int, shards: int) -> DataFrame:
+    """Pairs of a pass with their counts; and for each shard a row without words that has the filter of its pairs."""
+
+    def finished(shard: int, held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        v, w, n = _summed(held)
+        held.clear()
+        size = max(64, min(FILTER_BITS * len(v), 8 * FILTER_BYTES // shards) // 8 * 8)
+        bits = np.zeros(size, bool)
+        pair = _pair(v, w)
+        for x in _places(pair, U(size)):
+            bits[x] = True
+        schema = pa.schema([("v", pa.int64()), ("w", pa.int64()), ("c", pa.int64()), ("shard", pa.int32()), ("bits", pa.binary())])
+        for a in range(0, len(v), 50_000):
+            some = slice(a, a + 50_000)
+            columns = [pa.array(streams.signed(v[some])), pa.array(streams.signed(w[some])), pa.array(n[some].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(columns[0]), t) for t in (pa.int32(), pa.binary()))], schema=schema)
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int64()) for _ in range(3)), pa.array([shard], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], schema=schema)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in streams.pieces(batches, "text", SLICE):
-            _, w, v, pair = _pairs(part, 0)
-            own = pass_of(v, passes) == number
-            w, v, pair = w[own], v[own], pair[own]
-            pair, at, n = np.unique(pair, return_index=True, return_counts=True)
-            columns = [pa.array(streams.signed(x)) for x in (v[at], w[at])]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64))], ["v", "w", "c"])
+        current, held = None, []
+        for batch in batches:
+            for i, shard in enumerate(batch.column("shard").to_pylist()):
+                if shard != current and held:
+                    yield from finished(current, held)
+                current = shard
+                held.append(tuple(np.frombuffer(batch.column(c)[i].as_py(), t) for c, t in (("v", U), ("w", U), ("n", np.uint32))))
+        if held:
+            yield from finished(current, held)
 
-    found = docs.where("trusted").select("text", "key").mapInArrow(work, "v long, w long, c long")
-    return found.groupBy("v", "w").agg(F.sum("c").alias("c"))
+    runs = docs.where("trusted").select("text", "key").mapInArrow(lambda batches: _gathered(batches, shards, number, passes), "shard int, v binary, w binary, n binary")
+    return runs.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(work, "v long, w long, c long, shard int, bits binary")
+
+
+def pair_counts(docs: DataFrame, number: int = 0, passes: int = 1, shards: int = 1) -> DataFrame:
+    """How often each pair of words of a pass follows one another in trusted documents, by half; ``docs`` has text, key and trusted."""
+    return _counted(docs, number, passes, shards).where("v IS NOT NULL").select("v", "w", "c")
+
+
+class Known:
+    """The values of the most frequent keys of a pass, and the filter of its pairs."""
+
+    def __init__(self, words: pa.Table, pairs: pa.Table, filters: dict[int, bytes], shards: int) -> None:
+        """``words`` has w, value and n, and ``pairs`` v, w and value; of two keys with one place the more frequent one stays."""
+        w, v, value, often = (np.concatenate([t[c].to_numpy() if c in t.column_names else np.zeros(len(t), np.int64) for t in (words, pairs)]) for c in ("w", "v", "value", "often"))
+        n = np.concatenate([words["n"].to_numpy(), np.zeros(len(pairs), np.int64)])
+        keys = np.concatenate([w[: len(words)].view(U), _pair(v[len(words) :].view(U), w[len(words) :].view(U))])
+        order = np.argsort(often, kind="stable")
+        self.slots = 1 << max(4, len(keys).bit_length())
+        at = self.place(keys[order])
+        self.keys, self.values, self.sizes = np.zeros(self.slots, U), np.zeros(self.slots), np.zeros(self.slots, np.int32)
+        self.keys[at], self.values[at], self.sizes[at] = keys[order], value[order], n[order]
+        self.shards = shards
+        found = [np.frombuffer(filters.get(i, bytes(8)), np.uint8) for i in range(shards)]
+        self.bits = np.concatenate(found)
+        sizes = np.array([8 * len(x) for x in found], U)
+        self.many, self.starts = sizes, np.cumsum(sizes) - sizes
+
+    def place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> U(40)).astype(np.int64) & (self.slots - 1)
+
+    def may_have(self, v: np.ndarray, pair: np.ndarray) -> np.ndarray:
+        """Whether trusted documents may have the pairs; no pair that they have is missed."""
+        at = _range_of(v, self.shards)
+        good = np.ones(len(v), bool)
+        for x in _places(pair, self.many[at]):
+            x = x + self.starts[at]
+            good &= (self.bits[(x >> U(3)).astype(np.int64)] >> (x & U(7)).astype(np.uint8) & 1).astype(bool)
+        return good
 
 
 def values(pairs: DataFrame, spelled: DataFrame) -> DataFrame:
@@ -296,7 +398,7 @@ def _leveled(column: Column, by: list[list[float]], which: Column) -> Column:
     return F.when(which == 0, each[0]).otherwise(each[1])
 
 
-def word_values(pairs: DataFrame, spelled: DataFrame) -> tuple[DataFrame, list[list[float]]]:
+def word_values(pairs: DataFrame, spelled: DataFrame, written: Callable[[DataFrame, str], DataFrame] = scratch.written) -> tuple[DataFrame, list[list[float]]]:
     """What each word is worth, with what its pairs are reckoned from; and the discounts of pairs.
 
     A word's value is the log of its probability below pairs and of the weight that it leaves to what it was not seen
@@ -321,18 +423,18 @@ def word_values(pairs: DataFrame, spelled: DataFrame) -> tuple[DataFrame, list[l
     p = F.coalesce(F.col("c") - low_cut, F.lit(0.0)) * one + rest * F.exp("log")
     left = F.coalesce(F.col("left") / F.col("total"), F.lit(1.0))
     table = words.join(follows, "word", "left").join(after, "word", "left").select(
-        "word", F.log(p).alias("log_p"), F.log(left).alias("log_left"), (F.log(p) + F.log(left)).alias("value"), "total", "n", F.col("c").isNotNull().alias("follows")
+        "word", F.log(p).alias("log_p"), F.log(left).alias("log_left"), "total", "n", F.col("c").isNotNull().alias("follows")
     )
-    return scratch.written(table, "words"), top
+    return written(table, "words").withColumn("value", F.col("log_p") + F.col("log_left")), top
 
 
-def pair_values(pairs: DataFrame, befores: DataFrame, words: DataFrame, top: list[list[float]], *name: str, few: bool = False) -> DataFrame:
+def pair_values(pairs: DataFrame, befores: DataFrame, words: DataFrame, top: list[list[float]], *name: str, few: bool = False, chosen: bool = False) -> DataFrame:
     """What the probability of each pair differs by from those of its two words, as a log; ``befores`` and ``words`` have theirs."""
     by_before = befores.where("total IS NOT NULL").select(F.col("word").alias("v"), "log_left", "total")
     by_word = words.where("follows").select(F.col("word").alias("w"), "log_p")
     cut = _leveled(F.col("c"), top, _half("v"))
     own = pairs.join(F.broadcast(by_before) if few else by_before, "v").select(*{*name, "w"}, ((F.col("c") - cut) / F.col("total")).alias("own"), "log_left")
-    return own.join(by_word, "w").select(*name, F.log1p(F.col("own") * F.exp(-F.col("log_left") - F.col("log_p"))).alias("value"))
+    return by_word.join(F.broadcast(own) if chosen else own, "w").select(*name, F.log1p(F.col("own") * F.exp(-F.col("log_left") - F.col("log_p"))).alias("value"))
 
 
 def _dealt(keyed: DataFrame, shards: int) -> DataFrame:
@@ -354,13 +456,39 @@ def _dealt(keyed: DataFrame, shards: int) -> DataFrame:
     return keyed.select("v", "w", "value", "n").mapInArrow(work, "shard int, keys binary, sizes binary, known binary")
 
 
-def _entries(batches: Iterator[pa.RecordBatch], shards: int, number: int, passes: int) -> Iterator[pa.RecordBatch]:
-    """For each slice of documents and each shard: keys of a pass, and by key the documents it stands in and how often."""
-    for part in streams.pieces(batches, "text", SLICE):
+ENTRY = ["shard", "docs", "doc_keys", "keys", "sizes", "rows", "times", "log", "n"]
+
+
+def _entries(batches: Iterator[pa.RecordBatch], shards: int, number: int, passes: int, known: Known | None = None) -> Iterator[pa.RecordBatch]:
+    """For each slice of documents and each shard: keys of a pass, and by key the documents it stands in and how often.
+
+    What is known of a slice beforehand is a row without keys that has its documents' sums.
+    """
+    for turn, part in enumerate(streams.pieces(batches, "text", SLICE)):
         row, words, before, pair = _pairs(part, 1)
         alone, paired = (pass_of(x, passes) == number for x in (words, before))
-        row = np.concatenate([row[alone], row[paired]])
-        keys, which = np.unique(np.concatenate([words[alone], pair[paired]]), return_inverse=True)
+        words, firsts, pair = words[alone], before[paired], pair[paired]
+        rows = [row[alone], row[paired]]
+        ids = [pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(c)) for c in ("doc_id", "key")]
+        if known is not None:
+            log, size = np.zeros(part.num_rows), np.zeros(part.num_rows)
+            for i, x in enumerate((words, pair)):
+                place = known.place(x)
+                hit = known.keys[place] == x
+                place = place[hit]
+                log += np.bincount(rows[i][hit], known.values[place], part.num_rows)
+                size += np.bincount(rows[i][hit], known.sizes[place], part.num_rows)
+                left = np.flatnonzero(~hit)
+                if i:
+                    left = left[known.may_have(firsts[left], pair[left])]
+                    pair = pair[left]
+                else:
+                    words = words[left]
+                rows[i] = rows[i][left]
+            blobs = [pa.array([x.tobytes()], pa.binary()) for x in (log, size.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([pa.array([turn % shards], pa.int32()), *ids, *(pa.nulls(1, pa.binary()) for _ in range(4)), *blobs], ENTRY)
+        row = np.concatenate(rows)
+        keys, which = np.unique(np.concatenate([words, pair]), return_inverse=True)
         at = shard_of(keys, shards)
         order = np.argsort(at, kind="stable")
         rank = np.empty_like(order)
@@ -370,31 +498,31 @@ def _entries(batches: Iterator[pa.RecordBatch], shards: int, number: int, passes
         key, row = cell // part.num_rows, (cell % part.num_rows).astype(np.uint16 if part.num_rows <= 65536 else np.uint32)
         per_key = np.bincount(key, minlength=len(keys))
         cuts = np.flatnonzero(np.diff(at, prepend=-1, append=-1)) if len(at) else np.zeros(1, np.int64)
-        ids = {c: part.column(c).to_pylist() for c in ("doc_id", "key")}
         for a, b, x, y in zip(cuts, cuts[1:], np.searchsorted(key, cuts), np.searchsorted(key, cuts[1:])):
             times = n[x:y].astype(np.uint8 if n[x:y].max(initial=0) < 256 else np.uint32)
             sizes = per_key[a:b].astype(np.uint8 if per_key[a:b].max(initial=0) < 256 else np.uint32)
             blobs = [keys[a:b].tobytes(), sizes.tobytes(), row[x:y].tobytes(), times.tobytes()]
             columns = [
                 pa.array([at[a]], pa.int32()),
-                *(pa.array([i], pa.list_(pa.int64())) for i in ids.values()),
+                *ids,
                 *(pa.array([blob], pa.binary()) for blob in blobs),
+                *(pa.nulls(1, pa.binary()) for _ in range(2)),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["shard", "docs", "doc_keys", "keys", "sizes", "rows", "times"])
+            yield pa.RecordBatch.from_arrays(columns, ENTRY)
 
 
-def _incidence(docs: DataFrame, shards: int, number: int, passes: int) -> DataFrame:
-    schema = "shard int, docs array<long>, doc_keys array<long>, keys binary, sizes binary, rows binary, times binary"
-    return docs.select("doc_id", "key", "text").mapInArrow(lambda batches: _entries(batches, shards, number, passes), schema)
+def _incidence(docs: DataFrame, shards: int, number: int, passes: int, known: Broadcast | None) -> DataFrame:
+    schema = "shard int, docs array<long>, doc_keys array<long>, keys binary, sizes binary, rows binary, times binary, log binary, n binary"
+    return docs.select("doc_id", "key", "text").mapInArrow(lambda batches: _entries(batches, shards, number, passes, known and known.value), schema)
 
 
-def sums(docs: DataFrame, keyed: DataFrame, shards: int, number: int = 0, passes: int = 1) -> DataFrame:
+def sums(docs: DataFrame, keyed: DataFrame, shards: int, number: int = 0, passes: int = 1, frequent: Broadcast | None = None) -> DataFrame:
     """For each document, over its keys of a pass, the log probability and the number of predicted characters.
 
     ``docs`` has doc_id, key and text; ``keyed`` the values of words, ``w``, and of pairs, ``v`` and ``w``.
     """
     known = _dealt(keyed, shards).withColumn("kind", F.lit(0))
-    slices = _incidence(docs, shards, number, passes).withColumn("kind", F.lit(1))
+    slices = _incidence(docs, shards, number, passes, frequent).withColumn("kind", F.lit(1))
     rows = known.unionByName(slices, allowMissingColumns=True).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -416,6 +544,12 @@ def sums(docs: DataFrame, keyed: DataFrame, shards: int, number: int = 0, passes
                     ordered, held = (keys[order], value[order], n[order]), []
                 for i in range(a, b):
                     docs_, doc_keys = column["docs"][i].values, column["doc_keys"][i].values
+                    if column["log"][i].is_valid:
+                        log, size = (np.frombuffer(column[c][i].as_py(), t) for c, t in (("log", float), ("n", np.int64)))
+                        seen = np.flatnonzero((size > 0) | (log != 0))
+                        columns = [docs_.take(pa.array(seen)), doc_keys.take(pa.array(seen)), pa.array(log[seen]), pa.array(size[seen])]
+                        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "log", "n"])
+                        continue
                     keys, sizes = np.frombuffer(column["keys"][i].as_py(), U), column["sizes"][i].as_py()
                     sizes = np.frombuffer(sizes, np.uint8 if len(sizes) == len(keys) else np.uint32)
                     many = int(sizes.sum())
@@ -436,6 +570,18 @@ def sums(docs: DataFrame, keyed: DataFrame, shards: int, number: int = 0, passes
     return rows.mapInArrow(work, "doc_id long, key long, log double, n long").groupBy("doc_id", "key").agg(F.sum("log").alias("log"), F.sum("n").alias("n"))
 
 
+def _least(df: DataFrame, count: str, most: int) -> int:
+    """The least count from which on no more than so many rows have theirs."""
+    each = df.groupBy(F.least(F.col(count), F.lit(1_000_000)).cast("long").alias("c")).agg(F.count("*").alias("n")).collect()
+    kept, least = 0, 1_000_001
+    for r in sorted(each, key=lambda r: -r["c"]):
+        kept += r["n"]
+        if kept > most:
+            break
+        least = r["c"]
+    return least
+
+
 def classify(
     docs: DataFrame,
     labels: DataFrame,
@@ -461,25 +607,45 @@ def classify(
     spark = docs.sparkSession
     with scratch.phase(spark) as keep_scored:
         with scratch.phase(spark):
-            with scratch.phase(spark) as keep_spelled:
+            with scratch.phase(spark) as keep:
                 words = scratch.written(vocabulary(rows), "words")
                 found = words.agg(F.count("*").alias("words"), F.coalesce(F.sum(F.col("n0") + F.col("n1")), F.lit(0)).alias("tokens")).first()
-                shards = max(1, -(-found["words"] // SHARD_WORDS))
                 passes = min(PASSES, max(1, -(-found["tokens"] // PASS_TOKENS)))
-                at = F.pmod(F.shiftrightunsigned("hash", 32), F.lit(shards)).cast("int")
-                edge = spark.createDataFrame([(EDGE, bytearray(), 0, 0)], "hash long, word binary, n0 long, n1 long")  # spelled as no characters and an end
-                spelled = keep_spelled(spellings(words.unionByName(edge).withColumn("shard", at), shards), "spellings")
-            pairs = scratch.parts(spark, (pair_counts(rows, i, passes) for i in range(passes)), "pairs")
-            table, top = word_values(pairs, spelled)
+                runs = max(2 * spark.sparkContext.defaultParallelism, -(-found["tokens"] // (passes * SHARD_PAIRS)))
+                counted = keep((_counted(rows, i, passes, runs) for i in range(passes)), "pairs")
+                pairs = counted.where("v IS NOT NULL").select("v", "w", "c", "part")
+                with scratch.phase(spark) as keep_spelled:
+                    shards = max(1, -(-found["words"] // SHARD_WORDS))
+                    at = F.pmod(F.shiftrightunsigned("hash", 32), F.lit(shards)).cast("int")
+                    edge = spark.createDataFrame([(EDGE, bytearray(), 0, 0)], "hash long, word binary, n0 long, n1 long")  # spelled as no characters and an end
+                    spelled = keep_spelled(spellings(words.unionByName(edge).withColumn("shard", at), shards), "spellings")
+                table, top = word_values(pairs, spelled, keep)
             many = table.count()
+            few = many <= passes * FEW_WORDS
+            common, often = _least(table.where("total IS NOT NULL"), "total", passes * FREQUENT_WORDS), _least(pairs, "c", passes * FREQUENT_PAIRS)
 
             def keyed(i: int) -> DataFrame:
                 own = table.where(in_pass("word", i, passes))
-                more = pair_values(pairs.where(F.col("part") == i), own, table, top, "v", "w", few=many <= passes * FEW_WORDS)
+                more = pair_values(pairs.where(F.col("part") == i), own, table, top, "v", "w", few=few)
                 return own.select(F.lit(None).cast("long").alias("v"), F.col("word").alias("w"), "value", "n").unionByName(more.withColumn("n", F.lit(0)))
 
+            def frequent(i: int) -> Broadcast:
+                own = table.where(in_pass("word", i, passes))
+                first = own.where(F.col("total") >= common).select(F.col("word").alias("w"), "value", "n", F.col("total").alias("often")).toArrow()
+                chosen = pairs.where((F.col("part") == i) & (F.col("c") >= often)).withColumn("often", F.col("c"))
+                second = pair_values(chosen, own, table, top, "v", "w", "often", few=few, chosen=True).toArrow()
+                filters = {r["shard"]: bytes(r["bits"]) for r in counted.where((F.col("part") == i) & F.col("v").isNull()).select("shard", "bits").collect()}
+                return spark.sparkContext.broadcast(Known(first, second, filters, runs))
+
             shards = max(spark.sparkContext.defaultParallelism, -(-(many + pairs.count()) // (passes * SHARD_KEYS)))
-            partial = scratch.parts(spark, (sums(rows, keyed(i), shards, i, passes) for i in range(passes)), "sums")
+
+            def summed() -> Iterator[DataFrame]:
+                for i in range(passes):
+                    known = frequent(i)
+                    yield sums(rows, keyed(i), shards, i, passes, known)
+                    known.destroy()  # when the pass is written; every node has a file of it
+
+            partial = scratch.parts(spark, summed(), "sums")
             scored = keep_scored(partial.groupBy("doc_id", "key").agg(F.sum("log").alias("log"), F.sum("n").alias("n")), "scored")
     same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.key") == F.col("s.key"))
     rated = rows.drop("text").alias("d").join(scored.alias("s"), same, "left").select("d.*", F.exp(-F.col("log") / F.col("n")).alias("perplexity"))

@@ -48,17 +48,18 @@ def parts(spark: SparkSession, frames: Iterable[DataFrame], name: str) -> DataFr
 
 
 @contextmanager
-def phase(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
-    """What is written inside is deleted at the end; the function that this gives writes tables that outlive the phase.
+def phase(spark: SparkSession) -> Iterator[Callable[[DataFrame | Iterable[DataFrame], str], DataFrame]]:
+    """What is written inside is deleted at the end; the function that this gives writes tables, or parts, that outlive the phase.
 
     Shuffle files of a job that runs inside go when it ends, so frames that are used again have to be written.
     """
     before, made = spark.conf.get(CLEANED), []
     outer = _open[-1] if _open else None
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        out = written(df, name)
-        path = _open[-1].pop()  # of the innermost phase, which may be a later one
+    def keep(df: DataFrame | Iterable[DataFrame], name: str) -> DataFrame:
+        at = len(_open[-1])  # of the innermost phase, which may be a later one
+        out = written(df, name) if isinstance(df, DataFrame) else parts(spark, df, name)
+        path = _open[-1].pop(at)
         if outer is not None:
             outer.append(path)
         return out
