@@ -44,11 +44,11 @@ FREQUENT_WORDS, FREQUENT_PAIRS = 100_000, 300_000  # keys of a pass whose values
 FILTER_BITS, FILTER_BYTES = 12, 64 << 20  # bits of the filter for each pair, and bytes of it in a pass at most
 TASK_PAIRS = 400_000  # pairs that a task gathers before it passes them on
 SHARD_PAIRS = 500_000  # pairs that a shard counts, as they come from the tasks
-FEW_WORDS = 1_000_000  # first words of a pass sent to all executors: at most some 50 MB
 SHARD_WORDS = 50_000
 SHARD_KEYS = 2_000_000  # words and pairs whose values a shard holds
 SLICE = 1 << 20  # bytes of text whose words and keys are gathered before they are passed on; arrays of a task take some 100 times as much
 TASK_WORDS = 500_000  # distinct words that a task gathers before it passes them on
+TASK_SLOTS = 1 << 18  # places for words of its first slice that a task counts without a sort
 FEW_IDS = 4_000_000  # ids of trusted documents sent to all executors: at most some 100 MB
 QUANTILE, MARGIN = 0.995, 1.05
 
@@ -67,8 +67,8 @@ class Tokens:
 
     def __init__(self, column: pa.Array) -> None:
         self.raw, self.offsets = streams.texts_of(column)
-        self.raw = FOLD[self.raw]
-        kind = KIND[self.raw]
+        data = self.raw.tobytes()
+        self.raw, kind = (np.frombuffer(data.translate(table.tobytes()), np.uint8) for table in (FOLD, KIND))  # signs keep their kind when folded
         edge = np.ones(len(kind) + 1, bool)
         edge[1:-1] = kind[1:] != kind[:-1]
         edge[self.offsets] = True
@@ -108,17 +108,32 @@ def vocabulary(docs: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, pa.Array, np.ndarray]] = []
+        first = None
         for part in streams.pieces(batches, "text", SLICE):
             t = Tokens(part.column("text"))
             good = np.repeat(part.column("trusted").to_numpy(zero_copy_only=False).astype(float), np.diff(t.bounds))
-            hashes, one, which = np.unique(t.hashes, return_index=True, return_inverse=True)
             half = np.repeat(part.column("key").to_numpy(zero_copy_only=False) & 1, np.diff(t.bounds))
-            n = np.bincount(which * 2 + half, weights=good, minlength=2 * len(hashes)).reshape(-1, 2)
-            held.append((hashes, t.spelled(one), n))
+            left = np.arange(len(good))
+            if first is not None:
+                at = (t.hashes >> U(40)).astype(np.int64) % TASK_SLOTS
+                hit = (keys[at] == t.hashes) & taken[at]
+                often += np.bincount(at[hit] * 2 + half[hit], weights=good[hit], minlength=2 * TASK_SLOTS).reshape(-1, 2)
+                left = np.flatnonzero(~hit)
+            hashes, one, which = np.unique(t.hashes[left], return_index=True, return_inverse=True)
+            n = np.bincount(which * 2 + half[left], weights=good[left], minlength=2 * len(hashes)).reshape(-1, 2)
+            held.append((hashes, t.spelled(left[one]), n))
+            if first is None and len(hashes):
+                first = np.full(TASK_SLOTS, -1)
+                first[(hashes >> U(40)).astype(np.int64) % TASK_SLOTS] = np.arange(len(hashes))
+                taken, often, words = first >= 0, np.zeros((TASK_SLOTS, 2)), held[-1][1]
+                keys = np.where(taken, hashes[first], U(0))
             if sum(len(h[0]) for h in held) > 2 * TASK_WORDS:
                 held = [together(held)]
                 if len(held[0][0]) > TASK_WORDS:
                     yield batch_of(*held.pop())
+        if first is not None:
+            counted = np.flatnonzero(often.sum(1))
+            held.append((keys[counted], words.take(pa.array(first[counted])), often[counted]))
         if held:
             yield batch_of(*together(held))
 
@@ -277,12 +292,17 @@ def _places(pair: np.ndarray, sizes: np.ndarray | U) -> tuple[np.ndarray, np.nda
 
 
 def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """Pairs in the order of their words, each once with the sum of its counts."""
+    """Pairs in the order of their first words, each once with the sum of its counts."""
     v, w, n = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((w, v))
-    v, w, n = v[order], w[order], n[order]
-    first = np.flatnonzero(np.concatenate([np.ones(min(len(v), 1), bool), (v[1:] != v[:-1]) | (w[1:] != w[:-1])]))
-    return v[first], w[first], np.add.reduceat(n, first) if len(first) else n
+    pair = _pair(v, w)
+    order = np.argsort(pair)
+    pair = pair[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(v), 1), bool), pair[1:] != pair[:-1]]))
+    if len(first):
+        n = np.add.reduceat(n[order], first)
+    v, w = v[order[first]], w[order[first]]
+    order = np.argsort(v)
+    return v[order], w[order], n[order]
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], shards: int, number: int, passes: int) -> Iterator[pa.RecordBatch]:
@@ -309,7 +329,10 @@ def _gathered(batches: Iterator[pa.RecordBatch], shards: int, number: int, passe
 
 
 def _counted(docs: DataFrame, number: int, passes: int, shards: int) -> DataFrame:
-    """Pairs of a pass with their counts; and for each shard a row without words that has the filter of its pairs."""
+    """Pairs of a pass with their counts, and how many pairs of their first word stand once, twice and more often.
+
+    For each shard there is a row without words that has the filter of its pairs.
+    """
 
     def finished(shard: int, held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         v, w, n = _summed(held)
@@ -319,12 +342,14 @@ def _counted(docs: DataFrame, number: int, passes: int, shards: int) -> DataFram
         pair = _pair(v, w)
         for x in _places(pair, U(size)):
             bits[x] = True
-        schema = pa.schema([("v", pa.int64()), ("w", pa.int64()), ("c", pa.int64()), ("shard", pa.int32()), ("bits", pa.binary())])
+        start = np.flatnonzero(np.concatenate([np.ones(min(len(v), 1), bool), v[1:] != v[:-1]]))
+        followers = [np.repeat(np.add.reduceat(test.astype(np.int64), start), np.diff(start, append=len(v))) if len(v) else n for test in (n == 1, n == 2, n > 2)]
+        schema = pa.schema([(c, pa.int64()) for c in ("v", "w", "c", "n1", "n2", "n3")] + [("shard", pa.int32()), ("bits", pa.binary())])
         for a in range(0, len(v), 50_000):
             some = slice(a, a + 50_000)
-            columns = [pa.array(streams.signed(v[some])), pa.array(streams.signed(w[some])), pa.array(n[some].astype(np.int64))]
+            columns = [pa.array(x[some].view(np.int64)) for x in (v, w, n.astype(np.int64), *followers)]
             yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(columns[0]), t) for t in (pa.int32(), pa.binary()))], schema=schema)
-        yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int64()) for _ in range(3)), pa.array([shard], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int64()) for _ in range(6)), pa.array([shard], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], schema=schema)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
@@ -338,7 +363,7 @@ def _counted(docs: DataFrame, number: int, passes: int, shards: int) -> DataFram
             yield from finished(current, held)
 
     runs = docs.where("trusted").select("text", "key").mapInArrow(lambda batches: _gathered(batches, shards, number, passes), "shard int, v binary, w binary, n binary")
-    return runs.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(work, "v long, w long, c long, shard int, bits binary")
+    return runs.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(work, "v long, w long, c long, n1 long, n2 long, n3 long, shard int, bits binary")
 
 
 def pair_counts(docs: DataFrame, number: int = 0, passes: int = 1, shards: int = 1) -> DataFrame:
@@ -384,7 +409,8 @@ def values(pairs: DataFrame, spelled: DataFrame) -> DataFrame:
     ``pairs`` have their two words, ``v`` and ``w``, their count, and a key of their own, ``pair``.
     """
     table, top = word_values(pairs, spelled)
-    more = pair_values(pairs, table, table, top, "pair").select(F.col("pair").alias("id"), "value", F.lit(0).alias("n"))
+    followers = pairs.groupBy("v").agg(*(F.count_if(test).alias(f"n{i}") for i, test in ((1, F.col("c") == 1), (2, F.col("c") == 2), (3, F.col("c") > 2))))
+    more = pair_values(pairs.join(followers, "v"), table, top, "pair").select(F.col("pair").alias("id"), "value", F.lit(0).alias("n"))
     return table.select(F.col("word").alias("id"), "value", "n").unionByName(more)
 
 
@@ -428,13 +454,13 @@ def word_values(pairs: DataFrame, spelled: DataFrame, written: Callable[[DataFra
     return written(table, "words").withColumn("value", F.col("log_p") + F.col("log_left")), top
 
 
-def pair_values(pairs: DataFrame, befores: DataFrame, words: DataFrame, top: list[list[float]], *name: str, few: bool = False, chosen: bool = False) -> DataFrame:
-    """What the probability of each pair differs by from those of its two words, as a log; ``befores`` and ``words`` have theirs."""
-    by_before = befores.where("total IS NOT NULL").select(F.col("word").alias("v"), "log_left", "total")
+def pair_values(pairs: DataFrame, words: DataFrame, top: list[list[float]], *name: str, chosen: bool = False) -> DataFrame:
+    """What the probability of each pair differs by from those of its two words, as a log; ``chosen`` pairs are few."""
     by_word = words.where("follows").select(F.col("word").alias("w"), "log_p")
-    cut = _leveled(F.col("c"), top, _half("v"))
-    own = pairs.join(F.broadcast(by_before) if few else by_before, "v").select(*{*name, "w"}, ((F.col("c") - cut) / F.col("total")).alias("own"), "log_left")
-    return by_word.join(F.broadcast(own) if chosen else own, "w").select(*name, F.log1p(F.col("own") * F.exp(-F.col("log_left") - F.col("log_p"))).alias("value"))
+    each = [sum((F.col(f"n{i}") * x for i, x in enumerate(d, 1)), F.lit(0.0)) for d in top]
+    left = F.when(_half("v") == 0, each[0]).otherwise(each[1])  # of the first word's count, so that the count itself cancels out
+    own = pairs.select(*{*name, "w"}, ((F.col("c") - _leveled(F.col("c"), top, _half("v"))) / left).alias("own"))
+    return by_word.join(F.broadcast(own) if chosen else own, "w").select(*name, F.log1p(F.col("own") * F.exp(-F.col("log_p"))).alias("value"))
 
 
 def _dealt(keyed: DataFrame, shards: int) -> DataFrame:
@@ -613,7 +639,7 @@ def classify(
                 passes = min(PASSES, max(1, -(-found["tokens"] // PASS_TOKENS)))
                 runs = max(2 * spark.sparkContext.defaultParallelism, -(-found["tokens"] // (passes * SHARD_PAIRS)))
                 counted = keep((_counted(rows, i, passes, runs) for i in range(passes)), "pairs")
-                pairs = counted.where("v IS NOT NULL").select("v", "w", "c", "part")
+                pairs = counted.where("v IS NOT NULL").select("v", "w", "c", "n1", "n2", "n3", "part")
                 with scratch.phase(spark) as keep_spelled:
                     shards = max(1, -(-found["words"] // SHARD_WORDS))
                     at = F.pmod(F.shiftrightunsigned("hash", 32), F.lit(shards)).cast("int")
@@ -621,19 +647,18 @@ def classify(
                     spelled = keep_spelled(spellings(words.unionByName(edge).withColumn("shard", at), shards), "spellings")
                 table, top = word_values(pairs, spelled, keep)
             many = table.count()
-            few = many <= passes * FEW_WORDS
             common, often = _least(table.where("total IS NOT NULL"), "total", passes * FREQUENT_WORDS), _least(pairs, "c", passes * FREQUENT_PAIRS)
 
             def keyed(i: int) -> DataFrame:
                 own = table.where(in_pass("word", i, passes))
-                more = pair_values(pairs.where(F.col("part") == i), own, table, top, "v", "w", few=few)
+                more = pair_values(pairs.where(F.col("part") == i), table, top, "v", "w")
                 return own.select(F.lit(None).cast("long").alias("v"), F.col("word").alias("w"), "value", "n").unionByName(more.withColumn("n", F.lit(0)))
 
             def frequent(i: int) -> Broadcast:
                 own = table.where(in_pass("word", i, passes))
                 first = own.where(F.col("total") >= common).select(F.col("word").alias("w"), "value", "n", F.col("total").alias("often")).toArrow()
                 chosen = pairs.where((F.col("part") == i) & (F.col("c") >= often)).withColumn("often", F.col("c"))
-                second = pair_values(chosen, own, table, top, "v", "w", "often", few=few, chosen=True).toArrow()
+                second = pair_values(chosen, table, top, "v", "w", "often", chosen=True).toArrow()
                 filters = {r["shard"]: bytes(r["bits"]) for r in counted.where((F.col("part") == i) & F.col("v").isNull()).select("shard", "bits").collect()}
                 return spark.sparkContext.broadcast(Known(first, second, filters, runs))
 
